@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, fingerprints, mixing, sentence_pieces, sharding, token_counts
 from .common import table
 
 #: Weights of the sources in turn, the share of all sizes that the mix takes, the most epochs of a source.
 MIX = {"weights": [5.0, 2.0, 1.0], "share": 1.5, "epochs": 2.0, "seed": 0}
 SHARDS = 8
+TOKEN_LIMIT = 2048
+
+
+def tokenizer_file(name: str) -> bytes:
+    """A public tokenizer's file as bytes; they travel with the job, so executors need no copy of their own."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_bytes()
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,16 +29,33 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentence_pieces.measure(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.layout(table(spark, sf_dir, "documents"), SHARDS).withColumnRenamed("id", "doc_id")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_successor(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.measure(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json").decode(), TOKEN_LIMIT)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+QUERIES = (op4_mixing, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_mixing": op4_mixing, "op7_sharding": op7_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {query.__name__: query for query in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
