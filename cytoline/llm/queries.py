@@ -8,13 +8,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, mixing, sentence_pieces, sharding, token_counts
+from . import exact_dedup, fingerprints, mixing, quality, sentence_pieces, sharding, token_counts, toxicity
 from .common import table
 
 #: Weights of the sources in turn, the share of all sizes that the mix takes, the most epochs of a source.
 MIX = {"weights": [5.0, 2.0, 1.0], "share": 1.5, "epochs": 2.0, "seed": 0}
 SHARDS = 8
 TOKEN_LIMIT = 2048
+TOXIC_FROM, GOOD_FROM = 0.5, 0.3
 
 
 def tokenizer_file(name: str) -> bytes:
@@ -24,11 +25,23 @@ def tokenizer_file(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, index, TOXIC_FROM).withColumnRenamed("id", "doc_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), **MIX)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, GOOD_FROM).withColumnRenamed("id", "doc_id")
+
+
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sentence_pieces.measure(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return out.withColumnRenamed("id", "doc_id")
@@ -51,7 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = (op4_mixing, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup)
+QUERIES = (op1_toxicity, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
