@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, mixing, near_dedup, quality, sentence_pieces, sharding, token_counts, toxicity
+from . import exact_dedup, fingerprints, mixing, near_dedup, quality, sentence_pieces, sharding, suffix_dedup, token_counts, toxicity
 from .common import table
 
 #: Weights of the sources in turn, the share of all sizes that the mix takes, the most epochs of a source.
@@ -16,6 +16,7 @@ MIX = {"weights": [5.0, 2.0, 1.0], "share": 1.5, "epochs": 2.0, "seed": 0}
 SHARDS = 8
 TOKEN_LIMIT = 2048
 NEAR_PERCENT = 85
+REPEAT_BYTES = 50
 TOXIC_FROM, GOOD_FROM = 0.5, 0.3
 
 
@@ -36,6 +37,12 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(table(spark, sf_dir, "documents"), NEAR_PERCENT).withColumnRenamed("id", "doc_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.repeats(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), **MIX)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -69,7 +76,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = (op1_toxicity, op2_near_dedup, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup)
+QUERIES = (op1_toxicity, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
