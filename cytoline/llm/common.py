@@ -25,13 +25,19 @@ def settle(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``. Where none is set, a local run gets a
     temporary one; on a cluster that is an error, because executors share no local folder.
     """
-    context = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and stages; see :func:`settle`."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cytoline-checkpoint-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

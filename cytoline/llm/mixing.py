@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from .common import WORD, column, settle
 
-#: Pieces of a source's seeded order that are summed on their own, so that no source meets in one task: three hex digits.
+#: Hex digits of the seeded hash that cut a source into pieces, so that no source meets in one task.
 DIGITS = 3
+#: A table with a row for each source is broadcast up to this many rows of some 60 bytes.
+FEW_SOURCES = 10_000
 
 
 def words(text: Column) -> Column:
@@ -43,26 +45,34 @@ def water_fill(sizes: DataFrame, weights: list[float], share: float, epochs: flo
 
 
 def plan(rows: DataFrame, weights: list[float], share: float, epochs: float, seed: int) -> DataFrame:
-    """Add ``source_size, target, taken`` to rows of ``id, source, size`` (and others)."""
+    """Add ``source_size, target, taken`` to rows of ``id, source, size`` (and others).
+
+    Documents stand in order of a seeded hash. The hash's first digits cut a source into pieces; from the sums of pieces
+    it follows in which one the fractional repetition ends. Rows of the pieces before it are taken, those after it are
+    not, and only the rows of that one piece are shuffled and summed one by one.
+    """
     rows = rows.withColumn("place", F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("-"))).cast("binary")))
-    rows = settle(rows.withColumn("piece", F.substring("place", 1, DIGITS)))
+    rows = rows.withColumn("piece", F.substring("place", 1, DIGITS))
     pieces = settle(rows.groupBy("source", "piece").agg(F.sum("size").alias("n")))
-    sizes = pieces.groupBy("source").agg(F.sum("n").alias("source_size"))
-    targets = water_fill(sizes, weights, share, epochs)
+    targets = water_fill(pieces.groupBy("source").agg(F.sum("n").alias("source_size")), weights, share, epochs)
+    whole = F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))).cast("long")
+    targets = targets.withColumn("whole", whole).withColumn("rest", F.round(F.col("target") - F.col("whole") * F.col("source_size"), 0).cast("long"))
     before = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = pieces.select("source", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    starts = settle(
-        starts.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "inner")
-        .select(F.col("source").alias("s"), F.col("piece").alias("p"), "start", "source_size", "target")
+    starts = pieces.select(F.col("source").alias("s"), "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    reached = starts.join(targets, F.col("s").eqNullSafe(F.col("source"))).filter("start <= rest")
+    ends = settle(
+        reached.groupBy("s", "source_size", "target", "whole", "rest").agg(F.max(F.struct("piece", "start")).alias("end"))
+        .select("s", "source_size", "target", "whole", "rest", F.col("end.piece").alias("end_piece"), F.col("end.start").alias("start"))
     )
-    # Numbering stays inside a piece of a source; what the pieces before hold is added from the sums.
-    within = Window.partitionBy("source", "piece").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = rows.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("piece") == F.col("p")))
-    whole = F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))).cast("long")
-    rest = F.round(F.col("target") - whole * F.col("source_size"), 0).cast("long") - F.col("start") - F.col("within")
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest))
-    return rows.withColumn("taken", whole * F.col("size") + part).drop("place", "piece", "within", "start", "s", "p")
+    # One row for each source: broadcast if they are few, shuffled otherwise.
+    ends = F.broadcast(ends) if ends.count() <= FEW_SOURCES else ends
+    rows = rows.join(ends, F.col("source").eqNullSafe(F.col("s")))
+    clear = rows.filter("piece <> end_piece").withColumn("part", F.when(F.col("piece") < F.col("end_piece"), F.col("size")).otherwise(F.lit(0).cast("long")))
+    within = Window.partitionBy("source").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("rest") - F.col("start") - F.coalesce(F.sum("size").over(within), F.lit(0))
+    cut = rows.filter("piece = end_piece").withColumn("part", F.greatest(F.lit(0).cast("long"), F.least("size", left)))
+    both = clear.unionByName(cut).withColumn("taken", F.col("whole") * F.col("size") + F.col("part"))
+    return both.drop("place", "piece", "s", "whole", "rest", "end_piece", "start", "part")
 
 
 def mix(docs: DataFrame, weights: list[float], share: float, epochs: float = 2.0, seed: int = 0,

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from .common import bit_positions, bit_table, column, probe_bits, settle
 from .token_counts import Memory
 
-#: Words of a shingle; bands and bins of a band. At a similarity of 0.85 a pair shares no band with probability 8e-7.
-SHINGLE, BANDS, ROWS = 5, 24, 5
+#: Words of a shingle; bands and bins of a band. A pair shares no band with probability 1e-7 at a similarity of 0.8,
+#: and 3e-10 at 0.85.
+SHINGLE, BANDS, ROWS = 5, 30, 4
 BINS = BANDS * ROWS
 #: In buckets with at most this many texts outside the largest component, all of those are compared with every member.
 FEW = 64
@@ -175,14 +176,30 @@ def verify(pairs: DataFrame, store: DataFrame, percent: int) -> DataFrame:
     return settle(joined.filter(100 * F.col("both") >= percent * union).select("a", "b"))
 
 
-def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`group` keeps, with all their columns, whatever those are called.
+
+    A filter of fixed size over the ids that go lets all other rows pass unshuffled; the rest is compared exactly.
+    Rows that repeat an id and a set stay or go together.
+    """
+    gone = settle(group(docs, percent, id_col, text_col, names=True).filter("not kept").select(F.col("id").alias("gone"), F.col("node").alias("set")).distinct())
+    bits = bit_table(gone.select(F.explode(bit_positions(F.xxhash64("gone"), LOG_BITS)).alias("bit")).distinct(), "bit")
+    ident = column(docs, id_col).cast("long")
+    rows = docs.select(F.struct("*").alias("doc"), ident.alias("id"), column(docs, text_col).alias("text"), F.xxhash64(ident).alias("key"))
+    rows = probe_bits(rows, "key", settle(bits), LOG_BITS, "maybe")
+    unsure = rows.filter("maybe").withColumn("node", sets(F.coalesce("text", F.lit("")))["node"])
+    stay = unsure.join(gone, unsure["id"].eqNullSafe(gone["gone"]) & (unsure["node"] == gone["set"]), "left_anti")
+    return rows.filter("not maybe").select("doc").unionByName(stay.select("doc")).select("doc.*")
+
+
+def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", names: bool = False) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for each row of ``docs``.
 
     Rows are linked if 100 times their shared shingles are at least ``percent`` times all of both. ``component_id`` is
     the smallest id that links reach. Rows with equal sets are one node, so copies cost nothing further. Rows without
     words are linked with nothing. Rows that repeat an id are documents of their own. A null id is no name: such a row
     has the component of equal or linked rows that have one, or none, and is kept only if it has none.
-    Empty tables give empty results.
+    Empty tables give empty results. ``names`` adds the hashed name of each row's set as ``node``.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
     rows = docs.select(column(docs, id_col).cast("long").alias("id"), parsed(text).alias("own"))
@@ -207,8 +224,7 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     links = verify(members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), store, percent)
     open_buckets, turn = members.select("bucket", "node", "n"), 0
     while True:
-        names = components(links)
-        placed = open_buckets.join(names, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        placed = open_buckets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
         placed = settle(placed.join(split, "bucket"))
         if placed.isEmpty():
@@ -231,9 +247,8 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
         left = placed.join(largest.filter(~few).select("bucket"), "bucket").select("bucket", "node", "n").join(used, ["bucket", "node"], "left_anti")
         open_buckets, turn = settle(left), turn + 1
 
-    names = components(links)
-    placed = nodes.join(names, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = nodes.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = settle(placed.join(least, "comp").select("node", "component_id"))
     out = rows.drop("bands").join(named, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select("id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select(*["node"] * names, "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -76,7 +76,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = (op1_toxicity, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = (op1_toxicity, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -13,6 +13,7 @@ import struct
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -339,6 +340,22 @@ def pieces(text: Column, proto: bytes) -> Column:
     return run(text)
 
 
+def ids(text: Column, proto: bytes) -> Column:
+    """The ids of each whole text; none for a null or empty text."""
+
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = model(proto)
+        for texts in batches:
+            lines = [own.round_trip(t.as_py() or "")[0] for t in texts]
+            parts = [np.array(line.split(","), np.int32) if line else np.zeros(0, np.int32) for line in lines]
+            ends = np.cumsum([0, *map(len, parts)])
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+    return run(text)
+
+
 def measure(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` for each row; null texts are empty, repeated rows are rows.
 
