@@ -26,8 +26,10 @@ from .labelled import held_out, platt, sample
 PER_CLASS, TERMS = 4096, 1024
 #: A term is indexed if its document frequencies differ between the classes by this chi-squared, and it has this many documents.
 CHI, LEAST = 30.0, 5
-#: Examples in a block of the index; neighbours that vote; weight of the base rate among them.
-BLOCK, NEIGHBOURS, PRIOR = 64, 15, 0.5
+#: Examples in a block of the index; blocks that are read first; neighbours that vote; weight of the base rate among them.
+BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 15, 0.5
+#: Answers that a worker remembers; documents with few indexed terms often have the same ones.
+REMEMBERED = 100_000
 TERM = re.compile(r"[^\W_]+")
 
 
@@ -38,14 +40,14 @@ def terms(text: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Examples as unit vectors, in blocks; ``postings[t][b]``: positions and weights in block b; ``best[t][b]``: their maximum."""
+    """Examples as unit vectors, in blocks: ``weights[t, b, i]`` of term t in example i of block b; ``best[t, b]``: their maximum."""
 
     vocabulary: dict[str, int]
     idf: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]
-    best: np.ndarray
+    places: np.ndarray  # of the weights that are not zero, as terms x examples
+    values: np.ndarray
     base: float  # share of toxic examples among those without any indexed term
     share: float  # among all
     fitted: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
@@ -62,25 +64,49 @@ class Index:
         norm = np.sqrt((weights**2).sum())
         return at, weights / norm if norm else weights
 
+    def __post_init__(self) -> None:
+        blocks = max(1, -(-len(self.labels) // BLOCK))
+        self.weights = np.zeros((len(self.vocabulary), blocks, BLOCK))
+        self.weights.reshape(-1)[self.places] = self.values
+        self.best = self.weights.max(2)
+        self.memory: dict = {}
+
+    def __reduce__(self):
+        # only what is not zero travels; a worker unpacks an index once
+        return _unpacked, (self.vocabulary, self.idf, self.labels, self.ids, self.places, self.values, self.base, self.share, self.fitted)
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
-        """The k examples of the largest cosine above 0, the earlier one first among equals."""
+        """The k examples of the largest cosine above 0, the earlier one first among equals.
+
+        The blocks with the best bounds are read first. Of the others only those are read whose bound reaches the k-th
+        best cosine found there; no example of the rest can be among the k.
+        """
         if not len(at):
             return []
         bounds = weights @ self.best[at]
-        found: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            bound = bounds[block]
-            if bound <= 0 or (len(found) >= k and bound < found[k - 1][0] * -1 - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(at.tolist(), weights.tolist()):
-                if (posting := self.postings[t].get(block)) is not None:
-                    scores[posting[0]] += posting[1] * w
-            hits = np.flatnonzero(scores > 0)
-            found += [(-round(float(scores[i]), 12), block * BLOCK + i) for i in hits.tolist() if block * BLOCK + i != without]
-            found.sort()
-            del found[k:]
-        return [(i, -s) for s, i in found]
+        order = np.argsort(-bounds, kind="stable")
+        first = order[:FIRST]
+        found, scores = self._read(at, weights, first, without)
+        if len(order) > FIRST:
+            least = -np.partition(-scores, k - 1)[k - 1] if len(scores) >= k else 0.0
+            more = order[FIRST:]
+            more = more[(bounds[more] > 0) & (bounds[more] >= least - 1e-9)]
+            if len(more):
+                others, their = self._read(at, weights, more, without)
+                found, scores = np.concatenate([found, others]), np.concatenate([scores, their])
+        if len(scores) > 4 * k:
+            keep = scores >= -np.partition(-scores, k - 1)[k - 1]
+            found, scores = found[keep], scores[keep]
+        best = np.lexsort((found, -scores))[:k]
+        return list(zip(found[best].tolist(), scores[best].tolist()))
+
+    def _read(self, at: np.ndarray, weights: np.ndarray, blocks: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The examples of some blocks with a cosine above 0, and the cosines."""
+        scores = np.round(np.tensordot(weights, self.weights[at[:, None], blocks], 1), 12)
+        block, place = np.nonzero(scores > 0)
+        found = blocks[block] * BLOCK + place
+        values = scores[block, place]
+        return (found[found != without], values[found != without]) if without >= 0 else (found, values)
 
     def vote(self, near: list[tuple[int, float]]) -> float:
         """The share of toxic among the neighbours, weighted by similarity, drawn a little towards the base rate."""
@@ -98,8 +124,30 @@ class Index:
         return float(1 / (1 + np.exp(-np.clip(np.dot(slopes, self.measures(near, found, words)) + intercept, -30, 30))))
 
     def score(self, text: str) -> float:
-        at, weights, words = self.vector(text)
-        return self.probability(self.nearest(at, weights, NEIGHBOURS), len(at), words) if len(at) else self.base
+        get, words = self.vocabulary.get, terms(text)
+        known = [t for t in map(get, words) if t is not None]
+        if not known:
+            return self.base
+        counts = Counter(known)
+        key = tuple(sorted(counts.items()))
+        near = self.memory.get(key)
+        if near is None:
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            near = self.memory[key] = self.nearest(*self.weigh(counts), NEIGHBOURS)
+        return self.probability(near, len(counts), len(words))
+
+
+_ready: dict[int, Index] = {}
+
+
+def _unpacked(*parts) -> Index:
+    """The worker's copy of an index, which keeps its answers from task to task."""
+    key = hash((tuple(parts[0]), parts[5].tobytes(), parts[4].tobytes(), parts[8]))
+    if key not in _ready:
+        _ready.clear()
+        _ready[key] = Index(*parts)
+    return _ready[key]
 
 
 def build(examples: list[tuple[int, int, dict[str, int], int]], vocabulary: list[str], totals: dict[int, int]) -> Index:
@@ -118,17 +166,16 @@ def build(examples: list[tuple[int, int, dict[str, int], int]], vocabulary: list
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
     heavy = sum(weight[c] for c in bare)
     base = (sum(weight[c] for c in bare if c) + share) / (heavy + 1)
-    index = Index(number, idf, labels, ids, [{} for _ in vocabulary], np.zeros((len(vocabulary), blocks)), base, share)
-    gathered: dict[tuple[int, int], list[tuple[int, float]]] = {}
-    vectors = []
+    vectors, places, values = [], [], []
     for i, (_, _, counts, _) in enumerate(order):
-        at, weights = index.weigh({number[t]: c for t, c in counts.items()})
+        at = np.array(sorted(number[t] for t in counts), np.int64)
+        of = {number[t]: c for t, c in counts.items()}
+        weights = (1 + np.log([of[t] for t in at.tolist()])) * idf[at] if len(at) else np.zeros(0)
+        weights = weights / (np.sqrt((weights**2).sum()) or 1.0)
         vectors.append((at, weights))
-        for t, w in zip(at.tolist(), weights.tolist()):
-            gathered.setdefault((t, i // BLOCK), []).append((i % BLOCK, w))
-    for (t, block), pairs in gathered.items():
-        index.postings[t][block] = np.array([p for p, _ in pairs], np.int64), np.array([w for _, w in pairs])
-        index.best[t, block] = max(w for _, w in pairs)
+        places.append(at * blocks * BLOCK + i)
+        values.append(weights)
+    index = Index(number, idf, labels, ids, np.concatenate([np.zeros(0, np.int64), *places]), np.concatenate([np.zeros(0), *values]), base, share)
     known, y = [], []
     for i, (at, weights) in enumerate(vectors):
         if near := index.nearest(at, weights, NEIGHBOURS, without=i):
