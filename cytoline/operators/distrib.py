@@ -25,7 +25,7 @@ def histogram(cells: DataFrame, bins: int = 100, low: float = 0.0, high: float =
 
 
 def median_from_histogram(cells: DataFrame, bins: int = 100) -> DataFrame:
-    """One row: the median of beta interpolated between the middles of bins, with 0 and 100 as bins of their own."""
+    """One row: the median (null without values) of beta, interpolated between the middles of bins, with 0 and 100 as bins of their own."""
     step = 100.0 / bins
     inner = histogram(cells, bins).select(F.col("bin").alias("at"), ((F.col("bin") - 0.5) * step).alias("value"), "n")
     ends = extremes(cells).select(F.explode(F.array(F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0.0).alias("value"), F.col("n_zero").alias("n")),

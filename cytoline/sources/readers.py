@@ -18,8 +18,9 @@ def _strings(spark: SparkSession, path: str | list[str], width: int, sep: str =
     return spark.read.options(sep=sep, comment="#", **options).schema(schema).csv(path)
 
 
-def _pick(df: DataFrame, layout: dict[str, int]) -> DataFrame:
-    cols = []
+def picked(df: DataFrame, layout: dict[str, int], *keep: str) -> DataFrame:
+    """The columns of a layout by position, typed, after the columns to keep."""
+    cols = list(keep)
     for name, i in layout.items():
         kind = KINDS.get(name)
         value = F.trim(f"c{i}")
@@ -35,12 +36,12 @@ def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 def pileup(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A methylation pileup; only the used columns are parsed."""
-    return _pick(_strings(spark, path, 18), PILEUP)
+    return picked(_strings(spark, path, 18), PILEUP)
 
 
 def imputed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A pileup after imputation; a header is a row whose start is no number."""
-    return _pick(_strings(spark, path, 7), IMPUTED).filter("start IS NOT NULL").withColumn("mod_code", F.lit("m"))
+    return picked(_strings(spark, path, 7), IMPUTED).filter("start IS NOT NULL").withColumn("mod_code", F.lit("m"))
 
 
 def intervals(spark: SparkSession, path: str, name_col: int = 3, width: int = 12) -> DataFrame:
