@@ -78,13 +78,10 @@ def annotate(sites: DataFrame, tss: DataFrame, exon: DataFrame, intron: DataFram
 
 def distance_to_start(sites: DataFrame, tss: DataFrame) -> DataFrame:
     """Add ``distance``: bases from each site to the nearest start site on its chromosome; null on one without any."""
-    from pyspark.sql import Window
-
-    marks = tss.select("chrom", F.col("start").alias("at"), F.lit(0).alias("kind")).distinct()
-    own = sites.select("chrom", F.col("start").alias("at"), F.lit(1).alias("kind"), F.struct("*").alias("site"))
-    both = marks.withColumn("site", F.lit(None).cast(own.schema["site"].dataType)).unionByName(own)
-    place = F.when(F.col("kind") == 0, F.col("at"))
-    before = F.last(place, ignorenulls=True).over(Window.partitionBy("chrom").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(place, ignorenulls=True).over(Window.partitionBy("chrom").orderBy("at", F.desc("kind")).rowsBetween(0, Window.unboundedFollowing))
-    found = both.withColumn("distance", F.least(F.col("at") - before, after - F.col("at"))).filter("kind = 1")
-    return found.select("site.*", "distance")
+    far = F.lit((1 << 63) - 1).cast("long")
+    marks = tss.select("chrom", "start", far.alias("end"), F.col("start").alias("at")).distinct()
+    back = marks.withColumn("start", -F.col("start"))
+    found = intervals.asof_overlap(sites, marks, ["at"]).withColumn("_before", F.col("hit.at")).drop("hit")
+    # the nearest one after a site is the last one before it on the mirrored chromosome
+    found = intervals.asof_overlap(found.withColumn("start", -F.col("start")), back, ["at"]).withColumn("start", -F.col("start"))
+    return found.withColumn("distance", F.least(F.col("start") - F.col("_before"), F.col("hit.at") - F.col("start"))).drop("_before", "hit")

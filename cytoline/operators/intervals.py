@@ -1,7 +1,9 @@
 """Half-open integer intervals on chromosomes: overlap and as-of joins, merging, subtraction, depth.
 
 No operator compares all pairs. Overlaps are found by cutting both sides into bins of a fixed width and joining on
-(chromosome, bin), each pair in the first bin that both share; as-of matches come from one sorted pass.
+(chromosome, bin), each pair in the first bin that both share. Sorted passes (as-of matches, merging, depth) sort
+within stretches of a chromosome and carry what comes before from a table with one row for each stretch, so that no
+task sorts a chromosome.
 """
 
 from __future__ import annotations
@@ -13,6 +15,24 @@ from pyspark.sql import functions as F
 BIN = 4096
 
 
+#: Width of a stretch of the sorted passes.
+STRETCH = 1 << 20
+
+
+def _before():
+    return Window.partitionBy("chrom").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _stretched(df: DataFrame, place: str = "start") -> DataFrame:
+    return df.withColumn("_s", F.expr(f"`{place}` div {STRETCH}"))
+
+
+def _carried(df: DataFrame, within: Column, before: Column) -> DataFrame:
+    """``df`` with ``_c``: ``before`` over earlier stretches, whose own value ``_v`` is ``within``, an aggregate."""
+    each = df.groupBy("chrom", "_s").agg(within.alias("_v"))
+    return df.join(each.select("chrom", "_s", before.over(_before()).alias("_c")), ["chrom", "_s"])
+
+
 def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
     first = F.expr(f"`{start}` div {width}")
     last = F.expr(f"(greatest(`{end}`, `{start}` + 1) - 1) div {width}")
@@ -59,8 +79,9 @@ def asof_overlap(sites: DataFrame, track: DataFrame, payload: list[str]) -> Data
     kind = track.select("chrom", F.col("start").alias("at"), F.lit(0).alias("kind"), hit.alias("hit"))
     marks = sites.select("chrom", F.col("start").alias("at"), F.lit(1).alias("kind"), F.struct("*").alias("site"))
     both = kind.withColumn("site", F.lit(None).cast(marks.schema["site"].dataType)).unionByName(marks.withColumn("hit", F.lit(None).cast(kind.schema["hit"].dataType)))
-    order = Window.partitionBy("chrom").orderBy("at", "kind", "hit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = both.withColumn("last", F.last("hit", ignorenulls=True).over(order)).filter("kind = 1")
+    both = _carried(_stretched(both, "at"), F.max(F.when(F.col("kind") == 0, F.struct("at", "hit"))), F.last("_v", ignorenulls=True))
+    order = Window.partitionBy("chrom", "_s").orderBy("at", "kind", "hit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = both.withColumn("last", F.coalesce(F.last("hit", ignorenulls=True).over(order), F.col("_c.hit"))).filter("kind = 1")
     return last.select("site.*", F.when(F.col("last.end") > F.col("at"), F.col("last")).alias("hit"))
 
 
@@ -74,14 +95,17 @@ def first_overlap(sites: DataFrame, track: DataFrame, payload: list[str], width:
 
 def merge(df: DataFrame, names: str | None = None) -> DataFrame:
     """Overlapping and touching intervals become one; ``names``: a column whose distinct values are joined by commas."""
-    by = Window.partitionBy("chrom").orderBy("start", "end")
-    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.filter("end > start").withColumn("_new", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1)))
-    marked = marked.withColumn("_island", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    by = Window.partitionBy("chrom", "_s").orderBy("start", "end")
+    rows = _carried(_stretched(df.filter("end > start")), F.max("end"), F.max("_v"))
+    reach = F.greatest(F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.col("_c"))
+    first = F.when(F.coalesce(F.col("start") > reach, F.lit(True)), F.col("start"))
+    rows = _carried(rows.withColumn("_first", first).drop("_c"), F.max("_first"), F.last("_v", ignorenulls=True))
+    # an island is named by its first start
+    island = F.coalesce(F.last("_first", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_c"))
     out = [F.min("start").alias("start"), F.max("end").alias("end")]
     if names:
         out.append(F.array_join(F.array_sort(F.collect_set(names)), ",").alias(names))
-    return marked.groupBy("chrom", "_island").agg(*out).drop("_island")
+    return rows.withColumn("_island", island).groupBy("chrom", "_island").agg(*out).drop("_island")
 
 
 def subtract(left: DataFrame, right: DataFrame, key: list[str], width: int = BIN) -> DataFrame:
@@ -102,14 +126,16 @@ def subtract(left: DataFrame, right: DataFrame, key: list[str], width: int = BIN
 def depth(df: DataFrame) -> DataFrame:
     """``chrom, start, end, depth``: stretches of equal depth above 0, from a sweep over starts and ends."""
     edges = df.filter("end > start").select("chrom", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("step")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("step")))).alias("e"))
-    steps = edges.groupBy("chrom", F.col("e.at").alias("start")).agg(F.sum("e.step").alias("step"))
-    by = Window.partitionBy("chrom").orderBy("start")
-    swept = steps.withColumn("depth", F.sum("step").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("end", F.lead("start").over(by))
-    swept = swept.filter("depth > 0")
-    # neighbours of equal depth are one stretch
-    new = F.coalesce(((F.lag("depth").over(by) != F.col("depth")) | (F.lag("end").over(by) != F.col("start"))).cast("int"), F.lit(1))
-    runs = swept.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return runs.groupBy("chrom", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first("depth").alias("depth")).drop("_run")
+    # without places at which as many start as end, neighbouring stretches differ in depth
+    steps = edges.groupBy("chrom", F.col("e.at").alias("start")).agg(F.sum("e.step").alias("step")).filter("step <> 0")
+    rows = _stretched(steps)
+    each = rows.groupBy("chrom", "_s").agg(F.sum("step").alias("_v"), F.min("start").alias("_f"))
+    after = F.lead("_f").over(Window.partitionBy("chrom").orderBy("_s"))
+    rows = rows.join(each.select("chrom", "_s", F.coalesce(F.sum("_v").over(_before()), F.lit(0)).alias("_c"), after.alias("_next")), ["chrom", "_s"])
+    by = Window.partitionBy("chrom", "_s").orderBy("start")
+    depth_ = F.col("_c") + F.sum("step").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = rows.select("chrom", "start", F.coalesce(F.lead("start").over(by), F.col("_next")).alias("end"), depth_.alias("depth"))
+    return swept.filter("depth > 0")
 
 
 def deep(df: DataFrame, above: int) -> DataFrame:

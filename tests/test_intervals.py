@@ -83,3 +83,25 @@ def test_first_track_that_hits_wins(spark):
     assert out == {"5": ("Promoter/TSS", "T", "+", ""), "6": ("Exon", "E", "", ""), "30": ("Intron", "I", "", ""), "50": ("cCRE", "", "", "pELS"), "70": ("Intergenic", "", "", "")}
     near = {r["site_id"]: r["distance"] for r in annotation.distance_to_start(sites, tss).collect()}
     assert near == {"5": 0, "6": 1, "30": 25, "50": 45, "70": 65}
+
+
+def test_sorted_passes_carry_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "STRETCH", 16)
+    test_asof_looks_at_the_last_start_only(spark)
+    test_merge_joins_touching_intervals(spark)
+    test_subtract_and_depth_equal_counting_bases(spark)
+    rng = random.Random(9)
+    track = [("c", s := rng.randint(0, 500), s + rng.randint(1, 60), f"n{i}") for i in range(40)]
+    sites = [(str(i), "c", s := rng.randint(0, 600), s + 2) for i in range(120)]
+    named = table(spark, track, "chrom string, start long, end long, name string")
+    got = {r["site_id"]: r["hit"] and r["hit"]["name"] for r in intervals.asof_overlap(table(spark, sites, "site_id string, chrom string, start long, end long"), named, ["name"]).collect()}
+    for i, _, s, _ in sites:
+        last = max(((a, b, n) for _, a, b, n in track if a <= s), default=None)
+        assert got[i] == (last[2] if last and last[1] > s else None)
+    merged, want = rows(intervals.merge(named)), []
+    for _, a, b, _ in sorted(track, key=lambda t: t[1:3]):
+        if want and a <= want[-1][1]:
+            want[-1][1] = max(want[-1][1], b)
+        else:
+            want.append([a, b])
+    assert merged == [("c", *w) for w in want]
