@@ -32,7 +32,9 @@ from .near_dedup import _scatter
 #: Bytes of an anchor gram, of a bucket of texts, and the least number of buckets.
 GRAM, BUCKET, LEAST = 24, 8 << 20, 24
 #: Windows that are hashed at a time; their places take as many low bits of the keys that are compared.
-PLACE_BITS = 20
+PLACE_BITS = 19
+#: Surroundings that are sorted together.
+SLICE = 20_000
 _LAST = np.iinfo(np.int64).max  # a null id comes after every id
 
 _BASE = 0xD6E8FEB86659FD93
@@ -48,22 +50,32 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class PrefixHash:
-    """Hashes of all prefixes of a buffer, modulo 2**64; ``of`` gives the hash of any substring."""
+    """Hashes of all prefixes of a buffer, modulo 2**64; ``of`` gives the hash of any substring.
+
+    ``place``, if given, numbers the bytes of each of the buffer's pieces from 0; substrings then stay inside a piece.
+    Without it the buffer is one piece.
+    """
 
     up = _powers(_BASE, _SIZE + 256)
     down = _powers(pow(_BASE, -1, 1 << 64), _SIZE + 256)
 
-    def __init__(self, data: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, place: np.ndarray | None = None) -> None:
         n = len(data)
-        if n > len(self.up):
-            PrefixHash.up, PrefixHash.down = _powers(_BASE, 2 * n), _powers(pow(_BASE, -1, 1 << 64), 2 * n)
+        self.place = place
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_TABLE[data] * self.up[:n], out=self.sums[1:])
+        for at in range(0, n, _SIZE):  # in blocks, so that only the sums take eight bytes for each byte
+            block = slice(at, min(n, at + _SIZE))
+            power = self.up[: block.stop - at] if place is None else self.up[place[block]]
+            np.cumsum(_TABLE[data[block]] * power, out=self.sums[at + 1 : block.stop + 1])
+            self.sums[at + 1 : block.stop + 1] += self.sums[at]
+        if place is None and n > len(self.up):
+            raise ValueError("a buffer of this size needs places")
 
     def of(self, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        return (self.sums[at + length] - self.sums[at]) * self.down[at]
+        return (self.sums[at + length] - self.sums[at]) * self.down[at if self.place is None else self.place[at]]
 
     def every(self, length: int) -> np.ndarray:
+        """The hashes of all substrings of this length of a buffer that is one piece."""
         n = len(self.sums) - length
         return (self.sums[length:] - self.sums[:n]) * self.down[:n]
 
@@ -126,9 +138,9 @@ def sort_suffixes(data: np.ndarray, hashes: PrefixHash, starts: np.ndarray, grou
 def windows_equal(data: np.ndarray, left: np.ndarray, right: np.ndarray, length: int) -> np.ndarray:
     """Byte comparison of substrings whose hashes agree."""
     out, span = np.empty(len(left), bool), np.arange(length)
-    for at in range(0, len(left), 100_000):
-        a, b = left[at : at + 100_000, None] + span, right[at : at + 100_000, None] + span
-        out[at : at + 100_000] = (data[a] == data[b]).all(1)
+    for at in range(0, len(left), 50_000):
+        a, b = left[at : at + 50_000, None] + span, right[at : at + 50_000, None] + span
+        out[at : at + 50_000] = (data[a] == data[b]).all(1)
     return out
 
 
@@ -213,12 +225,17 @@ def distinct_surroundings(cells: Cells, chosen: np.ndarray, ids: np.ndarray) ->
     return order[new], ids[cells.doc[order[new]]], number[chosen]
 
 
-def _ids(table: pa.Table) -> np.ndarray:
-    return table.column("id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
+def _load(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+    """Ids and texts of a bucket, in an order that does not depend on how its rows arrived.
 
-
-def _texts(table: pa.Table) -> list[bytes]:
-    return [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in table.column("text")]
+    Windows are hashed in blocks of the joined texts, and a cell ends where a block does: steps 1, 3 and 5 must agree.
+    """
+    ids = table.column("id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
+    texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in table.column("text")]
+    order = np.argsort(ids, kind="stable").tolist()
+    if len(order) > 1 and (np.diff(ids[order]) == 0).any():
+        order.sort(key=lambda i: (ids[i], texts[i]))
+    return ids[order], [texts[i] for i in order]
 
 
 def _rows(columns: dict[str, list], schema: pa.Schema) -> pa.Table:
@@ -242,7 +259,7 @@ def send_anchors(length: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
             bucket = table.column("bucket")[0].as_py()
-            hashes, several, at, _ = Cells(_texts(table), length).anchors(parts)
+            hashes, several, at, _ = Cells(_load(table)[1], length).anchors(parts)
             out = _blank()
             five = hashes.view(np.uint8).reshape(-1, 8)[:, :5]
             for p in range(parts):
@@ -295,9 +312,10 @@ def send_surroundings(length: int, parts: int):
             return _rows(out, _SENT)
         with np.errstate(over="ignore"):
             bucket = table.column("bucket")[0].as_py()
-            cells = Cells(_texts(table), length)
+            ids, texts = _load(table)
+            cells = Cells(texts, length)
             chosen, bits, _ = _chosen(cells, answers, parts)
-            own, least, _ = distinct_surroundings(cells, chosen, _ids(table))
+            own, least, _ = distinct_surroundings(cells, chosen, ids)
             at = np.searchsorted(part_of(cells.hash[own], parts), np.arange(parts + 1))
             count = (cells.last - cells.first)[own]
             for p, packed in bits.items():
@@ -336,10 +354,31 @@ def _match(table: pa.Table, length: int) -> dict[str, list]:
             at += width * n
         columns[4].append(np.frombuffer(raw, np.uint8, offset=at))
     anchor, least, offset, count, data = (np.concatenate(c) for c in columns)
+    del columns, raw
     offset, count = offset.astype(np.int64), count.astype(np.int64)
-    ends = np.cumsum(count + length - 1)
-    begins = ends - count - length + 1
-    hashes = PrefixHash(data)
+    begins = np.cumsum(count + length - 1) - count - length + 1
+    masks = np.zeros(len(anchor), np.uint64)
+    # Anchors have nothing to do with each other: cells are taken by anchor, about SLICE at a time.
+    order = np.argsort(anchor, kind="stable")
+    edges = np.flatnonzero(np.diff(anchor[order])) + 1
+    stops = np.unique(np.append(edges[np.searchsorted(edges, np.arange(SLICE, len(order), SLICE), side="right").clip(max=max(0, len(edges) - 1))] if len(edges) else [], len(order)).astype(np.int64))
+    start = 0
+    for stop in stops.tolist():
+        own = order[start:stop]
+        size = count[own] + length - 1
+        ends = np.cumsum(size)
+        place = np.arange(int(ends[-1])) - np.repeat(ends - size, size)
+        masks[own] = _resolve(anchor[own], least[own], offset[own], count[own], ends - size, data[np.repeat(begins[own], size) + place], place.astype(np.uint8), length)
+        start = stop
+    out = _blank()
+    for i, piece in enumerate(np.split(masks, np.cumsum(sizes)[:-1])):
+        _put(out, table.column("part")[i].as_py(), table.column("bucket")[i].as_py(), table.column("bits")[i].as_py(), zlib.compress(piece.tobytes(), 1))
+    return out
+
+
+def _resolve(anchor: np.ndarray, least: np.ndarray, offset: np.ndarray, count: np.ndarray, begins: np.ndarray, data: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """For cells with all cells of their anchors: the windows that also occur with a smaller id, as bits."""
+    hashes = PrefixHash(data, place)
     # Cells of one content are one; where an anchor has a single content, its smallest id answers for all windows.
     content = _scatter(hashes.of(begins, count + length - 1) ^ count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     order = np.lexsort((least, offset, content, anchor))
@@ -348,21 +387,21 @@ def _match(table: pa.Table, length: int) -> dict[str, list]:
     group[order] = np.cumsum(new) - 1
     head = order[new]  # the cell with the smallest id of each content
     # windows of contents, as suffixes; equal ones have their anchor, and it at the same distance
+    base = np.cumsum(count[head]) - count[head]
     cell = np.repeat(np.arange(len(head)), count[head])
-    within = np.arange(len(cell)) - np.repeat(np.cumsum(count[head]) - count[head], count[head])
-    smallest = np.repeat(least[head], count[head])
-    several = np.concatenate([[False], np.diff(anchor[head]) == 0])
-    several[:-1] |= several[1:].copy() if len(several) > 1 else False
+    within = np.arange(len(cell)) - base[cell]
+    smallest = least[head][cell]
+    same = np.diff(anchor[head]) == 0
+    several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     sought = np.flatnonzero(several[cell])
     if len(sought):
         distance = offset[head][cell[sought]] - within[sought]
         by = np.lexsort((distance, anchor[head][cell[sought]]))
-        sought = sought[by]
-        key_a, key_d = anchor[head][cell[sought]], distance[by]
-        classes = np.concatenate([[0], np.cumsum((np.diff(key_a) != 0) | (np.diff(key_d) != 0))])
+        sought, distance = sought[by], distance[by]
+        classes = np.concatenate([[0], np.cumsum((np.diff(anchor[head][cell[sought]]) != 0) | (np.diff(distance) != 0))])
         starts = begins[head][cell[sought]] + within[sought]
-        sorted_ = sort_suffixes(data, hashes, starts, classes, length)
-        ordered, classes = starts[sorted_], classes[sorted_]
+        ranked = sort_suffixes(data, hashes, starts, classes, length)
+        ordered = starts[ranked]  # classes keep their places
         equal = np.concatenate([[False], classes[1:] == classes[:-1]])
         pairs = np.flatnonzero(equal)
         whole = hashes.extension(ordered[pairs - 1], ordered[pairs], length) >= length
@@ -370,19 +409,14 @@ def _match(table: pa.Table, length: int) -> dict[str, list]:
         checked = pairs[whole]
         equal[checked] = windows_equal(data, ordered[checked - 1], ordered[checked], length)
         run = np.flatnonzero(~equal)
-        lowest = np.minimum.reduceat(smallest[sought[sorted_]], run)
-        smallest[sought[sorted_]] = np.repeat(lowest, np.diff(np.append(run, len(sorted_))))
-    # back to the cells that were sent
-    base = np.cumsum(count[head]) - count[head]
+        lowest = np.minimum.reduceat(smallest[sought[ranked]], run)
+        smallest[sought[ranked]] = np.repeat(lowest, np.diff(np.append(run, len(ranked))))
     masks = np.zeros(len(order), np.uint64)
     for w in range(int(count.max())):
         has = np.flatnonzero(count > w)
         hit = smallest[base[group[has]] + w] < least[has]
         masks[has[hit]] |= np.uint64(1 << w)
-    out = _blank()
-    for i, piece in enumerate(np.split(masks, np.cumsum(sizes)[:-1])):
-        _put(out, table.column("part")[i].as_py(), table.column("bucket")[i].as_py(), table.column("bits")[i].as_py(), zlib.compress(piece.tobytes(), 1))
-    return out
+    return masks
 
 
 _RESULT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_sha256", pa.string())])
@@ -400,7 +434,7 @@ def mark_texts(length: int, parts: int):
 def _mark(table: pa.Table, answers: pa.Table, length: int, parts: int) -> pa.Table:
     if not table.num_rows:
         return _RESULT.empty_table()
-    texts, ids = _texts(table), _ids(table)
+    ids, texts = _load(table)
     removed = None
     if answers.num_rows:
         cells = Cells(texts, length)
@@ -436,7 +470,7 @@ def _mark(table: pa.Table, answers: pa.Table, length: int, parts: int) -> pa.Tab
                 text = np.frombuffer(text, np.uint8)[~gone].tobytes()
         columns["spans"].append(spans)
         columns["kept_sha256"].append(sha256(text).hexdigest())
-    columns["id"] = table.column("id").to_pylist()
+    columns["id"] = [None if i == _LAST else i for i in ids.tolist()]
     columns["n_bytes"] = [len(t) for t in texts]
     return _rows(columns, _RESULT)
 
