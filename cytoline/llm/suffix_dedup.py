@@ -10,8 +10,10 @@ are an anchor in one document only settle their substrings, and the rest meets i
 
 The steps, each over groups of bounded size:
 1. texts are dealt to buckets of a few MB; a bucket sends the distinct hashes of its anchors, five bytes each;
-2. by hash: which anchors occur in more than one document? One bit each goes back;
+2. by hash: which anchors occur in more than one document, and which are frequent? Two bits each go back;
 3. a bucket sends the distinct surroundings of those anchors with their smallest document id;
+   An anchor within a passage that a large share of all texts has would bring as many different surroundings of the
+   passage's ends to one place; for such anchors single windows are sent, each by its own hash;
 4. by hash: surroundings are sorted as suffixes, each substring gets its smallest document, one bit goes back;
 5. a bucket marks its texts. The texts themselves are shuffled once; steps 1, 3 and 5 share that exchange.
 """
@@ -35,6 +37,8 @@ GRAM, BUCKET, LEAST = 24, 8 << 20, 24
 PLACE_BITS = 19
 #: Surroundings that are sorted together.
 SLICE = 20_000
+#: An anchor with more surroundings than this in some bucket is frequent: its windows meet by their own hashes.
+FREQUENT = 32
 _LAST = np.iinfo(np.int64).max  # a null id comes after every id
 
 _BASE = 0xD6E8FEB86659FD93
@@ -194,18 +198,49 @@ class Cells:
         content = hashes.of(first, last - first + length - 1) ^ (last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return first + at, last + at, anchor + at, mixed[anchor], _scatter(content)
 
-    def anchors(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes in order, which of them occur in several texts, where each part starts, each cell's."""
-        order = np.argsort(self.hash, kind="stable")
+    def anchors(self, parts: int, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchor hashes in order; which of them occur in several texts and which have many contents, as rows
+        of bits; where each part starts; each cell's number."""
+        order = np.lexsort((self.doc, self.content, self.hash))
         ordered = self.hash[order]
         new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(order) else np.zeros(0, bool)
         at = np.flatnonzero(new)
-        docs = self.doc[order]
-        several = docs[at] != docs[np.append(at[1:], len(order)) - 1] if len(at) else np.zeros(0, bool)
+        if len(at):
+            docs, contents = self.doc[order], self.content[order]
+            fresh = new | np.concatenate([[True], contents[1:] != contents[:-1]])
+            flags = np.stack([np.minimum.reduceat(docs, at) != np.maximum.reduceat(docs, at), np.add.reduceat(fresh.astype(np.int64), at) > frequent])
+        else:
+            flags = np.zeros((2, 0), bool)
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(new) - 1
         distinct = ordered[at]
-        return distinct, several, np.searchsorted(part_of(distinct, parts), np.arange(parts + 1)), inverse
+        return distinct, flags, np.searchsorted(part_of(distinct, parts), np.arange(parts + 1)), inverse
+
+    def narrowed(self, chosen: np.ndarray, split: np.ndarray) -> None:
+        """Keep the chosen cells only; those to be split become a cell for each window, anchored by the window's own hash."""
+        whole, apart = chosen[~split], chosen[split]
+        count = self.last[apart] - self.first[apart]
+        window = np.repeat(self.first[apart], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        own = np.zeros(len(window), np.uint64)
+        for at in range(0, max(0, len(self.data) - self.length + 1), _SIZE):  # in the same blocks as before
+            inside = np.flatnonzero((window >= at) & (window < at + _SIZE))
+            if len(inside):
+                hashes = PrefixHash(self.data[at : at + _SIZE + self.length - 1])
+                own[inside] = _scatter(hashes.of(window[inside] - at, self.length))
+        self.doc = np.concatenate([self.doc[whole], np.repeat(self.doc[apart], count)])
+        self.hash = np.concatenate([self.hash[whole], own])
+        self.content = np.concatenate([self.content[whole], own])
+        self.anchor = np.concatenate([self.anchor[whole], window])
+        self.last = np.concatenate([self.last[whole], window + 1])
+        self.first = np.concatenate([self.first[whole], window])
+
+
+def pack(flags: np.ndarray) -> bytes:
+    return np.packbits(flags, axis=1).tobytes()
+
+
+def unpack(bits: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8).reshape(2, -1), axis=1, count=n).astype(bool)
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -213,16 +248,16 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-def distinct_surroundings(cells: Cells, chosen: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the chosen cells, those with a new (anchor, content), in order; their smallest ids; each chosen cell's number."""
-    order = chosen[np.lexsort((ids[cells.doc[chosen]], cells.anchor[chosen] - cells.first[chosen], cells.content[chosen], cells.hash[chosen]))]
+def distinct_surroundings(cells: Cells, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells with a new (anchor, content), in order; their smallest ids; each cell's number."""
+    offset = cells.anchor - cells.first
+    order = np.lexsort((ids[cells.doc], offset, cells.content, cells.hash))
     if not len(order):
         return order, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    offset = cells.anchor[order] - cells.first[order]
-    new = np.concatenate([[True], (np.diff(cells.hash[order]) != 0) | (np.diff(cells.content[order]) != 0) | (np.diff(offset) != 0)])
-    number = np.empty(len(cells.first), np.int64)
+    new = np.concatenate([[True], (np.diff(cells.hash[order]) != 0) | (np.diff(cells.content[order]) != 0) | (np.diff(offset[order]) != 0)])
+    number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
-    return order[new], ids[cells.doc[order[new]]], number[chosen]
+    return order[new], ids[cells.doc[order[new]]], number
 
 
 def _load(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
@@ -255,54 +290,57 @@ def _put(out: dict[str, list], part: int, bucket: int, bits: bytes, body: bytes)
         out[name].append(value)
 
 
-def send_anchors(length: int, parts: int):
+def send_anchors(length: int, parts: int, frequent: int):
     def run(table: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
             bucket = table.column("bucket")[0].as_py()
-            hashes, several, at, _ = Cells(_load(table)[1], length).anchors(parts)
+            hashes, flags, at, _ = Cells(_load(table)[1], length).anchors(parts, frequent)
             out = _blank()
             five = hashes.view(np.uint8).reshape(-1, 8)[:, :5]
             for p in range(parts):
                 low, high = at[p], at[p + 1]
                 if low < high:
-                    _put(out, p, bucket, np.packbits(several[low:high]).tobytes(), five[low:high].tobytes())
+                    _put(out, p, bucket, pack(flags[:, low:high]), five[low:high].tobytes())
             return _rows(out, _SENT)
 
     return run
 
 
 def match_anchors(table: pa.Table) -> pa.Table:
-    """By part: one bit for each anchor that was sent, set if the anchor occurs in more than one document."""
+    """By part: for each anchor that was sent, whether it occurs in more than one document, and whether it is frequent."""
     keys, flags, sizes = [], [], []
     for bits, body in zip(table.column("bits"), table.column("body")):
         five = np.frombuffer(body.as_py(), np.uint8).reshape(-1, 5)
         wide = np.zeros((len(five), 8), np.uint8)
         wide[:, :5] = five
         keys.append(wide.view(np.uint64).ravel())
-        flags.append(np.unpackbits(np.frombuffer(bits.as_py(), np.uint8), count=len(five)).astype(bool))
+        flags.append(unpack(bits.as_py(), len(five)))
         sizes.append(len(five))
-    key = np.concatenate(keys)
+    key, flag = np.concatenate(keys), np.concatenate(flags, axis=1)
     order = np.argsort(key, kind="stable")
-    ordered = key[order]
-    same = ordered[1:] == ordered[:-1]
-    repeated = np.concatenate(flags)
-    repeated[order[1:][same]] = True
-    repeated[order[:-1][same]] = True
+    new = np.concatenate([[True], np.diff(key[order]) != 0])
+    at = np.flatnonzero(new)
+    together = np.logical_or.reduceat(flag[:, order], at, axis=1)
+    together[0] |= np.diff(np.append(at, len(order))) > 1
+    answer = np.empty_like(flag)
+    answer[:, order] = together[:, np.cumsum(new) - 1]
     out = _blank()
-    for i, piece in enumerate(np.split(repeated, np.cumsum(sizes)[:-1])):
-        if piece.any():
-            _put(out, table.column("part")[i].as_py(), table.column("bucket")[i].as_py(), np.packbits(piece).tobytes(), b"")
+    for i, piece in enumerate(np.split(answer, np.cumsum(sizes)[:-1], axis=1)):
+        if piece[0].any():
+            _put(out, table.column("part")[i].as_py(), table.column("bucket")[i].as_py(), pack(piece), b"")
     return _rows(out, _SENT)
 
 
-def _chosen(cells: Cells, answers: pa.Table, parts: int) -> tuple[np.ndarray, dict[int, bytes], np.ndarray]:
-    """Cells with an anchor that occurs in several documents; the bits by part; each part's first distinct anchor hash."""
+def _narrow(cells: Cells, answers: pa.Table, parts: int) -> dict[int, bytes]:
+    """Keep the cells with an anchor that occurs in several documents, split by window if it is frequent; the bits by part."""
     hashes, _, at, inverse = cells.anchors(parts)
-    bits = {p.as_py(): b.as_py() for p, b in zip(answers.column("part"), answers.column("bits"))}
-    repeated = np.zeros(len(hashes), bool)
+    bits = {p.as_py(): b.as_py() for p, b in zip(answers.column("part"), answers.column("bits")) if len(b.as_py())}
+    flags = np.zeros((2, len(hashes)), bool)
     for p, packed in bits.items():
-        repeated[at[p] : at[p + 1]] = np.unpackbits(np.frombuffer(packed, np.uint8), count=int(at[p + 1] - at[p])).astype(bool)
-    return np.flatnonzero(repeated[inverse]) if len(hashes) else np.zeros(0, np.int64), bits, hashes
+        flags[:, at[p] : at[p + 1]] = unpack(packed, int(at[p + 1] - at[p]))
+    chosen = np.flatnonzero(flags[0][inverse]) if len(hashes) else np.zeros(0, np.int64)
+    cells.narrowed(chosen, flags[1][inverse[chosen]])
+    return bits
 
 
 def send_surroundings(length: int, parts: int):
@@ -314,19 +352,19 @@ def send_surroundings(length: int, parts: int):
             bucket = table.column("bucket")[0].as_py()
             ids, texts = _load(table)
             cells = Cells(texts, length)
-            chosen, bits, _ = _chosen(cells, answers, parts)
-            own, least, _ = distinct_surroundings(cells, chosen, ids)
+            bits = _narrow(cells, answers, parts)
+            own, least, _ = distinct_surroundings(cells, ids)
             at = np.searchsorted(part_of(cells.hash[own], parts), np.arange(parts + 1))
             count = (cells.last - cells.first)[own]
-            for p, packed in bits.items():
+            for p in range(parts):
                 low, high = at[p], at[p + 1]
-                if low == high:
+                if low == high and p not in bits:
                     continue
                 one = own[low:high]
                 bytes_ = b"".join(cells.data[a : b + length - 1].tobytes() for a, b in zip(cells.first[one].tolist(), cells.last[one].tolist()))
                 head = np.array([high - low], np.int64).tobytes() + cells.hash[one].tobytes() + least[low:high].tobytes()
                 body = head + (cells.anchor - cells.first)[one].astype(np.uint8).tobytes() + count[low:high].astype(np.uint8).tobytes() + bytes_
-                _put(out, p, bucket, packed, zlib.compress(body, 1))
+                _put(out, p, bucket, bits.get(p, b""), zlib.compress(body, 1))
             return _rows(out, _SENT)
 
     return run
@@ -363,7 +401,7 @@ def _match(table: pa.Table, length: int) -> dict[str, list]:
     edges = np.flatnonzero(np.diff(anchor[order])) + 1
     stops = np.unique(np.append(edges[np.searchsorted(edges, np.arange(SLICE, len(order), SLICE), side="right").clip(max=max(0, len(edges) - 1))] if len(edges) else [], len(order)).astype(np.int64))
     start = 0
-    for stop in stops.tolist():
+    for stop in stops.tolist() if len(order) else []:
         own = order[start:stop]
         size = count[own] + length - 1
         ends = np.cumsum(size)
@@ -438,23 +476,23 @@ def _mark(table: pa.Table, answers: pa.Table, length: int, parts: int) -> pa.Tab
     removed = None
     if answers.num_rows:
         cells = Cells(texts, length)
-        chosen, _, _ = _chosen(cells, answers, parts)
-        own, least, number = distinct_surroundings(cells, chosen, ids)
+        _narrow(cells, answers, parts)
+        own, least, number = distinct_surroundings(cells, ids)
         at = np.searchsorted(part_of(cells.hash[own], parts), np.arange(parts + 1))
         masks = np.zeros(len(own), np.uint64)
         for p, body in zip(answers.column("part"), answers.column("body")):
             masks[at[p.as_py()] : at[p.as_py() + 1]] = np.frombuffer(zlib.decompress(body.as_py()), np.uint64)
-        count = (cells.last - cells.first)[chosen]
+        count = cells.last - cells.first
         full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
         # a later document of this bucket has all windows of the cell from the bucket's smallest one
-        mask = np.where(ids[cells.doc[chosen]] > least[number], full, masks[number]) if len(chosen) else full
+        mask = np.where(ids[cells.doc] > least[number], full, masks[number]) if len(count) else full
         change = np.zeros(len(cells.data) + 1, np.int32)
-        whole = chosen[(mask == full) & (count > 0)]
+        whole = mask == full
         np.add.at(change, cells.first[whole], 1)
         np.add.at(change, cells.last[whole] + length - 1, -1)
-        some = np.flatnonzero((mask != full) & (mask != 0))
+        some = np.flatnonzero(~whole & (mask != 0))
         for w in range(int(count.max()) if len(some) else 0):
-            hit = cells.first[chosen[some[(mask[some] >> np.uint64(w)) & np.uint64(1) == 1]]] + w
+            hit = cells.first[some[(mask[some] >> np.uint64(w)) & np.uint64(1) == 1]] + w
             np.add.at(change, hit, 1)
             np.add.at(change, hit + length, -1)
         removed = np.cumsum(change[:-1]) > 0
@@ -475,7 +513,7 @@ def _mark(table: pa.Table, answers: pa.Table, length: int, parts: int) -> pa.Tab
     return _rows(columns, _RESULT)
 
 
-def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """For each row ``id, n_bytes, spans, kept_sha256``: what is removed from its text, and the digest of the rest.
 
     A byte is removed if a substring of ``length`` bytes covers it that also starts in a row with a smaller id. Texts
@@ -491,7 +529,7 @@ def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     parts = max(LEAST, -(-total // BUCKET))
     dealt = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int").alias("bucket"), "id", F.col("text").cast("binary").alias("text"))
     by_bucket = lambda: dealt.groupBy("bucket")
-    anchors = by_bucket().applyInArrow(send_anchors(length, parts), SENT)
+    anchors = by_bucket().applyInArrow(send_anchors(length, parts, frequent), SENT)
     several = anchors.groupBy("part").applyInArrow(match_anchors, SENT)
     around = by_bucket().cogroup(several.groupBy("bucket")).applyInArrow(send_surroundings(length, parts), SENT)
     matched = around.groupBy("part").applyInArrow(match_surroundings(length), SENT)
