@@ -188,9 +188,10 @@ def brute_repeats(items, length=50):
     return out
 
 
-def test_suffix_dedup(spark, odd, empty, docs, texts):
+@pytest.mark.parametrize("frequent", [32, 1, 0])
+def test_suffix_dedup(spark, odd, empty, docs, texts, frequent):
     def got(df):
-        return rows_of(suffix_dedup.repeats(df).selectExpr("id", "n_bytes", "aggregate(spans, 0L, (n, s) -> n + s.end - s.start) AS removed", "cast(size(spans) AS int) AS n", "kept_sha256"), "id", "n_bytes", "removed", "n", "kept_sha256")
+        return rows_of(suffix_dedup.repeats(df, frequent=frequent).selectExpr("id", "n_bytes", "aggregate(spans, 0L, (n, s) -> n + s.end - s.start) AS removed", "cast(size(spans) AS int) AS n", "kept_sha256"), "id", "n_bytes", "removed", "n", "kept_sha256")
 
     assert got(odd) == sorted(map(repr, brute_repeats(ODD)))
     assert got(docs) == sorted(map(repr, brute_repeats(texts)))
