@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,18 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, at most so many rows go to a Python worker at once; for steps that run inside, with heavy rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` does not have yet, one for each of ``names``."""
     taken = {c.lower() for c in df.columns}

@@ -17,8 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_positions, bit_table, column, probe_bits, settle
-from .token_counts import Memory
+from .common import batches_of, bit_positions, bit_table, column, probe_bits, settle
 
 #: Words of a shingle; bands and bins of a band. A pair shares no band with probability 1e-7 at a similarity of 0.8,
 #: and 3e-10 at 0.85.
@@ -26,8 +25,17 @@ SHINGLE, BANDS, ROWS = 5, 30, 4
 BINS = BANDS * ROWS
 #: In buckets with at most this many texts outside the largest component, all of those are compared with every member.
 FEW = 64
+#: Turns in which buckets compare one heavy member each.
+HUBS = 4
+#: Pairs are verified if their sketches agree in at least this many bins fewer than the threshold says; at the threshold
+#: that is 24 of 120, over five standard deviations: a pair is missed with probability 2e-8.
+MARGIN = BINS // 5
 #: Bits of the filter that spares other texts the second reading: at most 2**(LOG_BITS - 5) broadcast rows.
 LOG_BITS = 22
+#: Links that one task joins into components.
+AT_ONCE = 1_000_000
+#: Rows that go to Python at a time where each carries whole sets.
+BATCH = 500
 
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -45,9 +53,6 @@ def _scatter(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_words = Memory(xxhash.xxh3_64_intdigest)
-
-
 def shingles(text: str) -> np.ndarray:
     """The distinct shingles of a whole text, hashed to 64 bits and sorted.
 
@@ -58,7 +63,7 @@ def shingles(text: str) -> np.ndarray:
     n = len(words)
     if n < SHINGLE:
         return np.array([xxhash.xxh3_64_intdigest(b"\0".join(words), seed=n)], np.uint64) if n else np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     combined = hashes[: n - SHINGLE + 1].copy()
     for i in range(1, SHINGLE):
         combined *= _BASE
@@ -100,23 +105,27 @@ def node_of(elements: np.ndarray) -> int:
 
 
 def parsed(text: Column) -> Column:
-    """Struct of set size, name of the set and band keys of each text."""
+    """Struct of set size, name of the set, band keys and signature of each text.
+
+    The signature has a number for each band, the low bytes of its bins, and tells in how many bins two sets agree.
+    """
 
-    @F.arrow_udf("struct<n: bigint, node: bigint, bands: array<bigint>>")
+    @F.arrow_udf("struct<n: bigint, node: bigint, bands: array<bigint>, sign: array<int>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with np.errstate(over="ignore"):
             for texts in batches:
-                sizes, nodes, keys, ends = [], [], [], [0]
+                sizes, nodes, keys, signs, ends = [], [], [], [], [0]
                 for t in texts:
                     own = shingles(t.as_py() or "")
                     sizes.append(len(own))
                     nodes.append(node_of(own))
                     if len(own):
-                        keys.append(bands(sketch(own)).view(np.int64))
+                        values = sketch(own)
+                        keys.append(bands(values).view(np.int64))
+                        signs.append((values & np.uint64(255)).astype(np.uint8).view(np.int32))
                     ends.append(ends[-1] + BANDS * bool(len(own)))
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-                yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists], ["n", "node", "bands"])
+                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), kind)) for c, kind in ((keys, pa.int64()), (signs, pa.int32()))]
+                yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *lists], ["n", "node", "bands", "sign"])
 
     return run(text)
 
@@ -150,30 +159,67 @@ def shared(first: Column, second: Column) -> Column:
     return run(first, second)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over all edges of one task."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent[top] != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            x, y = root(a), root(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["node", "comp"])
+
+
+def agreeing(a: str, b: str) -> Column:
+    """In how many bins two signatures agree: equal bytes are zero bytes of the difference."""
+    lanes = F.expr(f"zip_with({a}, {b}, (x, y) -> 4 - bit_count((((x ^ y) & 2139062143L) + 2139062143L | cast(x ^ y as bigint)) & 2155905152L))")
+    return F.aggregate(lanes, F.lit(0), lambda t, x: t + x)
+
+
+def components(edges: DataFrame, at_once: int | None = None) -> DataFrame:
     """``node, comp`` for every end of ``edges`` (a, b); ``comp`` is the smallest node of the component.
 
-    Each round takes the smallest name among the neighbours and then that name's own name, so that long chains halve.
+    Up to AT_ONCE edges, some 16 MB, are joined in a single task. More are spread: each round takes the smallest name
+    among the neighbours, then that name's own name, three times, so that chains shrink fast. The joins of that loop are
+    merge joins, because many broadcasts would each take megabytes of the driver.
     """
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    names = settle(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("comp")))
+    if edges.count() <= (AT_ONCE if at_once is None else at_once):
+        return settle(edges.select("a", "b").coalesce(1).mapInArrow(_join_up, "node long, comp long"))
+    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    names = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("comp"))
     while True:
-        near = both.join(names.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("least"))
-        took = names.join(near, "node").select("node", F.col("comp").alias("before"), F.least("comp", "least").alias("via"))
-        jumped = took.join(names.select(F.col("node").alias("via"), F.col("comp").alias("there")), "via")
-        new = settle(jumped.select("node", F.least("via", "there").alias("comp"), "before"))
-        names = new.select("node", "comp")
-        if new.filter("comp <> before").isEmpty():
+        names = settle(names)
+        known = names.select(F.col("node").alias("via"), F.col("comp").alias("there")).hint("merge")
+        near = both.join(names.withColumnRenamed("node", "b").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("least"))
+        new = names.join(near.hint("merge"), "node").select("node", "comp", F.least("comp", "least").alias("via"))
+        for _ in range(3):
+            new = new.join(known, "via").select("node", "comp", F.least("via", "there").alias("via"))
+        new = settle(new)
+        if new.filter("comp <> via").isEmpty():
             return names
+        names = new.select("node", F.col("via").alias("comp"))
 
 
 def verify(pairs: DataFrame, store: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets in ``store`` (node, elements) are similar enough."""
     first = store.select(F.col("node").alias("a"), F.col("elements").alias("of_a"))
     second = store.select(F.col("node").alias("b"), F.col("elements").alias("of_b"))
-    joined = pairs.join(first, "a").join(second, "b").withColumn("both", shared(F.col("of_a"), F.col("of_b")))
+    joined = pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b").withColumn("both", shared(F.col("of_a"), F.col("of_b")))
     union = (F.octet_length("of_a") + F.octet_length("of_b")) / F.lit(8) - F.col("both")
-    return settle(joined.filter(100 * F.col("both") >= percent * union).select("a", "b"))
+    with batches_of(pairs.sparkSession, BATCH):
+        return settle(joined.filter(100 * F.col("both") >= percent * union).select("a", "b"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +228,7 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_co
     A filter of fixed size over the ids that go lets all other rows pass unshuffled; the rest is compared exactly.
     Rows that repeat an id and a set stay or go together.
     """
-    gone = settle(group(docs, percent, id_col, text_col, names=True).filter("not kept").select(F.col("id").alias("gone"), F.col("node").alias("set")).distinct())
+    gone = settle(group(docs, percent, id_col, text_col, with_node=True).filter("not kept").select(F.col("id").alias("gone"), F.col("node").alias("set")).distinct())
     bits = bit_table(gone.select(F.explode(bit_positions(F.xxhash64("gone"), LOG_BITS)).alias("bit")).distinct(), "bit")
     ident = column(docs, id_col).cast("long")
     rows = docs.select(F.struct("*").alias("doc"), ident.alias("id"), column(docs, text_col).alias("text"), F.xxhash64(ident).alias("key"))
@@ -192,63 +238,82 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_co
     return rows.filter("not maybe").select("doc").unionByName(stay.select("doc")).select("doc.*")
 
 
-def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", names: bool = False) -> DataFrame:
+def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", with_node: bool = False) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for each row of ``docs``.
 
     Rows are linked if 100 times their shared shingles are at least ``percent`` times all of both. ``component_id`` is
     the smallest id that links reach. Rows with equal sets are one node, so copies cost nothing further. Rows without
     words are linked with nothing. Rows that repeat an id are documents of their own. A null id is no name: such a row
     has the component of equal or linked rows that have one, or none, and is kept only if it has none.
-    Empty tables give empty results. ``names`` adds the hashed name of each row's set as ``node``.
+    Empty tables give empty results. ``with_node`` adds the hashed name of each row's set as ``node``.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
     rows = docs.select(column(docs, id_col).cast("long").alias("id"), parsed(text).alias("own"))
-    rows = settle(rows.select("id", "own.n", "own.node", "own.bands"))
+    with batches_of(docs.sparkSession, 4 * BATCH):
+        rows = settle(rows.select("id", "own.n", "own.node", "own.bands", "own.sign"))
     named = rows.filter("n > 0 AND id IS NOT NULL")
-    nodes = settle(named.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n")))
-
-    # Buckets that hold more than one set; the smallest name in each leads.
-    entries = named.select("node", "n", "id", "bands").join(nodes.select("node", F.col("rep").alias("id")), ["node", "id"])
-    entries = entries.select("node", "n", "id", F.explode("bands").alias("bucket"))
-    leaders = settle(entries.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).filter("leader <> other").drop("other"))
-    members = settle(entries.join(leaders, "bucket").select("bucket", "node", "n", "leader", "id").distinct())
+    nodes = settle(named.groupBy("node").agg(F.min("id").alias("rep")))
+
+    # Buckets that hold more than one set. A set's weight is the sum of its buckets' sizes: the centre of a group of
+    # near copies is more like each of them than they are like each other, and shares the most buckets.
+    one = named.join(nodes.select("node", F.col("rep").alias("id")), ["node", "id"]).dropDuplicates(["node"])
+    entries = one.select("node", F.explode("bands").alias("bucket"))
+    sizes = settle(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    found = settle(entries.join(sizes, "bucket"))
+    weights = found.groupBy("node").agg(F.sum("size").alias("weight"))
+    known = settle(one.select("node", "n", "id", "sign").join(weights, "node"))
+    members = found.select("bucket", "node").join(known.select("node", "n", "sign", "weight"), "node")
 
     # Only candidates are read a second time; a filter of fixed size spares the other texts, the join makes it exact.
-    wanted = members.select("node", "id").distinct()
+    wanted = known.select("node", "id")
     bits = bit_table(wanted.select(F.explode(bit_positions(F.xxhash64("id"), LOG_BITS)).alias("bit")).distinct(), "bit")
     texts = docs.select(F.xxhash64(column(docs, id_col).cast("long")).alias("key"), text.alias("text"))
     texts = probe_bits(texts, "key", settle(bits), LOG_BITS, "maybe").filter("maybe")
     made = texts.select(sets(F.col("text")).alias("own")).select("own.node", "own.elements")
-    store = settle(made.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
-
-    links = verify(members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), store, percent)
-    open_buckets, turn = members.select("bucket", "node", "n"), 0
+    with batches_of(docs.sparkSession, BATCH):
+        store = settle(made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+
+    # In each turn, each bucket that holds several components compares some of its members, the pivots, with those of
+    # other components; a member that has been a pivot leaves the bucket. First the heaviest member, then the heaviest
+    # outside the largest component; later all members outside, or if they are many a share that doubles by turn.
+    enough, rest, turn = BINS * percent // 100 - MARGIN, members, 0
+    names = links = None
     while True:
-        placed = open_buckets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
-        placed = settle(placed.join(split, "bucket"))
-        if placed.isEmpty():
+        placed = rest.withColumn("comp", F.col("node")) if names is None else rest.join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("weight", "node")).alias("heavy"))
+        several = counts.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"), F.max("heavy").alias("heavy"), F.count(F.lit(1)).alias("comps"))
+        several = settle(several.filter("comps > 1").select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside"), F.col("heavy.node").alias("heavy")))
+        if several.isEmpty():
             break
-        # The largest component of each bucket, and how many members are outside it.
-        sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"))
-        largest = settle(largest.select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside")))
-        ranked = placed.join(largest, "bucket")
+        placed = settle(placed.join(several.hint("merge"), "bucket"))
         few = F.col("outside") <= FEW
-        # A share of the members that doubles by turn, at least FEW of them on average, is compared with all others.
-        lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) < F.lit(FEW << 20 << turn) / (F.col("outside") + 1)
-        pivots = ranked.filter((few & (F.col("comp") != F.col("top"))) | (~few & lot)).select("bucket", F.col("node").alias("p"), F.col("comp").alias("pc"), F.col("n").alias("pn"))
-        near = (F.col("comp") != F.col("pc")) & (F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent)
-        pairs = placed.join(pivots, "bucket").filter(near).select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        found = verify(pairs, store, percent)
-        links = settle(links.unionByName(found).distinct())
-        # What was compared with every other member of a bucket leaves it.
-        used = settle(pivots.select("bucket", F.col("p").alias("node")).distinct())
-        left = placed.join(largest.filter(~few).select("bucket"), "bucket").select("bucket", "node", "n").join(used, ["bucket", "node"], "left_anti")
-        open_buckets, turn = settle(left), turn + 1
-
-    placed = nodes.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if turn % 2 == 0 and turn < HUBS:
+            chosen = placed.filter("node = heavy")
+        elif turn < HUBS:
+            other = placed.filter("comp <> top").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("p")).select("bucket", F.col("p.node").alias("node"))
+            chosen = placed.join(other.hint("merge"), ["bucket", "node"])
+        else:
+            lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) < F.lit(FEW << 20 << (turn - HUBS)) / (F.col("outside") + 1)
+            chosen = placed.filter((few & (F.col("comp") != F.col("top"))) | (~few & lot))
+        pivots = chosen.select("bucket", F.col("node").alias("p"), F.col("comp").alias("pc"), F.col("n").alias("pn"), F.col("sign").alias("ps"))
+        # Pairs are looked at if their sizes and sketches allow the similarity.
+        likely = (F.col("comp") != F.col("pc")) & (F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent)
+        likely &= agreeing("sign", "ps") >= enough
+        pairs = placed.join(pivots.hint("merge"), (placed["bucket"] == pivots["bucket"]) & likely)
+        pairs = settle(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
+        new = verify(pairs, store, percent)
+        links = new if links is None else settle(links.unionByName(new))
+        names = components(links)
+        # Buckets of few are settled once all outside their largest component have been compared.
+        left = placed.filter(~few) if turn >= HUBS else placed
+        used = pivots.select("bucket", F.col("p").alias("node"))
+        rest = settle(left.join(used.hint("merge"), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "sign", "weight"))
+        turn += 1
+
+    if names is None:
+        names = nodes.select("node", F.col("node").alias("comp"))
+    placed = nodes.join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = settle(placed.join(least, "comp").select("node", "component_id"))
-    out = rows.drop("bands").join(named, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select(*["node"] * names, "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = settle(placed.join(least.hint("merge"), "comp").select("node", "component_id"))
+    out = rows.drop("bands", "sign").join(named, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
+    return out.select(*["node"] * with_node, "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
