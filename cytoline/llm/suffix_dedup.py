@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column
-from .near_dedup import _scatter
+from .near_dedup import _STEP, _scatter
 
 #: Bytes of an anchor gram, of a bucket of texts, and the least number of buckets.
 GRAM, BUCKET, LEAST = 24, 8 << 20, 24
@@ -196,7 +196,8 @@ class Cells:
         first, last = window[index], window[np.append(index[1:], len(window)) - 1] + 1
         anchor = own[index]
         content = hashes.of(first, last - first + length - 1) ^ (last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return first + at, last + at, anchor + at, mixed[anchor], _scatter(content)
+        # the smallest of many hashes are small: mixed again, they spread evenly over the parts
+        return first + at, last + at, anchor + at, _scatter(mixed[anchor] ^ _STEP), _scatter(content)
 
     def anchors(self, parts: int, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes in order; which of them occur in several texts and which have many contents, as rows
