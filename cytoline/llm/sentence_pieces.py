@@ -347,7 +347,7 @@ def ids(text: Column, proto: bytes) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = model(proto)
         for texts in batches:
-            lines = [own.round_trip(t.as_py() or "")[0] for t in texts]
+            lines = (own.round_trip(t.as_py() or "")[0] for t in texts)
             parts = [np.array(line.split(","), np.int32) if line else np.zeros(0, np.int32) for line in lines]
             ends = np.cumsum([0, *map(len, parts)])
             flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)

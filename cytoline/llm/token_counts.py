@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import column
 
 #: Entries of each half of a worker's memory of words.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 #: The division into words of the model whose texts are divided here, and what keeps a text from that.
