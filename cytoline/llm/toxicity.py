@@ -4,6 +4,9 @@ Labelled examples are kept in blocks. For every term the index has, block by blo
 largest weight among them. A query bounds each block's cosine by those maxima, visits the blocks from the best bound
 down, and stops once no bound can reach the k-th best cosine found: the result is exact. The nearest examples vote
 with their similarity; the vote is calibrated on the examples themselves, each without its own copy in the index.
+All terms of the examples are indexed, and cosines are over all of them. Each text is searched for twice: by plain
+TF-IDF, whose neighbours are the evidence and show near copies, and with terms weighed by how much their document
+frequencies differ between the classes as well, whose neighbours' vote is calibrated.
 """
 
 from __future__ import annotations
@@ -22,13 +25,15 @@ from pyspark.sql import functions as F
 from .common import column, settle
 from .labelled import held_out, platt, sample
 
-#: Bounds of what is learned from: labelled examples of each class, and terms of the index.
-PER_CLASS, TERMS = 4096, 1024
-#: A term is indexed if its document frequencies differ between the classes by this chi-squared, and it has this many documents.
-CHI, LEAST = 30.0, 5
+#: Bound of what is learned from: labelled examples of each class.
+PER_CLASS = 4096
+#: The class signal weighs a term by the square of its chi-squared between the classes over this, at most 1.
+CHI = 30.0
+#: A term in one of so many examples has a row of weights; the cosine of near copies.
+COMMON, COPY = 16, 0.8
 #: Examples in a block of the index; blocks that are read first; neighbours that vote; weight of the base rate among them.
 BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 15, 0.5
-#: Answers that a worker remembers; documents with few indexed terms often have the same ones.
+#: Scores that a worker remembers, by the checksum of the text.
 REMEMBERED = 100_000
 TERM = re.compile(r"[^\W_]+")
 
@@ -38,61 +43,72 @@ def terms(text: str) -> list[str]:
     return TERM.findall(text.lower())
 
 
-@dataclass
-class Index:
-    """Examples as unit vectors, in blocks: ``weights[t, b, i]`` of term t in example i of block b; ``best[t, b]``: their maximum."""
+class Postings:
+    """Examples as unit vectors over numbered terms, in blocks, as an inverted index.
 
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    labels: np.ndarray
-    ids: np.ndarray
-    places: np.ndarray  # of the weights that are not zero, as terms x examples
-    values: np.ndarray
-    base: float  # share of toxic examples among those without any indexed term
-    share: float  # among all
-    fitted: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
+    Terms in many examples have the lowest numbers: each has a row of weights, example by example, and the largest
+    weight of each block. Of any other term only the examples with it are stored, and their weights.
+    """
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
-        """Indexed terms of a text and their weights, 1 + log of the count, times idf, to unit length; and all its words."""
-        get, words = self.vocabulary.get, terms(text)
-        counts = Counter(t for t in map(get, words) if t is not None)
-        return *self.weigh(counts), len(words)
+    def __init__(self, idf: np.ndarray, common: int, starts: np.ndarray, examples: np.ndarray, values: np.ndarray, n: int, block: int) -> None:
+        self.parts = idf, common, starts, examples, values, n, block
+        self.idf, self.common, self.starts, self.examples, self.values = idf, common, starts, examples, values
+        self.block, self.blocks = block, max(1, -(-n // block))
+        self.rows = np.zeros((common, self.blocks * block))
+        inner = slice(0, starts[common])
+        self.rows[np.repeat(np.arange(common), np.diff(starts[: common + 1])), examples[inner]] = values[inner]
+        self.best = self.rows.reshape(common, self.blocks, block).max(2)
+
+    @classmethod
+    def of(cls, of_example: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, factor: np.ndarray) -> Postings:
+        """The index of (example, term, count) triples; terms are numbered from the most frequent one down, and weighed by ``factor``."""
+        frequency = np.bincount(terms, minlength=len(factor))
+        idf = (np.log((1 + n) / (1 + frequency)) + 1) * factor
+        values = (1 + np.log(counts)) * idf[terms]
+        norms = np.sqrt(np.bincount(of_example, values**2, minlength=n))
+        values = values / np.where(norms > 0, norms, 1.0)[of_example]
+        by = np.lexsort((of_example, terms))
+        starts = np.concatenate([[0], np.cumsum(frequency)]).astype(np.int64)
+        return cls(idf, int((frequency >= max(2, n / COMMON)).sum()), starts, of_example[by].astype(np.int32), values[by], n, BLOCK)
 
     def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and their weights, 1 + log of the count, times idf, to unit length."""
         at = np.fromiter(sorted(counts), np.int64, len(counts))
         weights = (1 + np.log([counts[t] for t in at.tolist()])) * self.idf[at] if len(at) else np.zeros(0)
         norm = np.sqrt((weights**2).sum())
         return at, weights / norm if norm else weights
 
-    def __post_init__(self) -> None:
-        blocks = max(1, -(-len(self.labels) // BLOCK))
-        self.weights = np.zeros((len(self.vocabulary), blocks, BLOCK))
-        self.weights.reshape(-1)[self.places] = self.values
-        self.best = self.weights.max(2)
-        self.memory: dict = {}
-
-    def __reduce__(self):
-        # only what is not zero travels; a worker unpacks an index once
-        return _unpacked, (self.vocabulary, self.idf, self.labels, self.ids, self.places, self.values, self.base, self.share, self.fitted)
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        """The weights of some terms, as terms x blocks x examples of a block."""
+        out = np.zeros((len(at), self.blocks * self.block))
+        for row, t in zip(out, at):
+            inner = slice(self.starts[t], self.starts[t + 1])
+            row[self.examples[inner]] = self.values[inner]
+        return out.reshape(len(at), self.blocks, self.block)
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
         """The k examples of the largest cosine above 0, the earlier one first among equals.
 
-        The blocks with the best bounds are read first. Of the others only those are read whose bound reaches the k-th
-        best cosine found there; no example of the rest can be among the k.
+        What rare terms add is summed up for all examples. The largest such sum of a block and the maxima of common
+        terms bound its cosines. The blocks with the best bounds are read first. Of the others only those are read
+        whose bound reaches the k-th best cosine found there; no example of the rest can be among the k.
         """
         if not len(at):
             return []
-        bounds = weights @ self.best[at]
+        cut = int(np.searchsorted(at, self.common))
+        starts, lengths = self.starts[at[cut:]], self.starts[at[cut:] + 1] - self.starts[at[cut:]]
+        places = np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+        partial = np.bincount(self.examples[places], np.repeat(weights[cut:], lengths) * self.values[places], self.blocks * self.block)
+        at, weights = at[:cut], weights[:cut]
+        bounds = partial.reshape(self.blocks, self.block).max(1) + weights @ self.best[at]
         order = np.argsort(-bounds, kind="stable")
-        first = order[:FIRST]
-        found, scores = self._read(at, weights, first, without)
+        found, scores = self._read(at, weights, partial, order[:FIRST], without)
         if len(order) > FIRST:
             least = -np.partition(-scores, k - 1)[k - 1] if len(scores) >= k else 0.0
             more = order[FIRST:]
             more = more[(bounds[more] > 0) & (bounds[more] >= least - 1e-9)]
             if len(more):
-                others, their = self._read(at, weights, more, without)
+                others, their = self._read(at, weights, partial, more, without)
                 found, scores = np.concatenate([found, others]), np.concatenate([scores, their])
         if len(scores) > 4 * k:
             keep = scores >= -np.partition(-scores, k - 1)[k - 1]
@@ -100,87 +116,145 @@ class Index:
         best = np.lexsort((found, -scores))[:k]
         return list(zip(found[best].tolist(), scores[best].tolist()))
 
-    def _read(self, at: np.ndarray, weights: np.ndarray, blocks: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+    def _read(self, at: np.ndarray, weights: np.ndarray, partial: np.ndarray, blocks: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
         """The examples of some blocks with a cosine above 0, and the cosines."""
-        scores = np.round(np.tensordot(weights, self.weights[at[:, None], blocks], 1), 12)
+        shape = (self.blocks, self.block)
+        if 8 * len(blocks) > self.blocks:  # row by row is faster than picking blocks
+            whole, scaled = partial.copy(), np.empty(len(partial))
+            for t, w in zip(at.tolist(), weights.tolist()):
+                whole += np.multiply(self.rows[t], w, out=scaled)
+            scores = whole.reshape(shape)[blocks]
+        else:
+            scores = partial.reshape(shape)[blocks] + np.tensordot(weights, self.rows.reshape(-1, *shape)[at[:, None], blocks], 1)
+        scores = np.round(scores, 12)
         block, place = np.nonzero(scores > 0)
-        found = blocks[block] * BLOCK + place
+        found = blocks[block] * self.block + place
         values = scores[block, place]
         return (found[found != without], values[found != without]) if without >= 0 else (found, values)
 
+
+@dataclass
+class Index:
+    """Labelled examples, found by the cosine over all their terms: plain, and with terms weighed by their class signal too."""
+
+    key: int
+    words: str  # all terms by number, a line each
+    weights: Postings
+    signal: Postings
+    telling: np.ndarray  # the factor of each term in ``signal``, from 0 to 1
+    labels: np.ndarray
+    ids: np.ndarray
+    base: float  # share of toxic examples among those without a term of the full factor
+    share: float  # among all
+    fitted: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
+
+    def __post_init__(self) -> None:
+        self.vocabulary = {t: i for i, t in enumerate(self.words.split("\n"))} if self.words else {}
+        self.memory: dict[int, float] = {}
+
+    def __reduce__(self):
+        # a worker unpacks an index once
+        return _unpacked, (self.key, self.words, self.weights.parts, self.signal.parts, self.telling, self.labels, self.ids, self.base, self.share, self.fitted)
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        """Indexed terms of a text and their weights; and all its words."""
+        counts, words = self.count(text)
+        return *self.weights.weigh(counts), words
+
+    def count(self, text: str) -> tuple[dict[int, int], int]:
+        get, words = self.vocabulary.get, terms(text)
+        return Counter(t for t in map(get, words) if t is not None), len(words)
+
+    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
+        """The k examples of the largest cosine over all terms; see :class:`Postings`."""
+        return self.weights.nearest(at, weights, k, without)
+
     def vote(self, near: list[tuple[int, float]]) -> float:
         """The share of toxic among the neighbours, weighted by similarity, drawn a little towards the base rate."""
         total = sum(s for _, s in near)
-        return (sum(s * self.labels[i] for i, s in near) + PRIOR * self.base) / (total + PRIOR)
+        return float((sum(s * self.labels[i] for i, s in near) + PRIOR * self.base) / (total + PRIOR))
 
-    def measures(self, near: list[tuple[int, float]], found: int, words: int) -> tuple[float, float, float]:
-        """What is calibrated: the vote, and how much of the text speaks for it (indexed terms, all words)."""
-        return self.vote(near), float(np.log(found)), float(np.log(1 + words))
+    def measures(self, counts: dict[int, int], words: int, without: int = -1) -> tuple[list[tuple[int, float]], tuple[float, float, float]]:
+        """The neighbours by class signal; and what is calibrated: their vote, and how much of the text speaks for it."""
+        near = self.signal.nearest(*self.signal.weigh(counts), NEIGHBOURS, without)
+        found = self.telling[np.fromiter(counts, np.int64, len(counts))].sum()
+        return near, (self.vote(near), float(np.log(0.1 + found)), float(np.log(1 + words)))
 
-    def probability(self, near: list[tuple[int, float]], found: int, words: int) -> float:
-        if not near:
+    def probability(self, near: list[tuple[int, float]], signal: list[tuple[int, float]], measures: tuple[float, float, float]) -> float:
+        """Calibrated from the measures; a near copy, by both cosines, of toxic examples has their vote at least."""
+        if not signal:
             return self.base
         *slopes, intercept = self.fitted
-        return float(1 / (1 + np.exp(-np.clip(np.dot(slopes, self.measures(near, found, words)) + intercept, -30, 30))))
+        p = float(1 / (1 + np.exp(-np.clip(np.dot(slopes, measures) + intercept, -30, 30))))
+        alike = {i for i, s in signal if s >= COPY}
+        copies = [(i, s) for i, s in near if s >= COPY and i in alike]
+        return max(p, self.vote(copies)) if copies else p
 
     def score(self, text: str) -> float:
-        get, words = self.vocabulary.get, terms(text)
-        known = [t for t in map(get, words) if t is not None]
-        if not known:
-            return self.base
-        counts = Counter(known)
-        key = tuple(sorted(counts.items()))
-        near = self.memory.get(key)
-        if near is None:
+        key = xxhash.xxh3_128_intdigest(text.encode())
+        known = self.memory.get(key)
+        if known is None:
+            counts, words = self.count(text)
+            near = self.nearest(*self.weights.weigh(counts), NEIGHBOURS)
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
-            near = self.memory[key] = self.nearest(*self.weigh(counts), NEIGHBOURS)
-        return self.probability(near, len(counts), len(words))
+            known = self.memory[key] = self.probability(near, *self.measures(counts, words))
+        return known
 
 
 _ready: dict[int, Index] = {}
 
 
-def _unpacked(*parts) -> Index:
+def _unpacked(key: int, words: str, weights: tuple, signal: tuple, *parts) -> Index:
     """The worker's copy of an index, which keeps its answers from task to task."""
-    key = hash((tuple(parts[0]), parts[5].tobytes(), parts[4].tobytes(), parts[8]))
     if key not in _ready:
         _ready.clear()
-        _ready[key] = Index(*parts)
+        _ready[key] = Index(key, words, Postings(*weights), Postings(*signal), *parts)
     return _ready[key]
 
 
-def build(examples: list[tuple[int, int, dict[str, int], int]], vocabulary: list[str], totals: dict[int, int]) -> Index:
-    """The index of (id, label, counts of indexed terms, words); ``totals``: rows of each label that the examples stand for."""
-    number = {t: i for i, t in enumerate(vocabulary)}
-    n = len(examples)
-    # Examples with the same rarest term stand together, which keeps the maxima of other blocks low.
-    frequency = Counter(t for _, _, counts, _ in examples for t in counts)
-    idf = np.array([np.log((1 + n) / (1 + frequency[t])) + 1 for t in vocabulary])
-    order = sorted(examples, key=lambda e: (not e[2], min(((frequency[t], t) for t in e[2]), default=(0, "")), e[1], e[0]))
-    labels = np.array([label for _, label, *_ in order], float)
-    ids = np.array([i for i, *_ in order], np.int64)
-    blocks = max(1, -(-n // BLOCK))
+def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np.ndarray, of_term: np.ndarray, counts: np.ndarray, vocabulary: list[str], totals: dict[int, int]) -> Index:
+    """The index of examples and of their (example, term, count) triples; ``totals``: rows of each label that they stand for."""
+    n = len(ids)
+    # Terms are numbered from the most frequent one down.
+    order = sorted(range(len(vocabulary)), key=lambda t, f=np.bincount(of_term, minlength=len(vocabulary)).tolist(): (-f[t], vocabulary[t]))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    words, of_term = [vocabulary[t] for t in order], number[of_term]
+    # How far the terms' document frequencies differ between the classes.
+    n1 = labels.sum()
+    n0 = n - n1
+    frequency = np.bincount(of_term, minlength=len(words)).astype(float)
+    a = np.bincount(of_term, labels[of_example], minlength=len(words))
+    b = frequency - a
+    chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (float(n1 * n0 or 1) * np.maximum(frequency, 1) * np.maximum(n - frequency, 1))
+    telling = np.where(chi >= CHI, 1.0, (chi / (CHI or 1.0)) ** 2)
+    # Examples with the same rarest telling term stand together, which keeps the maxima of other blocks low.
+    rarest = np.full(n, -1)
+    full = telling[of_term] == 1
+    np.maximum.at(rarest, of_example[full], of_term[full])
+    order = np.lexsort((ids, labels, -rarest))
+    moved = np.empty(n, np.int64)
+    moved[order] = np.arange(n)
+    ids, labels, sizes, has, of_example = ids[order], labels[order].astype(float), sizes[order], rarest[order] >= 0, moved[of_example]
+    weights = Postings.of(of_example, of_term, counts, n, np.ones(len(words)))
+    signal = Postings.of(of_example, of_term, counts, n, telling)
     weight = {c: totals.get(c, 0) / max(1, int((labels == c).sum())) for c in (0, 1)}
-    bare = [label for _, label, counts, _ in order if not counts]
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
-    heavy = sum(weight[c] for c in bare)
-    base = (sum(weight[c] for c in bare if c) + share) / (heavy + 1)
-    vectors, places, values = [], [], []
-    for i, (_, _, counts, _) in enumerate(order):
-        at = np.array(sorted(number[t] for t in counts), np.int64)
-        of = {number[t]: c for t, c in counts.items()}
-        weights = (1 + np.log([of[t] for t in at.tolist()])) * idf[at] if len(at) else np.zeros(0)
-        weights = weights / (np.sqrt((weights**2).sum()) or 1.0)
-        vectors.append((at, weights))
-        places.append(at * blocks * BLOCK + i)
-        values.append(weights)
-    index = Index(number, idf, labels, ids, np.concatenate([np.zeros(0, np.int64), *places]), np.concatenate([np.zeros(0), *values]), base, share)
+    heavy = sum(weight[int(c)] for c in labels[~has])
+    base = (sum(weight[1] for c in labels[~has] if c) + share) / (heavy + 1)
+    text = "\n".join(words)
+    key = xxhash.xxh3_64_intdigest(b"".join([text.encode(), *(x.tobytes() for x in (weights.examples, weights.values, signal.values, ids, labels)), repr(totals).encode()]))
+    index = Index(key, text, weights, signal, telling, labels, ids, base, share)
+    by = np.argsort(of_example, kind="stable")
+    edges = np.searchsorted(of_example[by], np.arange(n + 1))
     known, y = [], []
-    for i, (at, weights) in enumerate(vectors):
-        if near := index.nearest(at, weights, NEIGHBOURS, without=i):
-            known.append(index.measures(near, len(at), order[i][3]))
-            y.append(order[i][1])
+    for i in range(n):
+        own = by[edges[i] : edges[i + 1]]
+        near, measures = index.measures(dict(zip(of_term[own].tolist(), counts[own].tolist())), int(sizes[i]), i)
+        if near:
+            known.append(measures)
+            y.append(labels[i])
     if len(set(y)) == 2:
         truth = np.array(y, float)
         index.fitted = tuple(platt(np.array(known), truth, np.where(truth == 1, weight[1], weight[0])).tolist())
@@ -193,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     """Learn from rows that are not held out; at most ``PER_CLASS`` examples of each class are read, in whole.
 
     Of near copies among the examples one is kept: those that share most of their eight smallest shingle hashes.
-    Terms are indexed by how their document frequencies differ between the classes, at most ``TERMS`` of them.
+    All their terms are indexed.
     """
     examples, totals = sample(docs, labels, label, PER_CLASS, id_col, text_col)
 
@@ -221,26 +295,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
             kept.append((r["id"], r["label"], r["size"]))
         seen.update(r["sketch"])
     spark = docs.sparkSession
-    own = parsed.join(F.broadcast(spark.createDataFrame([(i,) for i in {i: None for i, _, _ in kept}], "id long")), "id").dropDuplicates(["id"])
-    n1 = sum(c for _, c, _ in kept)
-    n0 = len(kept) - n1
-    a, b = F.col("a").cast("double"), (F.col("n") - F.col("a")).cast("double")
-    chi = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (F.lit(float(n1 * n0) or 1.0) * (a + b) * F.greatest(n1 + n0 - a - b, F.lit(1.0)))
-    chosen = (
-        own.select("label", F.explode("words").alias("term")).groupBy("term").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= LEAST).withColumn("chi", chi).filter(F.col("chi") >= CHI).orderBy(F.desc("chi"), "term").limit(TERMS)
+    chosen = {i: (c, n) for i, c, n in kept}
+    own = parsed.join(F.broadcast(spark.createDataFrame([(i,) for i in chosen], "id long")), "id").dropDuplicates(["id"])
+    vectors = own.select("id", "words", "counts").orderBy("id").toArrow()
+    ids = vectors.column("id").to_numpy().astype(np.int64)
+    words = vectors.column("words").combine_chunks()
+    lengths = np.array([len(w) for w in words], np.int64)
+    coded = pa.chunked_array([words.flatten()], pa.string()).combine_chunks().dictionary_encode()
+    return build(
+        ids, np.array([chosen[i][0] for i in ids.tolist()], float), np.array([chosen[i][1] for i in ids.tolist()], np.int64),
+        np.repeat(np.arange(len(ids)), lengths), coded.indices.to_numpy().astype(np.int64), vectors.column("counts").combine_chunks().flatten().to_numpy().astype(np.int64),
+        coded.dictionary.to_pylist(), totals,
     )
-    vocabulary = [r["term"] for r in chosen.collect()]
-    names = spark.createDataFrame([(t,) for t in vocabulary], "term string")
-    flat = own.select("id", "label", F.explode(F.arrays_zip("words", "counts")).alias("pair")).select("id", "label", F.col("pair.words").alias("term"), F.col("pair.counts").alias("n"))
-    vectors: dict[int, dict[str, int]] = {}
-    for r in flat.join(F.broadcast(names), "term").collect():
-        vectors.setdefault(r["id"], {})[r["term"]] = r["n"]
-    return build([(i, c, vectors.get(i, {}), n) for i, c, n in {i: (i, c, n) for i, c, n in kept}.values()], vocabulary, totals)
 
 
 def probability(text: Column, index: Index) -> Column:
-    """The calibrated probability that a whole text is toxic; null and empty texts have no terms and get the base rate."""
+    """The calibrated probability that a whole text is toxic; texts without any term of an example, as null and empty ones, get the base rate."""
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:

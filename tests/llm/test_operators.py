@@ -401,6 +401,23 @@ def test_toxicity(taught, odd, empty, spark):
     assert {r["predicted"] for r in toxicity.score(odd, none).collect()} <= {0, 1}
 
 
+def test_toxicity_searches_by_every_term(spark):
+    """A toxic word of a single labelled example is enough to find a near copy of it, and cosines are over all terms."""
+    rng, vocabulary = random.Random(8), [f"word{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=80) + (["vile", "foul"] if i % 3 == 0 else []))) for i in range(300)]
+    labels = [(i, int(i % 3 == 0)) for i in range(300)]
+    rare = next(i for i in range(300, 330) if zlib.crc32(str(i).encode()) % 5)
+    insult = [f"rare{i}" for i in range(60)]
+    items.append((rare, " ".join(insult)))
+    labels.append((rare, 1))
+    index = toxicity.fit(spark.createDataFrame(items, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    near = " ".join([*insult[:57], "another", "two"])
+    at, weights, _ = index.vector(near)
+    (found, similarity), *others = index.nearest(at, weights, 5)
+    assert index.ids[found] == rare and similarity == pytest.approx(1.0, abs=0.05) and not others
+    assert index.score(near) >= 0.5 > index.score(" ".join(rng.choices(vocabulary, k=80)))
+
+
 def test_nearest_examples_equal_reading_them_all(taught, monkeypatch):
     monkeypatch.setattr(toxicity, "CHI", 0.0)
     monkeypatch.setattr(toxicity, "BLOCK", 8)
