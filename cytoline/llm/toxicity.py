@@ -98,7 +98,7 @@ class Postings:
         cut = int(np.searchsorted(at, self.common))
         starts, lengths = self.starts[at[cut:]], self.starts[at[cut:] + 1] - self.starts[at[cut:]]
         places = np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
-        partial = np.bincount(self.examples[places], np.repeat(weights[cut:], lengths) * self.values[places], self.blocks * self.block)
+        partial = np.bincount(self.examples[places], np.repeat(weights[cut:], lengths) * self.values[places], self.blocks * self.block).astype(float)  # of nothing, numpy counts in integers
         at, weights = at[:cut], weights[:cut]
         bounds = partial.reshape(self.blocks, self.block).max(1) + weights @ self.best[at]
         order = np.argsort(-bounds, kind="stable")
