@@ -150,7 +150,7 @@ class Index:
 
     def __post_init__(self) -> None:
         self.vocabulary = {t: i for i, t in enumerate(self.words.split("\n"))} if self.words else {}
-        self.memory: dict[int, float] = {}
+        self.memory: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
 
     def __reduce__(self):
         # a worker unpacks an index once
@@ -191,6 +191,10 @@ class Index:
         return max(p, self.vote(copies)) if copies else p
 
     def score(self, text: str) -> float:
+        return self.judge(text)[0]
+
+    def judge(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
+        """The calibrated probability, and the nearest examples by plain cosine with their similarities."""
         key = xxhash.xxh3_128_intdigest(text.encode())
         known = self.memory.get(key)
         if known is None:
@@ -198,7 +202,8 @@ class Index:
             near = self.nearest(*self.weights.weigh(counts), NEIGHBOURS)
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
-            known = self.memory[key] = self.probability(near, *self.measures(counts, words))
+            found, similarities = np.array([i for i, _ in near], np.int32), np.array([s for _, s in near], np.float64)
+            known = self.memory[key] = self.probability(near, *self.measures(counts, words)), found, similarities
         return known
 
 
@@ -322,21 +327,41 @@ def probability(text: Column, index: Index) -> Column:
 EVIDENCE = "array<struct<id: bigint, similarity: double, label: int>>"
 
 
+def _shown(index: Index, found: list[np.ndarray], similarities: list[np.ndarray]) -> pa.Array:
+    """The examples found for each text as arrays of EVIDENCE."""
+    flat = np.concatenate([*found, np.zeros(0, np.int32)])
+    values = [pa.array(index.ids[flat], pa.int64()), pa.array(np.concatenate([*similarities, np.zeros(0)])), pa.array(index.labels[flat].astype(np.int32))]
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(values, ["id", "similarity", "label"]))
+
+
 def evidence(text: Column, index: Index, k: int = NEIGHBOURS) -> Column:
     """The nearest labelled examples of each text: their ids, similarities and labels."""
 
     @F.arrow_udf(EVIDENCE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
         for texts in batches:
             found = [index.nearest(*index.vector(t.as_py() or "")[:2], k) for t in texts]
-            yield pa.array([[{"id": int(index.ids[i]), "similarity": s, "label": int(index.labels[i])} for i, s in near] for near in found], kind)
+            yield _shown(index, [np.array([i for i, _ in near], np.int32) for near in found], [np.array([s for _, s in near], np.float64) for near in found])
+
+    return run(text)
+
+
+def judged(text: Column, index: Index) -> Column:
+    """``score``, as by :func:`probability`, and ``evidence``, as by :func:`evidence`, from one search."""
+
+    @F.arrow_udf(f"struct<score: double, evidence: {EVIDENCE}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            known = [index.judge(t.as_py() or "") for t in texts]
+            scores = pa.array([p for p, _, _ in known], pa.float64())
+            yield pa.StructArray.from_arrays([scores, _shown(index, [f for _, f, _ in known], [s for _, _, s in known])], ["score", "evidence"])
 
     return run(text)
 
 
 def score(docs: DataFrame, index: Index, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, held_out, score, predicted`` for each row; equal texts score equally, empty tables give empty results."""
+    """``id, held_out, score, predicted, evidence`` for each row; equal texts score equally, empty tables give empty results."""
     ident = column(docs, id_col)
-    rows = docs.select(ident.alias("id"), held_out(ident).alias("held_out"), probability(column(docs, text_col), index).alias("score"))
-    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    rows = docs.select(ident.alias("id"), held_out(ident).alias("held_out"), judged(column(docs, text_col), index).alias("own"))
+    return rows.select("id", "held_out", "own.score", (F.col("own.score") >= threshold).cast("int").alias("predicted"), "own.evidence")

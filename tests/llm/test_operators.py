@@ -418,6 +418,14 @@ def test_toxicity_searches_by_every_term(spark):
     assert index.score(near) >= 0.5 > index.score(" ".join(rng.choices(vocabulary, k=80)))
 
 
+def test_toxicity_returns_its_evidence(taught):
+    index = toxicity.fit(taught.docs, taught.labels)
+    few = taught.docs.filter("doc_id < 20")
+    want = {r["doc_id"]: r["e"] for r in few.select("doc_id", toxicity.evidence(F.col("text"), index).alias("e")).collect()}
+    got = {r["id"]: r["evidence"] for r in toxicity.score(few, index).collect()}
+    assert got == want and all(e["label"] == taught.truth[e["id"]][1] for near in got.values() for e in near) and all(got.values())
+
+
 def test_nearest_examples_equal_reading_them_all(taught, monkeypatch):
     monkeypatch.setattr(toxicity, "CHI", 0.0)
     monkeypatch.setattr(toxicity, "BLOCK", 8)
