@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,7 @@ REMEMBERED = 150_000
 #: Beyond these characters, normalisation or a class of characters could differ; İ becomes two characters in lower case.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN_WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+RUN = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\xa9\\xab-\\xac\\xae-\\xb1\\xb4\\xb6-\\xb8\\xbb\\xbf-\\u012f\\u0131-\\u0148\\u014a-\\u017e]")
 
 _shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -186,34 +188,50 @@ class PrefixCounter:
     def prefixes(self, text: str) -> list[int]:
         """``out[i]``: tokens of the first i code points of the text, each prefix taken as a text of its own.
 
-        Meant for texts that normalisation leaves at their length (otherwise a ``ValueError``); within a character of
-        several bytes nothing is cut.
+        Words cross no space, so counts of runs between spaces add up, whatever normalisation does to the spaces.
         """
-        out, before = [0] * (len(text) + 1), 0
+        out, before, last = [0] * (len(text) + 1), 0, ""
         for k, (part, at) in enumerate(self._segments(text)):
-            if k % 2:  # a special string counts once it is complete; until then its beginning is ordinary text
+            if k % 2:  # a special string counts once it is complete; until then its beginning continues the text before it
                 for i in range(1, len(part)):
-                    out[at + i] = before + self.chunk(part[:i])
+                    out[at + i] = out[at - len(last)] + self.chunk(last + part[:i])
                 before += 1
                 out[at + len(part)] = before
                 continue
-            if self.library.normalizer and len(self.library.normalizer.normalize_str(part)) != len(part):
-                raise ValueError("normalisation changes the length of this text")
-            place = 0
-            for word, (start, end) in self.words(part):
-                for i in range(place, start):
-                    out[at + i + 1] = before
-                shut, symbol = self.word_prefixes(word)[1], 0
-                text_of = self.library.normalizer.normalize_str(part) if self.library.normalizer else part
-                for i in range(start, end):
-                    symbol += len(text_of[i].encode())
-                    out[at + i + 1] = before + shut[symbol]
-                before += shut[-1]
-                place = end
-            for i in range(place, len(part)):
-                out[at + i + 1] = before
+            place, last = 0, ""
+            for run in RUN.finditer(part):
+                out[at + place + 1 : at + run.start() + 1] = [before] * (run.start() - place)
+                inner = self.run_prefixes(run.group())
+                out[at + run.start() + 1 : at + run.end() + 1] = [before + n for n in inner]
+                before, place = before + inner[-1], run.end()
+                last = run.group() if place == len(part) else ""
+            out[at + place + 1 : at + len(part) + 1] = [before] * (len(part) - place)
         return out
 
+    def run_prefixes(self, run: str) -> list[int]:
+        """Tokens of the first 1, 2, ... code points of a run without spaces or special strings.
+
+        If characters are normalised each on its own, that gives their places in the normalised run, and counts are
+        stored word by word. Otherwise (as with a composing character) each prefix is normalised and counted.
+        """
+        normal = self.library.normalizer.normalize_str if self.library.normalizer else str
+        each, whole = list(map(normal, run)), normal(run)
+        if "".join(each) != whole:
+            return [self.chunk(run[:i]) for i in range(1, len(run) + 1)]
+        closed, before, place = [0] * (len(whole) + 1), 0, 0
+        for word, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(whole):
+            closed[place + 1 : start + 1] = [before] * (start - place)
+            shut, symbol = self.word_prefixes(word)[1], 0
+            for i in range(start, end):
+                symbol += len(whole[i].encode())
+                closed[i + 1] = before + shut[symbol]
+            if whole[start] == "'" and whole[start + 1 : end].isalpha():  # of 're, the beginning 'r is two words
+                for i in range(start + 1, end):
+                    closed[i] = before + self.chunk(whole[start:i])
+            before, place = before + shut[-1], end
+        closed[place + 1 :] = [before] * (len(whole) - place)
+        return [closed[end] for end in accumulate(map(len, each))]
+
     def _segments(self, text: str) -> list[tuple[str, int]]:
         at, out = 0, []
         for part in self.special.split(text) if self.special else [text]:
@@ -251,6 +269,30 @@ def token_count(text: Column, definition: str) -> Column:
     return count(text)
 
 
+def prefix_counts(text: Column, definition: str) -> Column:
+    """The exact numbers of tokens of all prefixes of each text, by code points from 0 on; a null text is empty."""
+
+    @F.arrow_udf("array<bigint>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        prefixes = counter(definition).prefixes
+        for texts in batches:
+            yield pa.array([prefixes(t.as_py() or "") for t in texts], pa.list_(pa.int64()))
+
+    return run(text)
+
+
+def truncated(text: Column, definition: str, budget: int) -> Column:
+    """The longest prefix of each text that has at most ``budget`` tokens; a null text is empty."""
+
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        truncate = counter(definition).truncate
+        for texts in batches:
+            yield pa.array([truncate(t.as_py() or "", budget) for t in texts], pa.string())
+
+    return run(text)
+
+
 def measure(docs: DataFrame, definition: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_bytes, n_tokens, over_limit`` for each row; repeated rows are counted each, null ids stay null.
 

@@ -327,6 +327,23 @@ def test_token_counts_equal_the_library(odd, empty, texts):
     assert exact(cut) <= 5 and t.startswith(cut)
 
 
+def test_token_counts_of_prefixes_on_every_text(odd):
+    from tokenizers import Tokenizer
+
+    definition = tokenizer_file("word_bpe_49k.json").decode()
+    library, own = Tokenizer.from_str(definition), token_counts.PrefixCounter(definition)
+    exact = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    rng = random.Random(1)
+    alphabet = "abcdeéßΣ日🎉'st 1\n\t!?<|>ıİ\u0301\u0085\x1crevl"
+    made = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))) for _ in range(300)]
+    for t in ["First paragraph.\n\nSecond one.", "two  spaces", "e\u0301te\u0301 we're they'll've", "wow!<|endoftext|><|endoftext|>'s", *made]:
+        assert own.prefixes(t) == [exact(t[:i]) for i in range(len(t) + 1)], t
+    short = odd.filter("length(text) < 200")
+    for r in short.select("text", token_counts.prefix_counts(F.col("text"), definition).alias("n"), token_counts.truncated(F.col("text"), definition, 3).alias("cut")).collect():
+        assert r["n"] == [exact(r["text"][:i]) for i in range(len(r["text"]) + 1)]
+        assert r["cut"] == r["text"][: max(i for i, n in enumerate(r["n"]) if n <= 3)]
+
+
 def test_sentence_pieces_equal_the_library(spark, odd, empty, texts):
     import sentencepiece
 
