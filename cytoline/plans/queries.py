@@ -554,7 +554,7 @@ def kmeans(spark, sf):
 @query()
 def gmm(spark, sf):
     x, features = _coordinates(spark, sf), lens.table(spark, sf, "embeddings").count()
-    fits = [(k, cluster.mixture(x, k, features)) for k in cluster.k_range(len(x), 2, 6)]
+    fits = [(k, cluster.mixture(x, k, features)) for k in cluster.k_range(len(x))]
     return spark.createDataFrame([(k, float(f["bic"]), float(f["aic"]), bool(f["converged"])) for k, f in fits], "k int, bic double, aic double, converged boolean").select("k", F.round("bic", 3).alias("bic"), F.round("aic", 3).alias("aic"), "converged")
 
 

@@ -94,3 +94,7 @@ def test_stream_takes_new_files(spark, tmp_path):
         ingest.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), once=True).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r["sample"], r["site_id"], r["fraction"]) for r in got.collect()) == [("a", "chr1:5", 0.5), ("b", "chr1:5", 0.5)]
+
+
+def test_mixtures_are_swept_up_to_ten(spark, small):
+    assert [r["k"] for r in own.gmm(spark, small).orderBy("k").collect()] == list(range(2, 11))
