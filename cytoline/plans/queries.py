@@ -406,7 +406,7 @@ def impute_knn(spark, sf):
 
 @query()
 def impute_pca_em(spark, sf):
-    return matrix.impute_components(lens.values(spark, sf), DIMENSIONS, 10, 10, 1e-4, -1.0, 1.0).select("site_id", "sample", r6("beta"))
+    return matrix.impute_components(lens.values(spark, sf), DIMENSIONS, 10, 50, 1e-4, -1.0, 1.0).select("site_id", "sample", r6("beta"))
 
 
 @query()

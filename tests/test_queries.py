@@ -98,3 +98,11 @@ def test_stream_takes_new_files(spark, tmp_path):
 
 def test_mixtures_are_swept_up_to_ten(spark, small):
     assert [r["k"] for r in own.gmm(spark, small).orderBy("k").collect()] == list(range(2, 11))
+
+
+def test_components_are_given_fifty_rounds(spark, small, monkeypatch):
+    given = []
+    real = own.matrix.impute_components
+    monkeypatch.setattr(own.matrix, "impute_components", lambda cells, samples, components, rounds, *more: given.append(rounds) or real(cells, samples, components, 1, *more))
+    own.impute_pca_em(spark, small)
+    assert given == [50]
