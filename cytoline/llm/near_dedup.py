@@ -3,8 +3,15 @@
 Sketches follow Dahlgaard, Knudsen and Thorup (2017): in each round every shingle of a set is hashed to one bin with a
 value, earlier rounds before later ones, until every bin has a value; after as many rounds as there are bins each
 further round fills one given bin, so that all are filled for certain. Two sketches agree in a bin with probability
-equal to the sets' similarity, concentrated as if the bins were independent. Bands of bins give buckets of candidates;
-candidates are confirmed on their full sets, and links are joined into components.
+equal to the sets' similarity, concentrated as if the bins were independent. Bands of bins give buckets of candidates.
+
+Candidates are compared exactly, on their whole sets, and no pair is ever made into a row:
+1. a shingle that no other candidate has counts against any link; a set with too many of those has no link at all;
+2. sets that buckets connect, directly or through others, are a group; groups are packed into cells of bounded size,
+   and a cell counts the overlaps of all its sets with each other by an inverted index and returns which sets belong
+   together, at most one row for each set;
+3. a group too large for a cell first meets its heaviest members, chunk by chunk. Only what those leave apart from the
+   group's largest component is compared with everything else, chunk against chunk.
 """
 
 from __future__ import annotations
@@ -14,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches_of, bit_positions, bit_table, column, probe_bits, settle
@@ -23,18 +30,15 @@ from .common import batches_of, bit_positions, bit_table, column, probe_bits, se
 #: and 3e-10 at 0.85.
 SHINGLE, BANDS, ROWS = 5, 30, 4
 BINS = BANDS * ROWS
-#: In buckets with at most this many texts outside the largest component, all of those are compared with every member.
-FEW = 64
-#: Turns in which buckets compare one heavy member each.
-HUBS = 4
-#: Pairs are verified if their sketches agree in at least this many bins fewer than the threshold says; at the threshold
-#: that is 24 of 120, over five standard deviations: a pair is missed with probability 2e-8.
-MARGIN = BINS // 5
+#: Shingles and sets of a chunk of a group; a cell holds two chunks, or small groups of about PACKED shingles together.
+CHUNK, CHUNK_SETS, PACKED = 1 << 16, 1024, 1 << 18
+#: Heaviest members of a large group, which each chunk of it meets first.
+HUBS = 16
 #: Bits of the filter that spares other texts the second reading: at most 2**(LOG_BITS - 5) broadcast rows.
 LOG_BITS = 22
 #: Links that one task joins into components.
 AT_ONCE = 1_000_000
-#: Rows that go to Python at a time where each carries whole sets.
+#: Rows that go to Python at a time where each carries a whole text.
 BATCH = 500
 
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
@@ -99,71 +103,120 @@ def bands(values: np.ndarray) -> np.ndarray:
     return key
 
 
-def node_of(elements: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    return xxhash.xxh3_64_intdigest(elements.tobytes(), seed=1) - (1 << 63)
+def node_of(elements: np.ndarray) -> bytes:
+    """A name of a set, 128 bits."""
+    return xxhash.xxh3_128_digest(elements.tobytes(), seed=1)
 
 
 def parsed(text: Column) -> Column:
-    """Struct of set size, name of the set, band keys and signature of each text.
+    """Struct of set size, name of the set and band keys of each text."""
 
-    The signature has a number for each band, the low bytes of its bins, and tells in how many bins two sets agree.
-    """
-
-    @F.arrow_udf("struct<n: bigint, node: bigint, bands: array<bigint>, sign: array<int>>")
+    @F.arrow_udf("struct<n: bigint, node: binary, bands: array<bigint>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with np.errstate(over="ignore"):
             for texts in batches:
-                sizes, nodes, keys, signs, ends = [], [], [], [], [0]
+                sizes, nodes, keys, ends = [], [], [], [0]
                 for t in texts:
                     own = shingles(t.as_py() or "")
                     sizes.append(len(own))
                     nodes.append(node_of(own))
                     if len(own):
-                        values = sketch(own)
-                        keys.append(bands(values).view(np.int64))
-                        signs.append((values & np.uint64(255)).astype(np.uint8).view(np.int32))
+                        keys.append(bands(sketch(own)).view(np.int64))
                     ends.append(ends[-1] + BANDS * bool(len(own)))
-                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), kind)) for c, kind in ((keys, pa.int64()), (signs, pa.int32()))]
-                yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *lists], ["n", "node", "bands", "sign"])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
+                yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), lists], ["n", "node", "bands"])
 
     return run(text)
 
 
 def sets(text: Column) -> Column:
-    """Struct of the set's name and the set itself, as bytes of sorted 64-bit hashes."""
+    """Struct of the set's name and the set itself, as sorted 64-bit hashes."""
 
-    @F.arrow_udf("struct<node: bigint, elements: binary>")
+    @F.arrow_udf("struct<node: binary, elements: array<bigint>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with np.errstate(over="ignore"):
             for texts in batches:
                 own = [shingles(t.as_py() or "") for t in texts]
-                yield pa.StructArray.from_arrays([pa.array(map(node_of, own), pa.int64()), pa.array([o.tobytes() for o in own], pa.binary())], ["node", "elements"])
+                ends = np.cumsum([0, *map(len, own)])
+                flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                yield pa.StructArray.from_arrays([pa.array(map(node_of, own), pa.binary()), lists], ["node", "elements"])
 
     return run(text)
 
 
-def shared(first: Column, second: Column) -> Column:
-    """The size of the intersection of two sets in bytes."""
+def overlaps(elements: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """How many elements each two of ``n`` sets share, above the diagonal; ``row`` is the set of each element.
+
+    Elements that many sets have are counted by products of 0/1 matrices, the others by walking along the sets of each.
+    """
+    _, code, count = np.unique(elements, return_inverse=True, return_counts=True)
+    out = np.zeros((n, n), np.float32)  # whole numbers below 2**24
+    heavy = np.flatnonzero(count > max(2, n / 16))
+    place = np.full(len(count), -1)
+    place[heavy] = np.arange(len(heavy))
+    at = place[code]
+    for start in range(0, len(heavy), 2048):
+        inside = (at >= start) & (at < start + 2048)
+        dense = np.zeros((n, min(2048, len(heavy) - start)), np.float32)
+        dense[row[inside], at[inside] - start] = 1
+        out += dense @ dense.T
+    light = np.flatnonzero((at < 0) & (count[code] > 1))
+    light = light[np.lexsort((row[light], code[light]))]
+    code, row = code[light], row[light]
+    step = 1
+    while len(first := np.flatnonzero(code[step:] == code[:-step])) if step < len(code) else False:
+        np.add.at(out, (row[first], row[first + step]), 1)
+        step += 1
+    return out
+
+
+def linked(elements: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """For each of some sets the first one that links connect it with, itself included; ``elements`` holds all in turn."""
+    n = len(sizes)
+    both = np.triu(overlaps(elements, np.repeat(np.arange(n), sizes), n), 1).astype(np.int64)
+    link = (both > 0) & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both))
+    link |= link.T
+    label = np.full(n, -1)
+    for i in range(n):
+        if label[i] < 0:
+            label[i], edge = i, np.array([i])
+            while len(edge):
+                edge = np.flatnonzero(link[edge].any(0) & (label < 0))
+                label[edge] = i
+    return label
+
 
-    @F.arrow_udf("bigint")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            sizes = []
-            for a, b in zip(left, right):
-                both = np.concatenate([np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)])
-                both.sort(kind="stable")
-                sizes.append(int((both[1:] == both[:-1]).sum()))
-            yield pa.array(sizes, pa.int64())
+LINKS = "a binary, b binary"
 
-    return run(first, second)
+
+def links_of(percent: int):
+    """By cell: (first, other) for all sets that links connect, group by group; no more rows than sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        groups = table.column("group").to_numpy()
+        order = np.argsort(groups, kind="stable")
+        lists, names = table.column("elements").combine_chunks(), table.column("node").to_pylist()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        first, other = [], []
+        for members in np.split(order, np.flatnonzero(np.diff(groups[order])) + 1):
+            own = {names[i]: i for i in members.tolist()}  # a heavy member comes once more with its chunk
+            members = list(own.values())
+            if len(members) > 1:
+                label = linked(np.concatenate([flat[ends[i] : ends[i + 1]] for i in members]), (ends[1:] - ends[:-1])[members].astype(np.int64), percent)
+                for i in np.flatnonzero(label != np.arange(len(label))).tolist():
+                    first.append(names[members[label[i]]])
+                    other.append(names[members[i]])
+        return pa.table({"a": pa.array(first, pa.binary()), "b": pa.array(other, pa.binary())})
+
+    return run
 
 
 def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over all edges of one task."""
-    parent: dict[int, int] = {}
+    parent: dict = {}
 
-    def root(x: int) -> int:
+    def root(x):
         top = x
         while parent[top] != top:
             top = parent[top]
@@ -179,13 +232,8 @@ def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if x != y:
                 parent[max(x, y)] = min(x, y)
     nodes = list(parent)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["node", "comp"])
-
-
-def agreeing(a: str, b: str) -> Column:
-    """In how many bins two signatures agree: equal bytes are zero bytes of the difference."""
-    lanes = F.expr(f"zip_with({a}, {b}, (x, y) -> 4 - bit_count((((x ^ y) & 2139062143L) + 2139062143L | cast(x ^ y as bigint)) & 2155905152L))")
-    return F.aggregate(lanes, F.lit(0), lambda t, x: t + x)
+    if nodes:
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([root(x) for x in nodes])], ["node", "comp"])
 
 
 def components(edges: DataFrame, at_once: int | None = None) -> DataFrame:
@@ -195,8 +243,10 @@ def components(edges: DataFrame, at_once: int | None = None) -> DataFrame:
     among the neighbours, then that name's own name, three times, so that chains shrink fast. The joins of that loop are
     merge joins, because many broadcasts would each take megabytes of the driver.
     """
+    edges = settle(edges)
     if edges.count() <= (AT_ONCE if at_once is None else at_once):
-        return settle(edges.select("a", "b").coalesce(1).mapInArrow(_join_up, "node long, comp long"))
+        kind = edges.schema["a"].dataType.simpleString()
+        return settle(edges.select("a", "b").coalesce(1).mapInArrow(_join_up, f"node {kind}, comp {kind}"))
     both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     names = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("comp"))
     while True:
@@ -212,16 +262,6 @@ def components(edges: DataFrame, at_once: int | None = None) -> DataFrame:
         names = new.select("node", F.col("via").alias("comp"))
 
 
-def verify(pairs: DataFrame, store: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets in ``store`` (node, elements) are similar enough."""
-    first = store.select(F.col("node").alias("a"), F.col("elements").alias("of_a"))
-    second = store.select(F.col("node").alias("b"), F.col("elements").alias("of_b"))
-    joined = pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b").withColumn("both", shared(F.col("of_a"), F.col("of_b")))
-    union = (F.octet_length("of_a") + F.octet_length("of_b")) / F.lit(8) - F.col("both")
-    with batches_of(pairs.sparkSession, BATCH):
-        return settle(joined.filter(100 * F.col("both") >= percent * union).select("a", "b"))
-
-
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`group` keeps, with all their columns, whatever those are called.
 
@@ -238,7 +278,75 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_co
     return rows.filter("not maybe").select("doc").unionByName(stay.select("doc")).select("doc.*")
 
 
-def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", with_node: bool = False) -> DataFrame:
+def alone(store: DataFrame, percent: int) -> DataFrame:
+    """``short`` of sets in ``store`` (short, n, elements) that have too many elements of their own for any link.
+
+    Of two linked sets, each has all but ``100 - percent`` hundredths of its elements in the other. Names and elements
+    that happen to share 64 bits only make this find fewer sets.
+    """
+    own = store.select("short", F.explode("elements").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("sets"), F.min("short").alias("short"))
+    own = own.filter("sets = 1").groupBy("short").agg(F.count(F.lit(1)).alias("own"))
+    return own.join(store.select("short", "n"), "short").filter(100 * F.col("own") > (100 - percent) * F.col("n")).select("short")
+
+
+def _chunks(shingles_: str, sets_: str, chunk: int, chunk_sets: int) -> Column:
+    """How many chunks so many shingles and sets make."""
+    return F.greatest(F.lit(1), F.ceil(F.col(shingles_) / chunk), F.ceil(F.col(sets_) / chunk_sets)).cast("int")
+
+
+def _cell(*parts) -> Column:
+    return F.xxhash64("group", *parts)
+
+
+def within_cells(members: DataFrame, percent: int) -> DataFrame:
+    """Links among ``members`` (cell, group, node, elements) of a cell and group."""
+    return members.select("cell", "group", "node", "elements").groupBy("cell").applyInArrow(links_of(percent), LINKS)
+
+
+def group_links(members: DataFrame, percent: int, chunk: int = CHUNK, chunk_sets: int = CHUNK_SETS) -> DataFrame:
+    """Links (a, b) that connect the sets of each group as all of its links do.
+
+    ``members``: group, node, n, weight, elements. Groups that fit into a chunk are packed together by their hash. A
+    larger group is dealt to chunks, and each chunk meets the group's HUBS heaviest members: near copies of one text are
+    mostly linked with it. Then every set outside the group's largest component meets all others, chunk by chunk.
+    """
+    sizes = members.groupBy("group").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("sets"))
+    sizes = settle(sizes.filter("sets > 1").select("group", "shingles", "sets", _chunks("shingles", "sets", chunk, chunk_sets).alias("chunks")))
+    total = sizes.agg(F.sum("shingles").alias("n"), F.max("chunks").alias("most")).first()
+    if total["n"] is None:
+        return members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    members = members.join(sizes.select("group", "chunks").hint("merge"), "group")
+    bins = max(1, total["n"] // PACKED)
+    packed = members.filter("chunks = 1").withColumn("cell", F.pmod(F.xxhash64("group"), F.lit(bins)))
+    if total["most"] == 1:
+        return within_cells(packed, percent)
+    large = settle(members.filter("chunks > 1").withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks"))))
+    by_weight = Window.partitionBy("group").orderBy(F.col("weight").desc(), "node")
+    hubs = large.select("group", "node", "weight", "chunks").withColumn("place", F.row_number().over(by_weight)).filter(F.col("place") <= HUBS)
+    hubs = hubs.select("group", "node", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
+    hubs = hubs.join(large.select("group", "node", "elements").hint("merge"), ["group", "node"])
+    met = large.select("group", "node", "elements", "c").unionByName(hubs).withColumn("cell", _cell("c"))
+    links = settle(within_cells(packed, percent).unionByName(within_cells(met, percent)))
+
+    names = components(links)
+    placed = large.select("group", "node", "n").join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    comps = placed.groupBy("group", "comp").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("sets"))
+    tops = comps.groupBy("group").agg(F.max(F.struct("sets", "comp", "shingles")).alias("top"), F.sum("shingles").alias("shingles"), F.sum("sets").alias("sets"))
+    tops = tops.filter("sets > top.sets").select(
+        "group", "top.comp", (F.col("shingles") - F.col("top.shingles")).alias("out_n"), (F.col("sets") - F.col("top.sets")).alias("out_sets"), F.col("top.shingles").alias("in_n"), F.col("top.sets").alias("in_sets")
+    )
+    tops = settle(tops.select("group", F.col("comp").alias("top"), _chunks("out_n", "out_sets", chunk, chunk_sets).alias("outside"), _chunks("in_n", "in_sets", chunk, chunk_sets).alias("inside")))
+    rest = placed.join(tops.hint("merge"), "group").withColumn("out", F.col("comp") != F.col("top"))
+    rest = rest.withColumn("c", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("out"), F.col("outside")).otherwise(F.col("inside"))))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.col("c")
+    others = F.transform(F.filter(upto("outside"), lambda j: (j != own) | (F.col("outside") == 1)), lambda j: _cell(F.least(j, own), F.greatest(j, own)))
+    cells = F.when(F.col("out"), F.concat(others, F.transform(upto("inside"), lambda j: _cell(own, F.lit(-1), j)))).otherwise(F.transform(upto("outside"), lambda j: _cell(j, F.lit(-1), own)))
+    rest = rest.select("group", "node", F.explode(cells).alias("cell")).join(large.select("group", "node", "elements").hint("merge"), ["group", "node"])
+    return links.unionByName(within_cells(rest, percent))
+
+
+def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", with_node: bool = False, chunk: int = CHUNK, chunk_sets: int = CHUNK_SETS) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for each row of ``docs``.
 
     Rows are linked if 100 times their shared shingles are at least ``percent`` times all of both. ``component_id`` is
@@ -250,70 +358,38 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     text = F.coalesce(column(docs, text_col), F.lit(""))
     rows = docs.select(column(docs, id_col).cast("long").alias("id"), parsed(text).alias("own"))
     with batches_of(docs.sparkSession, 4 * BATCH):
-        rows = settle(rows.select("id", "own.n", "own.node", "own.bands", "own.sign"))
-    named = rows.filter("n > 0 AND id IS NOT NULL")
-    nodes = settle(named.groupBy("node").agg(F.min("id").alias("rep")))
-
-    # Buckets that hold more than one set. A set's weight is the sum of its buckets' sizes: the centre of a group of
-    # near copies is more like each of them than they are like each other, and shares the most buckets.
-    one = named.join(nodes.select("node", F.col("rep").alias("id")), ["node", "id"]).dropDuplicates(["node"])
-    entries = one.select("node", F.explode("bands").alias("bucket"))
-    sizes = settle(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    found = settle(entries.join(sizes, "bucket"))
-    weights = found.groupBy("node").agg(F.sum("size").alias("weight"))
-    known = settle(one.select("node", "n", "id", "sign").join(weights, "node"))
-    members = found.select("bucket", "node").join(known.select("node", "n", "sign", "weight"), "node")
+        rows = settle(rows.select("id", "own.n", "own.node", "own.bands", F.xxhash64("own.node").alias("short")))
+    nodes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("short").alias("short"), F.first("bands").alias("bands"))
+    nodes = settle(nodes)
+
+    # Buckets that hold more than one set. Candidates are named by 64 bits here: two with one name are looked at together.
+    entries = nodes.select("short", F.explode("bands").alias("bucket"))
+    sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    found = settle(entries.join(sizes.hint("merge"), "bucket"))
+    # A set's weight is the sum of its buckets' sizes: the centre of a group of near copies is more like each of them
+    # than they are like each other, and shares the most buckets.
+    weights = found.groupBy("short").agg(F.sum("size").alias("weight"))
+    wanted = settle(nodes.select("node", "short", "rep", "n").join(weights.hint("merge"), "short"))
 
     # Only candidates are read a second time; a filter of fixed size spares the other texts, the join makes it exact.
-    wanted = known.select("node", "id")
-    bits = bit_table(wanted.select(F.explode(bit_positions(F.xxhash64("id"), LOG_BITS)).alias("bit")).distinct(), "bit")
+    bits = bit_table(wanted.select(F.explode(bit_positions(F.xxhash64("rep"), LOG_BITS)).alias("bit")).distinct(), "bit")
     texts = docs.select(F.xxhash64(column(docs, id_col).cast("long")).alias("key"), text.alias("text"))
     texts = probe_bits(texts, "key", settle(bits), LOG_BITS, "maybe").filter("maybe")
     made = texts.select(sets(F.col("text")).alias("own")).select("own.node", "own.elements")
     with batches_of(docs.sparkSession, BATCH):
-        store = settle(made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-
-    # In each turn, each bucket that holds several components compares some of its members, the pivots, with those of
-    # other components; a member that has been a pivot leaves the bucket. First the heaviest member, then the heaviest
-    # outside the largest component; later all members outside, or if they are many a share that doubles by turn.
-    enough, rest, turn = BINS * percent // 100 - MARGIN, members, 0
-    names = links = None
-    while True:
-        placed = rest.withColumn("comp", F.col("node")) if names is None else rest.join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("weight", "node")).alias("heavy"))
-        several = counts.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"), F.max("heavy").alias("heavy"), F.count(F.lit(1)).alias("comps"))
-        several = settle(several.filter("comps > 1").select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside"), F.col("heavy.node").alias("heavy")))
-        if several.isEmpty():
-            break
-        placed = settle(placed.join(several.hint("merge"), "bucket"))
-        few = F.col("outside") <= FEW
-        if turn % 2 == 0 and turn < HUBS:
-            chosen = placed.filter("node = heavy")
-        elif turn < HUBS:
-            other = placed.filter("comp <> top").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("p")).select("bucket", F.col("p.node").alias("node"))
-            chosen = placed.join(other.hint("merge"), ["bucket", "node"])
-        else:
-            lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) < F.lit(FEW << 20 << (turn - HUBS)) / (F.col("outside") + 1)
-            chosen = placed.filter((few & (F.col("comp") != F.col("top"))) | (~few & lot))
-        pivots = chosen.select("bucket", F.col("node").alias("p"), F.col("comp").alias("pc"), F.col("n").alias("pn"), F.col("sign").alias("ps"))
-        # Pairs are looked at if their sizes and sketches allow the similarity.
-        likely = (F.col("comp") != F.col("pc")) & (F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent)
-        likely &= agreeing("sign", "ps") >= enough
-        pairs = placed.join(pivots.hint("merge"), (placed["bucket"] == pivots["bucket"]) & likely)
-        pairs = settle(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-        new = verify(pairs, store, percent)
-        links = new if links is None else settle(links.unionByName(new))
-        names = components(links)
-        # Buckets of few are settled once all outside their largest component have been compared.
-        left = placed.filter(~few) if turn >= HUBS else placed
-        used = pivots.select("bucket", F.col("p").alias("node"))
-        rest = settle(left.join(used.hint("merge"), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "sign", "weight"))
-        turn += 1
-
-    if names is None:
-        names = nodes.select("node", F.col("node").alias("comp"))
-    placed = nodes.join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        made = made.join(wanted.select("node", "short", "n", "weight").hint("merge"), "node")
+        store = settle(made.groupBy("node").agg(*(F.first(c).alias(c) for c in ("short", "n", "weight", "elements"))))
+
+    live = settle(store.select("short").join(alone(store, percent).hint("merge"), "short", "left_anti").distinct())
+    entries = settle(found.select("bucket", "short").join(live.hint("merge"), "short"))
+    heads = entries.groupBy("bucket").agg(F.min("short").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    edges = entries.join(heads.hint("merge"), "bucket").filter("short <> head").select(F.col("head").alias("a"), F.col("short").alias("b")).distinct()
+    groups = components(edges).select(F.col("node").alias("short"), F.col("comp").alias("group"))
+    members = store.join(groups.hint("merge"), "short").select("group", "node", "n", "weight", "elements")
+    names = components(group_links(members, percent, chunk, chunk_sets))
+
+    placed = nodes.select("node", "rep").join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = settle(placed.join(least.hint("merge"), "comp").select("node", "component_id"))
-    out = rows.drop("bands", "sign").join(named, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
+    out = rows.select("id", "n", "node").join(named, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
     return out.select(*["node"] * with_node, "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

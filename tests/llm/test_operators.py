@@ -121,10 +121,9 @@ def test_near_dedup_of_odd_documents(odd, empty):
     assert near_dedup.group(empty).count() == 0 and near_dedup.keep_one(empty).count() == 0
 
 
-@pytest.mark.parametrize("few", [64, 1])
-def test_near_dedup_finds_every_link(spark, monkeypatch, few):
-    """Chains of edits, so that components hold pairs that are not linked, and buckets hold several components."""
-    monkeypatch.setattr(near_dedup, "FEW", few)
+@pytest.mark.parametrize("chunk", [near_dedup.CHUNK, 700, 100])
+def test_near_dedup_finds_every_link(spark, chunk):
+    """Chains of edits, so that components hold pairs that are not linked, and groups hold several components."""
     rng, items = random.Random(11), []
     for g in range(6):
         words = [f"w{rng.randint(0, 60)}" for _ in range(90)]
@@ -132,13 +131,71 @@ def test_near_dedup_finds_every_link(spark, monkeypatch, few):
             items.append((len(items) * 7 % 101 + 1000 * g, " ".join(words)))
             for _ in range(rng.choice((0, 1, 2))):
                 words[rng.randrange(90)] = f"v{rng.randint(0, 10**6)}"
+    for _ in range(30):  # a star: edits of one text, less like each other than like the text
+        own = [f"s{k}" for k in range(80)]
+        for _ in range(rng.choice((1, 1, 2, 4))):
+            own[rng.randrange(80)] = f"t{rng.randint(0, 10**6)}"
+        items.append((len(items) + 9000, " ".join(own)))
+    items.append((9999, " ".join(f"s{k}" for k in range(80))))
     df = spark.createDataFrame(items, "doc_id long, text string")
     for percent in (80, 85):
-        assert rows_of(near_dedup.group(df, percent), "id", "n_shingles", "component_id") == sorted(map(repr, brute_near(items, percent)))
+        assert rows_of(near_dedup.group(df, percent, chunk=chunk), "id", "n_shingles", "component_id") == sorted(map(repr, brute_near(items, percent)))
     n = len({c for *_, c in brute_near(items, 80)})
     assert near_dedup.keep_one(df, 80).count() == n
 
 
+def test_near_copies_without_an_id_count(spark):
+    base = [f"w{k}" for k in range(100)]
+    near = lambda *at: " ".join("x%d" % k if k in at else w for k, w in enumerate(base))
+    # 1 and 2 are linked through the row without an id only
+    items = [(1, near(3, 4, 5)), (None, near()), (2, near(90, 91, 92)), (None, near(50)), (None, "other words than these are here"), (None, "other words than these are here")]
+    assert rows_of(near_dedup.group(spark.createDataFrame(items, "doc_id long, text string"), 85), "id", "n_shingles", "component_id") == sorted(map(repr, brute_near(items, 85)))
+
+
+def exact_components(items, percent):
+    """All links by walking along the documents of each shingle."""
+    sets = [(i, s) for i, s in shingle_sets(items)]
+    having = defaultdict(list)
+    for a, (_, s) in enumerate(sets):
+        for e in s:
+            having[e].append(a)
+    common = Counter()
+    for own in having.values():
+        for k, a in enumerate(own):
+            for b in own[:k]:
+                common[b, a] += 1
+    parent = list(range(len(sets)))
+
+    def root(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+
+    for (a, b), n in common.items():
+        if 100 * n >= percent * (len(sets[a][1]) + len(sets[b][1]) - n):
+            parent[root(a)] = root(b)
+    least = {}
+    for a, (i, _) in enumerate(sets):
+        least[root(a)] = min(i, least.get(root(a), i))
+    return [(i, len(s), least[root(a)] if s else i) for a, (i, s) in enumerate(sets)]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_dedup_of_a_whole_table(spark, percent):
+    """Recall over all documents of sf0.01: components are those of every link."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    items = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    assert rows_of(near_dedup.group(docs, percent), "id", "n_shingles", "component_id") == sorted(map(repr, exact_components(items, percent)))
+
+
+def test_overlaps_are_those_of_the_sets():
+    rng = np.random.RandomState(5)
+    sets = [np.unique(rng.randint(0, hi, rng.randint(1, 90))) for hi in (40, 40, 300, 300, 5000) * 12]
+    out = near_dedup.overlaps(np.concatenate(sets), np.repeat(np.arange(60), [len(s) for s in sets]), 60)
+    assert all(out[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(60) for j in range(i + 1, 60))
+
+
 def test_components_are_the_same_in_one_task_and_spread(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randint(0, 60), 100 + rng.randint(0, 60)) for _ in range(35)]
