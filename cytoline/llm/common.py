@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,18 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_ready: dict = {}
+
+
+def ready(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: one model at a time, so that stages do not add up."""
+    if key not in _ready:
+        _ready.clear()
+        pa.default_memory_pool().release_unused()
+        _ready[key] = make()
+    return _ready[key]
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, at most so many rows go to a Python worker at once; for steps that run inside, with heavy rows."""

@@ -2,7 +2,8 @@
 
 Normalisation walks the text by the longest prefix that the model's compiled character map knows, and records for
 every normalised byte where its source began. Byte-pair merges then run on the normalised text, and each piece is
-projected back to a span of original UTF-8 bytes.
+projected back to a span of original UTF-8 bytes. Nothing merges across the borders of a unit (mostly a word with the
+space before it), so a unit is normalised, merged and projected once, and its ids and the widths of its spans remembered.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, ready
 from .token_counts import Memory
 
 SPACE = "▁"  # stands for a space in normalised text
@@ -27,6 +29,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of piec
 
 NEVER = float("-inf")
 RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+PLAIN_RUNS = re.compile(" *[^ \n]+| +|\n")
 
 
 class CharacterMap:
@@ -97,44 +100,50 @@ class Model:
         self.inside = {p[i : i + 2] for p in long for i in range(len(p) - 1)}
         self.special = {i for i, k in enumerate(self.kinds) if k == BYTE}
         self.shown = [" ⁇ " if k == UNKNOWN else "" if k == CONTROL else p.replace(SPACE, " ") for p, k in zip(self.pieces, self.kinds)]
-        self.units = Memory(self._unit)
+        #: Pieces that decode to themselves, and their ids in decimal.
+        self.decimal = {p: str(i) for i, p in enumerate(self.pieces) if self.kinds[i] == NORMAL}
+        self.units, self.ends, self.runs = Memory(self._unit), Memory(self._stretch), Memory(self._run)
 
     # -- normalisation --------------------------------------------------------------------------------------------
 
-    def normalise(self, text: str) -> tuple[str, list[int]]:
-        """The normalised text and, for each of its bytes and its end, the byte of the original where it began."""
-        data, out, place, at = text.encode(), bytearray(), [], 0
-        space = SPACE.encode() if self.escape else b" "
-
-        def put(piece: bytes, source: int) -> None:
-            for byte in piece:
-                if byte == 32:
-                    out.extend(space)
-                    place.extend([source] * len(space))
-                else:
-                    out.append(byte)
-                    place.append(source)
-
-        chunks = []
+    def _mapped(self, text: str) -> tuple[list[tuple[bytes, int]], int]:
+        """The map's replacements along the text, by longest prefix, and where each began; and the text's bytes."""
+        data, out, at = text.encode(), [], 0
         while at < len(data):
             piece, taken = self.map.longest_prefix(data, at)
-            chunks.append((piece, at))
+            out.append((piece, at))
             at += taken
+        return out, len(data)
+
+    def _joined(self, chunks: list[tuple[bytes, int]]) -> tuple[bytearray, list[int]]:
+        """Normalised bytes with spaces escaped, and for each byte where its source began."""
+        out, place = bytearray(), []
+        space = SPACE.encode() if self.escape else b" "
+        for piece, source in chunks:
+            piece = piece.replace(b" ", space)
+            out += piece
+            place += [source] * len(piece)
+        return out, place
+
+    def normalise(self, text: str) -> tuple[str, list[int]]:
+        """The normalised text and, for each of its bytes and its end, the byte of the original where it began."""
+        mapped, size = self._mapped(text)
         if self.squeeze:
-            while chunks and chunks[0][0] in (b" ", b""):
-                chunks.pop(0)
-        if chunks and self.dummy:
-            put(b" ", chunks[0][1])
+            while mapped and mapped[0][0] in (b" ", b""):
+                mapped.pop(0)
+        chunks = [(b" ", mapped[0][1])] if mapped and self.dummy else []
         after_space = self.squeeze
-        for piece, source in chunks:
+        for piece, source in mapped:
             while after_space and piece.startswith(b" "):
                 piece = piece[1:]
             if piece:
-                put(piece, source)
+                chunks.append((piece, source))
                 after_space = self.squeeze and piece.endswith(b" ")
+        out, place = self._joined(chunks)
+        space = SPACE.encode() if self.escape else b" "
         while self.squeeze and out.endswith(space):
             del out[-len(space) :], place[-len(space) :]
-        return out.decode(), [*place, len(data)]
+        return out.decode(), [*place, size]
 
     # -- merges ---------------------------------------------------------------------------------------------------
 
@@ -174,68 +183,99 @@ class Model:
             offer(i)
         return [p for p in parts if p]
 
-    def ids_of(self, text: str) -> list[int]:
-        """The ids of normalised text; a character that no piece has becomes its bytes."""
-        out: list[int] = []
-        for piece in self.merge(text):
+    def aligned(self, normal: str, place: list[int]) -> tuple[list[int], list[int]]:
+        """The ids of normalised text, and how many original bytes each stands for.
+
+        ``place`` has the source of each byte and of the end. A character that no piece has becomes its bytes, of which
+        the first stands for all.
+        """
+        ids, widths, at = [], [], 0
+        for piece in self.merge(normal):
+            size = len(piece.encode())
+            width = place[at + size] - place[at]
             found = self.id_of.get(piece, self.unknown)
             if self.kinds[found] == UNKNOWN and self.byte_ids:
-                out += [self.byte_ids[b] for b in piece.encode()]
+                ids += [self.byte_ids[b] for b in piece.encode()]
+                widths += [width] + [0] * (size - 1)
             else:
-                out.append(found)
-        return out
-
-    def _unit(self, key: str) -> str | tuple[str, str]:
-        """The ids of a unit in decimal, joined by commas, if they decode to its text again; else with what they decode to.
-
-        ``key``: the unit without the space that it starts with, unless it starts with a line end.
+                ids.append(found)
+                widths.append(width)
+            at += size
+        return ids, widths
+
+    def _run(self, run: str) -> tuple[list[int], list[int]]:
+        """Ids and widths of a part of a text that nothing merges out of; not its beginning."""
+        mapped, size = self._mapped(run)
+        out, place = self._joined(mapped)
+        return self.aligned(out.decode(), [*place, size])
+
+    def _stretch(self, part: str) -> tuple[str, ...]:
+        """The ids and widths of such a part in decimal, joined by commas; with a third entry if the ids do not decode to it."""
+        if part.isascii() and not self.map.units:  # every byte is a character and stands for itself
+            merged = self.merge(part.replace(" ", SPACE))
+            ids = [self.decimal.get(p) for p in merged]
+            if None not in ids:
+                return ",".join(ids), ",".join([str(len(p)) for p in merged])
+        ids, widths = self._run(part)
+        lines = ",".join(map(str, ids)), ",".join(map(str, widths))
+        return lines if self._text(ids) == part else (*lines, "")
+
+    def _unit(self, key: str) -> tuple[str, ...]:
+        """As :func:`_stretch`, for a unit without the space that it starts with; a unit that starts with a line end has none.
+
+        Last characters that no piece joins with what is before them (as a full stop) are encoded on their own.
         """
-        if len(key) > 1 and key[0] != "\n" and key[-2:] not in self.inside:  # nothing merges across this border
-            head, tail = self.units[key[:-1]], self.ids_of(key[-1])
-            if isinstance(head, str) and self._text(tail) == key[-1]:
-                return head + "," + ",".join(map(str, tail))
-        unit = key if key[:1] == "\n" else SPACE + key
-        ids = self.ids_of(unit)
-        line, back = ",".join(map(str, ids)), self._text(ids)
-        return line if back == unit.replace(SPACE, " ") else (line, back)
-
-    def round_trip(self, text: str) -> tuple[str, str]:
-        """The ids of a whole text in decimal, joined by commas, and the text that they decode to."""
+        if key[:1] == "\n":
+            return self._stretch(key)
+        end = len(key)
+        while end > 1 and key[end - 2 : end] not in self.inside:
+            end -= 1
+        if end == len(key):
+            return self._stretch(" " + key)
+        return tuple(map(",".join, zip(self.units[key[:end]], *map(self.ends.__getitem__, key[end:])))) if end else self._stretch(" ")
+
+    def round_trip(self, text: str) -> tuple[str, str, str]:
+        """The ids of a whole text in decimal, joined by commas; the original bytes that each stands for, likewise; and the text that the ids decode to."""
         if not text:
-            return "", ""
+            return "", "", ""
         if self.fast and "  " not in text and text[0] != " " and SPACE not in text:
-            # A unit starts at a space or a line end; equal units are encoded and decoded once.
+            # A unit starts at a space or a line end; equal units are encoded, aligned and decoded once.
             units = list(map(self.units.__getitem__, text.replace("\n", " \n").split(" ")))
-            if str in (kinds := set(map(type, units))) and len(kinds) == 1:
-                return ",".join(units), text
-        ids = self.encode(text)
-        return ",".join(map(str, ids)), self.decode(ids)
-
-    def encode(self, text: str) -> list[int]:
-        """The ids of a whole text."""
-        if not text:
-            return []
-        if not self.fast:
-            return self.ids_of(self.normalise(text)[0])
+            if max(map(len, units)) == 2:
+                width, _, more = ",".join([u[1] for u in units]).partition(",")
+                width = str(int(width) - 1)  # the first space is not in the text
+                return ",".join([u[0] for u in units]), f"{width},{more}" if more else width, text
+        ids, widths = self.encode(text)
+        return ",".join(map(str, ids)), ",".join(map(str, widths)), self.decode(ids)
+
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """The ids of a whole text, and how many original bytes each stands for."""
+        if not self.fast or SPACE in text or not text:
+            normal, place = self.normalise(text)
+            if not self.fast:
+                return self.aligned(normal, place)
+            ids, widths, at = [], [], 0
+            for run in RUNS.findall(normal):
+                end = at + len(run.encode())
+                own = self.aligned(run, place[at : end + 1])
+                ids += own[0]
+                widths += own[1]
+                at = end
+            return ids, widths
         # Spaces in a row can be one piece, with or without what follows; nothing else crosses these borders.
-        return [i for unit in RUNS.findall(SPACE + text.replace(" ", SPACE)) for i in self.ids_of(unit)]
+        ids, widths = [], []
+        for run in PLAIN_RUNS.findall(" " + text):
+            own = self.runs[run]
+            ids += own[0]
+            widths += own[1]
+        widths[0] -= 1  # the first space is not in the text
+        return ids, widths
 
     def pieces_of(self, text: str) -> list[Piece]:
         """Every piece of the text with its span of original bytes; of a character's byte pieces the first has it."""
-        normal, place = self.normalise(text)
-        out, at, left = [], 0, 0
-        data = normal.encode()
-        for i in self.encode(text):
-            if self.kinds[i] != BYTE:
-                length = len(self.pieces[i].encode()) if self.kinds[i] != UNKNOWN else _width(data[at])
-            elif left:
-                left, length = left - 1, 0
-            else:
-                length = _width(data[at])
-                left = length - 1
-            out.append(Piece(i, self.pieces[i], place[at], place[at + length]))
-            at += length
-        return out
+        ids, widths = self.encode(text)
+        ends = list(accumulate(widths))
+        return [Piece(i, self.pieces[i], end - width, end) for i, width, end in zip(ids, widths, ends)]
 
     # -- decoding -------------------------------------------------------------------------------------------------
 
@@ -285,23 +325,19 @@ def _lenient(raw: bytearray) -> str:
         return "".join(out)
 
 
-_ready: dict[int, Model] = {}
-
-
 def model(proto: bytes) -> Model:
     """The worker's model for these bytes; it keeps the units it has met from task to task."""
-    key = hash(proto)
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = Model(proto)
-    return _ready[key]
+    return ready(("sentence pieces", hash(proto)), lambda: Model(proto))
 
 
-DIGEST = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
+DIGEST = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string, widths_sha256: string>"
 
 
 def digest(text: Column, proto: bytes) -> Column:
-    """Encode and decode each whole text: the number of ids, digests of the ids and of the decoded text."""
+    """Encode and decode each whole text: the number of ids, digests of the ids, of the decoded text and of the widths.
+
+    Widths are the lengths, in original UTF-8 bytes, of the spans that the ids stand for; spans follow each other.
+    """
 
     @F.arrow_udf(DIGEST)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -309,17 +345,13 @@ def digest(text: Column, proto: bytes) -> Column:
 
         own = model(proto)
         for texts in batches:
-            counts, ids, decoded = [], [], []
+            counts, digests = [], ([], [], [])
             for value in texts:
-                text = value.as_py() or ""
-                line, back = own.round_trip(text)
-                counts.append(line.count(",") + 1 if line else 0)
-                ids.append(sha256(line.encode()).hexdigest())
-                decoded.append(sha256(back.encode()).hexdigest())
-            yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                ids, widths, back = own.round_trip(value.as_py() or "")
+                counts.append(ids.count(",") + 1 if ids else 0)
+                for out, line in zip(digests, (ids, back, widths)):
+                    out.append(sha256(line.encode()).hexdigest())
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), *(pa.array(d, pa.string()) for d in digests)], ["n_tokens", "ids_sha256", "decoded_sha256", "widths_sha256"])
 
     return run(text)
 
@@ -357,10 +389,10 @@ def ids(text: Column, proto: bytes) -> Column:
 
 
 def measure(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256`` for each row; null texts are empty, repeated rows are rows.
+    """``id, n_tokens, ids_sha256, decoded_sha256, widths_sha256`` for each row; null texts are empty, repeated rows are rows.
 
     Empty tables give empty results; null ids stay null; other columns are not read.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
     rows = docs.select(column(docs, id_col).alias("id"), digest(text, proto).alias("own"))
-    return rows.select("id", "own.n_tokens", "own.ids_sha256", "own.decoded_sha256")
+    return rows.select("id", "own.*")

@@ -10,17 +10,18 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, ready
 
-#: Entries of each half of a worker's memory of words.
-REMEMBERED = 150_000
+#: Entries of each half of a worker's memory of words, and the longest words that are remembered.
+REMEMBERED, LONGEST = 100_000, 64
 
 
 #: The division into words of the model whose texts are divided here, and what keeps a text from that.
@@ -37,13 +38,18 @@ BYTE_SYMBOLS = {b: chr(b) for b in _shown} | {b: chr(256 + i) for i, b in enumer
 
 
 class Memory(dict):
-    """Results by key, worked out when missing. Of more than REMEMBERED keys, those not used lately are forgotten."""
+    """Results by key, worked out when missing. Of more than REMEMBERED keys, those not used lately are forgotten.
+
+    Keys of more than LONGEST characters are not remembered, so that memory is bounded whatever the texts.
+    """
 
     def __init__(self, work) -> None:
         super().__init__()
         self.work, self.older = work, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST:
+            return self.work(key)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
@@ -174,9 +180,7 @@ class PrefixCounter:
         Western texts with nothing to normalise but case are divided here. Anything else goes through the library in
         runs between spaces, which no word crosses.
         """
-        if self.plain and not UNUSUAL.search(text) and not any(h in text for h in self.hints):
-            return sum(map(self.by_word.__getitem__, PLAIN_WORD.findall(text.lower())))
-        return sum(map(self.by_run.__getitem__, text.replace("\n", " ").split(" ")))
+        return self.fitting(text, len(text.encode()))[0]
 
     def _word(self, word: str) -> int:
         if not word.isascii():
@@ -239,32 +243,57 @@ class PrefixCounter:
             at += len(part)
         return out
 
-    def truncate(self, text: str, budget: int) -> str:
-        """The longest prefix of at most ``budget`` tokens, from the stored counts."""
-        counts = self.prefixes(text)
-        return text[: max(i for i, n in enumerate(counts) if n <= budget)]
+    def fitting(self, text: str, budget: int) -> tuple[int, int]:
+        """Tokens of the text, and how many code points its longest prefix of at most ``budget`` tokens has.
 
+        Counts of words add up, and those of runs between spaces whatever follows; so only the run in which the budget
+        is crossed is asked for the counts of its prefixes.
+        """
+        plain = self.plain and not UNUSUAL.search(text) and not any(h in text for h in self.hints)
+        if plain:
+            lower = text.lower()
+            sums = list(accumulate(map(self.by_word.__getitem__, PLAIN_WORD.findall(lower)), initial=0))
+        else:
+            runs = list(RUN.finditer(text))
+            sums = list(accumulate((self.by_run[r.group()] for r in runs), initial=0))
+        if sums[-1] <= budget:
+            return sums[-1], len(text)
+        k = bisect_right(sums, budget) - 1
+        at = next(islice(PLAIN_WORD.finditer(lower), k, None)).start() if plain else runs[k].start()
+        start = at
+        while start and RUN.match(text[start - 1]):
+            start -= 1
+        before = sums[k - len(PLAIN_WORD.findall(lower, start, at))] if plain else sums[k]
+        own = self.prefixes(RUN.match(text, start).group())
+        return sums[-1], start + max(i for i, n in enumerate(own) if before + n <= budget)
 
-_ready: dict[int, PrefixCounter] = {}
+    def truncate(self, text: str, budget: int) -> str:
+        """The longest prefix of at most ``budget`` tokens, from the stored counts."""
+        return text[: self.fitting(text, budget)[1]]
 
 
 def counter(definition: str) -> PrefixCounter:
     """The worker's counter for this definition; it keeps what it has learned from task to task."""
-    key = hash(definition)
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = PrefixCounter(definition)
-    return _ready[key]
+    return ready(("token counts", hash(definition)), lambda: PrefixCounter(definition))
 
 
-def token_count(text: Column, definition: str) -> Column:
-    """The exact number of tokens of each whole text, a long. ``definition``: the tokenizer file's content."""
+def token_count(text: Column, definition: str, budget: int) -> Column:
+    """The exact number of tokens of each whole text, and the bytes of its longest prefix of at most ``budget`` tokens.
+
+    ``definition``: the tokenizer file's content.
+    """
 
-    @F.arrow_udf("long")
+    @F.arrow_udf("struct<n_tokens: bigint, kept_bytes: bigint>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counts = counter(definition).count
+        own = counter(definition)
         for texts in batches:
-            yield pa.array([counts(t.as_py() or "") for t in texts], pa.int64())
+            counts, kept = [], []
+            for value in texts:
+                text = value.as_py() or ""
+                n, fits = own.fitting(text, budget)
+                counts.append(n)
+                kept.append(len(text[:fits].encode()))
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(kept, pa.int64())], ["n_tokens", "kept_bytes"])
 
     return count(text)
 
@@ -294,10 +323,11 @@ def truncated(text: Column, definition: str, budget: int) -> Column:
 
 
 def measure(docs: DataFrame, definition: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_bytes, n_tokens, over_limit`` for each row; repeated rows are counted each, null ids stay null.
+    """``id, n_bytes, n_tokens, over_limit, kept_bytes`` for each row; repeated rows are counted each, null ids stay null.
 
-    A null text is empty and has no tokens. Empty tables give empty results; other columns are not read.
+    ``kept_bytes`` is what truncation to ``limit`` tokens leaves. A null text is empty and has no tokens. Empty tables
+    give empty results; other columns are not read.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
-    rows = docs.select(column(docs, id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), token_count(text, definition).alias("n_tokens"))
-    return rows.withColumn("over_limit", F.col("n_tokens") > limit)
+    rows = docs.select(column(docs, id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), token_count(text, definition, limit).alias("own"))
+    return rows.select("id", "n_bytes", "own.n_tokens", (F.col("own.n_tokens") > limit).alias("over_limit"), "own.kept_bytes")

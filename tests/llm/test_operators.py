@@ -380,6 +380,10 @@ def test_token_counts_equal_the_library(odd, empty, texts):
         assert own.count(t) == exact(t)
     t = "Hello<|endoftext|>World's shhahaerble été 12!! x"
     assert own.prefixes(t) == [exact(t[:i]) for i in range(len(t) + 1)]
+    for r in token_counts.measure(odd.filter("length(text) < 30000"), definition, 9).collect():
+        (text,) = {t for i, t, _ in ODD if i == r["id"] and t and len(t.encode()) == r["n_bytes"]} or {""}
+        fits = max((i for i in range(min(len(text), 200) + 1) if exact(text[:i]) <= 9), default=0)
+        assert r["kept_bytes"] == len(text[:fits].encode())
     cut = own.truncate(t, 5)
     assert exact(cut) <= 5 and t.startswith(cut)
 
@@ -401,21 +405,40 @@ def test_token_counts_of_prefixes_on_every_text(odd):
         assert r["cut"] == r["text"][: max(i for i, n in enumerate(r["n"]) if n <= 3)]
 
 
+@pytest.mark.parametrize("text", ["1234567890" * 50, "日本語" * 1000, "🎉😀" * 1000, "。！" * 4000, "ก็ดีนะ" * 2000, "ඳෞ" * 9000, "中文没有空格的长文本" * 10000, "?!" * 20000, "\n" * 3000, " " * 3000, "ab" * 40000])
+def test_sentence_pieces_of_long_unbroken_texts(text):
+    import sentencepiece
+
+    proto = tokenizer_file("piece_bpe_32k.model")
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=proto), sentence_pieces.Model(proto)
+    for t in (text, "a " + text + " b", text + "."):
+        ids = library.encode(t)
+        line, _, back = own.round_trip(t)
+        assert line == ",".join(map(str, ids)) and back == library.decode(ids)
+        assert b"".join(t.encode()[p.start : p.end] for p in own.pieces_of(t)) == t.encode()
+    assert not any(len(k) > token_counts.LONGEST for memory in (own.units, own.ends, own.runs) for k in memory)
+
+
 def test_sentence_pieces_equal_the_library(spark, odd, empty, texts):
     import sentencepiece
 
     proto = tokenizer_file("piece_bpe_32k.model")
     library, own = sentencepiece.SentencePieceProcessor(model_proto=proto), sentence_pieces.Model(proto)
     want = {(i, len(ids := library.encode(t or "")), sha(",".join(map(str, ids))), sha(library.decode(ids))) for i, t, _ in ODD}
-    assert {tuple(r) for r in sentence_pieces.measure(odd, proto).collect()} == want
+    rows = sentence_pieces.measure(odd, proto).collect()
+    assert {(r["id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows} == want
+    widths = lambda t: sha(",".join(str(p.end - p.start) for p in own.pieces_of(t)))
+    assert {(r["id"], r["widths_sha256"]) for r in rows} == {(i, widths(t or "")) for i, t, _ in ODD}
     assert sentence_pieces.measure(empty, proto).count() == 0
     rng = random.Random(0)
     alphabet = "abcdeéßΣ日🎉'st 1\n\t  ▁!<s>unk0x0A>  \x00\r "
     for t in [t for _, t in texts[:60]] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1500)]:
         ids = library.encode(t)
-        line, back = own.round_trip(t)
+        line, spans, back = own.round_trip(t)
         assert line == ",".join(map(str, ids)) and back == library.decode(ids)
         pieces = own.pieces_of(t)
+        assert spans == ",".join(str(p.end - p.start) for p in pieces)
+        assert not t or own.aligned(*own.normalise(t)) == own.encode(t)  # the whole text at once
         assert [p.id for p in pieces] == ids and b"".join(t.encode()[p.start : p.end] for p in pieces) == t.encode()
     got = {r["doc_id"]: r["p"] for r in odd.filter("doc_id IN (4, 8)").select("doc_id", sentence_pieces.pieces(F.coalesce("text", F.lit("")), proto).alias("p")).collect()}
     assert not got[4] and [p["piece"] for p in got[8]] == ["▁one", "▁two"]
