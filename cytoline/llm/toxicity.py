@@ -6,15 +6,19 @@ down, and stops once no bound can reach the k-th best cosine found: the result i
 with their similarity; the vote is calibrated on the examples themselves, each without its own copy in the index.
 All terms of the examples are indexed, and cosines are over all of them. Each text is searched for twice: by plain
 TF-IDF, whose neighbours are the evidence and show near copies, and with terms weighed by how much their document
-frequencies differ between the classes as well, whose neighbours' vote is calibrated.
+frequencies differ between the classes as well, whose neighbours' vote is calibrated. Texts are searched for in
+batches: where the bounds of many texts leave many blocks open, those are read by one product of matrices in single
+precision, and what can be among the nearest is summed again in full.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,19 +26,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, settle
+from .common import column, ready, settle
 from .labelled import held_out, platt, sample
 
 #: Bound of what is learned from: labelled examples of each class.
 PER_CLASS = 4096
-#: The class signal weighs a term by the square of its chi-squared between the classes over this, at most 1.
+#: The class signal weighs a term by the square of its chi-squared between the classes over this, at most 1. Of less than
+#: its mean, 1, chi-squared tells nothing, and the signal leaves the term out.
 CHI = 30.0
 #: A term in one of so many examples has a row of weights; the cosine of near copies.
 COMMON, COPY = 16, 0.8
 #: Examples in a block of the index; blocks that are read first; neighbours that vote; weight of the base rate among them.
 BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 15, 0.5
-#: Scores that a worker remembers, by the checksum of the text.
-REMEMBERED = 100_000
+#: Texts that are searched for together; what a sum in single precision can be off at most.
+TOGETHER, SLACK = 64, 1e-4
+#: Answers that a worker remembers, by the checksum of the text.
+REMEMBERED = 20_000
 TERM = re.compile(r"[^\W_]+")
 
 
@@ -50,97 +57,109 @@ class Postings:
     weight of each block. Of any other term only the examples with it are stored, and their weights.
     """
 
-    def __init__(self, idf: np.ndarray, common: int, starts: np.ndarray, examples: np.ndarray, values: np.ndarray, n: int, block: int) -> None:
-        self.parts = idf, common, starts, examples, values, n, block
-        self.idf, self.common, self.starts, self.examples, self.values = idf, common, starts, examples, values
-        self.block, self.blocks = block, max(1, -(-n // block))
-        self.rows = np.zeros((common, self.blocks * block))
-        inner = slice(0, starts[common])
-        self.rows[np.repeat(np.arange(common), np.diff(starts[: common + 1])), examples[inner]] = values[inner]
-        self.best = self.rows.reshape(common, self.blocks, block).max(2)
-
-    @classmethod
-    def of(cls, of_example: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, factor: np.ndarray) -> Postings:
-        """The index of (example, term, count) triples; terms are numbered from the most frequent one down, and weighed by ``factor``."""
-        frequency = np.bincount(terms, minlength=len(factor))
-        idf = (np.log((1 + n) / (1 + frequency)) + 1) * factor
-        values = (1 + np.log(counts)) * idf[terms]
-        norms = np.sqrt(np.bincount(of_example, values**2, minlength=n))
-        values = values / np.where(norms > 0, norms, 1.0)[of_example]
-        by = np.lexsort((of_example, terms))
-        starts = np.concatenate([[0], np.cumsum(frequency)]).astype(np.int64)
-        return cls(idf, int((frequency >= max(2, n / COMMON)).sum()), starts, of_example[by].astype(np.int32), values[by], n, BLOCK)
+    def __init__(self, starts: np.ndarray, examples: np.ndarray, counts: np.ndarray, n: int, factor: np.ndarray) -> None:
+        """``starts``: where each term's ``examples`` and ``counts`` begin; a term's weights are multiplied by its ``factor``."""
+        frequency = np.diff(starts)
+        self.block, self.blocks = BLOCK, max(1, -(-n // BLOCK))
+        self.idf = (np.log((1 + n) / (1 + frequency)) + 1) * factor
+        self.common = common = int((frequency >= max(2, n / COMMON)).sum())
+        told = np.repeat(self.idf > 0, frequency)
+        self.examples = examples[told]
+        self.starts = np.concatenate([[0], np.cumsum(np.where(self.idf > 0, frequency, 0))]).astype(np.int64)
+        self.values = np.log(counts[told], dtype=np.float64)
+        self.values += 1
+        self.values *= np.repeat(self.idf, np.diff(self.starts))
+        norms = np.sqrt(np.bincount(self.examples, self.values**2, minlength=n))
+        self.values /= np.where(norms > 0, norms, 1.0)[self.examples]
+        #: Common terms that weigh something; their rows, block maxima, and the rows in single precision.
+        self.used = np.flatnonzero(self.idf[:common])
+        self.row_of = np.full(common, -1)
+        self.row_of[self.used] = np.arange(len(self.used))
+        self.rows = np.zeros((len(self.used), self.blocks * self.block))
+        inner = slice(0, self.starts[common])
+        self.rows[np.repeat(np.arange(len(self.used)), np.diff(self.starts[: common + 1])[self.used]), self.examples[inner]] = self.values[inner]
+        self.best = self.rows.reshape(-1, self.blocks, self.block).max(2)
+        self.single = self.rows.astype(np.float32)
 
     def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and their weights, 1 + log of the count, times idf, to unit length."""
-        at = np.fromiter(sorted(counts), np.int64, len(counts))
-        weights = (1 + np.log([counts[t] for t in at.tolist()])) * self.idf[at] if len(at) else np.zeros(0)
+        at = np.fromiter(counts, np.int64, len(counts))
+        weights = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.idf[at]
+        told = np.flatnonzero(weights)
+        told = told[np.argsort(at[told])]
+        at, weights = at[told], weights[told]
         norm = np.sqrt((weights**2).sum())
         return at, weights / norm if norm else weights
 
-    def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        """The weights of some terms, as terms x blocks x examples of a block."""
-        out = np.zeros((len(at), self.blocks * self.block))
-        for row, t in zip(out, at):
-            inner = slice(self.starts[t], self.starts[t + 1])
-            row[self.examples[inner]] = self.values[inner]
-        return out.reshape(len(at), self.blocks, self.block)
-
-    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
-        """The k examples of the largest cosine above 0, the earlier one first among equals.
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """For each query the k examples of the largest cosine above 0, the earlier one first among equals.
 
         What rare terms add is summed up for all examples. The largest such sum of a block and the maxima of common
         terms bound its cosines. The blocks with the best bounds are read first. Of the others only those are read
         whose bound reaches the k-th best cosine found there; no example of the rest can be among the k.
         """
-        if not len(at):
-            return []
-        cut = int(np.searchsorted(at, self.common))
-        starts, lengths = self.starts[at[cut:]], self.starts[at[cut:] + 1] - self.starts[at[cut:]]
-        places = np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
-        partial = np.bincount(self.examples[places], np.repeat(weights[cut:], lengths) * self.values[places], self.blocks * self.block).astype(float)  # of nothing, numpy counts in integers
-        at, weights = at[:cut], weights[:cut]
-        bounds = partial.reshape(self.blocks, self.block).max(1) + weights @ self.best[at]
-        order = np.argsort(-bounds, kind="stable")
-        found, scores = self._read(at, weights, partial, order[:FIRST], without)
-        if len(order) > FIRST:
-            least = -np.partition(-scores, k - 1)[k - 1] if len(scores) >= k else 0.0
-            more = order[FIRST:]
+        out: list[list[tuple[int, float]]] = []
+        for start in range(0, len(queries), TOGETHER):
+            out += self._nearest(queries[start : start + TOGETHER], k, without[start : start + TOGETHER] if without else [-1] * TOGETHER)
+        return out
+
+    def _nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[list[tuple[int, float]]]:
+        state, wide = [], []
+        for q, (at, weights) in enumerate(queries):
+            cut = int(np.searchsorted(at, self.common))
+            starts, lengths = self.starts[at[cut:]], self.starts[at[cut:] + 1] - self.starts[at[cut:]]
+            places = np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+            partial = np.bincount(self.examples[places], np.repeat(weights[cut:], lengths) * self.values[places], self.blocks * self.block).astype(float)  # of nothing, numpy counts in integers
+            at, weights = self.row_of[at[:cut]], weights[:cut]
+            bounds = partial.reshape(self.blocks, self.block).max(1) + weights @ self.best[at]
+            order = np.argsort(-bounds, kind="stable")
+            first, more = order[:FIRST], order[FIRST:]
+            found = self._above(at, weights, partial, (first[:, None] * self.block + np.arange(self.block)).ravel(), without[q])
+            least = -np.partition(-found[1], k - 1)[k - 1] if len(found[1]) >= k else 0.0
             more = more[(bounds[more] > 0) & (bounds[more] >= least - 1e-9)]
-            if len(more):
-                others, their = self._read(at, weights, partial, more, without)
-                found, scores = np.concatenate([found, others]), np.concatenate([scores, their])
+            if 8 * len(more) > self.blocks:
+                wide.append(q)
+            elif len(more):
+                found = tuple(map(np.concatenate, zip(found, self._above(at, weights, partial, (more[:, None] * self.block + np.arange(self.block)).ravel(), without[q]))))
+            state.append((at, weights, partial, more, least, found))
+        if wide:
+            dense = np.zeros((len(wide), len(self.used)), np.float32)
+            for row, q in zip(dense, wide):
+                row[state[q][0]] = state[q][1]
+            sums = dense @ self.single
+            for row, q in zip(sums, wide):
+                at, weights, partial, more, least, found = state[q]
+                rough = (row + partial).reshape(self.blocks, self.block)[more].ravel()
+                if len(rough) > k + 1:  # one of them may be the query's own example
+                    least = max(least, float(-np.partition(-rough, k)[k]))
+                near = np.flatnonzero((rough >= least - SLACK) & (rough > -SLACK))
+                near = more[near // self.block] * self.block + near % self.block
+                state[q] = (*state[q][:5], tuple(map(np.concatenate, zip(found, self._above(at, weights, partial, near, without[q])))))
+        return [self._best(*own[5], k) for own in state]
+
+    def _above(self, at: np.ndarray, weights: np.ndarray, partial: np.ndarray, examples: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those of some examples with a cosine above 0, and the cosines."""
+        scores = np.round(partial[examples] + weights @ self.rows[at[:, None], examples], 12)
+        kept = np.flatnonzero((scores > 0) & (examples != without))
+        return examples[kept], scores[kept]
+
+    @staticmethod
+    def _best(found: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[int, float]]:
         if len(scores) > 4 * k:
             keep = scores >= -np.partition(-scores, k - 1)[k - 1]
             found, scores = found[keep], scores[keep]
         best = np.lexsort((found, -scores))[:k]
         return list(zip(found[best].tolist(), scores[best].tolist()))
 
-    def _read(self, at: np.ndarray, weights: np.ndarray, partial: np.ndarray, blocks: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
-        """The examples of some blocks with a cosine above 0, and the cosines."""
-        shape = (self.blocks, self.block)
-        if 8 * len(blocks) > self.blocks:  # row by row is faster than picking blocks
-            whole, scaled = partial.copy(), np.empty(len(partial))
-            for t, w in zip(at.tolist(), weights.tolist()):
-                whole += np.multiply(self.rows[t], w, out=scaled)
-            scores = whole.reshape(shape)[blocks]
-        else:
-            scores = partial.reshape(shape)[blocks] + np.tensordot(weights, self.rows.reshape(-1, *shape)[at[:, None], blocks], 1)
-        scores = np.round(scores, 12)
-        block, place = np.nonzero(scores > 0)
-        found = blocks[block] * self.block + place
-        values = scores[block, place]
-        return (found[found != without], values[found != without]) if without >= 0 else (found, values)
-
 
 @dataclass
 class Index:
     """Labelled examples, found by the cosine over all their terms: plain, and with terms weighed by their class signal too."""
 
-    key: int
-    words: str  # all terms by number, a line each
-    weights: Postings
-    signal: Postings
+    words: list[str]  # all terms by number, the most frequent one first
+    starts: np.ndarray  # postings: where each term's begin
+    examples: np.ndarray
+    counts: np.ndarray
     telling: np.ndarray  # the factor of each term in ``signal``, from 0 to 1
     labels: np.ndarray
     ids: np.ndarray
@@ -149,12 +168,14 @@ class Index:
     fitted: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
 
     def __post_init__(self) -> None:
-        self.vocabulary = {t: i for i, t in enumerate(self.words.split("\n"))} if self.words else {}
+        n = len(self.labels)
+        self.weights = Postings(self.starts, self.examples, self.counts, n, np.ones(len(self.words)))
+        self.signal = Postings(self.starts, self.examples, self.counts, n, self.telling)
+        self.vocabulary = {t: i for i, t in enumerate(self.words)}
         self.memory: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
 
     def __reduce__(self):
-        # a worker unpacks an index once
-        return _unpacked, (self.key, self.words, self.weights.parts, self.signal.parts, self.telling, self.labels, self.ids, self.base, self.share, self.fitted)
+        return Index, (self.words, self.starts, self.examples, self.counts, self.telling, self.labels, self.ids, self.base, self.share, self.fitted)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
         """Indexed terms of a text and their weights; and all its words."""
@@ -165,20 +186,22 @@ class Index:
         get, words = self.vocabulary.get, terms(text)
         return Counter(t for t in map(get, words) if t is not None), len(words)
 
-    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
-        """The k examples of the largest cosine over all terms; see :class:`Postings`."""
-        return self.weights.nearest(at, weights, k, without)
+    def nearest(self, texts: list[str], k: int) -> list[list[tuple[int, float]]]:
+        """For each text the k examples of the largest cosine over all terms; see :class:`Postings`."""
+        return self.weights.nearest([self.vector(t)[:2] for t in texts], k)
 
     def vote(self, near: list[tuple[int, float]]) -> float:
         """The share of toxic among the neighbours, weighted by similarity, drawn a little towards the base rate."""
         total = sum(s for _, s in near)
         return float((sum(s * self.labels[i] for i, s in near) + PRIOR * self.base) / (total + PRIOR))
 
-    def measures(self, counts: dict[int, int], words: int, without: int = -1) -> tuple[list[tuple[int, float]], tuple[float, float, float]]:
-        """The neighbours by class signal; and what is calibrated: their vote, and how much of the text speaks for it."""
-        near = self.signal.nearest(*self.signal.weigh(counts), NEIGHBOURS, without)
-        found = self.telling[np.fromiter(counts, np.int64, len(counts))].sum()
-        return near, (self.vote(near), float(np.log(0.1 + found)), float(np.log(1 + words)))
+    def measures(self, counted: list[tuple[dict[int, int], int]], without: list[int] | None = None) -> list[tuple[list[tuple[int, float]], tuple[float, float, float]]]:
+        """For each text the neighbours by class signal; and what is calibrated: their vote, and how much of the text speaks for it."""
+        out = []
+        for (counts, words), near in zip(counted, self.signal.nearest([self.signal.weigh(c) for c, _ in counted], NEIGHBOURS, without)):
+            found = self.telling[np.fromiter(counts, np.int64, len(counts))].sum()
+            out.append((near, (self.vote(near), float(np.log(0.1 + found)), float(np.log(1 + words)))))
+        return out
 
     def probability(self, near: list[tuple[int, float]], signal: list[tuple[int, float]], measures: tuple[float, float, float]) -> float:
         """Calibrated from the measures; a near copy, by both cosines, of toxic examples has their vote at least."""
@@ -191,75 +214,81 @@ class Index:
         return max(p, self.vote(copies)) if copies else p
 
     def score(self, text: str) -> float:
-        return self.judge(text)[0]
-
-    def judge(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
-        """The calibrated probability, and the nearest examples by plain cosine with their similarities."""
-        key = xxhash.xxh3_128_intdigest(text.encode())
-        known = self.memory.get(key)
-        if known is None:
-            counts, words = self.count(text)
-            near = self.nearest(*self.weights.weigh(counts), NEIGHBOURS)
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            found, similarities = np.array([i for i, _ in near], np.int32), np.array([s for _, s in near], np.float64)
-            known = self.memory[key] = self.probability(near, *self.measures(counts, words)), found, similarities
-        return known
-
-
-_ready: dict[int, Index] = {}
-
+        return self.judge([text])[0][0]
+
+    def judge(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each text the calibrated probability, and the nearest examples by plain cosine with their similarities."""
+        keys = [xxhash.xxh3_128_intdigest(t.encode()) for t in texts]
+        new = {key: t for key, t in zip(keys, texts) if key not in self.memory}
+        known = {key: self.memory[key] for key in keys if key in self.memory}
+        fresh = list(new.items())
+        for start in range(0, len(fresh), TOGETHER):
+            own = fresh[start : start + TOGETHER]
+            counted = [self.count(t) for _, t in own]
+            plain = self.weights.nearest([self.weights.weigh(c) for c, _ in counted], NEIGHBOURS)
+            for (key, _), near, of_signal in zip(own, plain, self.measures(counted)):
+                found, similarities = np.array([i for i, _ in near], np.int32), np.array([s for _, s in near], np.float64)
+                known[key] = self.probability(near, *of_signal), found, similarities
+        if len(self.memory) + len(new) > REMEMBERED:
+            self.memory.clear()
+        self.memory.update((key, known[key]) for key in list(new)[:REMEMBERED])
+        return [known[key] for key in keys]
+
+
+class Fitted(NamedTuple):
+    """An index as bytes: it travels with the job, and a worker unpacks it once and keeps its answers from task to task."""
+
+    blob: bytes
+    key: int
 
-def _unpacked(key: int, words: str, weights: tuple, signal: tuple, *parts) -> Index:
-    """The worker's copy of an index, which keeps its answers from task to task."""
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = Index(key, words, Postings(*weights), Postings(*signal), *parts)
-    return _ready[key]
+    @property
+    def index(self) -> Index:
+        return ready(("toxicity", self.key), lambda: pickle.loads(self.blob))
 
 
 def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np.ndarray, of_term: np.ndarray, counts: np.ndarray, vocabulary: list[str], totals: dict[int, int]) -> Index:
     """The index of examples and of their (example, term, count) triples; ``totals``: rows of each label that they stand for."""
     n = len(ids)
     # Terms are numbered from the most frequent one down.
-    order = sorted(range(len(vocabulary)), key=lambda t, f=np.bincount(of_term, minlength=len(vocabulary)).tolist(): (-f[t], vocabulary[t]))
-    number = np.empty(len(order), np.int64)
-    number[order] = np.arange(len(order))
-    words, of_term = [vocabulary[t] for t in order], number[of_term]
+    frequency = np.bincount(of_term, minlength=len(vocabulary))
+    by_name = np.argsort(np.array(vocabulary, object), kind="stable") if vocabulary else np.zeros(0, np.int64)
+    order = by_name[np.argsort(-frequency[by_name], kind="stable")]
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order), dtype=np.int32)
+    words, of_term = [vocabulary[t] for t in order.tolist()], number[of_term]
     # How far the terms' document frequencies differ between the classes.
     n1 = labels.sum()
     n0 = n - n1
-    frequency = np.bincount(of_term, minlength=len(words)).astype(float)
+    frequency = frequency[order].astype(float)
     a = np.bincount(of_term, labels[of_example], minlength=len(words))
     b = frequency - a
     chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (float(n1 * n0 or 1) * np.maximum(frequency, 1) * np.maximum(n - frequency, 1))
-    telling = np.where(chi >= CHI, 1.0, (chi / (CHI or 1.0)) ** 2)
+    telling = np.where(chi >= CHI, 1.0, np.where(chi >= 1, chi / (CHI or 1.0), 0.0) ** 2)
     # Examples with the same rarest telling term stand together, which keeps the maxima of other blocks low.
     rarest = np.full(n, -1)
     full = telling[of_term] == 1
     np.maximum.at(rarest, of_example[full], of_term[full])
     order = np.lexsort((ids, labels, -rarest))
-    moved = np.empty(n, np.int64)
-    moved[order] = np.arange(n)
+    moved = np.empty(n, np.int32)
+    moved[order] = np.arange(n, dtype=np.int32)
     ids, labels, sizes, has, of_example = ids[order], labels[order].astype(float), sizes[order], rarest[order] >= 0, moved[of_example]
-    weights = Postings.of(of_example, of_term, counts, n, np.ones(len(words)))
-    signal = Postings.of(of_example, of_term, counts, n, telling)
     weight = {c: totals.get(c, 0) / max(1, int((labels == c).sum())) for c in (0, 1)}
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
     heavy = sum(weight[int(c)] for c in labels[~has])
     base = (sum(weight[1] for c in labels[~has] if c) + share) / (heavy + 1)
-    text = "\n".join(words)
-    key = xxhash.xxh3_64_intdigest(b"".join([text.encode(), *(x.tobytes() for x in (weights.examples, weights.values, signal.values, ids, labels)), repr(totals).encode()]))
-    index = Index(key, text, weights, signal, telling, labels, ids, base, share)
+    by = np.lexsort((of_example, of_term))
+    starts = np.concatenate([[0], np.cumsum(frequency)]).astype(np.int64)
+    index = Index(words, starts, of_example[by], counts[by].astype(np.int32), telling, labels, ids, base, share)
     by = np.argsort(of_example, kind="stable")
     edges = np.searchsorted(of_example[by], np.arange(n + 1))
     known, y = [], []
-    for i in range(n):
-        own = by[edges[i] : edges[i + 1]]
-        near, measures = index.measures(dict(zip(of_term[own].tolist(), counts[own].tolist())), int(sizes[i]), i)
-        if near:
-            known.append(measures)
-            y.append(labels[i])
+    for start in range(0, n, TOGETHER):
+        own = [by[edges[i] : edges[i + 1]] for i in range(start, min(n, start + TOGETHER))]
+        counted = [(dict(zip(of_term[o].tolist(), counts[o].tolist())), int(sizes[start + i])) for i, o in enumerate(own)]
+        for i, (near, measures) in enumerate(index.measures(counted, [*range(start, start + len(own))]), start):
+            if near:
+                known.append(measures)
+                y.append(labels[i])
     if len(set(y)) == 2:
         truth = np.array(y, float)
         index.fitted = tuple(platt(np.array(known), truth, np.where(truth == 1, weight[1], weight[0])).tolist())
@@ -268,58 +297,77 @@ def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np
     return index
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Index:
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms and their counts of each example, its eight smallest shingle hashes, and its words."""
+    for batch in batches:
+        words, counts, sketches, sizes = [], [], [], []
+        for text in batch.column("text"):
+            own = terms(text.as_py())
+            tally = Counter(own)
+            sizes.append(len(own))
+            words.append(list(tally))
+            counts.append(list(tally.values()))
+            sketches.append([h >> 1 for h in sorted({xxhash.xxh3_64_intdigest(" ".join(own[i : i + 3])) for i in range(max(1, len(own) - 2))})[:8]])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("label"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32())), pa.array(sketches, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+            ["id", "label", "words", "counts", "sketch", "size"],
+        )
+
+
+_PARSED = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("sketch", pa.list_(pa.int64())), ("size", pa.int64())])
+
+
+def _build(totals: dict[int, int]):
+    """One task over all parsed examples, a bounded number: the index as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, _PARSED)
+        order = sorted(range(table.num_rows), key=lambda i, c=[table.column(x).to_pylist() for x in ("id", "size", "sketch")]: tuple(x[i] for x in c))
+        seen: set[int] = set()
+        kept, last = [], None
+        for i in order:
+            sketch, ident = table.column("sketch")[i].as_py(), table.column("id")[i].as_py()
+            if ident != last and 2 * sum(h in seen for h in sketch) < max(1, len(sketch)):
+                kept.append(i)
+            seen.update(sketch)
+            last = ident
+        table = table.select(["id", "label", "size", "words", "counts"]).take(pa.array(kept, pa.int64())).combine_chunks()
+        words, counts = (table.column(c).combine_chunks() for c in ("words", "counts"))
+        lengths = np.diff(words.offsets.to_numpy())
+        coded = words.flatten().dictionary_encode()
+        ids, labels, sizes = (table.column(c).to_numpy() for c in ("id", "label", "size"))
+        of_example = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+        index = build(ids, labels.astype(float), sizes, of_example, coded.indices.to_numpy(), counts.flatten().to_numpy(), coded.dictionary.to_pylist(), totals)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(index, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["blob"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Fitted:
     """Learn from rows that are not held out; at most ``PER_CLASS`` examples of each class are read, in whole.
 
-    Of near copies among the examples one is kept: those that share most of their eight smallest shingle hashes.
-    All their terms are indexed.
+    Of near copies among the examples one is kept: those that share most of their eight smallest shingle hashes. Of rows
+    that repeat an id the shortest text counts. All terms of the examples are indexed. Null texts are empty.
     """
     examples, totals = sample(docs, labels, label, PER_CLASS, id_col, text_col)
+    parsed = settle(examples.select("id", "label", "text").mapInArrow(_parse, "id long, label int, words array<string>, counts array<int>, sketch array<long>, size long"))
+    rows = parsed.repartition(1).mapInArrow(_build(totals), "blob binary").collect()
+    blob = bytes(rows[0]["blob"]) if rows else next(_build(totals)(iter(()))).column("blob")[0].as_py()
+    return Fitted(blob, xxhash.xxh3_64_intdigest(blob))
+
+
+def _parts(texts: pa.Array) -> Iterator[list[str]]:
+    """A batch of texts in parts; null ones are empty."""
+    for start in range(0, len(texts), 4 * TOGETHER):
+        yield [t.as_py() or "" for t in texts[start : start + 4 * TOGETHER]]
+
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, counts, sketches, sizes = [], [], [], []
-            for text in batch.column("text"):
-                own = terms(text.as_py())
-                tally = Counter(own)
-                sizes.append(len(own))
-                words.append(list(tally))
-                counts.append(list(tally.values()))
-                hashes = sorted({xxhash.xxh3_64_intdigest(" ".join(own[i : i + 3])) for i in range(max(1, len(own) - 2))})[:8]
-                sketches.append([h >> 1 for h in hashes])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32())), pa.array(sketches, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
-                ["id", "label", "words", "counts", "sketch", "size"],
-            )
-
-    parsed = settle(examples.select("id", "label", "text").mapInArrow(parse, "id long, label int, words array<string>, counts array<int>, sketch array<long>, size long"))
-    seen: set[int] = set()
-    kept = []
-    for r in sorted(parsed.select("id", "label", "sketch", "size").collect(), key=lambda r: (r["id"], r["label"])):
-        if not r["sketch"] or 2 * sum(h in seen for h in r["sketch"]) < len(r["sketch"]):
-            kept.append((r["id"], r["label"], r["size"]))
-        seen.update(r["sketch"])
-    spark = docs.sparkSession
-    chosen = {i: (c, n) for i, c, n in kept}
-    own = parsed.join(F.broadcast(spark.createDataFrame([(i,) for i in chosen], "id long")), "id").dropDuplicates(["id"])
-    vectors = own.select("id", "words", "counts").orderBy("id").toArrow()
-    ids = vectors.column("id").to_numpy().astype(np.int64)
-    words = vectors.column("words").combine_chunks()
-    lengths = np.array([len(w) for w in words], np.int64)
-    coded = pa.chunked_array([words.flatten()], pa.string()).combine_chunks().dictionary_encode()
-    return build(
-        ids, np.array([chosen[i][0] for i in ids.tolist()], float), np.array([chosen[i][1] for i in ids.tolist()], np.int64),
-        np.repeat(np.arange(len(ids)), lengths), coded.indices.to_numpy().astype(np.int64), vectors.column("counts").combine_chunks().flatten().to_numpy().astype(np.int64),
-        coded.dictionary.to_pylist(), totals,
-    )
-
-
-def probability(text: Column, index: Index) -> Column:
+def probability(text: Column, fitted: Fitted) -> Column:
     """The calibrated probability that a whole text is toxic; texts without any term of an example, as null and empty ones, get the base rate."""
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([index.score(t.as_py() or "") for t in texts], pa.float64())
+            yield pa.array([p for part in _parts(texts) for p, _, _ in fitted.index.judge(part)], pa.float64())
 
     return run(text)
 
@@ -335,33 +383,33 @@ def _shown(index: Index, found: list[np.ndarray], similarities: list[np.ndarray]
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(values, ["id", "similarity", "label"]))
 
 
-def evidence(text: Column, index: Index, k: int = NEIGHBOURS) -> Column:
+def evidence(text: Column, fitted: Fitted, k: int = NEIGHBOURS) -> Column:
     """The nearest labelled examples of each text: their ids, similarities and labels."""
 
     @F.arrow_udf(EVIDENCE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [index.nearest(*index.vector(t.as_py() or "")[:2], k) for t in texts]
-            yield _shown(index, [np.array([i for i, _ in near], np.int32) for near in found], [np.array([s for _, s in near], np.float64) for near in found])
+            found = [near for part in _parts(texts) for near in fitted.index.nearest(part, k)]
+            yield _shown(fitted.index, [np.array([i for i, _ in near], np.int32) for near in found], [np.array([s for _, s in near], np.float64) for near in found])
 
     return run(text)
 
 
-def judged(text: Column, index: Index) -> Column:
+def judged(text: Column, fitted: Fitted) -> Column:
     """``score``, as by :func:`probability`, and ``evidence``, as by :func:`evidence`, from one search."""
 
     @F.arrow_udf(f"struct<score: double, evidence: {EVIDENCE}>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            known = [index.judge(t.as_py() or "") for t in texts]
+            known = [answer for part in _parts(texts) for answer in fitted.index.judge(part)]
             scores = pa.array([p for p, _, _ in known], pa.float64())
-            yield pa.StructArray.from_arrays([scores, _shown(index, [f for _, f, _ in known], [s for _, _, s in known])], ["score", "evidence"])
+            yield pa.StructArray.from_arrays([scores, _shown(fitted.index, [f for _, f, _ in known], [s for _, _, s in known])], ["score", "evidence"])
 
     return run(text)
 
 
-def score(docs: DataFrame, index: Index, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, fitted: Fitted, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, held_out, score, predicted, evidence`` for each row; equal texts score equally, empty tables give empty results."""
     ident = column(docs, id_col)
-    rows = docs.select(ident.alias("id"), held_out(ident).alias("held_out"), judged(column(docs, text_col), index).alias("own"))
+    rows = docs.select(ident.alias("id"), held_out(ident).alias("held_out"), judged(column(docs, text_col), fitted).alias("own"))
     return rows.select("id", "held_out", "own.score", (F.col("own.score") >= threshold).cast("int").alias("predicted"), "own.evidence")

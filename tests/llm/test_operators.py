@@ -507,10 +507,9 @@ def test_toxicity_searches_by_every_term(spark):
     insult = [f"rare{i}" for i in range(60)]
     items.append((rare, " ".join(insult)))
     labels.append((rare, 1))
-    index = toxicity.fit(spark.createDataFrame(items, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    index = toxicity.fit(spark.createDataFrame(items, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).index
     near = " ".join([*insult[:57], "another", "two"])
-    at, weights, _ = index.vector(near)
-    (found, similarity), *others = index.nearest(at, weights, 5)
+    (found, similarity), *others = index.nearest([near], 5)[0]
     assert index.ids[found] == rare and similarity == pytest.approx(1.0, abs=0.05) and not others
     assert index.score(near) >= 0.5 > index.score(" ".join(rng.choices(vocabulary, k=80)))
 
@@ -523,15 +522,57 @@ def test_toxicity_returns_its_evidence(taught):
     assert got == want and all(e["label"] == taught.truth[e["id"]][1] for near in got.values() for e in near) and all(got.values())
 
 
-def test_nearest_examples_equal_reading_them_all(taught, monkeypatch):
-    monkeypatch.setattr(toxicity, "CHI", 0.0)
-    monkeypatch.setattr(toxicity, "BLOCK", 8)
-    index = toxicity.fit(taught.docs, taught.labels)
-    for r in taught.docs.limit(40).collect():
-        at, weights, _ = index.vector(r["text"])
-        scores = np.round(np.tensordot(weights, index.weights[at].reshape(len(at), -1), 1), 12)
-        want = sorted(((-s, i) for i, s in enumerate(scores.tolist()) if s > 0))[:7]
-        assert [(i, pytest.approx(-s)) for s, i in want] == index.nearest(at, weights, 7)
+@pytest.mark.parametrize("block", [8, 64])
+def test_nearest_examples_equal_reading_them_all(taught, monkeypatch, block):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    examples = [(r["text"], taught.truth[r["doc_id"]][1]) for r in taught.docs.limit(500).collect()]
+    vocabulary = sorted({w for t, _ in examples for w in toxicity.terms(t)})
+    triples = [(i, vocabulary.index(w), n) for i, (t, _) in enumerate(examples) for w, n in Counter(toxicity.terms(t)).items()]
+    n = len(examples)
+    index = toxicity.build(np.arange(n), np.array([c for _, c in examples], float), np.array([len(toxicity.terms(t)) for t, _ in examples]), *np.array(triples).T, vocabulary, {0: 300, 1: 200})
+    for postings in (index.weights, index.signal):
+        dense = np.zeros((len(vocabulary), n))
+        for t in range(len(vocabulary)):
+            own = slice(postings.starts[t], postings.starts[t + 1])
+            dense[t, postings.examples[own]] = postings.values[own]
+        queries = [postings.weigh(index.count(t)[0]) for t, _ in examples[:90]]
+        for (at, weights), got, without in zip(queries, postings.nearest(queries, 7, [*range(-1, 89)]), range(-1, 89)):
+            scores = np.round(weights @ dense[at], 12)
+            want = sorted(((-s, i) for i, s in enumerate(scores.tolist()) if s > 0 and i != without))[:7]
+            assert [pytest.approx(-s) for s, _ in want] == [s for _, s in got]
+            assert all(scores[i] == pytest.approx(s) for i, s in got)
+
+
+def test_toxicity_of_a_whole_table(spark):
+    """As registered, over sf0.01: evidence equals cosines worked out from the texts; what held-out rows show."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    fitted = toxicity.fit(docs, labels)
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    known = fitted.index.ids.tolist()
+    tallies = [Counter(toxicity.terms(text[i])) for i in known]
+    frequency = Counter(w for t in tallies for w in t)
+    idf = {w: np.log((1 + len(known)) / (1 + n)) + 1 for w, n in frequency.items()}
+
+    def unit(tally):
+        own = {w: (1 + np.log(n)) * idf[w] for w, n in tally.items() if w in idf}
+        size = sum(x * x for x in own.values()) ** 0.5
+        return {w: x / size for w, x in own.items()}
+
+    vectors = [unit(t) for t in tallies]
+    rows = toxicity.score(docs, fitted).collect()
+    for r in rows[::9]:
+        own = unit(Counter(toxicity.terms(text[r["id"]])))
+        cosines = {i: sum(x * v.get(w, 0.0) for w, x in own.items()) for i, v in zip(known, vectors)}
+        assert [e["similarity"] for e in r["evidence"]] == pytest.approx(sorted((c for c in cosines.values() if c > 1e-12), reverse=True)[: toxicity.NEIGHBOURS])
+        assert all(cosines[e["id"]] == pytest.approx(e["similarity"]) for e in r["evidence"])
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [(truth[r["id"]], r["predicted"]) for r in rows if r["held_out"] and truth.get(r["id"]) is not None]
+    assert sum(p for t, p in held if t == 1) >= 0.9 * sum(t for t, _ in held) and sum(p for t, p in held if t == 0) <= 0.06 * sum(t == 0 for t, _ in held)
+
+
+def test_toxicity_learns_the_same_from_repeated_rows(spark, taught):
+    doubled = taught.docs.unionByName(taught.docs.select("doc_id", F.concat("text", F.lit(" more"))).toDF("doc_id", "text")).unionByName(taught.docs.filter("doc_id < 9").withColumn("text", F.lit(None).cast("string")))
+    assert toxicity.fit(doubled, taught.labels).key == toxicity.fit(doubled.repartition(7), taught.labels).key
 
 
 def test_quality(taught, odd, empty):
