@@ -2,7 +2,8 @@
 
 Texts are sorted as suffixes without a suffix array of the whole corpus. Prefix polynomial hashes give the hash of any
 substring in a few operations; a binary search over them finds how far two suffixes agree, so a mergesort compares
-suffixes in logarithmic time; suffixes found equal over the whole length are compared byte by byte.
+suffixes in logarithmic time; suffixes found equal over the whole length are compared byte by byte. No hash decides
+that bytes are equal: wherever equal hashes put stretches of text together, their bytes are compared as well.
 
 Only suffixes that can repeat are sorted. In every substring of ``length`` bytes one gram of ``GRAM`` bytes is the
 anchor: the one with the smallest hash (winnowing). Equal substrings have equal anchors at equal places, so grams that
@@ -13,7 +14,7 @@ The steps, each over groups of bounded size:
 2. by hash: which anchors occur in more than one document, and which are frequent? Two bits each go back;
 3. a bucket sends the distinct surroundings of those anchors with their smallest document id;
    An anchor within a passage that a large share of all texts has would bring as many different surroundings of the
-   passage's ends to one place; for such anchors single windows are sent, each by its own hash;
+   passage's ends to one place; for such anchors single windows are sent, each to where its own hash belongs;
 4. by hash: surroundings are sorted as suffixes, each substring gets its smallest document, one bit goes back;
 5. a bucket marks its texts. The texts themselves are shuffled once; steps 1, 3 and 5 share that exchange.
 """
@@ -37,8 +38,9 @@ GRAM, BUCKET, LEAST = 24, 8 << 20, 24
 PLACE_BITS = 19
 #: Surroundings that are sorted together.
 SLICE = 20_000
-#: An anchor with more surroundings than this in some bucket is frequent: its windows meet by their own hashes.
-FREQUENT = 32
+#: An anchor with more surroundings than this in some bucket is frequent: its windows meet by their own hashes. This
+#: decides where windows meet, not how they are compared. Such windows have this for the place of their anchor.
+FREQUENT, SPLIT = 32, 255
 _LAST = np.iinfo(np.int64).max  # a null id comes after every id
 
 _BASE = 0xD6E8FEB86659FD93
@@ -148,6 +150,19 @@ def windows_equal(data: np.ndarray, left: np.ndarray, right: np.ndarray, length:
     return out
 
 
+def same_bytes(data: np.ndarray, left: np.ndarray, right: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte comparison of stretches of several sizes."""
+    out = np.empty(len(left), bool)
+    for at in range(0, len(left), 50_000):
+        own = slice(at, at + 50_000)
+        size = sizes[own]
+        begins = np.cumsum(size) - size
+        inner = np.arange(int(size.sum())) - np.repeat(begins, size)
+        differ = data[np.repeat(left[own], size) + inner] != data[np.repeat(right[own], size) + inner]
+        out[own] = np.add.reduceat(differ, begins) == 0 if len(size) else True
+    return out
+
+
 class Cells:
     """The windows of a bucket's texts, cut into cells: runs of windows with the same anchor.
 
@@ -231,7 +246,7 @@ class Cells:
         self.doc = np.concatenate([self.doc[whole], np.repeat(self.doc[apart], count)])
         self.hash = np.concatenate([self.hash[whole], own])
         self.content = np.concatenate([self.content[whole], own])
-        self.anchor = np.concatenate([self.anchor[whole], window])
+        self.anchor = np.concatenate([self.anchor[whole], window + SPLIT])
         self.last = np.concatenate([self.last[whole], window + 1])
         self.first = np.concatenate([self.first[whole], window])
 
@@ -250,14 +265,25 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def distinct_surroundings(cells: Cells, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cells with a new (anchor, content), in order; their smallest ids; each cell's number."""
+    """Cells with a new (anchor, content), in order; their smallest ids; each cell's number. Contents are equal in every byte."""
     offset = cells.anchor - cells.first
     order = np.lexsort((ids[cells.doc], offset, cells.content, cells.hash))
     if not len(order):
         return order, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    new = np.concatenate([[True], (np.diff(cells.hash[order]) != 0) | (np.diff(cells.content[order]) != 0) | (np.diff(offset[order]) != 0)])
+    count = cells.last - cells.first
+    new = np.concatenate([[True], (np.diff(cells.hash[order]) != 0) | (np.diff(cells.content[order]) != 0) | (np.diff(offset[order]) != 0) | (np.diff(count[order]) != 0)])
+    # Equal hashes are not enough: a cell whose bytes differ from those of the first one is sent on its own.
+    later = np.flatnonzero(~new)
+    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))[later]]
+    new[later] = ~same_bytes(cells.data, cells.first[order[later]], cells.first[head], count[head] + cells.length - 1)
+    # such a cell takes a number of its own; the numbers of the cells after it stay with the first one
+    alone = np.zeros(len(order), bool)
+    alone[later] = new[later]
+    rank = np.empty(len(order), np.int64)
+    rank[new] = np.arange(int(new.sum()))
+    firsts = np.maximum.accumulate(np.where(new & ~alone, np.arange(len(order)), 0))
     number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
+    number[order] = np.where(alone, rank, rank[firsts])
     return order[new], ids[cells.doc[order[new]]], number
 
 
@@ -418,19 +444,30 @@ def _match(table: pa.Table, length: int) -> dict[str, list]:
 def _resolve(anchor: np.ndarray, least: np.ndarray, offset: np.ndarray, count: np.ndarray, begins: np.ndarray, data: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
     """For cells with all cells of their anchors: the windows that also occur with a smaller id, as bits."""
     hashes = PrefixHash(data, place)
-    # Cells of one content are one; where an anchor has a single content, its smallest id answers for all windows.
-    content = _scatter(hashes.of(begins, count + length - 1) ^ count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.lexsort((least, offset, content, anchor))
-    new = np.concatenate([[True], (np.diff(anchor[order]) != 0) | (np.diff(content[order]) != 0) | (np.diff(offset[order]) != 0)])
+    # Cells of one content are one; where an anchor has a single content, its smallest id answers for all windows. Split
+    # windows are left to the sort.
+    size = count + length - 1
+    content = _scatter(hashes.of(begins, size) ^ count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.lexsort((least, offset, count, content, anchor))
+    new = np.concatenate([[True], (np.diff(anchor[order]) != 0) | (np.diff(content[order]) != 0) | (np.diff(count[order]) != 0) | (np.diff(offset[order]) != 0)])
+    new |= offset[order] == SPLIT
+    later = np.flatnonzero(~new)
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))[later]]  # with the smallest id of its content
+    same = same_bytes(data, begins[order[later]], begins[first], size[first])
+    new[later] = ~same  # a cell that only has the hash of another is a content of its own
+    rank = np.cumsum(new) - 1
     group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    head = order[new]  # the cell with the smallest id of each content
+    group[order] = rank
+    at = np.empty(len(order), np.int64)
+    at[order] = np.arange(len(order))
+    group[order[later[same]]] = rank[at[first[same]]]
+    head = order[new]
     # windows of contents, as suffixes; equal ones have their anchor, and it at the same distance
     base = np.cumsum(count[head]) - count[head]
     cell = np.repeat(np.arange(len(head)), count[head])
     within = np.arange(len(cell)) - base[cell]
     smallest = least[head][cell]
-    same = np.diff(anchor[head]) == 0
+    same = np.diff(anchor[head]) == 0  # (heads are in order of their anchors)
     several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     sought = np.flatnonzero(several[cell])
     if len(sought):
@@ -525,7 +562,11 @@ def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     if not GRAM < length < GRAM + 64:
         raise ValueError(f"length must be between {GRAM} and {GRAM + 64}")
     text = F.coalesce(column(docs, text_col), F.lit("")).alias("text")
-    rows = docs.select(column(docs, id_col).cast("long").alias("id"), text)
+    every = docs.select(column(docs, id_col).cast("long").alias("id"), text)
+    # Short texts hold no such substring; however many are alike, they need no place.
+    short = every.filter(F.octet_length("text") < length)
+    short = short.selectExpr("id", "cast(octet_length(text) as bigint) AS n_bytes", "cast(array() as array<struct<start: bigint, end: bigint>>) AS spans", "sha2(cast(text as binary), 256) AS kept_sha256")
+    rows = every.filter(F.octet_length("text") >= length)
     total = rows.select(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     parts = max(LEAST, -(-total // BUCKET))
     dealt = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int").alias("bucket"), "id", F.col("text").cast("binary").alias("text"))
@@ -534,4 +575,4 @@ def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     several = anchors.groupBy("part").applyInArrow(match_anchors, SENT)
     around = by_bucket().cogroup(several.groupBy("bucket")).applyInArrow(send_surroundings(length, parts), SENT)
     matched = around.groupBy("part").applyInArrow(match_surroundings(length), SENT)
-    return by_bucket().cogroup(matched.groupBy("bucket")).applyInArrow(mark_texts(length, parts), RESULT)
+    return by_bucket().cogroup(matched.groupBy("bucket")).applyInArrow(mark_texts(length, parts), RESULT).unionByName(short)

@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -261,6 +263,58 @@ def test_suffix_dedup(spark, odd, empty, docs, texts, frequent):
     assert got(spark.createDataFrame(items, "doc_id long, text string")) == sorted(map(repr, brute_repeats(items)))
 
 
+def repeats_here(items, parts=3, length=50, frequent=32):
+    """The steps of suffix dedup in this process."""
+    own = suffix_dedup
+    items = [(i, t or "") for i, t in items if len((t or "").encode()) >= length]
+    tables = [pa.table({"bucket": [b] * len(rows), "id": pa.array([i for i, _ in rows], pa.int64()), "text": pa.array([t.encode() for _, t in rows], pa.binary())}) for b in range(parts) if (rows := items[b::parts])]
+    gather = lambda rows, name, n: [pa.concat_tables([t.filter(pc.equal(t[name], k)) for t in rows]) for k in range(n)]
+    sent = [own.send_anchors(length, parts, frequent)(t) for t in tables]
+    answers = gather([own.match_anchors(t) for t in gather(sent, "part", parts) if t.num_rows], "bucket", len(tables))
+    around = [own.send_surroundings(length, parts)(t, a) for t, a in zip(tables, answers)]
+    matched = gather([own.match_surroundings(length)(t) for t in gather(around, "part", parts) if t.num_rows], "bucket", len(tables))
+    out = [own.mark_texts(length, parts)(t, a) for t, a in zip(tables, matched)]
+    return {(r["id"], sum(s["end"] - s["start"] for s in r["spans"]), r["kept_sha256"]) for t in out for r in t.to_pylist()}
+
+
+def passages(n=40):
+    """Texts that share passages, some of them in nearly all texts, between words of their own."""
+    rng = random.Random(6)
+    common = [" ".join(f"p{k}q{rng.randint(0, 99)}" for k in range(25)) for _ in range(4)]
+    out = []
+    for i in range(n):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(30)]
+        for c in rng.sample(common, rng.randint(0, 3)):
+            words.insert(rng.randrange(len(words)), c)
+        out.append((i, " ".join(words)))
+    return [*out, *((100 + i, out[i][1]) for i in range(0, n, 3))]
+
+
+@pytest.mark.parametrize("frequent", [32, 0])
+def test_equal_hashes_meet_a_byte_comparison(monkeypatch, frequent):
+    compared, ordered = [], []
+    for name in ("windows_equal", "same_bytes"):
+        f = getattr(suffix_dedup, name)
+        monkeypatch.setattr(suffix_dedup, name, lambda data, left, *more, f=f: compared.append(len(left)) or f(data, left, *more))
+    sort = suffix_dedup.sort_suffixes
+    monkeypatch.setattr(suffix_dedup, "sort_suffixes", lambda data, hashes, starts, *more: ordered.append(len(starts)) or sort(data, hashes, starts, *more))
+    items = passages()
+    assert repeats_here(items, frequent=frequent) == {(i, removed, digest) for i, _, removed, _, digest in brute_repeats(items)}
+    assert sum(compared) > 0 and sum(ordered) > 0
+
+
+def test_texts_whose_hashes_collide_lose_nothing(monkeypatch):
+    """With a hash that knows four bytes apart from each other only, nothing goes that does not repeat."""
+    monkeypatch.setattr(suffix_dedup, "_TABLE", suffix_dedup._TABLE[np.arange(256) % 4])
+    want = {i: removed for i, _, removed, _, _ in brute_repeats(passages())}
+    for frequent in (32, 0):
+        got = {i: removed for i, removed, _ in repeats_here(passages(), frequent=frequent)}
+        assert all(got[i] <= want[i] for i in want) and sum(got.values()) > 0.5 * sum(want.values())
+    monkeypatch.setattr(suffix_dedup, "_TABLE", suffix_dedup._TABLE[np.zeros(256, int)])
+    got = {i: removed for i, removed, _ in repeats_here(passages())}
+    assert all(got[i] <= want[i] for i in want)
+
+
 def test_suffix_sort_orders_suffixes(monkeypatch):
     data = np.frombuffer(bytes(random.Random(4).choice(b"abc") for _ in range(600)), np.uint8)
     starts, groups = np.arange(0, 500), np.sort(np.random.RandomState(1).randint(0, 7, 500))
