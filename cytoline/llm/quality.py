@@ -1,13 +1,15 @@
 """A quality classifier by compression: dictionaries of good and of bad text, and which of them a text fits better.
 
 Each block of a text is compressed with either dictionary; the difference of the compressed sizes, divided by the
-text's size, is turned into a probability by a logistic fit on labelled examples that went into neither dictionary.
+text's size, is turned into a probability by a logistic fit on labelled examples, each compared with dictionaries that
+were made without it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +17,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, ready, settle
 from .labelled import held_out, platt, sample
 
-#: Bounds of what is learned from: labelled examples of each class, bytes of a dictionary and of one example's part in it.
-PER_CLASS, DICTIONARY, PART = 4096, 512 << 10, 512
+#: Bounds of what is learned from: labelled examples of each class, and bytes of a dictionary. Texts go in whole, if they
+#: have at most 1/SHARE of a dictionary's bytes. Examples are calibrated in so many folds.
+PER_CLASS, DICTIONARY, SHARE, PARTS = 4096, 512 << 10, 8, 4
 #: A text is compressed in blocks, so that a long one is judged by the dictionaries and not by its own repetitions.
 BLOCK, LEVEL = 1024, 6
 #: Added to a text's bytes, so that a few bytes of difference say little about a very short text.
@@ -54,53 +57,63 @@ class Scorer:
         return total / (len(data) + SMOOTH)
 
 
-_ready: dict[tuple[int, int], Scorer] = {}
-
-
 def difference(text: Column, bad: bytes, good: bytes) -> Column:
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        key = hash(bad), hash(good)
-        if key not in _ready:
-            _ready.clear()
-            _ready[key] = Scorer(bad, good)
-        own = _ready[key]
+        own = ready(("quality", hash(bad), hash(good)), lambda: Scorer(bad, good))
         for texts in batches:
             yield pa.array([own.difference(t.as_py() or "") for t in texts], pa.float64())
 
     return run(text)
 
 
+def chosen(rows: list[tuple[int, int, int, int]], without: int = -1) -> tuple[list[int], list[int]]:
+    """Which examples, of (place, label, bytes, fold) in order, make the dictionaries of both labels: as many bytes of each."""
+    own = [[(at, n) for at, c, n, fold in rows if c == label and fold != without and 0 < n <= DICTIONARY // SHARE] for label in (0, 1)]
+    budget = min(DICTIONARY, *(sum(n for _, n in o) for o in own))
+    out: tuple[list[int], list[int]] = [], []
+    for picked, examples in zip(out, own):
+        left = budget
+        for at, n in examples:
+            if n <= left:
+                picked.append(at)
+                left -= n
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learn from rows that are not held out; at most ``PER_CLASS`` examples of each class are read.
+    """Learn from rows that are not held out; at most ``PER_CLASS`` examples of each class are read, in whole.
 
-    Three in four examples give one window of ``PART`` bytes each, at a place that a hash of the id picks, until a
-    dictionary is full; the others calibrate. Without examples of both classes every score is the smoothed share of 1s.
+    Whole texts fill the dictionaries in order of a hash, both up to the same size; equal texts go in once. To
+    calibrate, each example is compared with dictionaries of other examples only. Rows that repeat an id are
+    examples each; null texts are empty. Without text of both classes every score is the smoothed share of 1s.
     """
     examples, counts = sample(docs, labels, label, PER_CLASS, id_col, text_col)
-    role = F.pmod(F.xxhash64("id", F.lit("role")), F.lit(4))
-    raw = F.encode("text", "utf-8")
-    start = F.pmod(F.xxhash64("id", F.lit("window")), F.greatest(F.octet_length("text") - PART, F.lit(1)).cast("long")).cast("int")
-    windows = (
-        examples.filter(role > 0).select("id", "label", F.substring(raw, start + 1, F.lit(PART)).alias("part"))
-        .filter(F.octet_length("part") > 0).orderBy(F.xxhash64("id", F.lit("order")), "part").collect()
-    )
-    content = {}
-    for c in (0, 1):
-        parts = dict.fromkeys(bytes(w["part"]) for w in windows if w["label"] == c)
-        content[c] = b"".join(parts)[:DICTIONARY]
+    content = F.xxhash64("text")
+    fold = F.pmod(content, F.lit(PARTS)).cast("int")
+    examples = settle(examples.select("id", "label", "text", content.alias("content"), fold.alias("fold")))
+    # equal texts are in one fold and count once
+    light = examples.groupBy("label", "content", "fold").agg(F.min(F.octet_length("text")).alias("n")).orderBy("content", "label").collect()
+    rows = [(at, r["label"], r["n"], r["fold"]) for at, r in enumerate(light)]
+    choices = {f: chosen(rows, f) for f in (-1, *range(PARTS))}
+    wanted = {light[at]["content"] for pair in choices.values() for own in pair for at in own}
     n = sum(counts.values())
-    if min(map(len, content.values())) < 8:
+    if not all(choices[-1]):
         share = (counts.get(1, 0) + 1) / (n + 2)
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
-    probe = examples.filter(role == 0).select("label", difference(F.col("text"), content[0], content[1]).alias("d")).collect()
+    spark = docs.sparkSession
+    keys = F.broadcast(spark.createDataFrame([(k,) for k in wanted], "content long"))  # at most 2 * PER_CLASS
+    texts = {r["content"]: r["text"].encode() for r in examples.join(keys, "content").groupBy("content").agg(F.min("text").alias("text")).collect()}
+    made = {f: [b"".join(texts[light[at]["content"]] for at in own) for own in pair] for f, pair in choices.items()}
+    probes = [examples.filter(F.col("fold") == f).select("label", difference(F.col("text"), *made[f]).alias("d")) for f in range(PARTS) if min(map(len, made[f])) >= 8]
+    probe = reduce(DataFrame.unionByName, probes).collect() if probes else []
     if len({r["label"] for r in probe}) < 2:  # too few to set any aside
-        probe = examples.select("label", difference(F.col("text"), content[0], content[1]).alias("d")).collect()
+        probe = examples.select("label", difference(F.col("text"), *made[-1]).alias("d")).collect()
     y = np.array([r["label"] for r in probe], float)
     seen = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weights = np.where(y == 1, counts.get(1, 0) / seen[1], counts.get(0, 0) / seen[0])
     slope, intercept = platt(np.array([r["d"] for r in probe]), y, weights)
-    return Model(content[0], content[1], float(slope), float(intercept))
+    return Model(*made[-1], float(slope), float(intercept))
 
 
 def probability(text: Column, model: Model) -> Column:

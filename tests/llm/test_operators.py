@@ -639,6 +639,40 @@ def test_quality(taught, odd, empty):
     assert {r["score"] for r in quality.score(odd, none, 0.3).collect()} == {0.5}
 
 
+def test_quality_difference_is_that_of_single_blocks(texts):
+    import zstandard
+
+    bad, good = (" ".join(t for _, t in texts[k:60:2])[: 1 << 16].encode() for k in (0, 1))
+    own = quality.Scorer(bad, good)
+    sizes = []
+    for content in (bad, good):
+        with_it = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+        sizes.append(lambda data, c=with_it: sum(len(c.compress(data[k : k + quality.BLOCK])) for k in range(0, len(data), quality.BLOCK)))
+    for t in ["", "a", "x" * 300000, *(t for _, t in texts[60:120])]:
+        data = t.encode()
+        assert own.difference(t) == pytest.approx((sizes[0](data) - sizes[1](data)) / (len(data) + quality.SMOOTH), abs=0.002)
+
+
+def test_quality_of_a_whole_table(spark):
+    """As registered, over sf0.01: dictionaries of one size, made of whole texts; what held-out rows show."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    assert abs(len(model.good) - len(model.bad)) < 0.1 * len(model.good)
+    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    text = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    learned = [t for i, t in text.items() if t and zlib.crc32(str(i).encode()) % 5 and truth.get(i) is not None]
+    assert max(t in model.bad + model.good for t in learned) and not any(t in model.bad + model.good for i, t in text.items() if zlib.crc32(str(i).encode()) % 5 == 0 and len(t) > 40 and t not in learned)
+    held = [(truth[r["id"]], r["score"]) for r in quality.score(docs, model, 0.3).collect() if r["held_out"] and truth.get(r["id"]) is not None]
+    good, bad = ([s for t, s in held if t == c] for c in (1, 0))
+    assert np.mean([g > b for g in good for b in bad]) > 0.97 and np.mean([g >= 0.3 for g in good]) > 0.95
+
+
+def test_quality_of_examples_without_text(spark):
+    docs = spark.createDataFrame([(i, None if i % 2 else "good words here and there") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    assert {r["predicted"] for r in quality.score(docs, quality.fit(docs, labels), 0.3).collect()} == {1}
+
+
 def test_held_out_rows_are_never_learned_from(taught):
     rows, counts = labelled.sample(taught.docs, taught.labels, "toxic", 100, "doc_id", "text")
     got = rows.collect()
