@@ -38,6 +38,8 @@ CHI = 30.0
 COMMON, COPY = 16, 0.8
 #: Examples in a block of the index; blocks that are read first; neighbours that vote; weight of the base rate among them.
 BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 15, 0.5
+#: Where the bound of a block in eight is above this share of the best one, blocks are not read one after the other.
+FLAT = 0.6
 #: Texts that are searched for together; what a sum in single precision can be off at most.
 TOGETHER, SLACK = 64, 1e-4
 #: Answers that a worker remembers, by the checksum of the text.
@@ -113,7 +115,9 @@ class Postings:
             at, weights = self.row_of[at[:cut]], weights[:cut]
             bounds = partial.reshape(self.blocks, self.block).max(1) + weights @ self.best[at]
             order = np.argsort(-bounds, kind="stable")
-            first, more = order[:FIRST], order[FIRST:]
+            # Where many bounds are about as high as the best one, the first blocks would close hardly any.
+            flat = self.blocks > 8 and bounds[order[self.blocks // 8]] > FLAT * bounds[order[0]]
+            first, more = (order[:0], order) if flat else (order[:FIRST], order[FIRST:])
             found = self._above(at, weights, partial, (first[:, None] * self.block + np.arange(self.block)).ravel(), without[q])
             least = -np.partition(-found[1], k - 1)[k - 1] if len(found[1]) >= k else 0.0
             more = more[(bounds[more] > 0) & (bounds[more] >= least - 1e-9)]
@@ -183,8 +187,10 @@ class Index:
         return *self.weights.weigh(counts), words
 
     def count(self, text: str) -> tuple[dict[int, int], int]:
-        get, words = self.vocabulary.get, terms(text)
-        return Counter(t for t in map(get, words) if t is not None), len(words)
+        words = terms(text)
+        counts = Counter(map(self.vocabulary.get, words))
+        counts.pop(None, None)
+        return counts, len(words)
 
     def nearest(self, texts: list[str], k: int) -> list[list[tuple[int, float]]]:
         """For each text the k examples of the largest cosine over all terms; see :class:`Postings`."""
