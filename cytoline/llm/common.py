@@ -84,6 +84,12 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def filter_bits(rows: int, most: int = 26) -> int:
+    """Bits, as a power of two, of each array of a filter for so many keys: eight a key, which one key in sixty passes by
+    chance, up to ``most`` (a broadcast of 2**21 rows of two longs). A fuller filter only passes more rows on."""
+    return max(16, min(most, (8 * max(1, rows) - 1).bit_length()))
+
+
 def bit_positions(key: Column, log_bits: int) -> Column:
     """Two bit positions of a 64-bit key, each in a bit array of its own with 2**log_bits bits."""
     mask = F.lit((1 << log_bits) - 1).cast("long")

@@ -10,11 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_positions, bit_table, column, fresh, probe_bits, settle
-
-#: Bits of each of the filter's two arrays, as a power of two. The broadcast filter has at most 2**(LOG_BITS - 5)
-#: rows of two longs (4 MB at 18 rows a KB), however large the input; a fuller filter only passes more rows on to the shuffle.
-LOG_BITS = 23
+from .common import bit_positions, bit_table, column, filter_bits, fresh, probe_bits, settle
 
 
 def normalised(text: Column) -> Column:
@@ -22,12 +18,13 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
-def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", log_bits: int = LOG_BITS) -> DataFrame:
+def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", log_bits: int | None = None) -> DataFrame:
     """For each row: ``id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Of equal texts the row with the most code points stays, then the one with the smallest id; null ids come last.
     Rows that repeat an id and a text wholly count as copies; exactly one of them is kept.
     Null and blank texts are equal to each other. An empty table gives an empty result. Other columns are not read.
+    ``log_bits`` sets the size of the filter, which otherwise follows the number of rows; see :func:`filter_bits`.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
     light = settle(
@@ -40,6 +37,7 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", log_bi
         .withColumn("row", F.monotonically_increasing_id())
     )
 
+    log_bits = log_bits or filter_bits(light.count())
     # Pass one: a bit is set where at least two rows fall on it; counts are summed before they are shuffled.
     shared = (
         light.select(F.explode(bit_positions(F.col("key"), log_bits)).alias("bit"))
@@ -62,12 +60,13 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", log_bi
     )
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", log_bits: int = LOG_BITS) -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", log_bits: int | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, whatever those are called.
 
     The same filter decides; rows with a text of their own are not shuffled. Ties and nulls as in :func:`mark`.
     """
     key, maybe, order = fresh(docs, "key", "maybe", "order")
+    log_bits = log_bits or filter_bits(docs.count())
     text = F.coalesce(column(docs, text_col), F.lit(""))
     body = F.unhex(F.sha2(normalised(column(docs, text_col)), 256))
     hashed = docs.select(F.struct("*").alias("doc"), body.alias("sha"), F.xxhash64(body).alias("key"),

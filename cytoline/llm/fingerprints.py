@@ -14,9 +14,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_positions, bit_table, column, probe_bits, settle
+from .common import bit_positions, bit_table, column, filter_bits, probe_bits, settle
 
-LOG_BITS = 23
+#: Bytes of text that one sorted partition holds, about.
+PARTITION = 32 << 20
 
 
 def canonical(text: str) -> str:
@@ -43,30 +44,51 @@ def canonical_form(text: Column) -> Column:
     return run(text)
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each row ``id, fingerprint, group_id, group_size``; groups hold rows with the same canonical text.
+def _digests(form: str) -> Column:
+    @F.arrow_udf("string")
+    def run(forms: pa.Array) -> pa.Array:
+        return pa.array([digest(f.as_py()) for f in forms], pa.string())
+
+    return run(form)
 
-    Digests that may occur twice are found with a Bloom filter of fixed size; only their rows are shuffled, and grouped
-    by digest and canonical bytes. ``group_id`` is the smallest id, nulls last. Null texts are empty.
+
+def _buckets(texts: DataFrame) -> DataFrame:
+    """Groups of ``texts`` (id, text) by fingerprint and canonical bytes: ``fingerprint, proof, group_id, group_size``.
+
+    Equal forms of a task are one row before they are shuffled. ``proof``, a digest of the form, stands for its bytes.
     """
-    form = canonical_form(F.coalesce(column(docs, text_col), F.lit("")))
+    forms = texts.select("id", canonical_form(F.col("text")).alias("form")).withColumn("fingerprint", _digests("form"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id")))
+    found = forms.groupBy("fingerprint", "form").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
+    return settle(found.select("fingerprint", F.sha2(F.encode("form", "utf-8"), 256).alias("proof"), F.col("first.id").alias("group_id"), "group_size"))
 
-    @F.arrow_udf("string")
-    def of_form(forms: pa.Array) -> pa.Array:
-        return pa.array([digest(f.as_py()) for f in forms], pa.string())
 
-    rows = docs.select(column(docs, id_col).alias("id"), form.alias("form"))
-    rows = rows.withColumn("fingerprint", of_form("form")).withColumn("key", F.xxhash64("fingerprint"))
-    twice = rows.select(F.explode(bit_positions(F.col("key"), LOG_BITS)).alias("bit")).groupBy("bit").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    probed = probe_bits(rows, "key", settle(bit_table(twice, "bit")), LOG_BITS, "maybe")
-    alone = probed.filter("not maybe").select("id", "fingerprint", F.col("id").alias("group_id"), F.lit(1).cast("long").alias("group_size"))
-    maybe = probed.filter("maybe").select("id", "fingerprint", "form")
-    first = F.min_by("id", F.struct(F.col("id").isNull(), F.col("id")))
-    buckets = settle(maybe.groupBy("fingerprint", "form").agg(first.alias("group_id"), F.count(F.lit(1)).alias("group_size")))
-    return alone.unionByName(maybe.join(buckets, ["fingerprint", "form"]).select("id", "fingerprint", "group_id", "group_size"))
+def grouped(marked: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``marked`` (id, fingerprint, proof and more, of all rows of ``docs``) with ``group_id`` and ``group_size`` for proof.
+
+    Fingerprints that may occur twice are found with a Bloom filter; only texts of their ids are read again, and grouped
+    by fingerprint and then by the bytes of their canonical forms. ``group_id`` is the smallest id, nulls last.
+    """
+    log_bits = filter_bits(marked.count())
+    keyed = marked.withColumn("key", F.xxhash64("fingerprint"))
+    twice = keyed.select(F.explode(bit_positions(F.col("key"), log_bits)).alias("bit")).groupBy("bit").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    keyed = settle(probe_bits(keyed, "key", settle(bit_table(twice, "bit")), log_bits, "maybe").drop("key"))
+    ids = keyed.filter("maybe").select(F.explode(bit_positions(F.xxhash64("id"), log_bits)).alias("bit")).distinct()
+    texts = docs.select(column(docs, id_col).cast("long").alias("id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text")).withColumn("key", F.xxhash64("id"))
+    texts = probe_bits(texts, "key", settle(bit_table(ids, "bit")), log_bits, "read").filter("read")
+    alone = keyed.filter("not maybe").withColumn("group_id", F.col("id")).withColumn("group_size", F.lit(1).cast("long"))
+    several = keyed.filter("maybe").join(_buckets(texts.select("id", "text")).hint("merge"), ["fingerprint", "proof"])
+    return alone.unionByName(several.select(*alone.columns)).drop("maybe", "proof")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For each row ``id, fingerprint, group_id, group_size``; groups hold rows with the same canonical text, and null texts are empty."""
+    form = canonical_form(F.coalesce(column(docs, text_col), F.lit("")))
+    rows = docs.select(column(docs, id_col).cast("long").alias("id"), form.alias("form"))
+    return grouped(settle(rows.select("id", _digests("form").alias("fingerprint"), F.sha2(F.encode("form", "utf-8"), 256).alias("proof"))), docs, id_col, text_col)
 
 
-OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, proof string"
 EDGE = "edge string, edge_text string, part int"
 
 
@@ -82,7 +104,7 @@ def _compare(row: tuple, following: tuple) -> tuple:
     own = (mark, form)
     return (
         ident, len(text), sha256(edited.encode()).hexdigest(), mark, edited_mark,
-        likeness(own, (edited_mark, edited_form)), likeness(own, (following[3], following[2])),
+        likeness(own, (edited_mark, edited_form)), likeness(own, (following[3], following[2])), sha256(form.encode()).hexdigest(),
     )
 
 
@@ -96,7 +118,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _OUT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("proof", pa.string())]
 _SCHEMA = pa.schema([*_OUT, ("edge", pa.string()), ("edge_text", pa.string()), ("part", pa.int32())])
 
 
@@ -106,7 +128,7 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     part = TaskContext.get().partitionId()
     held = None
-    none = (None,) * 7
+    none = (None,) * len(_OUT)
     for batch in batches:
         rows = []
         for ident, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -131,18 +153,20 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of each text, of its edited text and their likeness, in order of id; see OUT for the columns.
+    """Fingerprints of each text, of its edited text and their likeness, and the text's group; see OUT for the columns.
 
     The edited text has its last half of code points replaced by the first ones of the next document, that is the next
     row by id; the last row's next is the first. Null texts are empty, null ids come last, and rows that repeat an
     id follow each other in order of their texts' checksum. One row's next is itself; no rows give none.
 
-    Each text is shuffled once, by range of id. Only the rows at the borders of partitions meet again.
+    Each text is shuffled once, by range of id. Only the rows at the borders of partitions meet again. Groups (columns
+    ``group_id`` and ``group_size``) are those of :func:`grouped`.
     """
     rows = docs.select(column(docs, id_col).cast("long").alias("id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     order = [F.col("id").asc_nulls_last(), F.col("tie").asc()]
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = rows.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PARTITION)
     ranged = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("id", "text")
     done = settle(ranged.mapInArrow(_along, f"{OUT}, {EDGE}"))
     inner = done.filter("edge IS NULL").drop("edge", "edge_text", "part")
@@ -154,4 +178,5 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     last = edges.filter("edge = 'last'").select("doc_id", F.col("edge_text").alias("text"), "part")
     first = edges.filter("edge = 'first'").select(F.col("edge_text").alias("following"), F.col("part").alias("next_part"))
     border = last.join(light, "part").join(first, "next_part").select("doc_id", "text", "following")
-    return inner.unionByName(border.mapInArrow(_pairs, OUT))
+    out = settle(inner.unionByName(border.mapInArrow(_pairs, OUT)).withColumnRenamed("doc_id", "id"))
+    return grouped(out, docs, id_col, text_col).withColumnRenamed("id", "doc_id")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, bit_positions, bit_table, column, probe_bits, settle
+from .common import batches_of, bit_positions, bit_table, column, filter_bits, probe_bits, settle
 
 #: Words of a shingle; bands and bins of a band. A pair shares no band with probability 1e-7 at a similarity of 0.8,
 #: and 3e-10 at 0.85.
@@ -34,8 +34,6 @@ BINS = BANDS * ROWS
 CHUNK, CHUNK_SETS, PACKED = 1 << 16, 1024, 1 << 18
 #: Heaviest members of a large group, which each chunk of it meets first.
 HUBS = 16
-#: Bits of the filter that spares other texts the second reading: at most 2**(LOG_BITS - 5) broadcast rows.
-LOG_BITS = 22
 #: Links that one task joins into components.
 AT_ONCE = 1_000_000
 #: Rows that go to Python at a time where each carries a whole text.
@@ -265,14 +263,15 @@ def components(edges: DataFrame, at_once: int | None = None) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`group` keeps, with all their columns, whatever those are called.
 
-    A filter of fixed size over the ids that go lets all other rows pass unshuffled; the rest is compared exactly.
+    A filter of bounded size over the ids that go lets all other rows pass unshuffled; the rest is compared exactly.
     Rows that repeat an id and a set stay or go together.
     """
     gone = settle(group(docs, percent, id_col, text_col, with_node=True).filter("not kept").select(F.col("id").alias("gone"), F.col("node").alias("set")).distinct())
-    bits = bit_table(gone.select(F.explode(bit_positions(F.xxhash64("gone"), LOG_BITS)).alias("bit")).distinct(), "bit")
+    log_bits = filter_bits(gone.count())
+    bits = bit_table(gone.select(F.explode(bit_positions(F.xxhash64("gone"), log_bits)).alias("bit")).distinct(), "bit")
     ident = column(docs, id_col).cast("long")
     rows = docs.select(F.struct("*").alias("doc"), ident.alias("id"), column(docs, text_col).alias("text"), F.xxhash64(ident).alias("key"))
-    rows = probe_bits(rows, "key", settle(bits), LOG_BITS, "maybe")
+    rows = probe_bits(rows, "key", settle(bits), log_bits, "maybe")
     unsure = rows.filter("maybe").withColumn("node", sets(F.coalesce("text", F.lit("")))["node"])
     stay = unsure.join(gone, unsure["id"].eqNullSafe(gone["gone"]) & (unsure["node"] == gone["set"]), "left_anti")
     return rows.filter("not maybe").select("doc").unionByName(stay.select("doc")).select("doc.*")
@@ -371,10 +370,11 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     weights = found.groupBy("short").agg(F.sum("size").alias("weight"))
     wanted = settle(nodes.select("node", "short", "rep", "n").join(weights.hint("merge"), "short"))
 
-    # Only candidates are read a second time; a filter of fixed size spares the other texts, the join makes it exact.
-    bits = bit_table(wanted.select(F.explode(bit_positions(F.xxhash64("rep"), LOG_BITS)).alias("bit")).distinct(), "bit")
+    # Only candidates are read a second time; a filter of bounded size spares the other texts, the join makes it exact.
+    log_bits = filter_bits(wanted.count())
+    bits = bit_table(wanted.select(F.explode(bit_positions(F.xxhash64("rep"), log_bits)).alias("bit")).distinct(), "bit")
     texts = docs.select(F.xxhash64(column(docs, id_col).cast("long")).alias("key"), text.alias("text"))
-    texts = probe_bits(texts, "key", settle(bits), LOG_BITS, "maybe").filter("maybe")
+    texts = probe_bits(texts, "key", settle(bits), log_bits, "maybe").filter("maybe")
     made = texts.select(sets(F.col("text")).alias("own")).select("own.node", "own.elements")
     with batches_of(docs.sparkSession, BATCH):
         made = made.join(wanted.select("node", "short", "n", "weight").hint("merge"), "node")
