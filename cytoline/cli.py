@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -25,6 +26,18 @@ def _extra(spark, path, name_col, extra_col):
                        F.col(f"c{name_col}").alias("name"), F.coalesce(F.col(f"c{extra_col}"), F.lit("")).alias("extra")).filter("start >= 0")
 
 
+def _refused(check, *frames):
+    try:
+        check(*frames)
+    except ValueError as error:
+        raise SystemExit(str(error)) from error
+
+
+def _report(what, names):
+    if names:
+        print(f"{what}: {len(names)}: " + ", ".join(sorted(names)[:5]), file=sys.stderr)
+
+
 def parse_sample(spark, a):
     rows = readers.pileup(spark, a.input) if a.etape == "before_imputation" else readers.imputed(spark, a.input)
     out = cohort.parse_sample(rows.withColumn("sample", F.lit(a.sample_name)))
@@ -38,7 +51,9 @@ def build_cohort_matrix(spark, a):
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.unionByName(t)
-    cells = cohort.align(readers.site_reference(spark, a.sites_file), rows.filter("mod_code = 'm'"), a.sample_names, a.min_cov)
+    reference, rows = readers.site_reference(spark, a.sites_file), rows.filter("mod_code = 'm'")
+    _refused(cohort.refuse_unfit, reference.select("chrom"), rows.select("sample", "site_id", "chrom"))
+    cells = cohort.align(reference, rows, a.sample_names, a.min_cov)
     covered, excluded = cohort.split_covered(cells)
     writers.parquet(writers.wide(covered.withColumn("mod_code", F.lit("m")), a.sample_names, [*SITE, "mod_code"]), f"{a.outdir}/cohort_matrix.parquet")
     writers.intervals(excluded.select("chrom", "start", "end", "site_id"), f"{a.outdir}/excluded_sites.bed")
@@ -65,7 +80,9 @@ def coverage_loss(spark, a):
     df = df.withColumnRenamed(a.origin_col, "origin")
     sites = coverage.per_site(readers.to_long(df, names, [*SITE, "origin"]), (*SITE, "origin"))
     writers.comma(coverage.least_covered(sites, a.n_least_covered), f"{a.outdir}/per_site_coverage.csv", small=True)
-    writers.comma(coverage.summary(sites, len(names)).orderBy("x"), f"{a.outdir}/coverage_summary.csv", small=True)
+    summary = coverage.summary(sites, len(names))
+    _refused(coverage.refuse_inconsistent, summary, sites)
+    writers.comma(summary.orderBy("x"), f"{a.outdir}/coverage_summary.csv", small=True)
     writers.intervals(coverage.covered_in(sites, len(names), a.min_coverage_pct), f"{a.outdir}/covered_at_least_{a.min_coverage_pct:g}pct.bed")
 
 
@@ -89,7 +106,7 @@ def plot_tables(spark, a):
 
     cells, names = _cells(spark, a.input, [*SITE, "origin", "feature_label"])
     cells = cells.withColumn("beta", expr.covered_or_unknown(F.col("beta"), F.col("cov"), a.min_cov))
-    pairs = figures.sample_pairs(names[: len(names) // 2], names[len(names) // 2 :])
+    pairs = figures.sample_pairs(names)
     tables = {"feature_label_distribution": figures.feature_label_distribution(readers.cohort(spark, a.input)), "heatmap_variable_sites": figures.variable_sites_heatmap(cells, names, a.top_n),
               "beta_by_feature": figures.beta_by_feature(cells)}
     tables |= {f"scatter_feature_{x}_{y}": t for (x, y), t in zip(pairs, figures.scatter_by_feature(cells, pairs))}
@@ -101,9 +118,12 @@ def plot_tables(spark, a):
 def prepare(spark, a):
     df = readers.cohort(spark, a.cohort_tsv).filter(F.col("mod_code") == a.mod_code)
     names = readers.samples_of(df)
+    _report("samples to exclude that are not in the cohort", set(a.exclude_samples) - set(names))
+    left = [s for s in names if s not in a.exclude_samples]
+    if not left:
+        raise SystemExit("all samples are excluded")
     options = {"knn": {"k": a.knn_neighbors}, "pca": {"components": a.pca_n_components, "rounds": a.pca_max_iter, "tolerance": a.pca_tol}}.get(a.imputation_method, {})
     rows = matrix.prepare(readers.to_long(df, names, ["site_id"]), names, 100.0, a.exclude_samples, a.min_completeness, a.imputation_method, a.top_n, a.seuil, **options)
-    left = [s for s in names if s not in a.exclude_samples]
     (writers.matrix if a.output_format == "parquet" else writers.matrix_text)(rows, left, f"{a.outdir}/clustering_matrix{a.tag}.{a.output_format}")
 
 
@@ -160,11 +180,18 @@ def run_gmm(spark, a):
     rows, names = _matrix(spark, a)
     at, features = linalg.components(rows, names, len(names))[0], rows.select("site_id").distinct().count()
     ks = cluster.k_range(len(names), a.k_min, a.k_max)
-    fits = {k: cluster.mixture(at, k, features, a.covariance_type, a.reg_covar, 10, a.random_state) for k in ks}
+    vectors = session.settle(matrix.vectors(rows, names)) if a.covariance_type == "diag" else None
+
+    def fit(k, starts, rounds):
+        if vectors is not None:
+            return cluster.diagonal_mixture(vectors, at, k, features, a.reg_covar, starts, a.random_state, rounds)
+        return cluster.mixture(at, k, features, a.covariance_type, a.reg_covar, starts, a.random_state, rounds)
+
+    fits = {k: fit(k, 10, 300) for k in ks}
     table = spark.createDataFrame([(k, float(f["bic"]), float(f["aic"]), bool(f["converged"])) for k, f in fits.items()], "k int, bic double, aic double, converged boolean")
     writers.decimals(table, f"{a.outdir}/gmm_bic{a.tag}.tsv", ["bic", "aic"])
     k = a.k_final or min(fits, key=lambda k: (fits[k]["bic"], k))
-    _labels(spark, names, cluster.mixture(at, k, features, a.covariance_type, a.reg_covar, 20, a.random_state, 500)["labels"], "gmm", a)
+    _labels(spark, names, fit(k, 20, 500)["labels"], "gmm", a)
 
 
 def run_pairwise(spark, a):
@@ -200,6 +227,7 @@ def risk_gradient(spark, a):
     writers.table(spark.createDataFrame(table, "axis string, eigenvalue double, pct_variance double, cumulative_pct_variance double"), f"{a.outdir}/pcoa_eigenvalues{a.tag}.tsv", small=True)
     if a.metadata and a.permanova_column:
         group = {r["sample"]: r[a.permanova_column] for r in readers.metadata(spark, a.metadata).collect()}
+        _report("samples without metadata", set(names) - set(group))
         keep = [i for i, s in enumerate(names) if group.get(s) is not None]
         found = stats.permanova(spark, d[np.ix_(keep, keep)], [group[names[i]] for i in keep], a.n_permutations, a.random_state)
         writers.table(spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} {'long' if isinstance(v, int) else 'double'}" for k, v in found.items())), f"{a.outdir}/permanova{a.tag}.tsv", small=True)
@@ -210,6 +238,8 @@ def risk_gradient(spark, a):
     if not numeric:
         risk = matrix.codes(risk, "risk").withColumn("risk", F.col("code"))
     value = {r["sample"]: float(r["risk"]) for r in risk.collect()}
+    _report("samples without a risk", set(names) - set(value))
+    _report("risks of samples that are not in the matrix", set(value) - set(names))
     keep = [i for i, s in enumerate(names) if s in value]
     x, y, names = x[keep], np.array([value[names[i]] for i in keep]), [names[i] for i in keep]
     most = stats.axes_to_try(len(names), x.shape[1], a.max_axes)
@@ -255,7 +285,7 @@ def parser() -> argparse.ArgumentParser:
     add(run_pca, need("matrix"), may("n-components", 20), flag("use-robust-scaler"), tag)
     add(run_umap, need("matrix"), may("n-neighbors", 10), may("min-dist", 0.1), may("random-state", 42), flag("use-robust-scaler"), tag)
     add(run_kmeans, need("matrix"), flag("use-robust-scaler"), *ks)
-    add(run_gmm, need("matrix"), flag("use-robust-scaler"), may("covariance-type", "diag", choices=["diag", "spherical"]), may("reg-covar", 1e-6), *ks)
+    add(run_gmm, need("matrix"), flag("use-robust-scaler"), may("covariance-type", "diag", choices=sorted(cluster.SHAPES)), may("reg-covar", 1e-6), *ks)
     add(run_pairwise, need("matrix"), may("distance-metric", "pearson", choices=["pearson", "spearman", "euclidean"]), may("linkage", "average", choices=["average", "complete", "ward"]), may("n-cut", type=int), may("min-coobs", 1000), *ks)
     add(risk_gradient, need("distance-matrix"), may("risk-file"), may("metadata"), may("permanova-column"), may("lingoes", True, action=argparse.BooleanOptionalAction), may("max-axes", type=int),
         may("n-permutations", 999), may("random-state", 42), tag)

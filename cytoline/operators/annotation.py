@@ -30,8 +30,8 @@ def merged_exons(genes: DataFrame) -> DataFrame:
 
 def introns(genes: DataFrame) -> DataFrame:
     """What of each transcript is in no exon of any gene; transcripts that overlap give nested and equal rows."""
-    rows = genes.select("chrom", F.col("tx_start").alias("start"), F.col("tx_end").alias("end"), "gene", "strand").withColumn("_tx", F.monotonically_increasing_id())
-    return intervals.subtract(rows, exons(genes).select("chrom", "start", "end"), ["_tx"]).drop("_tx")
+    rows = genes.select("chrom", F.col("tx_start").alias("start"), F.col("tx_end").alias("end"), "gene", "strand")
+    return intervals.subtract(rows, exons(genes).select("chrom", "start", "end"))
 
 
 def starts(genes: DataFrame) -> DataFrame:
@@ -51,10 +51,13 @@ def annotate(sites: DataFrame, tss: DataFrame, exon: DataFrame, intron: DataFram
     others name. Columns without a value are empty texts. ``strict`` looks at all overlaps instead of the last start;
     ``slop`` widens start sites on both sides.
     """
-    find = intervals.first_overlap if strict else intervals.asof_overlap
     near = tss.withColumn("start", F.greatest(F.col("start") - slop, F.lit(0))).withColumn("end", F.col("end") + slop) if slop else tss
-    for column, track, payload in (("_t", near, ["name", "extra"]), ("_e", exon, ["name"]), ("_i", intron, ["name"]), ("_c", ccre, ["name", "extra"])):
-        sites = find(sites, track, payload).withColumnRenamed("hit", column)
+    tracks = {"_t": (near, ["name", "extra"]), "_e": (exon, ["name"]), "_i": (intron, ["name"]), "_c": (ccre, ["name", "extra"])}
+    if strict:
+        for column, (track, payload) in tracks.items():
+            sites = intervals.first_overlap(sites, track, payload).withColumnRenamed("hit", column)
+    else:
+        sites = intervals.asof_overlaps(sites, tracks)
     has = [F.col(c).isNotNull() for c in ("_t", "_e", "_i", "_c")]
 
     def first(*values):

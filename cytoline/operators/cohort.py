@@ -36,6 +36,19 @@ def mixed_names(sites: DataFrame) -> DataFrame:
     return sites.groupBy("sample").agg(F.count_if(~F.col("chrom").startswith("chr")).alias("n_plain")).filter("n_plain > 0")
 
 
+def refuse_unfit(reference: DataFrame, samples: DataFrame) -> None:
+    """Raise a ValueError if a sample has a site twice, or names chromosomes in another way than the reference does.
+
+    The join of :func:`align` would repeat the one and silently miss the other.
+    """
+    twice = [f"{r['sample']} {r['site_id']}" for r in repeated_sites(samples).limit(5).collect()]
+    if twice:
+        raise ValueError("sites that a sample has more than once: " + ", ".join(twice))
+    plain = [r["sample"] for r in mixed_names(reference.withColumn("sample", F.lit("the reference")).unionByName(samples, allowMissingColumns=True)).orderBy("sample").limit(5).collect()]
+    if plain:
+        raise ValueError("chromosome names without chr: " + ", ".join(plain))
+
+
 def align(reference: DataFrame, samples: DataFrame, names: list[str], min_cov: int = 1) -> DataFrame:
     """Every reference site with every named sample: ``site_id, chrom, start, end, sample, beta, cov``; absent is null.
 

@@ -31,6 +31,15 @@ def summary(sites: DataFrame, n_samples: int) -> DataFrame:
                        (F.col("n_sites") * (n_samples - F.col("x"))).alias("n_nan_values"), "n_EPC", "n_islandcpg")
 
 
+def refuse_inconsistent(summary_: DataFrame, sites: DataFrame) -> None:
+    """Raise a ValueError if a summary does not add up to the sites that it sums: in all, and by either kind of origin."""
+    seen = F.col("n_covered") > 0
+    want = sites.agg(F.count_if(seen).alias("n_sites"), F.count_if(seen & expr.has_probe_tag(F.col("origin"))).alias("n_EPC"), F.count_if(seen & expr.has_island_tag(F.col("origin"))).alias("n_islandcpg")).first()
+    got = summary_.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_sites", "n_EPC", "n_islandcpg"))).first()
+    if want != got:
+        raise ValueError(f"the summary has {got.asDict()}, the sites {want.asDict()}")
+
+
 def covered_in(sites: DataFrame, n_samples: int, percent: float) -> DataFrame:
     """Intervals of the sites that at least this percentage of samples covers."""
     if not 0 <= percent <= 100:

@@ -52,11 +52,11 @@ def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", width: i
         return pairs.drop("_first_l", "_first_r", "_bin", "_bin_r", "_chrom_r")
     if how not in ("left_semi", "left_anti"):
         raise ValueError(how)
-    # An interval in several bins has a hit if any of its bins has: mark the row, then look at the marks.
-    row = left.withColumn("_row", F.monotonically_increasing_id())
-    cut = _binned(row, "start", "end", width).drop("_first")
-    hits = cut.join(b.drop("_first_r"), hit, "left_semi").select("_row").distinct()
-    return row.join(hits, "_row", how).drop("_row")
+    # An interval in several bins has a hit if any of its bins has. Rows of one interval are hit together, so the hits
+    # are intervals: that holds however often and in whatever order the input is read.
+    cut = _binned(left.select("chrom", "start", "end").distinct(), "start", "end", width).drop("_first")
+    hits = cut.join(b.drop("_first_r"), hit, "left_semi").select("chrom", "start", "end").distinct()
+    return left.join(hits, ["chrom", "start", "end"], how).select(*left.columns)
 
 
 def tags_of_overlaps(sites: DataFrame, regions: DataFrame, none: str = "unknown", width: int = BIN) -> DataFrame:
@@ -75,14 +75,26 @@ def asof_overlap(sites: DataFrame, track: DataFrame, payload: list[str]) -> Data
     Among equal starts the larger end is last, then the larger first payload. Earlier intervals that reach further
     are not looked at; :func:`first_overlap` does that.
     """
-    hit = F.expr(f"named_struct('end', end, {', '.join(f'{chr(39)}{c}{chr(39)}, {c}' for c in payload)})")
-    kind = track.select("chrom", F.col("start").alias("at"), F.lit(0).alias("kind"), hit.alias("hit"))
-    marks = sites.select("chrom", F.col("start").alias("at"), F.lit(1).alias("kind"), F.struct("*").alias("site"))
-    both = kind.withColumn("site", F.lit(None).cast(marks.schema["site"].dataType)).unionByName(marks.withColumn("hit", F.lit(None).cast(kind.schema["hit"].dataType)))
-    both = _carried(_stretched(both, "at"), F.max(F.when(F.col("kind") == 0, F.struct("at", "hit"))), F.last("_v", ignorenulls=True))
-    order = Window.partitionBy("chrom", "_s").orderBy("at", "kind", "hit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = both.withColumn("last", F.coalesce(F.last("hit", ignorenulls=True).over(order), F.col("_c.hit"))).filter("kind = 1")
-    return last.select("site.*", F.when(F.col("last.end") > F.col("at"), F.col("last")).alias("hit"))
+    return asof_overlaps(sites, {"hit": (track, payload)})
+
+
+def asof_overlaps(sites: DataFrame, tracks: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """As :func:`asof_overlap` for several tracks in one sorted pass: a struct column for each, by its name."""
+    names = [f"_h{i}" for i in range(len(tracks))]
+    hits = [F.expr(f"named_struct('end', end, {', '.join(f'{chr(39)}{c}{chr(39)}, {c}' for c in payload)})") for _, payload in tracks.values()]
+    marks = [track.select("chrom", F.col("start").alias("at"), F.lit(0).alias("kind"), hit.alias(name)) for (track, _), hit, name in zip(tracks.values(), hits, names)]
+    both = sites.select("chrom", F.col("start").alias("at"), F.lit(1).alias("kind"), F.struct("*").alias("site"))
+    for rows in marks:
+        both = both.unionByName(rows, allowMissingColumns=True)
+    both = _stretched(both, "at")
+    # what a stretch begins with: of each track the last interval of the stretches before
+    last = [F.max(F.when(F.col(n).isNotNull(), F.struct("at", n))).alias(n) for n in names]
+    each = both.groupBy("chrom", "_s").agg(*last)
+    before = each.select("chrom", "_s", *(F.last(n, ignorenulls=True).over(_before())[n].alias(f"_c{n}") for n in names))
+    order = Window.partitionBy("chrom", "_s").orderBy("at", "kind", *names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.join(before, ["chrom", "_s"])
+    found = found.select("at", "kind", "site", *(F.coalesce(F.last(n, ignorenulls=True).over(order), F.col(f"_c{n}")).alias(n) for n in names)).filter("kind = 1")
+    return found.select("site.*", *(F.when(F.col(f"{n}.end") > F.col("at"), F.col(n)).alias(c) for n, c in zip(names, tracks)))
 
 
 def first_overlap(sites: DataFrame, track: DataFrame, payload: list[str], width: int = BIN) -> DataFrame:
@@ -108,15 +120,16 @@ def merge(df: DataFrame, names: str | None = None) -> DataFrame:
     return rows.withColumn("_island", island).groupBy("chrom", "_island").agg(*out).drop("_island")
 
 
-def subtract(left: DataFrame, right: DataFrame, key: list[str], width: int = BIN) -> DataFrame:
-    """What is left of each interval of ``left`` outside ``right`` (chrom, start, end); ``key`` names a row of ``left``.
+def subtract(left: DataFrame, right: DataFrame, width: int = BIN) -> DataFrame:
+    """What is left of each interval of ``left`` outside ``right`` (chrom, start, end).
 
-    A row gives one row for each remaining piece, with its other columns.
+    A row gives one row for each remaining piece, with its other columns. Rows of one interval are cut alike.
     """
     holes = merge(right).select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
-    cut = overlap_join(left.select(*key, "chrom", "start", "end"), holes, width=width)
-    found = cut.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("r_start", "r_end"))).alias("_holes"))
-    rows = left.join(found, key, "left")
+    place = ["chrom", "start", "end"]
+    cut = overlap_join(left.select(*place).distinct(), holes, width=width)
+    found = cut.groupBy(*place).agg(F.array_sort(F.collect_list(F.struct("r_start", "r_end"))).alias("_holes"))
+    rows = left.join(found, place, "left").select(*left.columns, "_holes")
     starts = F.concat(F.array("start"), F.coalesce(F.expr("transform(_holes, h -> h.r_end)"), F.array().cast("array<bigint>")))
     ends = F.concat(F.coalesce(F.expr("transform(_holes, h -> h.r_start)"), F.array().cast("array<bigint>")), F.array("end"))
     rows = rows.withColumn("_piece", F.explode(F.arrays_zip(starts.alias("s"), ends.alias("e")))).filter("_piece.e > _piece.s")

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoline.functions import expr
+from cytoline.session import settle
+
+from .intervals import STRETCH
 
 
 def observed(cells: DataFrame, n_samples: int) -> DataFrame:
@@ -64,7 +67,8 @@ def impute_median(cells: DataFrame) -> DataFrame:
 
 def impute_random(cells: DataFrame, seed: int = 42) -> DataFrame:
     """Missing values become uniform on [0, 1), the same ones for the same seed, site and sample."""
-    draw = F.shiftrightunsigned(F.xxhash64("site_id", "sample", F.lit(seed)), 11) / F.lit(float(1 << 53))
+    name = F.concat_ws(":", F.col("site_id").cast("string"), "sample", F.lit(str(seed)))
+    draw = F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     return cells.withColumn("beta", F.coalesce("beta", draw))
 
 
@@ -158,9 +162,9 @@ def impute_components(cells: DataFrame, samples: list[str], components: int = 10
     """Missing values from the leading components, estimated again until they settle; observed values stay.
 
     The components are eigenvectors of the samples by samples matrix, so a site's estimate needs only its own vector.
-    Rounds are replayed on the original vectors from the small matrices, so nothing of the size of the data is stored.
+    The vectors are stored once; rounds are replayed on them from the small matrices.
     """
-    table, n = vectors(cells, samples), len(samples)
+    table, n = settle(vectors(cells, samples)), len(samples)
     size = table.count()
     k = max(1, min(components, n - 1, size))
     steps: list[np.ndarray] = []
@@ -195,15 +199,23 @@ def impute_along(cells: DataFrame) -> DataFrame:
 
     ``cells`` has chrom and start. A value on one side only is taken as it is; without any it stays missing.
     """
+    rows = cells.withColumn("_s", F.expr(f"start div {STRETCH}"))
     value = F.when(F.col("beta").isNotNull(), F.struct("start", "beta"))
-    by = Window.partitionBy("sample", "chrom").orderBy("start")
+    # within a stretch of a chromosome rows are sorted; what lies before and after comes from a row for each stretch
+    each = rows.groupBy("sample", "chrom", "_s").agg(F.max(value).alias("_last"), F.min(value).alias("_first"))
+    along = Window.partitionBy("sample", "chrom").orderBy("_s")
+    each = each.select(
+        "sample", "chrom", "_s", F.last("_last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    by = Window.partitionBy("sample", "chrom", "_s").orderBy("start")
     left = F.last(value, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
     right = F.first(value, ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
-    rows = cells.withColumn("_l", left).withColumn("_r", right)
+    rows = rows.join(each, ["sample", "chrom", "_s"]).withColumn("_l", F.coalesce(left, "_before")).withColumn("_r", F.coalesce(right, "_after"))
     a, b = F.col("start") - F.col("_l.start"), F.col("_r.start") - F.col("start")
     both = (F.col("_l.beta") * b + F.col("_r.beta") * a) / (a + b)
     estimate = F.when(F.col("_l").isNotNull() & F.col("_r").isNotNull(), both).otherwise(F.coalesce("_l.beta", "_r.beta"))
-    return rows.withColumn("beta", F.coalesce("beta", estimate)).drop("_l", "_r")
+    return rows.withColumn("beta", F.coalesce("beta", estimate)).select(*cells.columns)
 
 
 def prepare(cells: DataFrame, samples: list[str], scale: float = 100.0, exclude: list[str] = (), completeness: float = 1.0, method: str = "no_impute",

@@ -37,12 +37,12 @@ def beta_by_feature(cells: DataFrame) -> DataFrame:
     return distrib.feature_quartiles(cells)
 
 
-def sample_pairs(first: list[str], second: list[str], most: int = 2) -> list[tuple[str, str]]:
-    """Pairs for scatter plots: ``most`` of one group with as many of another, again from the start if a group is short;
-    pairs within the first group if there is no second one."""
-    if not first or not second:
-        return list(combinations(first or second, 2))[: most * most]
-    return [(first[i % len(first)], second[j % len(second)]) for i in range(min(most, len(first))) for j in range(min(most, len(second)))]
+def sample_pairs(samples: list[str], pivots: int = 2, targets: int = 2) -> list[tuple[str, str]]:
+    """The first samples, each with targets of its own among the others, which come round again if they are few."""
+    others = samples[pivots:]
+    if not others:
+        return list(combinations(samples, 2))[: pivots * targets]
+    return [(samples[p], others[(p * targets + t) % len(others)]) for p in range(pivots) for t in range(targets)]
 
 
 def scatter_by_feature(cells: DataFrame, pairs: list[tuple[str, str]]) -> list[DataFrame]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cytoline.functions import expr
 from cytoline.operators import annotation, cluster, cohort, coverage, distance, distrib, intervals, linalg, matrix, reads, stats
+from cytoline.session import settle
 
 from . import lens
 
@@ -74,9 +75,10 @@ def plus_strand_starts(spark, sf):
     return lens.measure(spark, sf).select("strand", at.alias("at")).groupBy("strand").agg(F.count(F.lit(1)).alias("n"), F.sum("at").alias("sum_start"))
 
 
-@query("SELECT sample, site_id, count(*) AS n FROM parsed GROUP BY ALL HAVING count(*) > 1")
+@query("SELECT sample, site_id, count(*) AS n FROM (SELECT * FROM parsed UNION ALL SELECT * FROM parsed WHERE n_valid >= 60) GROUP BY ALL HAVING count(*) > 1")
 def repeated_sites(spark, sf):
-    return cohort.repeated_sites(parsed(spark, sf))
+    rows = parsed(spark, sf)
+    return cohort.repeated_sites(rows.unionByName(rows.filter("n_valid >= 60")))
 
 
 @query("SELECT sample, count(*) AS n_plain FROM (SELECT 's' || (l_suppkey % 8) AS sample, (l_partkey % 22 + 1)::VARCHAR AS chrom FROM lineitem) WHERE chrom NOT LIKE 'chr%' GROUP BY sample", prefix=False)
@@ -96,9 +98,10 @@ def matrix_wide(spark, sf):
     return writers.wide(cohort.split_covered(cells(spark, sf))[0], SAMPLES, ["site_id", "chrom", "start"])
 
 
-@query('SELECT site_id, chrom, start, "end" FROM cells GROUP BY ALL HAVING count(cov) = 0')
+@query("SELECT site_id, chrom, start, \"end\" FROM cells WHERE sample IN ('s0', 's1') GROUP BY ALL HAVING count(cov) = 0")
 def excluded_sites(spark, sf):
-    return cohort.split_covered(cells(spark, sf))[1]
+    """Sites that neither of two samples covers."""
+    return cohort.split_covered(cells(spark, sf).filter("sample IN ('s0', 's1')"))[1]
 
 
 @query("SELECT sample, count(*) - count(beta) AS n_missing, count(*) AS n_sites FROM cells GROUP BY sample")
@@ -190,8 +193,7 @@ points AS (SELECT i.chrom, i.start AS a, i."end" AS b, i.name, i.start AS f, coa
   UNION ALL SELECT chrom, a, b, name, e, coalesce(lead(s) OVER (PARTITION BY chrom, a ORDER BY s), b) FROM cut)
 SELECT chrom, f AS start, t AS "end", name FROM points WHERE t > f""")
 def interval_subtract(spark, sf):
-    left = lens.track(spark, sf, 7, 0, "60 * p_size").withColumn("key", F.col("start"))
-    return intervals.subtract(left, lens.track(spark, sf, 3), ["key"]).select("chrom", "start", "end", "name")
+    return intervals.subtract(lens.track(spark, sf, 7, 0, "60 * p_size"), lens.track(spark, sf, 3)).select("chrom", "start", "end", "name")
 
 
 _SWEEP = """, edges AS (SELECT chrom, place, sum(step) AS step FROM (SELECT chrom, pos AS place, 1 AS step FROM reads UNION ALL SELECT chrom, end_pos, -1 FROM reads) GROUP BY chrom, place),
@@ -206,12 +208,27 @@ def depth_sweep(spark, sf):
     return intervals.depth(lens.reads(spark, sf).selectExpr("chrom", "pos AS start", "end_pos AS end"))
 
 
-@query(_SWEEP + """, deep AS (SELECT chrom, start, "end" FROM swept WHERE depth > 100),
+_DEEP = _SWEEP + """, deep AS (SELECT chrom, start, "end" FROM swept WHERE depth > 60),
 o AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM deep),
-g AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start ROWS UNBOUNDED PRECEDING) AS island FROM o)
-SELECT chrom, min(start) AS start, max("end") AS "end" FROM g GROUP BY chrom, island""")
+g AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start ROWS UNBOUNDED PRECEDING) AS island FROM o),
+regions AS (SELECT chrom, min(start) AS start, max("end") AS "end" FROM g GROUP BY chrom, island)
+"""
+
+
+@query(_DEEP + 'SELECT chrom, start, "end" FROM regions')
 def deep_regions(spark, sf):
-    return reads.too_deep(lens.reads(spark, sf), 100)
+    return reads.too_deep(lens.reads(spark, sf), 60)
+
+
+@query(_DEEP + 'SELECT chrom, count(*) AS n, sum(pos)::BIGINT AS sum_pos FROM reads r ANTI JOIN regions t ON t.chrom = r.chrom AND t.start < r.end_pos AND t."end" > r.pos GROUP BY chrom')
+def reads_without_deep(spark, sf):
+    return reads.without_deep(lens.reads(spark, sf), 60).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("sum_pos"))
+
+
+@query("SELECT qname, chrom, pos, end_pos, flag, mapq FROM reads WHERE qname IN (SELECT qname FROM reads WHERE mapq = 6)")
+def reads_named(spark, sf):
+    rows = lens.reads(spark, sf)
+    return reads.named(rows, rows.filter("mapq = 6")).select("qname", "chrom", "pos", "end_pos", "flag", "mapq")
 
 
 def genes(spark, sf):
@@ -233,6 +250,27 @@ def exon_rows(spark, sf):
     return annotation.exons(genes(spark, sf))
 
 
+_EXONS = """WITH genes AS (SELECT 'chr' || (p_partkey % 22 + 1) AS chrom, 2 * p_partkey AS a, 2 * p_partkey + 100 + p_size AS b, p_brand AS gene, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part),
+exons AS (SELECT chrom, a AS start, a + 10 AS "end", gene FROM genes UNION ALL SELECT chrom, a + 40, b, gene FROM genes),
+ordered AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons),
+islands AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM ordered),
+merged AS (SELECT chrom, min(start) AS start, max("end") AS "end", string_agg(DISTINCT gene, ',' ORDER BY gene) AS gene FROM islands GROUP BY chrom, island)
+"""
+
+
+@query(_EXONS + 'SELECT chrom, start, "end", gene FROM merged', prefix=False)
+def exons_merged(spark, sf):
+    return annotation.merged_exons(genes(spark, sf))
+
+
+@query(_EXONS + """, cut AS (SELECT g.*, greatest(m.start, a) AS s, least(m."end", b) AS e FROM genes g JOIN merged m ON m.chrom = g.chrom AND m.start < b AND m."end" > a),
+points AS (SELECT g.chrom, g.a, g.b, g.gene, g.strand, g.a AS f, coalesce(min(c.s), g.b) AS t FROM genes g LEFT JOIN cut c ON c.chrom = g.chrom AND c.a = g.a GROUP BY g.chrom, g.a, g.b, g.gene, g.strand
+  UNION ALL SELECT chrom, a, b, gene, strand, e, coalesce(lead(s) OVER (PARTITION BY chrom, a ORDER BY s), b) FROM cut)
+SELECT chrom, f AS start, t AS "end", gene, strand FROM points WHERE t > f""", prefix=False)
+def intron_rows(spark, sf):
+    return annotation.introns(genes(spark, sf))
+
+
 @query("SELECT 'chr' || (p_partkey % 22 + 1) AS chrom, 2 * p_partkey AS start, 2 * p_partkey + 100 + p_size AS \"end\", p_brand AS gene, 2 AS n_blocks, '10,' || (60 + p_size) AS sizes, '0,40' AS starts FROM part", prefix=False)
 def block_form(spark, sf):
     text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
@@ -247,9 +285,9 @@ def coverage_per_site(spark, sf):
     return coverage.per_site(cells(spark, sf))
 
 
-@query("SELECT site_id, chrom, start, n_covered FROM covered ORDER BY n_covered, site_id LIMIT 5000")
+@query("SELECT site_id, chrom, start, n_covered FROM covered ORDER BY n_covered, site_id LIMIT 100")
 def coverage_bottom_k(spark, sf):
-    return coverage.least_covered(coverage.per_site(cells(spark, sf)))
+    return coverage.least_covered(coverage.per_site(cells(spark, sf)), 100)
 
 
 @query("""SELECT x, coalesce(n, 0) AS n_sites, CASE WHEN x < 8 THEN coalesce(n, 0) ELSE 0 END AS n_sites_with_nan, coalesce(n, 0) * (8 - x) AS n_nan_values, coalesce(epc, 0) AS n_EPC, coalesce(island, 0) AS n_islandcpg
@@ -399,7 +437,12 @@ def impute_along(spark, sf):
     return matrix.impute_along(cells(spark, sf)).select("site_id", "sample", r6("beta"))
 
 
-@query()
+@query(""", s AS (SELECT a.sample AS i, b.sample AS j, sqrt((SELECT count(DISTINCT site_id) FROM observed WHERE beta IS NOT NULL) / count(*) * sum((a.beta - b.beta) * (a.beta - b.beta))) AS d
+  FROM observed a JOIN observed b ON a.site_id = b.site_id AND a.sample <> b.sample WHERE a.beta IS NOT NULL AND b.beta IS NOT NULL GROUP BY 1, 2),
+near AS (SELECT m.site_id, m.sample, o.beta, d, row_number() OVER (PARTITION BY m.site_id, m.sample ORDER BY d, o.sample) AS place
+  FROM observed m JOIN observed o ON o.site_id = m.site_id JOIN s ON i = m.sample AND j = o.sample WHERE m.beta IS NULL AND o.beta IS NOT NULL),
+estimate AS (SELECT site_id, sample, sum(beta / d) / sum(1 / d) AS value FROM near WHERE place <= 5 GROUP BY ALL)
+SELECT site_id, sample, round(greatest(-1, least(1, coalesce(beta, value))), 6) + 0.0 AS beta FROM observed LEFT JOIN estimate USING (site_id, sample)""")
 def impute_knn(spark, sf):
     return matrix.impute_neighbours(lens.values(spark, sf), DIMENSIONS, 5, -1.0, 1.0).select("site_id", "sample", r6("beta"))
 
@@ -409,7 +452,7 @@ def impute_pca_em(spark, sf):
     return matrix.impute_components(lens.values(spark, sf), DIMENSIONS, 10, 50, 1e-4, -1.0, 1.0).select("site_id", "sample", r6("beta"))
 
 
-@query()
+@query("SELECT site_id, sample, round(coalesce(beta, ('0x' || substr(md5(site_id || ':' || sample || ':42'), 1, 13))::BIGINT / 4503599627370496), 6) + 0.0 AS beta FROM observed")
 def impute_random(spark, sf):
     return matrix.impute_random(lens.values(spark, sf)).select("site_id", "sample", r6("beta"))
 
@@ -558,6 +601,20 @@ def gmm(spark, sf):
     return spark.createDataFrame([(k, float(f["bic"]), float(f["aic"]), bool(f["converged"])) for k, f in fits], "k int, bic double, aic double, converged boolean").select("k", F.round("bic", 3).alias("bic"), F.round("aic", 3).alias("aic"), "converged")
 
 
+@query()
+def gmm_shapes(spark, sf):
+    """Two components in each of the shapes; the diagonal one is fitted on the sites themselves."""
+    x, vectors = _coordinates(spark, sf), settle(matrix.vectors(lens.complete(spark, sf), DIMENSIONS))
+    features = vectors.count()
+    fits = {s: cluster.diagonal_mixture(vectors, x, 2, features, 1e-3, 3) if s == "diag" else cluster.mixture(x, 2, features, s, 1e-3, 3) for s in cluster.SHAPES}
+    return spark.createDataFrame([(s, float(f["bic"]), float(f["aic"])) for s, f in fits.items()], "shape string, bic double, aic double").select("shape", F.round("bic", 3).alias("bic"), F.round("aic", 3).alias("aic"))
+
+
+@query("SELECT count(*) AS n_singletons FROM (SELECT p_retailprice FROM part GROUP BY p_retailprice HAVING count(*) = 1)", prefix=False)
+def cluster_singletons(spark, sf):
+    return cluster.singletons(lens.table(spark, sf, "part").selectExpr("p_retailprice AS cluster", "p_partkey AS sample"))
+
+
 @query()
 def kmedoids(spark, sf):
     d = _complete_distances(spark, sf)
@@ -669,7 +726,7 @@ def reads_union(spark, sf):
     return reads.together(all_.filter("mapq >= 3"), all_.filter("flag = 256")).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT * FROM reads WHERE substr(md5(qname || ':100'), 1, 8) < '20000000'")
 def reads_thinned(spark, sf):
     return reads.thinned(lens.reads(spark, sf))
 

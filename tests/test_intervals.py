@@ -50,7 +50,7 @@ def test_subtract_and_depth_equal_counting_bases(spark):
     rng = random.Random(5)
     a = [(i, "c", s := rng.randint(0, 100), s + rng.randint(1, 60)) for i in range(25)]
     b = [("c", s := rng.randint(0, 150), s + rng.randint(1, 12)) for _ in range(12)]
-    out = intervals.subtract(table(spark, a, "k int, chrom string, start long, end long"), table(spark, b), ["k"], width=8)
+    out = intervals.subtract(table(spark, a, "k int, chrom string, start long, end long"), table(spark, b), width=8)
     covered = {x for _, s, e in b for x in range(s, e)}
     got = {}
     for r in out.collect():
@@ -105,3 +105,28 @@ def test_sorted_passes_carry_over_stretches(spark, monkeypatch):
         else:
             want.append([a, b])
     assert merged == [("c", *w) for w in want]
+
+
+def test_semi_and_anti_joins_do_not_depend_on_the_order_of_rows(spark):
+    """Repeated rows and rows dealt at random each time they are read: kept and dropped rows still add up."""
+    rng = random.Random(7)
+    a = [(i % 40, "c", s := rng.randint(0, 300), s + rng.randint(0, 40)) for i in range(200)] * 2
+    left = table(spark, a, "k int, chrom string, start long, end long").repartition(5, F.rand())
+    right = table(spark, [("c", s, s + 9) for s in range(0, 300, 50)], "chrom string, r_start long, r_end long")
+    inside, outside = (sorted(map(tuple, intervals.overlap_join(left, right, how, 16).collect())) for how in ("left_semi", "left_anti"))
+    hit = [r for r in a if any(s < r[3] and s + 9 > r[2] for s in range(0, 300, 50)) and r[3] > r[2]]
+    assert sorted(inside + outside) == sorted(a) and inside == sorted(r for r in a if r in hit)
+
+
+def test_several_tracks_are_matched_in_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "STRETCH", 64)
+    rng = random.Random(9)
+    sites = table(spark, [(f"s{i}", "cd"[i % 2], p := rng.randint(0, 900), p + 2) for i in range(150)], "site_id string, chrom string, start long, end long")
+    tracks = [table(spark, [("cd"[i % 2], s := rng.randint(0, 900), s + rng.randint(1, 90), f"n{i % 7}") for i in range(60)], "chrom string, start long, end long, name string") for _ in range(3)]
+    both = intervals.asof_overlaps(sites, {f"t{k}": (t, ["name"]) for k, t in enumerate(tracks)})
+    got = {r["site_id"]: tuple(r[f"t{k}"] and (r[f"t{k}"]["end"], r[f"t{k}"]["name"]) for k in range(3)) for r in both.collect()}
+    for k, track in enumerate(tracks):
+        rows_ = [tuple(r) for r in track.collect()]
+        for site in sites.collect():
+            last = max(((s, e, n) for c, s, e, n in rows_ if c == site["chrom"] and s <= site["start"]), default=None)
+            assert got[site["site_id"]][k] == (last[1:] if last and last[1] > site["start"] else None)

@@ -185,3 +185,55 @@ def test_members(spark):
 def test_imputing_along_a_chromosome(spark):
     df = spark.createDataFrame([("x", "a", "c", s, v) for s, v in ((0, None), (10, 1.0), (15, None), (30, 5.0), (40, None))], "site_id string, sample string, chrom string, start long, beta double")
     assert [r["beta"] for r in matrix.impute_along(df).orderBy("start").collect()] == [1.0, 1.0, 2.0, 5.0, 5.0]
+
+
+def test_mixtures_of_every_shape_equal_a_direct_fit(spark):
+    """Log likelihoods after a rotation, or from sums over sites, are those of densities on the sites themselves."""
+    rng = np.random.RandomState(3)
+    sites = rng.normal(0, 1, (30, 12)) * rng.uniform(0.2, 3, (30, 1))
+    sites[:, 6:] += rng.normal(0, 2, (30, 1))
+    centred = sites - sites.mean(1, keepdims=True)
+    values, vectors = np.linalg.eigh(centred.T @ centred)
+    x, ridge = vectors[:, ::-1] * np.sqrt(np.maximum(values[::-1], 0)), 1e-2
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(sites)], "site_id int, beta array<double>")
+
+    def direct(labels, shape):
+        joint = np.full((12, 2), -np.inf)
+        means = [sites[:, labels == c].mean(1) for c in (0, 1)]
+        covs = [(sites[:, labels == c] - means[c][:, None]) @ (sites[:, labels == c] - means[c][:, None]).T / (labels == c).sum() for c in (0, 1)]
+        if shape == "tied":
+            covs = [sum(covs[c] * (labels == c).mean() for c in (0, 1))] * 2
+        for c in (0, 1):
+            cov = covs[c]
+            if shape == "spherical":
+                cov = np.eye(30) * np.trace(cov) / 30
+            elif shape == "diag":
+                cov = np.diag(np.diag(cov))
+            cov = cov + ridge * np.eye(30)
+            apart = sites - means[c][:, None]
+            joint[:, c] = -0.5 * (30 * np.log(2 * np.pi) + np.linalg.slogdet(cov)[1] + (apart * np.linalg.solve(cov, apart)).sum(0)) + np.log((labels == c).mean())
+        return np.log(np.exp(joint - joint.max(1, keepdims=True)).sum(1)).sum() + joint.max(1).sum()
+
+    free = {"spherical": 2, "diag": 60, "tied": 465, "full": 930}
+    for shape in cluster.SHAPES:
+        fit = cluster.diagonal_mixture(table, x, 2, 30, ridge, 4) if shape == "diag" else cluster.mixture(x, 2, 30, shape, ridge, 4)
+        assert fit["log_likelihood"] == pytest.approx(direct(fit["labels"], shape), rel=1e-3)
+        assert fit["bic"] == pytest.approx(-2 * fit["log_likelihood"] + (61 + free[shape]) * np.log(12))
+
+
+def test_long_trees_have_an_order():
+    n = 3000
+    merges = np.array([(k + n - 1 if k else 0, k + 1, k, k + 2) for k in range(n - 1)], float)
+    assert sorted(cluster.leaves(merges, n)) == list(range(n))
+
+
+def test_layout_keeps_groups_together():
+    rng = np.random.RandomState(2)
+    x = np.concatenate([rng.normal(c, 0.3, (20, 5)) for c in (0, 4, 8)])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    a, b = cluster.curve(0.1)
+    assert (a, b) == (pytest.approx(1.577, abs=0.02), pytest.approx(0.895, abs=0.02))
+    at = cluster.layout(d, 8)
+    apart = np.sqrt(((at[:, None] - at[None]) ** 2).sum(2))
+    np.fill_diagonal(apart, np.inf)
+    assert (apart.argmin(1) // 20 == np.arange(60) // 20).all()
