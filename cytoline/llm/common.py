@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoline.session import ship
+from cytoline.session import settle, shared_folder, ship  # noqa: F401
 
 #: A word, everywhere in this subpackage: a run of anything but these six ASCII white spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,27 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
-
-    The folder is the session's ``spark.checkpoint.dir``. Where none is set, a local run gets a
-    temporary one; on a cluster that is an error, because executors share no local folder.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and stages; see :func:`settle`."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cytoline-checkpoint-"))
-    return context.getCheckpointDir()
-
-
 _ready: dict = {}
 
 
