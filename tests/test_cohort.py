@@ -108,3 +108,43 @@ def test_reads(spark):
     assert rows(reads.too_deep(df, 1)) == [("chr1", 5, 10)]
     assert rows(reads.pileup(df).select("chrom", "start", "n_valid", "fraction")) == [("chr1", 3, 2, 50.0), ("chr2", 4, 1, 100.0)]
     assert reads.thinned(df, 1.0).count() == 3 and reads.thinned(df, 0.0).count() == 0
+
+
+def test_reads_in_order_and_figures_of_points(spark, tmp_path):
+    from cytoline.plans import figures
+
+    df = spark.createDataFrame([("c2", 5), ("c1", 9), ("c1", 2), ("c2", 1)], "chrom string, pos long").repartition(3)
+    assert [tuple(r) for r in reads.in_order(df).collect()] == [("c1", 2), ("c1", 9), ("c2", 1), ("c2", 5)]
+    line = spark.createDataFrame([(x, 2.0 * x + 1) for x in (0.0, 1.0, 5.0)], "x double, y double")
+    assert figures.trend(line, "x", "y").first() == (pytest.approx(2.0), pytest.approx(1.0))
+    assert [r[0] for r in spark.createDataFrame([(-1.0,), (0.4,), (3.0,)], "v double").select(expr.clip(F.col("v"))).collect()] == [0.0, 0.4, 1.0]
+    (tmp_path / "c.tsv").write_text("sample\tPC1\tPC2\na\t0.5\tNA\n")
+    assert rows(readers.coordinates(spark, str(tmp_path / "c.tsv")).na.fill(-1)) == [("a", 0.5, -1.0)]
+    assert figures.sample_pairs(list("abcdef")) == [("a", "c"), ("a", "d"), ("b", "e"), ("b", "f")]
+    assert figures.sample_pairs(list("abc")) == [("a", "c"), ("a", "c"), ("b", "c"), ("b", "c")] and figures.sample_pairs(["a", "b"]) == [("a", "b")]
+
+
+def test_unfit_cohorts_are_refused(spark):
+    reference = spark.createDataFrame([("chr1",)], "chrom string")
+    fit = [("a", "chr1:1", "chr1"), ("b", "chr1:1", "chr1")]
+    make = lambda data: spark.createDataFrame(data, "sample string, site_id string, chrom string")
+    cohort.refuse_unfit(reference, make(fit))
+    with pytest.raises(ValueError, match="a chr1:1"):
+        cohort.refuse_unfit(reference, make([*fit, fit[0]]))
+    with pytest.raises(ValueError, match="without chr: c"):
+        cohort.refuse_unfit(reference, make([*fit, ("c", "1:1", "1")]))
+    sites = spark.createDataFrame([(2, "450k"), (1, "cpgIsland"), (0, "v2")], "n_covered long, origin string")
+    summary = coverage.summary(sites, 2)
+    coverage.refuse_inconsistent(summary, sites)
+    with pytest.raises(ValueError, match="n_sites"):
+        coverage.refuse_inconsistent(summary.filter("x > 1"), sites)
+
+
+def test_windows_of_a_stream_wait_for_late_rows(spark, tmp_path):
+    from cytoline.streaming import ingest
+
+    schema = "t timestamp, v string"
+    spark.createDataFrame([("2024-01-01 00:01:00", "2"), ("2024-01-01 00:04:00", "3"), ("2024-01-01 00:06:00", "x")], "t string, v string").select(F.col("t").cast("timestamp"), "v").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    ingest.depth_by_window(stream, "t", "v").writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    assert rows(spark.table("windows").select("n", "total").na.fill(-1)) == [(1, -1.0), (2, 5.0)]
