@@ -391,6 +391,28 @@ def test_sharding(odd, empty, docs):
         sharding.jump(keys, 0)
 
 
+def test_sharding_of_a_whole_table(spark):
+    """Every column of the query against the hash, the jumps and the numbering done row by row."""
+    import struct
+
+    import xxhash
+
+    from cytoline.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = {r["doc_id"]: (r["text"] or "").encode() for r in docs.select("doc_id", "text").collect()}
+    key = lambda i: xxhash.xxh64_intdigest(struct.pack("<q", i), seed=42)
+    rows = queries.op7_sharding(spark, "/root/testdata/sf0.01").collect()
+    assert {r["doc_id"] for r in rows} == set(text) and len(rows) == len(text)
+    slots = defaultdict(set)
+    for r in rows:
+        i = r["doc_id"]
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(text[i]) + 1, zlib.crc32(text[i]), "key")
+        assert (r["shard"], r["grown_shard"]) == (brute_jump(key(i), 8), brute_jump(key(i), 9))
+        slots[r["shard"]].add(r["slot"])
+    assert all(s == set(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == len(rows)
+
+
 # -- fingerprints ------------------------------------------------------------------------------------------------------
 
 
