@@ -23,6 +23,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,22 +67,24 @@ class Postings:
         self.idf = (np.log((1 + n) / (1 + frequency)) + 1) * factor
         self.common = common = int((frequency >= max(2, n / COMMON)).sum())
         told = np.repeat(self.idf > 0, frequency)
-        self.examples = examples[told]
+        self.examples = examples if told.all() else examples[told]
         self.starts = np.concatenate([[0], np.cumsum(np.where(self.idf > 0, frequency, 0))]).astype(np.int64)
-        self.values = np.log(counts[told], dtype=np.float64)
-        self.values += 1
-        self.values *= np.repeat(self.idf, np.diff(self.starts))
-        norms = np.sqrt(np.bincount(self.examples, self.values**2, minlength=n))
-        self.values /= np.where(norms > 0, norms, 1.0)[self.examples]
-        #: Common terms that weigh something; their rows, block maxima, and the rows in single precision.
+        values = np.log(counts[told], dtype=np.float64)
+        del told
+        values += 1
+        values *= np.repeat(self.idf, np.diff(self.starts))
+        norms = np.sqrt(np.bincount(self.examples, values * values, minlength=n))
+        values /= np.where(norms > 0, norms, 1.0)[self.examples]
+        #: Weights of examples are kept, and meant, in single precision; cosines are summed in double.
+        self.values = values.astype(np.float32)
+        #: Common terms that weigh something; their rows and block maxima.
         self.used = np.flatnonzero(self.idf[:common])
         self.row_of = np.full(common, -1)
         self.row_of[self.used] = np.arange(len(self.used))
-        self.rows = np.zeros((len(self.used), self.blocks * self.block))
+        self.rows = np.zeros((len(self.used), self.blocks * self.block), np.float32)
         inner = slice(0, self.starts[common])
         self.rows[np.repeat(np.arange(len(self.used)), np.diff(self.starts[: common + 1])[self.used]), self.examples[inner]] = self.values[inner]
-        self.best = self.rows.reshape(-1, self.blocks, self.block).max(2)
-        self.single = self.rows.astype(np.float32)
+        self.best = self.rows.reshape(-1, self.blocks, self.block).max(2).astype(np.float64)
 
     def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and their weights, 1 + log of the count, times idf, to unit length."""
@@ -130,7 +133,7 @@ class Postings:
             dense = np.zeros((len(wide), len(self.used)), np.float32)
             for row, q in zip(dense, wide):
                 row[state[q][0]] = state[q][1]
-            sums = dense @ self.single
+            sums = dense @ self.rows
             for row, q in zip(sums, wide):
                 at, weights, partial, more, least, found = state[q]
                 rough = (row + partial).reshape(self.blocks, self.block)[more].ravel()
@@ -179,7 +182,7 @@ class Index:
         self.memory: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
 
     def __reduce__(self):
-        return Index, (self.words, self.starts, self.examples, self.counts, self.telling, self.labels, self.ids, self.base, self.share, self.fitted)
+        return _unpacked, (self.words, self.starts, self.examples, self.counts, self.telling, self.labels, self.ids, self.base, self.share, self.fitted)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
         """Indexed terms of a text and their weights; and all its words."""
@@ -241,15 +244,22 @@ class Index:
         return [known[key] for key in keys]
 
 
+def _unpacked(*parts) -> Index:
+    """An index to search in, without what it was made from."""
+    index = Index(*parts)
+    index.words = index.starts = index.examples = index.counts = None
+    return index
+
+
 class Fitted(NamedTuple):
-    """An index as bytes: it travels with the job, and a worker unpacks it once and keeps its answers from task to task."""
+    """An index as bytes: broadcast, of bounded size; a worker unpacks it once and keeps its answers from task to task."""
 
-    blob: bytes
+    blob: Broadcast
     key: int
 
     @property
     def index(self) -> Index:
-        return ready(("toxicity", self.key), lambda: pickle.loads(self.blob))
+        return ready(("toxicity", self.key), lambda: pickle.loads(self.blob.value))
 
 
 def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np.ndarray, of_term: np.ndarray, counts: np.ndarray, vocabulary: list[str], totals: dict[int, int]) -> Index:
@@ -338,12 +348,15 @@ def _build(totals: dict[int, int]):
             seen.update(sketch)
             last = ident
         table = table.select(["id", "label", "size", "words", "counts"]).take(pa.array(kept, pa.int64())).combine_chunks()
-        words, counts = (table.column(c).combine_chunks() for c in ("words", "counts"))
+        words = table.column("words").combine_chunks()
         lengths = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
-        ids, labels, sizes = (table.column(c).to_numpy() for c in ("id", "label", "size"))
-        of_example = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
-        index = build(ids, labels.astype(float), sizes, of_example, coded.indices.to_numpy(), counts.flatten().to_numpy(), coded.dictionary.to_pylist(), totals)
+        of_term, vocabulary = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        ids, labels, sizes, counts = (x.to_numpy().copy() for x in (*(table.column(c) for c in ("id", "label", "size")), table.column("counts").combine_chunks().flatten()))
+        del table, words, coded
+        pa.default_memory_pool().release_unused()
+        index = build(ids, labels.astype(float), sizes, np.repeat(np.arange(len(ids), dtype=np.int32), lengths), of_term, counts, vocabulary, totals)
+        index.weights = index.signal = index.vocabulary = None  # made again where the index is unpacked
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(index, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["blob"])
 
     return run
@@ -359,7 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     parsed = settle(examples.select("id", "label", "text").mapInArrow(_parse, "id long, label int, words array<string>, counts array<int>, sketch array<long>, size long"))
     rows = parsed.repartition(1).mapInArrow(_build(totals), "blob binary").collect()
     blob = bytes(rows[0]["blob"]) if rows else next(_build(totals)(iter(()))).column("blob")[0].as_py()
-    return Fitted(blob, xxhash.xxh3_64_intdigest(blob))
+    return Fitted(docs.sparkSession.sparkContext.broadcast(blob), xxhash.xxh3_64_intdigest(blob))
 
 
 def _parts(texts: pa.Array) -> Iterator[list[str]]:
