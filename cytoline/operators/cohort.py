@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cytoline.functions import expr
 
 from . import intervals
+from .distrib import medians
 
 
 def parse_sample(pileup: DataFrame, mod_code: str = "m", keys: tuple[str, ...] = ("sample",)) -> DataFrame:
@@ -71,7 +72,7 @@ def missing_by_sample(cells: DataFrame) -> DataFrame:
 
 
 def depth_medians(samples: DataFrame) -> DataFrame:
-    return samples.groupBy("sample").agg(F.median("n_valid").alias("median_depth"), F.median("fraction").alias("median_fraction"))
+    return medians(samples, "sample", "n_valid", "median_depth").join(medians(samples, "sample", "fraction", "median_fraction"), "sample")
 
 
 def with_origins(sites: DataFrame, regions: DataFrame) -> DataFrame:

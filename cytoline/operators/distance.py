@@ -3,29 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .distrib import running_counts
 from .matrix import sum_blocks
 
 
-#: Into so many stretches of values each sample is cut for ranking.
-VALUE_STRETCHES = 1024
-
-
 def ranks(cells: DataFrame) -> DataFrame:
     """Each sample's values as ranks among its own, the mean rank for equal ones; missing values stay missing."""
     known = cells.filter("beta IS NOT NULL")
-    # Distinct values are counted, and sums of counts run along stretches of values: no task sorts a whole sample.
-    counts = known.groupBy("sample", "beta").agg(F.count(F.lit(1)).alias("_n"))
-    ends = counts.groupBy("sample").agg(F.min("beta").alias("_low"), F.max("beta").alias("_high"))
-    share = F.when(F.col("_high") > F.col("_low"), (F.col("beta") - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
-    counts = counts.join(ends, "sample").select("sample", "beta", "_n", F.floor(share * VALUE_STRETCHES).alias("_s"))
-    each = counts.groupBy("sample", "_s").agg(F.sum("_n").alias("_sum"))
-    before = F.sum("_sum").over(Window.partitionBy("sample").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.join(each.select("sample", "_s", F.coalesce(before, F.lit(0)).alias("_below")), ["sample", "_s"])
-    upto = F.sum("_n").over(Window.partitionBy("sample", "_s").orderBy("beta").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rank = counts.select("sample", "beta", (F.col("_below") + upto - (F.col("_n") - 1) / F.lit(2.0)).cast("double").alias("_rank"))
+    rank = running_counts(known, "sample", "beta").select("sample", "beta", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).cast("double").alias("_rank"))
     return known.join(rank, ["sample", "beta"]).withColumn("beta", F.col("_rank")).select(*cells.columns)
 
 

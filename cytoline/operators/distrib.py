@@ -10,6 +10,35 @@ from pyspark.sql import functions as F
 from cytoline.functions import expr
 
 
+#: Into so many stretches of values a group is cut to be put in order.
+VALUE_STRETCHES = 1024
+
+
+def running_counts(df: DataFrame, by: str, value: str) -> DataFrame:
+    """``by, value, n, upto``: for each distinct value of a group its rows, and all rows up to it; nulls are left out.
+
+    Distinct values are counted, and sums of counts run along stretches of values, so no task sorts a whole group.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.groupBy(by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    share = F.when(F.col("_high") > F.col("_low"), (F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
+    counts = counts.join(ends, by).select(by, value, "n", F.floor(share * VALUE_STRETCHES).alias("_s"))
+    each = counts.groupBy(by, "_s").agg(F.sum("n").alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.join(each.select(by, "_s", F.coalesce(before, F.lit(0)).alias("_below")), [by, "_s"])
+    inner = F.sum("n").over(Window.partitionBy(by, "_s").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return counts.select(by, value, "n", (F.col("_below") + inner).alias("upto"))
+
+
+def medians(df: DataFrame, by: str, value: str, out: str) -> DataFrame:
+    """The exact median of each group, from running counts; groups without a value have none."""
+    counts = running_counts(df, by, value)
+    total = counts.groupBy(by).agg(F.max("upto").alias("_all"))
+    at = lambda place: F.min(F.when(F.col("upto") >= F.expr(place), F.col(value)))
+    middle = counts.join(total, by).groupBy(by).agg(((at("(_all + 1) div 2") + at("(_all + 2) div 2")) / 2).alias(out))
+    return df.select(by).distinct().join(middle, by, "left")
+
+
 def extremes(cells: DataFrame) -> DataFrame:
     """Cells at 0, at 100, between and missing, and the mean."""
     b = F.col("beta")

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .distrib import VALUE_STRETCHES
+
 
 def permanova_observed(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """One row: sums of squares and the pseudo F, from pairs (sample_i, sample_j, d) and groups (sample, label).
@@ -69,13 +71,23 @@ def permanova(spark: SparkSession, distances: np.ndarray, groups: list, permutat
 
 
 def adjusted(tests: DataFrame, p: str = "p_value") -> DataFrame:
-    """Add ``p_adj``: Benjamini-Hochberg. One window over the tests, of which there are as many as axes."""
-    every = Window.partitionBy()
-    rank = F.row_number().over(Window.orderBy(p))
-    rows = tests.withColumn("_rank", rank).withColumn("_n", F.count(F.lit(1)).over(every))
-    rows = rows.withColumn("_raw", F.col(p) * F.col("_n") / F.col("_rank"))
-    step = F.min("_raw").over(Window.orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("p_adj", F.least(F.greatest(step, F.lit(0.0)), F.lit(1.0))).drop("_rank", "_n", "_raw")
+    """Add ``p_adj``: Benjamini-Hochberg; a null has none.
+
+    Distinct values are counted and put in order within stretches of values. Only a row for each stretch, of which there
+    are VALUE_STRETCHES and one at most, meets in one place, to carry counts upwards and minima downwards.
+    """
+    counts = tests.filter(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_n")).withColumn("_s", F.floor(F.col(p) * VALUE_STRETCHES))
+    up, down = Window.partitionBy("_s").orderBy(p), Window.partitionBy("_s").orderBy(F.desc(p))
+    each = counts.groupBy("_s").agg(F.sum("_n").alias("_sum"))
+    below = F.coalesce(F.sum("_sum").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = counts.join(each.select("_s", below.alias("_below"), F.sum("_sum").over(Window.partitionBy()).alias("_all")), "_s")
+    upto = F.col("_below") + F.sum("_n").over(up.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_raw", F.col(p) * F.col("_all") / upto)
+    after = rows.groupBy("_s").agg(F.min("_raw").alias("_least"))
+    after = after.select("_s", F.min("_least").over(Window.orderBy("_s").rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    least = F.least(F.min("_raw").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_after"))
+    found = rows.join(after, "_s").select(p, F.least(F.greatest(least, F.lit(0.0)), F.lit(1.0)).alias("p_adj"))
+    return tests.join(found, p, "left").select(*tests.columns, "p_adj")
 
 
 def average_ranks(values: np.ndarray) -> np.ndarray:
