@@ -351,7 +351,8 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     Rows are linked if 100 times their shared shingles are at least ``percent`` times all of both. ``component_id`` is
     the smallest id that links reach. Rows with equal sets are one node, so copies cost nothing further. Rows without
     words are linked with nothing. Rows that repeat an id are documents of their own. A null id is no name: such a row
-    has the component of equal or linked rows that have one, or none, and is kept only if it has none.
+    has the component of equal or linked rows that have one, or none. Where a component has no id at all, the rows of
+    one of its sets are kept.
     Empty tables give empty results. ``with_node`` adds the hashed name of each row's set as ``node``.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
@@ -389,7 +390,9 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     names = components(group_links(members, percent, chunk, chunk_sets))
 
     placed = nodes.select("node", "rep").join(names.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = settle(placed.join(least.hint("merge"), "comp").select("node", "component_id"))
+    least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"), F.min("node").alias("first"))
+    named = settle(placed.join(least.hint("merge"), "comp").select("node", "component_id", (F.col("node") == F.col("first")).alias("is_first")))
     out = rows.select("id", "n", "node").join(named, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select(*["node"] * with_node, "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    nameless = (F.col("n") > 0) & F.col("component_id").isNull()
+    kept = F.when(nameless, F.col("is_first")).otherwise(F.col("id").eqNullSafe(F.col("component_id")))
+    return out.select(*["node"] * with_node, "id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))

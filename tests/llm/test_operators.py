@@ -151,7 +151,11 @@ def test_near_copies_without_an_id_count(spark):
     near = lambda *at: " ".join("x%d" % k if k in at else w for k, w in enumerate(base))
     # 1 and 2 are linked through the row without an id only
     items = [(1, near(3, 4, 5)), (None, near()), (2, near(90, 91, 92)), (None, near(50)), (None, "other words than these are here"), (None, "other words than these are here")]
-    assert rows_of(near_dedup.group(spark.createDataFrame(items, "doc_id long, text string"), 85), "id", "n_shingles", "component_id") == sorted(map(repr, brute_near(items, 85)))
+    items += [(None, f"a b c d e f g h i j k l m n o p q r s t u v w {x}") for x in "xy"]  # alike, with no id in their component
+    df = spark.createDataFrame(items, "doc_id long, text string")
+    assert rows_of(near_dedup.group(df, 85), "id", "n_shingles", "component_id") == sorted(map(repr, brute_near(items, 85)))
+    kept = [r["text"] for r in near_dedup.keep_one(df, 85).collect()]
+    assert len(kept) == 4 and kept.count(items[4][1]) == 2 and kept.count(items[0][1]) == 1 and sum(t.startswith("a b c") for t in kept) == 1
 
 
 def exact_components(items, percent):
