@@ -13,18 +13,22 @@ precision, and what can be among the nearest is summed again in full.
 
 from __future__ import annotations
 
+import math
 import pickle
 import re
+import tempfile
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import column, ready, settle
@@ -43,6 +47,8 @@ BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 15, 0.5
 FLAT = 0.6
 #: Texts that are searched for together; what a sum in single precision can be off at most.
 TOGETHER, SLACK = 64, 1e-4
+#: Bytes of the header of an index file, and of the pieces in which it travels.
+HEADER, PIECE = 4096, 4 << 20
 #: Answers that a worker remembers, by the checksum of the text.
 REMEMBERED = 20_000
 TERM = re.compile(r"[^\W_]+")
@@ -60,36 +66,46 @@ class Postings:
     weight of each block. Of any other term only the examples with it are stored, and their weights.
     """
 
-    def __init__(self, starts: np.ndarray, examples: np.ndarray, counts: np.ndarray, n: int, factor: np.ndarray) -> None:
-        """``starts``: where each term's ``examples`` and ``counts`` begin; a term's weights are multiplied by its ``factor``."""
-        frequency = np.diff(starts)
-        self.block, self.blocks = BLOCK, max(1, -(-n // BLOCK))
-        self.idf = (np.log((1 + n) / (1 + frequency)) + 1) * factor
-        self.common = common = int((frequency >= max(2, n / COMMON)).sum())
-        told = np.repeat(self.idf > 0, frequency)
-        self.examples = examples if told.all() else examples[told]
-        self.starts = np.concatenate([[0], np.cumsum(np.where(self.idf > 0, frequency, 0))]).astype(np.int64)
-        values = np.log(counts[told], dtype=np.float64)
-        del told
+    #: Arrays that an index file holds.
+    STORED = ("idf", "starts", "examples", "values", "row_of", "rows", "best")
+
+    def __init__(self, idf: np.ndarray, starts: np.ndarray, examples: np.ndarray, values: np.ndarray, row_of: np.ndarray, rows: np.ndarray, best: np.ndarray) -> None:
+        self.idf, self.starts, self.examples, self.values = idf, starts, examples, values
+        self.row_of, self.rows, self.best, self.common = row_of, rows, best, len(row_of)
+        self.blocks = best.shape[1]
+        self.block = rows.shape[1] // self.blocks
+
+    @classmethod
+    def of(cls, starts: np.ndarray, examples: np.ndarray, counts: np.ndarray, n: int, factor: np.ndarray) -> Postings:
+        """``starts``: where each term's ``examples`` and ``counts`` begin; a term's weights are multiplied by its ``factor``.
+
+        Weights of examples are kept, and meant, in single precision; cosines are summed in double.
+        """
+        frequency, blocks = np.diff(starts), max(1, -(-n // BLOCK))
+        idf = (np.log((1 + n) / (1 + frequency)) + 1) * factor
+        common = int((frequency >= max(2, n / COMMON)).sum())
+        told = np.repeat(idf > 0, frequency)
+        if not told.all():
+            examples, counts = examples[told], counts[told]
+        starts = np.concatenate([[0], np.cumsum(np.where(idf > 0, frequency, 0))]).astype(np.int64)
+        values = np.log(counts, dtype=np.float64)
         values += 1
-        values *= np.repeat(self.idf, np.diff(self.starts))
-        norms = np.sqrt(np.bincount(self.examples, values * values, minlength=n))
-        values /= np.where(norms > 0, norms, 1.0)[self.examples]
-        #: Weights of examples are kept, and meant, in single precision; cosines are summed in double.
-        self.values = values.astype(np.float32)
-        #: Common terms that weigh something; their rows and block maxima.
-        self.used = np.flatnonzero(self.idf[:common])
-        self.row_of = np.full(common, -1)
-        self.row_of[self.used] = np.arange(len(self.used))
-        self.rows = np.zeros((len(self.used), self.blocks * self.block), np.float32)
-        inner = slice(0, self.starts[common])
-        self.rows[np.repeat(np.arange(len(self.used)), np.diff(self.starts[: common + 1])[self.used]), self.examples[inner]] = self.values[inner]
-        self.best = self.rows.reshape(-1, self.blocks, self.block).max(2).astype(np.float64)
-
-    def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and their weights, 1 + log of the count, times idf, to unit length."""
-        at = np.fromiter(counts, np.int64, len(counts))
-        weights = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.idf[at]
+        values *= np.repeat(idf, np.diff(starts))
+        norms = np.sqrt(np.bincount(examples, values * values, minlength=n))
+        values /= np.where(norms > 0, norms, 1.0)[examples]
+        values = values.astype(np.float32)
+        # common terms that weigh something have rows and block maxima
+        used = np.flatnonzero(idf[:common])
+        row_of = np.full(common, -1)
+        row_of[used] = np.arange(len(used))
+        rows = np.zeros((len(used), blocks * BLOCK), np.float32)
+        inner = slice(0, starts[common])
+        rows[np.repeat(np.arange(len(used)), np.diff(starts[: common + 1])[used]), examples[inner]] = values[inner]
+        return cls(idf, starts, examples, values, row_of, rows, rows.reshape(-1, blocks, BLOCK).max(2).astype(np.float64))
+
+    def weigh(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in order and their weights, 1 + log of the count, times idf, to unit length."""
+        weights = (1 + np.log(counts)) * self.idf[at]
         told = np.flatnonzero(weights)
         told = told[np.argsort(at[told])]
         at, weights = at[told], weights[told]
@@ -130,7 +146,7 @@ class Postings:
                 found = tuple(map(np.concatenate, zip(found, self._above(at, weights, partial, (more[:, None] * self.block + np.arange(self.block)).ravel(), without[q]))))
             state.append((at, weights, partial, more, least, found))
         if wide:
-            dense = np.zeros((len(wide), len(self.used)), np.float32)
+            dense = np.zeros((len(wide), len(self.rows)), np.float32)
             for row, q in zip(dense, wide):
                 row[state[q][0]] = state[q][1]
             sums = dense @ self.rows
@@ -161,39 +177,65 @@ class Postings:
 
 @dataclass
 class Index:
-    """Labelled examples, found by the cosine over all their terms: plain, and with terms weighed by their class signal too."""
+    """Labelled examples, found by the cosine over all their terms: plain, and with terms weighed by their class signal too.
 
-    words: list[str]  # all terms by number, the most frequent one first
-    starts: np.ndarray  # postings: where each term's begin
-    examples: np.ndarray
-    counts: np.ndarray
+    A term is known by a 64-bit hash.
+    """
+
+    hashes: np.ndarray  # of all terms, in order
+    terms: np.ndarray  # their numbers
     telling: np.ndarray  # the factor of each term in ``signal``, from 0 to 1
     labels: np.ndarray
     ids: np.ndarray
+    weights: Postings
+    signal: Postings
     base: float  # share of toxic examples among those without a term of the full factor
     share: float  # among all
     fitted: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
 
     def __post_init__(self) -> None:
-        n = len(self.labels)
-        self.weights = Postings(self.starts, self.examples, self.counts, n, np.ones(len(self.words)))
-        self.signal = Postings(self.starts, self.examples, self.counts, n, self.telling)
-        self.vocabulary = {t: i for i, t in enumerate(self.words)}
         self.memory: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
 
-    def __reduce__(self):
-        return _unpacked, (self.words, self.starts, self.examples, self.counts, self.telling, self.labels, self.ids, self.base, self.share, self.fitted)
+    def pieces(self) -> Iterator[bytes]:
+        """The index as a file: a header with the places of the arrays, then the arrays."""
+        arrays = {n: getattr(self, n) for n in ("hashes", "terms", "telling", "labels", "ids")}
+        arrays |= {f"{of}.{n}": getattr(getattr(self, of), n) for of in ("weights", "signal") for n in Postings.STORED}
+        places, at = {}, 0
+        for name, array in arrays.items():
+            places[name] = array.dtype.str, array.shape, at
+            at += -(-array.nbytes // 64) * 64
+        header = pickle.dumps((places, self.base, self.share, self.fitted))
+        yield (len(header).to_bytes(8, "little") + header).ljust(HEADER, b"\0")
+        for array in arrays.values():
+            raw = np.ascontiguousarray(array).reshape(-1).view(np.uint8)
+            for start in range(0, len(raw), PIECE):
+                yield raw[start : start + PIECE].tobytes()
+            yield bytes(-len(raw) % 64)
+
+    @classmethod
+    def opened(cls, path: str) -> Index:
+        """The index in a file, mapped into memory: the processes of a machine share one copy."""
+        raw = np.memmap(path, np.uint8, "r")
+        size = int.from_bytes(raw[:8].tobytes(), "little")
+        places, base, share, fitted = pickle.loads(raw[8 : 8 + size].tobytes())
+        arrays = {n: raw[HEADER + at : HEADER + at + np.dtype(kind).itemsize * math.prod(shape)].view(kind).reshape(shape) for n, (kind, shape, at) in places.items()}
+        postings = (Postings(*(arrays[f"{of}.{n}"] for n in Postings.STORED)) for of in ("weights", "signal"))
+        return cls(*(arrays[n] for n in ("hashes", "terms", "telling", "labels", "ids")), *postings, base, share, fitted)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
         """Indexed terms of a text and their weights; and all its words."""
-        counts, words = self.count(text)
-        return *self.weights.weigh(counts), words
+        at, counts, words = self.count(text)
+        return *self.weights.weigh(at, counts), words
 
-    def count(self, text: str) -> tuple[dict[int, int], int]:
+    def count(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        """The indexed terms of a text and how often it has them; and all its words."""
         words = terms(text)
-        counts = Counter(map(self.vocabulary.get, words))
-        counts.pop(None, None)
-        return counts, len(words)
+        tally = Counter(words)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, tally), np.uint64, len(tally))
+        place = np.searchsorted(self.hashes, hashes)
+        place[place == len(self.hashes)] = 0
+        known = np.flatnonzero(self.hashes[place] == hashes) if len(self.hashes) else np.zeros(0, np.int64)
+        return self.terms[place[known]].astype(np.int64), np.fromiter(tally.values(), np.float64, len(tally))[known], len(words)
 
     def nearest(self, texts: list[str], k: int) -> list[list[tuple[int, float]]]:
         """For each text the k examples of the largest cosine over all terms; see :class:`Postings`."""
@@ -204,11 +246,11 @@ class Index:
         total = sum(s for _, s in near)
         return float((sum(s * self.labels[i] for i, s in near) + PRIOR * self.base) / (total + PRIOR))
 
-    def measures(self, counted: list[tuple[dict[int, int], int]], without: list[int] | None = None) -> list[tuple[list[tuple[int, float]], tuple[float, float, float]]]:
+    def measures(self, counted: list[tuple[np.ndarray, np.ndarray, int]], without: list[int] | None = None) -> list[tuple[list[tuple[int, float]], tuple[float, float, float]]]:
         """For each text the neighbours by class signal; and what is calibrated: their vote, and how much of the text speaks for it."""
         out = []
-        for (counts, words), near in zip(counted, self.signal.nearest([self.signal.weigh(c) for c, _ in counted], NEIGHBOURS, without)):
-            found = self.telling[np.fromiter(counts, np.int64, len(counts))].sum()
+        for (at, _, words), near in zip(counted, self.signal.nearest([self.signal.weigh(at, n) for at, n, _ in counted], NEIGHBOURS, without)):
+            found = self.telling[at].sum()
             out.append((near, (self.vote(near), float(np.log(0.1 + found)), float(np.log(1 + words)))))
         return out
 
@@ -234,7 +276,7 @@ class Index:
         for start in range(0, len(fresh), TOGETHER):
             own = fresh[start : start + TOGETHER]
             counted = [self.count(t) for _, t in own]
-            plain = self.weights.nearest([self.weights.weigh(c) for c, _ in counted], NEIGHBOURS)
+            plain = self.weights.nearest([self.weights.weigh(at, n) for at, n, _ in counted], NEIGHBOURS)
             for (key, _), near, of_signal in zip(own, plain, self.measures(counted)):
                 found, similarities = np.array([i for i, _ in near], np.int32), np.array([s for _, s in near], np.float64)
                 known[key] = self.probability(near, *of_signal), found, similarities
@@ -244,22 +286,14 @@ class Index:
         return [known[key] for key in keys]
 
 
-def _unpacked(*parts) -> Index:
-    """An index to search in, without what it was made from."""
-    index = Index(*parts)
-    index.words = index.starts = index.examples = index.counts = None
-    return index
-
-
 class Fitted(NamedTuple):
-    """An index as bytes: broadcast, of bounded size; a worker unpacks it once and keeps its answers from task to task."""
+    """An index as a file of bounded size that each machine gets once; see :meth:`Index.opened`."""
 
-    blob: Broadcast
-    key: int
+    name: str
 
     @property
     def index(self) -> Index:
-        return ready(("toxicity", self.key), lambda: pickle.loads(self.blob.value))
+        return ready(("toxicity", self.name), lambda: Index.opened(SparkFiles.get(self.name)))
 
 
 def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np.ndarray, of_term: np.ndarray, counts: np.ndarray, vocabulary: list[str], totals: dict[int, int]) -> Index:
@@ -294,13 +328,17 @@ def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np
     base = (sum(weight[1] for c in labels[~has] if c) + share) / (heavy + 1)
     by = np.lexsort((of_example, of_term))
     starts = np.concatenate([[0], np.cumsum(frequency)]).astype(np.int64)
-    index = Index(words, starts, of_example[by], counts[by].astype(np.int32), telling, labels, ids, base, share)
+    posted = starts, of_example[by], counts[by], n
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    order = np.argsort(hashes)
+    index = Index(hashes[order], order.astype(np.int32), telling, labels, ids, Postings.of(*posted, np.ones(len(words))), Postings.of(*posted, telling), base, share)
+    del posted, hashes, words
     by = np.argsort(of_example, kind="stable")
     edges = np.searchsorted(of_example[by], np.arange(n + 1))
     known, y = [], []
     for start in range(0, n, TOGETHER):
         own = [by[edges[i] : edges[i + 1]] for i in range(start, min(n, start + TOGETHER))]
-        counted = [(dict(zip(of_term[o].tolist(), counts[o].tolist())), int(sizes[start + i])) for i, o in enumerate(own)]
+        counted = [(of_term[o].astype(np.int64), counts[o].astype(float), int(sizes[start + i])) for i, o in enumerate(own)]
         for i, (near, measures) in enumerate(index.measures(counted, [*range(start, start + len(own))]), start):
             if near:
                 known.append(measures)
@@ -334,7 +372,7 @@ _PARSED = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("words", pa.lis
 
 
 def _build(totals: dict[int, int]):
-    """One task over all parsed examples, a bounded number: the index as bytes."""
+    """One task over all parsed examples, a bounded number: the index as compressed pieces of a file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches, _PARSED)
@@ -356,8 +394,8 @@ def _build(totals: dict[int, int]):
         del table, words, coded
         pa.default_memory_pool().release_unused()
         index = build(ids, labels.astype(float), sizes, np.repeat(np.arange(len(ids), dtype=np.int32), lengths), of_term, counts, vocabulary, totals)
-        index.weights = index.signal = index.vocabulary = None  # made again where the index is unpacked
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(index, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["blob"])
+        for piece in index.pieces():
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(piece, 1)], pa.binary())], ["piece"])
 
     return run
 
@@ -370,9 +408,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     """
     examples, totals = sample(docs, labels, label, PER_CLASS, id_col, text_col)
     parsed = settle(examples.select("id", "label", "text").mapInArrow(_parse, "id long, label int, words array<string>, counts array<int>, sketch array<long>, size long"))
-    rows = parsed.repartition(1).mapInArrow(_build(totals), "blob binary").collect()
-    blob = bytes(rows[0]["blob"]) if rows else next(_build(totals)(iter(()))).column("blob")[0].as_py()
-    return Fitted(docs.sparkSession.sparkContext.broadcast(blob), xxhash.xxh3_64_intdigest(blob))
+    rows = parsed.repartition(1).mapInArrow(_build(totals), "piece binary").toLocalIterator()
+    return _shipped(docs.sparkSession, (zlib.decompress(r["piece"]) for r in rows))
+
+
+def _shipped(spark: SparkSession, pieces: Iterator[bytes]) -> Fitted:
+    """Write an index file and let every machine of the application fetch it; one of the same content is sent once."""
+    folder, digest = Path(tempfile.mkdtemp(prefix="cytoline-")), xxhash.xxh3_128()
+    with open(folder / "index", "wb") as out:
+        for piece in pieces:
+            digest.update(piece)
+            out.write(piece)
+    if not (folder / "index").stat().st_size:  # there was no row, so no task
+        return _shipped(spark, (zlib.decompress(p) for batch in _build({})(iter(())) for p in batch.column("piece").to_pylist()))
+    name = f"toxicity-{digest.hexdigest()}.index"
+    sent = spark.sparkContext.__dict__.setdefault("_cytoline_indexes", set())
+    if name not in sent:
+        (folder / "index").rename(folder / name)
+        spark.sparkContext.addFile(str(folder / name))
+        sent.add(name)
+    return Fitted(name)
 
 
 def _parts(texts: pa.Array) -> Iterator[list[str]]:

@@ -620,7 +620,7 @@ def test_nearest_examples_equal_reading_them_all(taught, monkeypatch, block):
         for t in range(len(vocabulary)):
             own = slice(postings.starts[t], postings.starts[t + 1])
             dense[t, postings.examples[own]] = postings.values[own]
-        queries = [postings.weigh(index.count(t)[0]) for t, _ in examples[:90]]
+        queries = [postings.weigh(*index.count(t)[:2]) for t, _ in examples[:90]]
         for (at, weights), got, without in zip(queries, postings.nearest(queries, 7, [*range(-1, 89)]), range(-1, 89)):
             scores = np.round(weights @ dense[at], 12)
             want = sorted(((-s, i) for i, s in enumerate(scores.tolist()) if s > 0 and i != without))[:7]
@@ -657,7 +657,7 @@ def test_toxicity_of_a_whole_table(spark):
 
 def test_toxicity_learns_the_same_from_repeated_rows(spark, taught):
     doubled = taught.docs.unionByName(taught.docs.select("doc_id", F.concat("text", F.lit(" more"))).toDF("doc_id", "text")).unionByName(taught.docs.filter("doc_id < 9").withColumn("text", F.lit(None).cast("string")))
-    assert toxicity.fit(doubled, taught.labels).key == toxicity.fit(doubled.repartition(7), taught.labels).key
+    assert toxicity.fit(doubled, taught.labels).name == toxicity.fit(doubled.repartition(7), taught.labels).name
 
 
 def test_quality(taught, odd, empty):
