@@ -143,6 +143,7 @@ def run_pca(spark, a):
     at, share = linalg.components(rows, names, a.n_components)
     points = _points(spark, names, at, "PC")
     writers.decimals(points, f"{a.outdir}/pca_coords{a.tag}.tsv", points.columns[1:])
+    _colored(spark, points, names, "pca", a)
     table = spark.createDataFrame([(f"PC{i + 1}", float(v), float(c)) for i, (v, c) in enumerate(zip(share, np.cumsum(share)))], "component string, ratio double, cumulative double")
     writers.decimals(table, f"{a.outdir}/pca_variance{a.tag}.tsv", ["ratio", "cumulative"])
 
@@ -156,12 +157,30 @@ def run_umap(spark, a):
     at = linalg.components(rows, names, min(50, len(names) - 1))[0]
     points = _points(spark, names, cluster.layout(_distances_of(at), a.n_neighbors, a.min_dist, a.random_state), "UMAP")
     writers.decimals(points, f"{a.outdir}/umap_coords{a.tag}.tsv", points.columns[1:])
+    _colored(spark, points, names, "umap", a)
+
+
+def _colored(spark, points, names, what, a):
+    """The points with a column of the metadata, the data of a coloured scatter plot."""
+    if not (a.metadata and a.color_by):
+        return
+    metadata = readers.metadata(spark, a.metadata)
+    if a.color_by not in metadata.columns:
+        raise SystemExit(f"the metadata have no column {a.color_by}")
+    _report("samples without metadata", set(names) - {r["sample"] for r in metadata.select("sample").collect()})
+    scale, table = figures.colored(points, metadata, a.color_by)
+    writers.table(table, f"{a.outdir}/{what}_by_{a.color_by}_{'scale' if scale else 'groups'}{a.tag}.tsv", small=True)
 
 
 def _labels(spark, names, labels, method, a):
     table = spark.createDataFrame([(s, int(labels[i])) for i, s in enumerate(names)], "sample string, cluster int")
     writers.table(table, f"{a.outdir}/{method}_labels{a.tag}.tsv", small=True)
     writers.table(cluster.members(table).orderBy("cluster"), f"{a.outdir}/{method}_cluster_members{a.tag}.tsv", small=True)
+    for what, path in (("pca", a.pca_coords), ("umap", a.umap_coords)):
+        if path:
+            points = readers.coordinates(spark, path)
+            _report(f"samples without {what} coordinates", set(names) - {r["sample"] for r in points.select("sample").collect()})
+            writers.table(table.join(points, "sample"), f"{a.outdir}/{method}_labels_on_{what}{a.tag}.tsv", small=True)
 
 
 def run_kmeans(spark, a):
@@ -270,7 +289,8 @@ def parser() -> argparse.ArgumentParser:
     may = lambda n, default=None, **k: ((f"--{n}",), {"default": default} | ({"type": type(default)} if default is not None and not isinstance(default, (bool, list)) else {}) | k)
     flag = lambda n: ((f"--{n}",), {"action": "store_true"})
     tag = may("tag", "")
-    ks = (may("k-min", 2), may("k-max", 10), may("k-final", type=int), may("random-state", 42), tag)
+    ks = (may("k-min", 2), may("k-max", 10), may("k-final", type=int), may("random-state", 42), may("pca-coords"), may("umap-coords"), tag)
+    by = (may("metadata"), may("color-by"))
     add(parse_sample, need("input"), need("sample-name"), may("etape", "before_imputation", choices=["before_imputation", "after_imputation"]))
     add(build_cohort_matrix, need("input", nargs="+"), need("sample-names", nargs="+"), need("sites-file"), may("min-cov", 1))
     add(assign_origins, need("cohort-matrix"), need("source-bed"))
@@ -282,8 +302,8 @@ def parser() -> argparse.ArgumentParser:
     add(prepare, need("cohort-tsv"), may("mod-code", "m"), may("top-n", type=int), may("min-completeness", 1.0), may("imputation-method", "pca", choices=["median", "knn", "pca", "random", "no_impute"]),
         may("knn-neighbors", 5), may("pca-n-components", 10), may("pca-max-iter", 50), may("pca-tol", 1e-4), may("output-format", "parquet", choices=["parquet", "tsv"]),
         may("exclude-samples", [], nargs="*"), may("seuil", type=float), tag)
-    add(run_pca, need("matrix"), may("n-components", 20), flag("use-robust-scaler"), tag)
-    add(run_umap, need("matrix"), may("n-neighbors", 10), may("min-dist", 0.1), may("random-state", 42), flag("use-robust-scaler"), tag)
+    add(run_pca, need("matrix"), may("n-components", 20), flag("use-robust-scaler"), *by, tag)
+    add(run_umap, need("matrix"), may("n-neighbors", 10), may("min-dist", 0.1), may("random-state", 42), flag("use-robust-scaler"), *by, tag)
     add(run_kmeans, need("matrix"), flag("use-robust-scaler"), *ks)
     add(run_gmm, need("matrix"), flag("use-robust-scaler"), may("covariance-type", "diag", choices=sorted(cluster.SHAPES)), may("reg-covar", 1e-6), *ks)
     add(run_pairwise, need("matrix"), may("distance-metric", "pearson", choices=["pearson", "spearman", "euclidean"]), may("linkage", "average", choices=["average", "complete", "ward"]), may("n-cut", type=int), may("min-coobs", 1000), *ks)

@@ -11,6 +11,8 @@ MISSING = ("NaN", "nan", "NA", "N/A", ".", "")
 PROBE_TAGS = ("450k", "850k", "v2")
 ISLAND_TAG = "cpgIsland"
 NO_TAG = "unknown"
+#: What stands for a missing feature label, and for a missing group.
+NO_LABEL, NO_GROUP = "Unknown", "N/A"
 
 
 def chromosome(name: Column) -> Column:
@@ -79,3 +81,10 @@ def origin_category(origin: Column) -> Column:
 def spread(value: Column, low: float, high: float, bins: int) -> Column:
     """The bin of an equal-width histogram, from 1; the last bin holds the upper edge."""
     return F.least(F.expr("1").cast("bigint") * F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
+
+
+def karyotype(chrom: Column) -> Column:
+    """A sort key that puts chromosomes in the usual order: by number, then X, Y, M, then all others."""
+    name = F.upper(F.regexp_replace(chrom, "^chr", ""))
+    special = F.when(name == "X", 101).when(name == "Y", 102).when(name.isin("M", "MT"), 103).otherwise(104)
+    return F.coalesce(F.try_to_number(F.when(name.rlike("^[0-9]{1,2}$"), name), F.lit("99")).cast("int"), special)

@@ -79,8 +79,8 @@ def with_origins(sites: DataFrame, regions: DataFrame) -> DataFrame:
     return intervals.tags_of_overlaps(sites, regions, expr.NO_TAG)
 
 
-def counts_with_percent(df: DataFrame, column: str) -> DataFrame:
-    """Rows for each value and their share of all in percent; a null counts as ``unknown``."""
-    counts = df.groupBy(F.coalesce(F.col(column), F.lit(expr.NO_TAG)).alias(column)).agg(F.count(F.lit(1)).alias("n"))
+def counts_with_percent(df: DataFrame, column: str, none: str = expr.NO_LABEL) -> DataFrame:
+    """Rows for each value and their share of all in percent; a null counts as ``none``."""
+    counts = df.groupBy(F.coalesce(F.col(column), F.lit(none)).alias(column)).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     return counts.join(F.broadcast(total)).select(column, "n", F.round(100 * F.col("n") / F.col("total"), 6).alias("percent"))

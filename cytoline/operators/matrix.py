@@ -249,6 +249,14 @@ def codes(df: DataFrame, column: str) -> DataFrame:
     return df.join(ranked, column, "left")
 
 
+def groups(df: DataFrame, column: str) -> tuple[bool, DataFrame]:
+    """Whether a column is a scale, and ``sample, group``: numbers of a scale, else names, with one for what is missing."""
+    if is_numeric(df, column):
+        return True, df.select("sample", expr.number(F.col(column).cast("string")).alias("group"))
+    text = F.trim(F.col(column).cast("string"))
+    return False, df.select("sample", F.when(text.isNull() | text.isin(*expr.MISSING), F.lit(expr.NO_GROUP)).otherwise(text).alias("group"))
+
+
 def is_numeric(df: DataFrame, column: str) -> bool:
     """Whether every value that is not missing is a number."""
     text = F.col(column).cast("string")

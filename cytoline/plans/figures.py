@@ -33,8 +33,12 @@ def variable_sites_heatmap(cells: DataFrame, samples: list[str], top: int = 50)
     return rows.join(F.broadcast(site_place), "site_id").join(F.broadcast(sample_place), "sample")
 
 
+def _labelled(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("feature_label", F.coalesce("feature_label", F.lit(expr.NO_LABEL)))
+
+
 def beta_by_feature(cells: DataFrame) -> DataFrame:
-    return distrib.feature_quartiles(cells)
+    return distrib.feature_quartiles(_labelled(cells))
 
 
 def sample_pairs(samples: list[str], pivots: int = 2, targets: int = 2) -> list[tuple[str, str]]:
@@ -46,7 +50,7 @@ def sample_pairs(samples: list[str], pivots: int = 2, targets: int = 2) -> list[
 
 
 def scatter_by_feature(cells: DataFrame, pairs: list[tuple[str, str]]) -> list[DataFrame]:
-    return [distrib.pair_correlation(cells, a, b, ["feature_label"]) for a, b in pairs]
+    return [distrib.pair_correlation(_labelled(cells), a, b, ["feature_label"]) for a, b in pairs]
 
 
 def scatter_by_origin(cells: DataFrame, pairs: list[tuple[str, str]]) -> list[DataFrame]:
@@ -72,6 +76,13 @@ def depth_distribution(cells: DataFrame, least: float, bins: int = 80) -> tuple[
     return distrib.edge_histogram(cells, "cov", distrib.log_edges(1, max(float(top), 2.0), bins)), distrib.depth_quantiles(cells, least)
 
 
+def colored(points: DataFrame, metadata: DataFrame, column: str) -> tuple[bool, DataFrame]:
+    """Points (sample and coordinates) with ``group`` from metadata, and whether it is a scale; no group is N/A, or null on a scale."""
+    scale, found = matrix.groups(metadata, column)
+    out = points.join(found, "sample", "left")
+    return scale, out if scale else out.na.fill(expr.NO_GROUP, ["group"])
+
+
 def trend(points: DataFrame, x: str, y: str) -> DataFrame:
     """Slope and intercept of the line through points."""
     return points.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))

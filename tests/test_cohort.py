@@ -148,3 +148,17 @@ def test_windows_of_a_stream_wait_for_late_rows(spark, tmp_path):
     stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
     ingest.depth_by_window(stream, "t", "v").writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.table("windows").select("n", "total").na.fill(-1)) == [(1, -1.0), (2, 5.0)]
+
+
+def test_groups_and_the_order_of_chromosomes(spark):
+    from cytoline.operators import matrix
+
+    df = spark.createDataFrame([("a", "1.5", "x"), ("b", "NA", None), ("c", "2", " y ")], "sample string, age string, clinic string")
+    scale, ages = matrix.groups(df, "age")
+    assert scale and rows(ages.na.fill(-1)) == [("a", 1.5), ("b", -1.0), ("c", 2.0)]
+    scale, clinics = matrix.groups(df, "clinic")
+    assert not scale and rows(clinics) == [("a", "x"), ("b", "N/A"), ("c", "y")]
+    names = spark.createDataFrame([(n,) for n in ("chrX", "chr10", "chrUn", "chr2", "chrM", "Y", "chr1")], "c string")
+    assert [r["c"] for r in names.orderBy(expr.karyotype(F.col("c")), "c").collect()] == ["chr1", "chr2", "chr10", "chrX", "Y", "chrM", "chrUn"]
+    labels = spark.createDataFrame([("A",), (None,), (None,)], "feature_label string")
+    assert rows(cohort.counts_with_percent(labels, "feature_label").select("feature_label", "n")) == [("A", 1), ("Unknown", 2)]

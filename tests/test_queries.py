@@ -74,8 +74,13 @@ def test_command_line(spark, tmp_path, monkeypatch):
     cli.main(["plot_tables", "--input", f"{out}/cohort.tsv", "--outdir", out])
     cli.main(["prepare", "--cohort-tsv", f"{out}/cohort.tsv", "--imputation-method", "no_impute", "--outdir", out])
     matrix = f"{out}/clustering_matrix.parquet"
-    for command in ("run_pca", "run_umap", "run_kmeans", "run_gmm"):
-        cli.main([command, "--matrix", matrix, "--outdir", out])
+    (tmp_path / "meta.tsv").write_text("patient\trun\n" + "".join(f"{n}\tr{i % 2}\n" for i, n in enumerate(names)))
+    for command in ("run_pca", "run_umap"):
+        cli.main([command, "--matrix", matrix, "--metadata", f"{out}/meta.tsv", "--color-by", "run", "--outdir", out])
+    for command in ("run_kmeans", "run_gmm"):
+        cli.main([command, "--matrix", matrix, "--k-max", "3", "--pca-coords", f"{out}/pca_coords.tsv", "--outdir", out])
+    for name in ("pca_by_run_groups", "umap_by_run_groups", "kmeans_labels_on_pca", "gmm_labels_on_pca"):
+        assert sum(len(p.read_text().splitlines()) - 1 for p in Path(f"{out}/{name}.tsv").glob("part-*")) == 5, name
     cli.main(["run_pairwise", "--matrix", matrix, "--n-cut", "2", "--outdir", out])
     (tmp_path / "risk.txt").write_text("patient risk\n" + "".join(f"{n} {i}\n" for i, n in enumerate(names)))
     (tmp_path / "meta.tsv").write_text("patient\trun\n" + "".join(f"{n}\tr{i % 2}\n" for i, n in enumerate(names)))
