@@ -237,27 +237,32 @@ def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame, at_once: int | None = None) -> DataFrame:
     """``node, comp`` for every end of ``edges`` (a, b); ``comp`` is the smallest node of the component.
 
-    Up to AT_ONCE edges, some 16 MB, are joined in a single task. More are spread: each round takes the smallest name
-    among the neighbours, then that name's own name, three times, so that chains shrink fast. The joins of that loop are
-    merge joins, because many broadcasts would each take megabytes of the driver.
+    Up to AT_ONCE edges, some tens of MB, are joined in a single task. More are contracted: every node takes the smallest
+    of its neighbours and itself as its parent, then three times its parent's parent; edges between different parents
+    go on to the next round. At least half of the nodes go in each, so few rounds are needed, on fewer and fewer edges.
+    The joins are merge joins, because many broadcasts would each take megabytes of the driver.
     """
     edges = settle(edges)
     if edges.count() <= (AT_ONCE if at_once is None else at_once):
         kind = edges.schema["a"].dataType.simpleString()
         return settle(edges.select("a", "b").coalesce(1).mapInArrow(_join_up, f"node {kind}, comp {kind}"))
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    names = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("comp"))
+    names, left = None, edges.select("a", "b")
     while True:
-        names = settle(names)
-        known = names.select(F.col("node").alias("via"), F.col("comp").alias("there")).hint("merge")
-        near = both.join(names.withColumnRenamed("node", "b").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("least"))
-        new = names.join(near.hint("merge"), "node").select("node", "comp", F.least("comp", "least").alias("via"))
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        parents = settle(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("up")))
+        known = parents.select(F.col("node").alias("up"), F.col("up").alias("above")).hint("merge")
+        jumped = parents
         for _ in range(3):
-            new = new.join(known, "via").select("node", "comp", F.least("via", "there").alias("via"))
-        new = settle(new)
-        if new.filter("comp <> via").isEmpty():
+            jumped = jumped.join(known, "up").select("node", F.col("above").alias("up"))
+        jumped = settle(jumped)
+        names = jumped.select("node", F.col("up").alias("comp")) if names is None else settle(
+            names.join(jumped.select(F.col("node").alias("comp"), "up").hint("merge"), "comp", "left").select("node", F.coalesce("up", "comp").alias("comp"))
+        )
+        for end in ("a", "b"):
+            left = left.join(jumped.select(F.col("node").alias(end), F.col("up").alias(f"up_{end}")).hint("merge"), end)
+        left = settle(left.filter("up_a <> up_b").select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct())
+        if left.isEmpty():
             return names
-        names = new.select("node", F.col("via").alias("comp"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
