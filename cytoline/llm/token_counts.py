@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from .common import column, ready
 
 #: Entries of each half of a worker's memory of words, and the longest words that are remembered.
-REMEMBERED, LONGEST = 100_000, 64
+REMEMBERED, LONGEST = 60_000, 64
+#: Places of the door through which words come into the memory, and how many are taken before all are free again.
+DOOR, TAKEN = 1 << 20, 1 << 18
 
 
 #: The division into words of the model whose texts are divided here, and what keeps a text from that.
@@ -40,22 +42,30 @@ BYTE_SYMBOLS = {b: chr(b) for b in _shown} | {b: chr(256 + i) for i, b in enumer
 class Memory(dict):
     """Results by key, worked out when missing. Of more than REMEMBERED keys, those not used lately are forgotten.
 
-    Keys of more than LONGEST characters are not remembered, so that memory is bounded whatever the texts.
+    Most distinct words occur once; a key is remembered when it is met for the second time (as far as a hash tells).
+    Keys of more than LONGEST characters never are, so that memory is bounded whatever the texts.
     """
 
     def __init__(self, work) -> None:
         super().__init__()
-        self.work, self.older = work, {}
+        self.work, self.older, self.door, self.taken = work, {}, bytearray(DOOR), 0
 
     def __missing__(self, key):
-        if len(key) > LONGEST:
-            return self.work(key)
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
         found = self.older.get(key)
         if found is None:
             found = self.work(key)
+            place = hash(key) & (DOOR - 1)
+            if len(key) > LONGEST:
+                return found
+            if not self.door[place]:
+                if self.taken >= TAKEN:
+                    self.door, self.taken = bytearray(DOOR), 0
+                self.door[place] = 1
+                self.taken += 1
+                return found
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
         self[key] = found
         return found
 
