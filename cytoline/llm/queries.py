@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, mixing, near_dedup, quality, sentence_pieces, sharding, suffix_dedup, token_counts, toxicity
+from . import exact_dedup, fingerprints, mixing, near_dedup, quality, sentence_pieces, sharding, spelling, suffix_dedup, token_counts, top_k, toxicity, whitening
 from .common import table
 
 #: Weights of the sources in turn, the share of all sizes that the mix takes, the most epochs of a source.
@@ -18,6 +18,8 @@ TOKEN_LIMIT = 2048
 NEAR_PERCENT = 85
 REPEAT_BYTES = 50
 TOXIC_FROM, GOOD_FROM = 0.5, 0.3
+COMPONENTS = 32
+NEAREST = 10
 
 
 def tokenizer_file(name: str) -> bytes:
@@ -76,13 +78,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    out = whitening.whiten(vectors, whitening.fit(vectors, COMPONENTS))
+    return out.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k.search(vectors.filter("vec_id % 100 = 0"), vectors, NEAREST).withColumnRenamed("id", "vec_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = (op1_toxicity, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup, pipeline)
+QUERIES = (op1_toxicity, op2_near_dedup, op3_suffix_dedup, op4_mixing, op5_quality, op6_sentence_pieces, op7_sharding, op8_fingerprints, op9_token_counts, op10_exact_dedup,
+           op11_whitening, op12_spelling, op13_top_k, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -90,7 +108,56 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op4_mixing": OP4_SQL, "op10_exact_dedup": OP10_SQL, "op12_spelling": OP12_SQL, "op13_top_k": OP13_SQL}
+
+
+OP12_SQL = r"""
+WITH RECURSIVE
+polynomial AS (
+  SELECT b, b AS c, 0 AS step FROM range(256) r(b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM polynomial WHERE step < 8),
+t AS (SELECT list(c ORDER BY b) AS l FROM polynomial WHERE step = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs),
+hashed AS (
+  SELECT run, times, xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(0, length(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+           lambda c, b: xor(c >> 8, l[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS crc
+  FROM bytes, t),
+typed AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN run[: crc % length(run)] || run[crc % length(run) + 2 :] ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cut AS (SELECT word, n, unnest(list_distinct(list_transform(range(0, length(word)), lambda i: word[: i] || word[i + 2 :]))) AS key FROM words),
+keyed AS (SELECT word, n, word AS key FROM words UNION ALL FROM cut),
+pairs AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM keyed a JOIN keyed b USING (key)
+          WHERE a.word <> b.word AND (length(a.word) <> length(b.word)
+             OR len(list_filter(range(1, length(a.word) + 1), lambda i: a.word[i] <> b.word[i])) = 1)),
+met AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS most, max(other_n) AS most_n FROM pairs GROUP BY word),
+formed AS (
+  SELECT word, CASE WHEN most_n >= 10 * n THEN most END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN most_n >= 10 * n THEN most_n END AS form_n
+  FROM words LEFT JOIN met USING (word)),
+chain AS (
+  SELECT word, word AS root, form FROM formed
+  UNION ALL
+  SELECT chain.word, formed.word, formed.form FROM chain JOIN formed ON formed.word = chain.form)
+SELECT formed.word, formed.form, chain.root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN chain ON chain.word = formed.word AND chain.form IS NULL
+"""
+
+OP13_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
 
 
 OP10_SQL = r"""
