@@ -5,10 +5,18 @@ meet. Two words one edit apart share exactly one key: the shorter word itself wh
 without the replaced letter otherwise. So no pair is met twice once its distance has been verified, and the pairs of a
 word need not be made distinct. How many words meet in a key is bounded by the alphabet and the key's length, not by
 the corpus, as words are counted before they emit anything.
+
+A run of letters can be as long as a text, and all its deletions together are as large as its square. Words longer than
+:data:`LONG` therefore emit polynomial hashes of their deletions, each worked out from sums over the word's letters, and
+their digest in place of themselves; what meets is verified on the words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +24,10 @@ from .common import column, settle
 
 #: A maximal run of letters.
 RUN = r"[A-Za-zÀ-ÿ]+"
+#: Words of more code points than these emit hashes. Words of exactly as many do both.
+LONG = 64
+#: Fixed moduli and bases of the hashes of deletions: two primes below 2**31.
+PRIMES, BASES = (2_147_483_647, 2_147_483_629), (1_103_515_245, 69_069_069)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,12 +58,46 @@ def keys(word: Column) -> Column:
     return F.concat(F.array(word), F.array_distinct(cut))
 
 
+def deletion_hashes(word: str) -> np.ndarray:
+    """Distinct hashes of the word and of its single deletions, in time and space that grow with its length."""
+    codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64) + 1
+    out = []
+    for prime, base in zip(PRIMES, BASES):
+        powers = np.ones(1, np.int64)
+        while len(powers) < len(codes):
+            powers = np.concatenate([powers, powers * pow(base, len(powers), prime) % prime])
+        terms = codes * powers[: len(codes)] % prime
+        upto = np.concatenate([[0], np.cumsum(terms)])  # of at most 2**31 letters
+        # the letters after the deleted one move down by a power
+        rest = (upto[-1] - upto[1:]) % prime * pow(base, -1, prime) % prime
+        out.append(np.append((upto[:-1] + rest) % prime, upto[-1] % prime))
+    return np.unique(out[0] << 31 | out[1])
+
+
+def _long_near(counted: DataFrame) -> DataFrame:
+    """As :func:`near`, for pairs in which a word is longer than LONG."""
+    named = counted.filter(F.char_length("word") >= LONG).withColumn("id", F.unhex(F.sha2("word", 256)))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ident, word in zip(batch.column(0), batch.column(1).to_pylist()):
+                hashes = deletion_hashes(word)
+                yield pa.RecordBatch.from_pydict({"id": pa.repeat(ident, len(hashes)), "key": pa.array(hashes)})
+
+    keyed = named.select("id", "word").mapInArrow(emit, "id binary, key long")
+    met = keyed.join(keyed.withColumnRenamed("id", "other_id"), "key").filter("id <> other_id").select("id", "other_id").distinct()
+    others = named.select(F.col("id").alias("other_id"), F.col("word").alias("other"), F.col("n").alias("other_n"))
+    pairs = met.join(named, "id").join(others, "other_id")
+    return pairs.filter((F.char_length("word") > LONG) | (F.char_length("other") > LONG)).select("word", "n", "other", "other_n")
+
+
 def near(counted: DataFrame) -> DataFrame:
     """``word, n, other, other_n`` for each word and each word at distance one from it; ``counted`` has ``word, n``."""
-    keyed = counted.filter(F.char_length("word") > 0).select("word", "n", F.explode(keys(F.col("word"))).alias("key"))
+    short = counted.filter(F.char_length("word").between(1, LONG))
+    keyed = short.select("word", "n", F.explode(keys(F.col("word"))).alias("key"))
     other = keyed.select(F.col("word").alias("other"), F.col("n").alias("other_n"), "key")
-    pairs = keyed.join(other, "key").filter("word <> other")
-    return pairs.filter(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
+    pairs = keyed.join(other, "key").filter("word <> other").select("word", "n", "other", "other_n")
+    return pairs.unionByName(_long_near(counted)).filter(F.levenshtein("word", "other", 1) == 1)
 
 
 def roots(forms: DataFrame) -> DataFrame:
