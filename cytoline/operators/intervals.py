@@ -1,7 +1,7 @@
 """Half-open integer intervals on chromosomes: overlap and as-of joins, merging, subtraction, depth.
 
-No operator compares all pairs. Overlaps are found by cutting both sides into bins of a fixed width and joining on
-(chromosome, bin), each pair in the first bin that both share. Sorted passes (as-of matches, merging, depth) sort
+No operator compares all pairs. Overlaps are found in a hierarchy of bins: an interval is filed once, in a bin of its own
+size, and asks for longer ones in the wider bins, so one as long as a chromosome is no more rows than any other. Sorted passes (as-of matches, merging, depth) sort
 within stretches of a chromosome and carry what comes before from a table with one row for each stretch, so that no
 task sorts a chromosome.
 """
@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Width of a bin of the overlap join, for intervals of hundreds to thousands of bases.
+#: Width of the narrowest bins of the overlap join, for intervals of hundreds to thousands of bases.
 BIN = 4096
+#: Wider bins are wider by so many powers of two each.
+STEP = 6
 
 
 #: Width of a stretch of the sorted passes.
@@ -33,29 +35,65 @@ def _carried(df: DataFrame, within: Column, before: Column) -> DataFrame:
     return df.join(each.select("chrom", "_s", before.over(_before()).alias("_c")), ["chrom", "_s"])
 
 
-def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    first = F.expr(f"`{start}` div {width}")
-    last = F.expr(f"(greatest(`{end}`, `{start}` + 1) - 1) div {width}")
-    return df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
+def _widths(width: int) -> list[int]:
+    """Binary logarithms of the widths of bins by level: the narrowest is ``width``, each next one is 64 times as wide."""
+    least = width.bit_length() - 1
+    if width != 1 << least:
+        raise ValueError(f"the width of bins is a power of two, not {width}")
+    return list(range(least, 62, STEP))
+
+
+def _level(start: Column, end: Column, width: int) -> Column:
+    """The first level whose bins are at least as wide as the interval is long."""
+    bits = _widths(width)
+    length, level = F.greatest(end - start, F.lit(1)), F.lit(len(bits) - 1)
+    for k in range(len(bits) - 2, -1, -1):
+        level = F.when(length <= F.lit(1 << bits[k]), F.lit(k)).otherwise(level)
+    return level.cast("int")
+
+
+def _filed(df: DataFrame, start: str, end: str, width: int, asked: Column, turn: int) -> DataFrame:
+    """``df`` with ``_place``: where an interval is filed, once, and the bins in which it asks for wider ones.
+
+    It is filed at its level by its start. At a level of bins as wide as the interval or wider it asks in the bins in
+    which an interval that overlaps it can start: three at most. ``asked`` are the levels at which the other side has
+    intervals. Each side's filed rows meet only the other side's asking ones: turn 0 is the left side's filed rows with
+    what the right asks at the same level or above, turn 1 the right's filed rows with what the left asks above.
+    """
+    first, last = F.col(start).cast("long"), F.greatest(F.col(end), F.col(start) + 1).cast("long") - 1
+    level, least = _level(F.col(start), F.col(end), width), _widths(width)[0]
+    place = lambda turn, level, at: F.struct(F.lit(turn).alias("turn"), level.alias("level"), at.alias("bin"))
+    moved = lambda at, level: F.call_function("shiftright", at, level * STEP + least)
+    wide = lambda level: F.call_function("shiftleft", F.lit(1).cast("long"), level * STEP + least)
+    wider = F.filter("_asked", lambda k: (k >= level) if turn else (k > level))
+    asks = F.flatten(F.transform(wider, lambda k: F.transform(F.sequence(moved(first + 1 - wide(k), k), moved(last, k)), lambda at: place(1 - turn, k, at))))
+    return df.withColumn("_asked", asked).withColumn("_place", F.explode(F.concat(F.array(place(turn, level, moved(first, level))), asks))).drop("_asked")
+
+
+def _levels(df: DataFrame, start: str, end: str, width: int) -> Column:
+    """The levels at which a side has intervals, ten at most, found while the query runs."""
+    return df.select(_level(F.col(start), F.col(end), width).alias("_level")).agg(F.collect_set("_level")).scalar()
 
 
 def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", width: int = BIN) -> DataFrame:
     """Pairs of ``left`` (chrom, start, end) and ``right`` (chrom, r_start, r_end) that overlap.
 
-    ``how``: inner, left_semi or left_anti. Empty intervals overlap nothing.
+    ``how``: inner, left_semi or left_anti. An empty interval overlaps those that reach beyond it on both sides. Rows
+    do not multiply with the length of intervals: each is filed in one bin of its own size and asks in three bins, at
+    most, of each wider size that the other side uses. A pair is met once. ``width``, a power of two, is the narrowest bin.
     """
-    a = _binned(left, "start", "end", width).withColumnsRenamed({"_first": "_first_l"})
-    b = _binned(right, "r_start", "r_end", width).withColumnsRenamed({"_first": "_first_r", "chrom": "_chrom_r", "_bin": "_bin_r"})
-    hit = (F.col("chrom") == F.col("_chrom_r")) & (F.col("_bin") == F.col("_bin_r")) & (F.col("r_start") < F.col("end")) & (F.col("r_end") > F.col("start"))
+    named = right.withColumnRenamed("chrom", "_chrom_r")
+    b = _filed(named, "r_start", "r_end", width, _levels(left, "start", "end", width), 1).withColumnRenamed("_place", "_place_r")
+    hit = (F.col("chrom") == F.col("_chrom_r")) & (F.col("_place") == F.col("_place_r")) & (F.col("r_start") < F.col("end")) & (F.col("r_end") > F.col("start"))
+    held = _levels(right, "r_start", "r_end", width)
     if how == "inner":
-        pairs = a.join(b, hit & (F.col("_bin") == F.greatest("_first_l", "_first_r")))
-        return pairs.drop("_first_l", "_first_r", "_bin", "_bin_r", "_chrom_r")
+        return _filed(left, "start", "end", width, held, 0).join(b, hit).drop("_place", "_place_r", "_chrom_r")
     if how not in ("left_semi", "left_anti"):
         raise ValueError(how)
-    # An interval in several bins has a hit if any of its bins has. Rows of one interval are hit together, so the hits
-    # are intervals: that holds however often and in whatever order the input is read.
-    cut = _binned(left.select("chrom", "start", "end").distinct(), "start", "end", width).drop("_first")
-    hits = cut.join(b.drop("_first_r"), hit, "left_semi").select("chrom", "start", "end").distinct()
+    # An interval has a hit if any of its places has. Rows of one interval are hit together, so the hits are intervals:
+    # that holds however often and in whatever order the input is read.
+    cut = _filed(left.select("chrom", "start", "end").distinct(), "start", "end", width, held, 0)
+    hits = cut.join(b, hit, "left_semi").select("chrom", "start", "end").distinct()
     return left.join(hits, ["chrom", "start", "end"], how).select(*left.columns)
 
 

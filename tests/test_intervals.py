@@ -130,3 +130,39 @@ def test_several_tracks_are_matched_in_one_pass(spark, monkeypatch):
         for site in sites.collect():
             last = max(((s, e, n) for c, s, e, n in rows_ if c == site["chrom"] and s <= site["start"]), default=None)
             assert got[site["site_id"]][k] == (last[1:] if last and last[1] > site["start"] else None)
+
+
+def test_long_intervals_are_few_rows(spark):
+    long = [("c", 0, 250_000_000), ("c", 4_095, 4_097), ("c", 4_095, 1 << 40), ("c", 5, 5)]
+    df = table(spark, long)
+    for levels in ([], [0], [0, 3], list(range(9))):
+        asked = F.array(*map(F.lit, levels)).cast("array<int>")
+        for turn in (0, 1):
+            filed = intervals._filed(df, "start", "end", intervals.BIN, asked, turn)
+            assert filed.filter(F.col("_place.turn") == turn).count() == len(long)
+            assert filed.count() <= len(long) * (1 + 3 * len(levels))
+
+
+def test_intervals_of_all_lengths_meet_once(spark):
+    rng = random.Random(17)
+    make = lambda n: [(rng.choice("xy"), s := rng.randint(-2_000, 200_000), s + int(2 ** rng.uniform(0, 18)) - rng.randint(0, 1)) for _ in range(n)]
+    a, b = make(120) + [("x", 0, 1 << 45), ("x", 7, 7)], make(120) + [("x", -5, 1 << 50), ("y", 64, 64)]
+    left, right = table(spark, a), table(spark, b, "chrom string, r_start long, r_end long")
+    meets = lambda p, q: p[0] == q[0] and q[1] < p[2] and q[2] > p[1]
+    want = sorted((*p, q[1], q[2]) for p in a for q in b if meets(p, q))
+    for width in (1, 16, 4096):
+        assert rows(intervals.overlap_join(left, right, width=width).select("chrom", "start", "end", "r_start", "r_end")) == want
+    hit = [p for p in a if any(meets(p, q) for q in b)]
+    assert rows(intervals.overlap_join(left, right, "left_semi")) == sorted(hit)
+    assert intervals.overlap_join(left, right, "left_anti").count() == len(a) - len(hit)
+    none = right.limit(0)
+    assert not rows(intervals.overlap_join(left, none)) and len(rows(intervals.overlap_join(left, none, "left_anti"))) == len(a)
+    assert not rows(intervals.overlap_join(left.limit(0), right))
+
+
+def test_bins_are_powers_of_two(spark):
+    import pytest
+
+    df = table(spark, [("c", 0, 1)])
+    with pytest.raises(ValueError, match="power of two"):
+        intervals.overlap_join(df, df, width=100)
