@@ -5,6 +5,7 @@ Every query runs an operator over whole stand-in tables. Doubles are rounded the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from cytoline.functions import expr
 from cytoline.operators import annotation, cluster, cohort, coverage, distance, distrib, intervals, linalg, matrix, reads, stats
-from cytoline.session import settle
+from cytoline.session import settle, shared_folder
+from cytoline.sources import pileup_source, writers
 
 from . import lens
 
@@ -86,6 +88,29 @@ def mixed_names(spark, sf):
     return cohort.mixed_names(lens.measure(spark, sf))
 
 
+def stored(spark) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def dropped(spark, folder: str, rows):
+    """The rows, worked out; then the folder that they were read from goes."""
+    rows = settle(rows)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return rows
+
+
+@query("SELECT sample, 'chr5' || ':' || start AS site_id, 'chr5' AS chrom, start, start + 2 AS \"end\", 'm' AS mod_code, n_valid, round(fraction, 6) AS fraction FROM parsed WHERE chrom = 'chr5'")
+def pileup_files(spark, sf):
+    """All measurements written as pileup files of samples, noted by range, and one chromosome of them read back."""
+    folder = stored(spark)
+    writers.pileup(lens.measure(spark, sf), folder)
+    pileup_source.write_zones(spark, folder, range_bytes=1 << 20)
+    rows = pileup_source.scan(spark, folder, chroms=["5"], mod_codes=["m"], range_bytes=1 << 20)
+    return dropped(spark, folder, cohort.parse_sample(rows).select("sample", "site_id", "chrom", "start", "end", "mod_code", "n_valid", r6("fraction")))
+
+
 @query('SELECT site_id, chrom, start, "end", sample, beta, cov FROM cells')
 def matrix_long(spark, sf):
     return cells(spark, sf)
@@ -93,8 +118,6 @@ def matrix_long(spark, sf):
 
 @query("SELECT site_id, chrom, start, " + ", ".join(f"max(beta) FILTER (sample = '{s}') AS beta_{s}, max(cov) FILTER (sample = '{s}') AS cov_{s}" for s in SAMPLES) + " FROM cells GROUP BY site_id, chrom, start HAVING count(cov) > 0")
 def matrix_wide(spark, sf):
-    from cytoline.sources import writers
-
     return writers.wide(cohort.split_covered(cells(spark, sf))[0], SAMPLES, ["site_id", "chrom", "start"])
 
 

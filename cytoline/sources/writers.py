@@ -25,6 +25,14 @@ def intervals(df: DataFrame, path: str) -> None:
     df.orderBy("chrom", "start").write.mode("overwrite").options(sep="\t", header=False).csv(path)
 
 
+def pileup(df: DataFrame, path: str) -> None:
+    """``sample`` and the columns of a pileup as text of 18 columns, a folder for each sample, in order of place."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    fields = [known(c) for c in ("chrom", "start", "end", "mod_code", "n_valid", "strand", "start", "end")] + [F.lit("255,0,0"), known("n_valid"), known("fraction")]
+    ranged = df.repartitionByRange("sample", "chrom", "start").sortWithinPartitions("sample", "chrom", "start")
+    ranged.select("sample", F.concat_ws("\t", *fields, *[F.lit("0")] * 7).alias("value")).write.mode("overwrite").partitionBy("sample").text(path)
+
+
 def wide(long: DataFrame, samples: list[str], keys: list[str]) -> DataFrame:
     """One row for each site; columns beta_ and cov_ of each named sample. The names are given, so nothing is scanned for them."""
     pivot = long.groupBy(*keys).pivot("sample", samples).agg(F.first("beta").alias("beta"), F.first("cov").alias("cov"))
