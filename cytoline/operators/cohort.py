@@ -11,20 +11,46 @@ from . import intervals
 from .distrib import medians
 
 
-def parse_sample(pileup: DataFrame, mod_code: str = "m", keys: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """One row for each site of a sample: both strands together, the fraction (0 to 1) weighted by depth.
+#: What the sums of a sample's sites are made of.
+SUMS = "sample string, chrom string, start bigint, n_valid bigint, weighted double"
+
+
+def partial_sums(pileup: DataFrame, mod_code: str = "m", keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """``keys, chrom, start, n_valid, weighted``: depths of both strands, and fractions (0 to 1) times depth, added up by site.
 
-    ``keys`` are columns of ``pileup`` that separate samples. A site of depth 0 keeps its depth and has no fraction.
+    Sums of parts of a sample can be added; :func:`finished` makes sites of them.
     """
     rows = pileup.filter(F.col("mod_code") == mod_code).select(
         *keys, expr.chromosome(F.col("chrom")).alias("chrom"), expr.plus_start(F.col("start"), expr.checked_strand(F.col("strand"))).alias("start"),
-        F.col("n_valid"), (F.col("fraction") / 100).alias("fraction"),
+        F.col("n_valid"), (F.col("fraction") / 100 * F.col("n_valid")).alias("weighted"),
     )
+    return add_sums(rows, keys)
+
+
+def add_sums(sums: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
     # Sums of both columns are combined on the map side before the one shuffle.
-    total = F.coalesce(F.sum("n_valid"), F.lit(0))
-    weighted = F.coalesce(F.sum(F.col("fraction") * F.col("n_valid")), F.lit(0.0))
-    out = rows.groupBy(*keys, "chrom", "start").agg(total.alias("n_valid"), F.try_divide(weighted, total).alias("fraction"))
-    return out.select(*keys, expr.site_key(F.col("chrom"), F.col("start")).alias("site_id"), "chrom", "start", (F.col("start") + 2).alias("end"), F.lit(mod_code).alias("mod_code"), "n_valid", "fraction")
+    return sums.groupBy(*keys, "chrom", "start").agg(F.coalesce(F.sum("n_valid"), F.lit(0)).alias("n_valid"), F.coalesce(F.sum("weighted"), F.lit(0.0)).alias("weighted"))
+
+
+def finished(sums: DataFrame, mod_code: str = "m", keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """Sites from their sums. A site of depth 0 keeps its depth and has no fraction."""
+    fraction = F.try_divide("weighted", "n_valid").alias("fraction")
+    return sums.select(*keys, expr.site_key(F.col("chrom"), F.col("start")).alias("site_id"), "chrom", "start", (F.col("start") + 2).alias("end"), F.lit(mod_code).alias("mod_code"), "n_valid", fraction)
+
+
+def parse_sample(pileup: DataFrame, mod_code: str = "m", keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """One row for each site of a sample: both strands together, the fraction (0 to 1) weighted by depth.
+
+    ``keys`` are columns of ``pileup`` that separate samples.
+    """
+    return finished(partial_sums(pileup, mod_code, keys), mod_code, keys)
+
+
+def together(frames: list[DataFrame]) -> DataFrame:
+    """The rows of all frames, which have the same columns; joined in pairs, so that no plan is as deep as they are many."""
+    while len(frames) > 1:
+        frames = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])] + frames[len(frames) // 2 * 2 :]
+    return frames[0]
 
 
 def repeated_sites(sites: DataFrame, keys: tuple[str, ...] = ("sample", "site_id")) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cytoline.functions import expr
 from cytoline.operators import annotation, cluster, cohort, coverage, distance, distrib, intervals, linalg, matrix, reads, stats
 from cytoline.session import settle, shared_folder
-from cytoline.sources import pileup_source, writers
+from cytoline.sources import cohort_store, pileup_source, read_store, writers
 
 from . import lens
 
@@ -142,6 +142,19 @@ def plot_mask(spark, sf):
     return cells(spark, sf).select("site_id", "sample", expr.covered_or_unknown(F.col("beta"), F.col("cov"), 60).alias("beta"))
 
 
+@query('SELECT site_id, chrom, start, "end", sample, beta, cov FROM cells')
+def matrix_in_steps(spark, sf):
+    """The cohort of five samples stored by site, and three more aligned to it and added."""
+    folder, name = stored(spark), f"cohort_{uuid.uuid4().hex}"
+    cohort_store.store_sites(lens.sites(spark, sf), f"{name}_sites", f"{folder}/sites", 16)
+    for names in (SAMPLES[:5], SAMPLES[5:]):
+        cohort_store.add(cohort_store.align(spark, f"{name}_sites", parsed(spark, sf), names, lens.MIN_COV), name, f"{folder}/cells", 16)
+    rows = dropped(spark, folder, spark.table(name).select("site_id", "chrom", "start", "end", "sample", "beta", "cov"))
+    for table in (name, f"{name}_sites"):
+        spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 # -- intervals and annotation ------------------------------------------------------------------------------------------
 
 
@@ -266,6 +279,15 @@ def reads_without_deep(spark, sf):
     return reads.without_deep(lens.reads(spark, sf), 60).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("sum_pos"))
 
 
+@query("SELECT qname, chrom, pos, end_pos, flag, mapq FROM reads WHERE (chrom = 'chr3' AND pos < 900 AND end_pos > 400) OR (chrom = 'chr3' AND pos < 2000 AND end_pos > 1990) OR (chrom = 'chr9' AND pos < 2600 AND end_pos > 2000)")
+def reads_in_regions(spark, sf):
+    """All reads stored in order with their index, and those of three regions read from the files that it names."""
+    folder = stored(spark)
+    read_store.write(lens.reads(spark, sf), folder, 5_000)
+    regions = spark.createDataFrame([("chr3", 400, 900), ("chr3", 1990, 2000), ("chr9", 2000, 2600)], "chrom string, start long, end long")
+    return dropped(spark, folder, read_store.within(spark, folder, regions).select("qname", "chrom", "pos", "end_pos", "flag", "mapq"))
+
+
 @query("SELECT qname, chrom, pos, end_pos, flag, mapq FROM reads WHERE qname IN (SELECT qname FROM reads WHERE mapq = 6)")
 def reads_named(spark, sf):
     rows = lens.reads(spark, sf)
