@@ -52,10 +52,19 @@ def build_cohort_matrix(spark, a):
     for t in tables[1:]:
         rows = rows.unionByName(t)
     reference, rows = readers.site_reference(spark, a.sites_file), rows.filter("mod_code = 'm'")
-    _refused(cohort.refuse_unfit, reference.select("chrom"), rows.select("sample", "site_id", "chrom"))
-    cells = cohort.align(reference, rows, a.sample_names, a.min_cov)
-    covered, excluded = cohort.split_covered(cells)
-    writers.parquet(writers.wide(covered.withColumn("mod_code", F.lit("m")), a.sample_names, [*SITE, "mod_code"]), f"{a.outdir}/cohort_matrix.parquet")
+    # both tables are looked at while the matrix is made, without a pass of their own
+    seen_reference, seen_rows, fit = cohort.observed(reference, rows)
+    covered, _ = cohort.split_covered(cohort.align(seen_reference, seen_rows, a.sample_names, a.min_cov))
+    matrix_, single = cohort.observed_wide(covered.withColumn("mod_code", F.lit("m")), a.sample_names, [*SITE, "mod_code"])
+    target = f"{a.outdir}/cohort_matrix.parquet"
+    writers.parquet(matrix_, target)
+    try:
+        for check in (fit, single):
+            check()
+    except ValueError as error:
+        writers.remove(spark, target)
+        raise SystemExit(str(error)) from error
+    _, excluded = cohort.split_covered(cohort.align(reference, rows, a.sample_names, a.min_cov))
     writers.intervals(excluded.select("chrom", "start", "end", "site_id"), f"{a.outdir}/excluded_sites.bed")
 
 
@@ -80,9 +89,9 @@ def coverage_loss(spark, a):
     df = df.withColumnRenamed(a.origin_col, "origin")
     sites = coverage.per_site(readers.to_long(df, names, [*SITE, "origin"]), (*SITE, "origin"))
     writers.comma(coverage.least_covered(sites, a.n_least_covered), f"{a.outdir}/per_site_coverage.csv", small=True)
-    summary = coverage.summary(sites, len(names))
-    _refused(coverage.refuse_inconsistent, summary, sites)
-    writers.comma(summary.orderBy("x"), f"{a.outdir}/coverage_summary.csv", small=True)
+    summary, consistent = coverage.checked_summary(sites, len(names))
+    writers.comma(summary.sortWithinPartitions("x"), f"{a.outdir}/coverage_summary.csv", small=True)
+    _refused(consistent)
     writers.intervals(coverage.covered_in(sites, len(names), a.min_coverage_pct), f"{a.outdir}/covered_at_least_{a.min_coverage_pct:g}pct.bed")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cytoline.functions import expr
@@ -66,7 +68,7 @@ def mixed_names(sites: DataFrame) -> DataFrame:
 def refuse_unfit(reference: DataFrame, samples: DataFrame) -> None:
     """Raise a ValueError if a sample has a site twice, or names chromosomes in another way than the reference does.
 
-    The join of :func:`align` would repeat the one and silently miss the other.
+    For tables that are stored already; :func:`observed` looks while a cohort is made of them. The join of :func:`align` would repeat the one and silently miss the other.
     """
     twice = [f"{r['sample']} {r['site_id']}" for r in repeated_sites(samples).limit(5).collect()]
     if twice:
@@ -76,6 +78,38 @@ def refuse_unfit(reference: DataFrame, samples: DataFrame) -> None:
         raise ValueError("chromosome names without chr: " + ", ".join(plain))
 
 
+def observed(reference: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame, Callable[[], None]]:
+    """Both frames, counted while they are read, and what to call once a table made of both has been written.
+
+    That raises a ValueError where sites and samples name chromosomes in different ways, which a join silently misses.
+    """
+    seen = {"the reference": Observation(), "a sample": Observation()}
+    plain = F.count_if(~F.col("chrom").startswith("chr")).alias("plain")
+    names = [df.observe(o, plain, F.min(F.when(~F.col("chrom").startswith("chr"), F.col("chrom"))).alias("example")) for df, o in zip((reference, samples), seen.values())]
+
+    def check() -> None:
+        for who, o in seen.items():
+            if o.get["plain"]:
+                raise ValueError(f"chromosome names without chr: {who} has {o.get['plain']} such rows, as {o.get['example']}")
+
+    return *names, check
+
+
+def observed_wide(cells: DataFrame, samples: list[str], keys: list[str]) -> tuple[DataFrame, Callable[[], None]]:
+    """:func:`writers.wide` of the cells, and what to call once it has been written: a ValueError where a sample has a site
+    more than once, of which the table shows one."""
+    rows = cells.groupBy(*keys).pivot("sample", samples).agg(F.first("beta").alias("beta"), F.first("cov").alias("cov"), F.count(F.lit(1)).alias("n"))
+    most = F.greatest(*(F.coalesce(F.col(f"`{s}_n`"), F.lit(0)) for s in samples), F.lit(0))
+    seen = Observation()
+    rows = rows.observe(seen, F.count_if(most > 1).alias("twice"), F.min(F.when(most > 1, F.col("site_id"))).alias("example"))
+
+    def check() -> None:
+        if seen.get["twice"]:
+            raise ValueError(f"sites that a sample has more than once: {seen.get['twice']}, as {seen.get['example']}")
+
+    return rows.select(*keys, *(F.col(f"`{s}_{v}`").alias(f"{v}_{s}") for s in samples for v in ("beta", "cov"))), check
+
+
 def align(reference: DataFrame, samples: DataFrame, names: list[str], min_cov: int = 1) -> DataFrame:
     """Every reference site with every named sample: ``site_id, chrom, start, end, sample, beta, cov``; absent is null.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cytoline.functions import expr
@@ -40,6 +42,23 @@ def refuse_inconsistent(summary_: DataFrame, sites: DataFrame) -> None:
         raise ValueError(f"the summary has {got.asDict()}, the sites {want.asDict()}")
 
 
+def checked_summary(sites: DataFrame, n_samples: int) -> tuple[DataFrame, Callable[[], None]]:
+    """:func:`summary`, and what to call once it has been written: a ValueError if it does not add up to the sites.
+
+    Both sides are counted while the summary is worked out: sites in all, and by either kind of origin.
+    """
+    seen, want, got = F.col("n_covered") > 0, Observation(), Observation()
+    kinds = {"n_sites": seen, "n_EPC": seen & expr.has_probe_tag(F.col("origin")), "n_islandcpg": seen & expr.has_island_tag(F.col("origin"))}
+    counted = sites.observe(want, *(F.count_if(of).alias(c) for c, of in kinds.items()))
+    out = summary(counted, n_samples).coalesce(1).observe(got, *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in kinds))
+
+    def check() -> None:
+        if want.get != got.get:
+            raise ValueError(f"the summary has {got.get}, the sites {want.get}")
+
+    return out, check
+
+
 def covered_in(sites: DataFrame, n_samples: int, percent: float) -> DataFrame:
     """Intervals of the sites that at least this percentage of samples covers."""
     if not 0 <= percent <= 100:

@@ -20,6 +20,10 @@ from cytoline.session import settle
 from .intervals import STRETCH
 
 
+#: Rounds of estimation after which estimates are stored.
+KEPT_ROUNDS = 5
+
+
 def observed(cells: DataFrame, n_samples: int) -> DataFrame:
     """For each site the number of values and their share of the samples."""
     return cells.groupBy("site_id").agg(F.count("beta").alias("n_values")).withColumn("share", F.col("n_values") / n_samples)
@@ -143,16 +147,20 @@ def impute_neighbours(cells: DataFrame, samples: list[str], k: int = 5, low: flo
     distance = np.sqrt(square_distances(sums, table.count()))
 
     def work(block: np.ndarray) -> np.ndarray:
-        out = block.copy()
-        for s, i in zip(*np.nonzero(np.isnan(block))):
-            near = np.flatnonzero(~np.isnan(block[s]) & ~np.isnan(distance[i]))
-            if not len(near):
-                out[s, i] = np.nanmean(block[s])
-                continue
-            near = near[np.argsort(distance[i, near], kind="stable")[:k]]
-            d = distance[i, near]
-            weight = (d == 0).astype(float) if (d == 0).any() else 1 / d
-            out[s, i] = (weight * block[s, near]).sum() / weight.sum()
+        out, missing = block.copy(), np.isnan(block)
+        for i in range(n):
+            rows = np.flatnonzero(missing[:, i])
+            order = np.argsort(distance[i], kind="stable")
+            order = order[~np.isnan(distance[i, order])]
+            values, d = block[np.ix_(rows, order)], distance[i, order]
+            # the first k samples in this order that have a value
+            have = ~np.isnan(values)
+            have &= np.cumsum(have, 1) <= k
+            same = have & (d == 0)
+            weight = np.where(same.any(1, keepdims=True), same, have / np.where(d == 0, 1.0, d))
+            total = weight.sum(1)
+            near = (weight * np.where(have, values, 0.0)).sum(1) / np.where(total == 0, 1.0, total)
+            out[rows, i] = np.where(total == 0, np.nanmean(block[rows], 1), near) if len(rows) else near
         return np.clip(out, low, high)
 
     return cells_of(map_blocks(table, work), samples)
@@ -162,36 +170,41 @@ def impute_components(cells: DataFrame, samples: list[str], components: int = 10
     """Missing values from the leading components, estimated again until they settle; observed values stay.
 
     The components are eigenvectors of the samples by samples matrix, so a site's estimate needs only its own vector.
-    The vectors are stored once; rounds are replayed on them from the small matrices.
+    The vectors are stored with their estimates, and again every few rounds (KEPT_ROUNDS): a round is one pass that
+    carries the stored estimates on by a few small matrices, however many rounds came before.
     """
-    table, n = settle(vectors(cells, samples)), len(samples)
-    size = table.count()
-    k = max(1, min(components, n - 1, size))
-    steps: list[np.ndarray] = []
+    n = len(samples)
+    table = settle(map_blocks(vectors(cells, samples), lambda block: np.concatenate([block, np.where(np.isnan(block), np.nanmean(block, 1, keepdims=True), block)], 1)))
+    k = max(1, min(components, n - 1, table.count()))
 
-    def filled(block: np.ndarray, bases: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        missing = np.isnan(block)
-        x = np.where(missing, np.nanmean(block, 1, keepdims=True), block)
+    def carried(block: np.ndarray, bases: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The estimates before the last of the bases and after it."""
+        missing, x = np.isnan(block[:, :n]), block[:, n:]
         before = x
         for u in bases:
             centre = x.mean(1, keepdims=True)
             before, x = x, np.where(missing, (x - centre) @ u @ u.T + centre, x)
         return before, x
 
+    steps: list[np.ndarray] = []
     for _ in range(rounds):
-        bases = list(steps)
+        if len(steps) > KEPT_ROUNDS:
+            # the last basis stays, as the next round compares the estimates before and after it
+            done, steps = steps[:-1], steps[-1:]
+            table = settle(map_blocks(table, lambda block, done=done: np.concatenate([block[:, :n], carried(block, done)[1]], 1)))
 
-        def measure(block: np.ndarray, bases=bases) -> np.ndarray:
-            before, x = filled(block, bases)
+        def measure(block: np.ndarray, bases=tuple(steps)) -> np.ndarray:
+            before, x = carried(block, bases)
             c = x - x.mean(1, keepdims=True)
             return np.concatenate([(c.T @ c).ravel(), [((x - before) ** 2).sum(), (before**2).sum()]])
 
         out = sum_blocks(table, measure, (n * n + 2,))
-        if bases and np.sqrt(out[-2]) / (np.sqrt(out[-1]) + 1e-12) < tolerance:
+        if steps and np.sqrt(out[-2]) / (np.sqrt(out[-1]) + 1e-12) < tolerance:
             break
         _, vectors_ = np.linalg.eigh(out[:-2].reshape(n, n))
         steps.append(vectors_[:, ::-1][:, :k])
-    return cells_of(map_blocks(table, lambda block: np.clip(filled(block, steps)[1], low, high)), samples)
+    last = tuple(steps)
+    return cells_of(map_blocks(table, lambda block: np.clip(carried(block, last)[1], low, high)), samples)
 
 
 def impute_along(cells: DataFrame) -> DataFrame:

@@ -61,9 +61,29 @@ def in_order(reads: DataFrame) -> DataFrame:
     return reads.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
 
 
-def pileup(reads: DataFrame, certain: float = 0.5) -> DataFrame:
-    """For each place, strand and modification: reads that call it either way, and the percentage that is modified."""
-    calls = reads.select("chrom", F.explode("mods").alias("m")).select("chrom", F.col("m.pos").alias("start"), F.col("m.strand").alias("strand"), F.col("m.mod_code").alias("mod_code"), F.col("m.prob").alias("prob"))
-    clear = calls.filter((F.col("prob") >= certain) | (F.col("prob") <= 1 - certain))
-    out = clear.groupBy("chrom", "start", "strand", "mod_code").agg(F.count(F.lit(1)).alias("n_valid"), (100 * F.avg((F.col("prob") >= certain).cast("double"))).alias("fraction"))
+def calls(reads: DataFrame) -> DataFrame:
+    """A row for each call of a modification, with ``certainty``: the probability of what is likelier, modified or not."""
+    rows = reads.select("chrom", F.explode("mods").alias("m")).select("chrom", F.col("m.pos").alias("start"), F.col("m.strand").alias("strand"), F.col("m.mod_code").alias("mod_code"), F.col("m.prob").alias("prob"))
+    return rows.withColumn("certainty", F.greatest("prob", 1 - F.col("prob")))
+
+
+def estimated_threshold(reads: DataFrame, share: float = 0.1, accuracy: int = 10_000) -> float | None:
+    """The certainty that this share of all calls stays below: what a pileup leaves out. None without calls.
+
+    One pass over all calls. Each task keeps a summary of bounded size and summaries are merged; the rank of the result
+    is off by at most the number of calls divided by ``accuracy``.
+    """
+    return calls(reads).agg(F.approx_percentile("certainty", share, accuracy).alias("t")).first()["t"]
+
+
+def pileup(reads: DataFrame, certain: float | None = 0.5) -> DataFrame:
+    """For each place, strand and modification: reads that call it either way, and the percentage that is modified.
+
+    Calls of a certainty below ``certain`` are left out; None estimates it from the calls themselves.
+    """
+    if certain is None:
+        certain = estimated_threshold(reads)
+    rows = calls(reads)
+    clear = rows.filter(F.col("certainty") >= certain) if certain is not None else rows
+    out = clear.groupBy("chrom", "start", "strand", "mod_code").agg(F.count(F.lit(1)).alias("n_valid"), (100 * F.avg((F.col("prob") >= 0.5).cast("double"))).alias("fraction"))
     return out.withColumn("end", F.col("start") + 1)

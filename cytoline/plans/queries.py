@@ -96,8 +96,7 @@ def stored(spark) -> str:
 def dropped(spark, folder: str, rows):
     """The rows, worked out; then the folder that they were read from goes."""
     rows = settle(rows)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    writers.remove(spark, folder)
     return rows
 
 
@@ -794,6 +793,22 @@ def reads_thinned(spark, sf):
     return reads.thinned(lens.reads(spark, sf))
 
 
+_CALLS = """, calls AS (
+  SELECT 'chr' || (l_partkey % 22 + 1) AS chrom, 2 * l_partkey AS start, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand,
+         CASE WHEN l_returnflag = 'R' THEN 'h' ELSE 'm' END AS mod_code, (l_orderkey * 37 + l_partkey * 11 + l_linenumber) % 256 / 255.0::DOUBLE AS prob FROM lineitem),
+certain AS (SELECT *, greatest(prob, 1 - prob) AS certainty FROM calls)
+"""
+
+
+@query(_CALLS + "SELECT chrom, start, strand, mod_code, count(*) AS n_valid, round(100 * avg((prob >= 0.5)::INT), 6) AS fraction FROM certain "
+       "WHERE certainty >= (SELECT quantile_disc(certainty, 0.1) FROM certain) GROUP BY ALL")
+def pileup_estimated(spark, sf):
+    """The pileup of all calls but the tenth that is least certain."""
+    rows = lens.table(spark, sf, "lineitem").selectExpr("concat('chr', l_partkey % 22 + 1) AS chrom", "array(named_struct('pos', 2 * l_partkey, 'strand', if(l_linestatus = 'F', '+', '-'), 'mod_code', if(l_returnflag = 'R', 'h', 'm'), "
+                                                        "'prob', (l_orderkey * 37 + l_partkey * 11 + l_linenumber) % 256 / 255.0D)) AS mods")
+    return reads.pileup(rows, None).select("chrom", "start", "strand", "mod_code", "n_valid", r6("fraction"))
+
+
 @query("SELECT chrom, start, strand, mod_code, count(*) AS n_valid, round(100 * avg((prob >= 0.5)::INT), 6) AS fraction FROM (SELECT 'chr' || (l_partkey % 22 + 1) AS chrom, 2 * l_partkey AS start, "
        "CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CASE WHEN l_returnflag = 'R' THEN 'h' ELSE 'm' END AS mod_code, l_discount * 10 AS prob FROM lineitem) GROUP BY ALL", prefix=False)
 def pileup(spark, sf):

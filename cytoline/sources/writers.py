@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import single_file
+
 
 def parquet(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     out = df.write.mode("overwrite").option("compression", "zstd")
     (out.partitionBy(*by) if by else out).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def table(df: DataFrame, path: str, small: bool = False, header: bool = True, missing: str = "NaN") -> None:
     """Tab-separated; ``small`` for tables with a row for each sample or cluster."""
     (df.coalesce(1) if small else df).write.mode("overwrite").options(sep="\t", header=header, nullValue=missing, emptyValue="").csv(path)
@@ -21,8 +29,8 @@ def comma(df: DataFrame, path: str, small: bool = False) -> None:
 
 
 def intervals(df: DataFrame, path: str) -> None:
-    """An interval file without a header, in order of chromosome and start."""
-    df.orderBy("chrom", "start").write.mode("overwrite").options(sep="\t", header=False).csv(path)
+    """One interval file without a header, in order of chromosome and start; no file where there are no intervals."""
+    single_file.write(df.orderBy("chrom", "start"), path)
 
 
 def pileup(df: DataFrame, path: str) -> None:
