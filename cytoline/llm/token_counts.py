@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 from itertools import accumulate, islice
 
 import pyarrow as pa
@@ -39,6 +42,29 @@ _hidden = [b for b in range(256) if b not in _shown]
 BYTE_SYMBOLS = {b: chr(b) for b in _shown} | {b: chr(256 + i) for i, b in enumerate(_hidden)}
 
 
+#: Normalised characters before a place that decide how what follows is divided into words; only `'re` looks so far.
+TAIL = 4
+
+
+@cache
+def second_parts() -> frozenset[str]:
+    """Characters that composition can join to the one before though their combining class is 0."""
+    pairs = (unicodedata.decomposition(chr(c)) for c in range(sys.maxunicode + 1))
+    seconds = {chr(int(d.split()[1], 16)) for d in pairs if d and d[0] != "<" and " " in d}
+    jamo = {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}
+    return frozenset({c for c in seconds if not unicodedata.combining(c)} | jamo)
+
+
+def joined(run: str) -> list[str]:
+    """The run cut before every character that normalisation never joins to, nor moves over, what comes before it."""
+    out, start, seconds = [], 0, second_parts()
+    for i in range(1, len(run)):
+        if not unicodedata.combining(run[i]) and run[i] not in seconds:
+            out.append(run[start:i])
+            start = i
+    return [*out, run[start:]]
+
+
 class Memory(dict):
     """Results by key, worked out when missing. Of more than REMEMBERED keys, those not used lately are forgotten.
 
@@ -151,6 +177,10 @@ class PrefixCounter:
     def word_prefixes(self, word: str, ends: bool = True) -> tuple[list[int], list[int]]:
         """For a word of byte symbols: ``open[i]``, tokens of its first i symbols if the word goes on, and ``shut[i]``,
         if it ends there. With ``ends`` false only the last entry of ``shut`` is worked out."""
+        return self.states(word, ends)[1:]
+
+    def states(self, word: str, ends: bool = True) -> tuple[list[str], list[int], list[int]]:
+        """As :meth:`word_prefixes`, with the last token of every prefix before."""
         n = len(word)
         last, opened, shut = [""] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
@@ -168,7 +198,28 @@ class PrefixCounter:
                     if token in self.vocabulary and self.is_whole(token) and (not start or self.stay_apart(last[start], token)):
                         shut[i] = opened[start] + 1
                         break
-        return opened, shut
+        return last, opened, shut
+
+    def resumed(self, word: str, last: list[str], opened: list[int], at: int, more: str) -> int:
+        """Tokens of a word that has the first ``at`` symbols of ``word``, whose states are given, and ends after ``more``."""
+        same = next((i for i, (a, b) in enumerate(zip(word[at : at + len(more)], more)) if a != b), min(len(word) - at, len(more)))
+        at, more = at + same, more[same:]
+        base = max(0, at - self.longest)
+        text, last, opened = word[base:at] + more, last[base : at + 1], opened[base : at + 1]
+        for i in range(at - base + 1, len(text) + 1):
+            for start in range(max(0, i - self.longest), i):
+                token = text[start:i]
+                if token in self.vocabulary and self.is_whole(token) and (start + base == 0 or self.stay_apart(last[start], token)):
+                    last.append(token)
+                    opened.append(opened[start] + 1)
+                    break
+        if not self.suffix:
+            return opened[-1]
+        for start in range(max(0, len(text) - self.longest), len(text)):
+            token = text[start:] + self.suffix
+            if token in self.vocabulary and self.is_whole(token) and (start + base == 0 or self.stay_apart(last[start], token)):
+                return opened[start] + 1
+        raise ValueError(f"no tokens for {word[:at] + more!r}")
 
     def words(self, text: str) -> list[tuple[str, tuple[int, int]]]:
         """The library's words of a text without special strings: byte symbols and places in the normalised text."""
@@ -225,26 +276,61 @@ class PrefixCounter:
     def run_prefixes(self, run: str) -> list[int]:
         """Tokens of the first 1, 2, ... code points of a run without spaces or special strings.
 
-        If characters are normalised each on its own, that gives their places in the normalised run, and counts are
-        stored word by word. Otherwise (as with a composing character) each prefix is normalised and counted.
+        Where characters are joined by normalisation, the run is cut between those that never are (:func:`joined`).
+        Counts are stored once over the whole normalised run, word by word. Only a prefix that ends inside such a piece
+        can differ from the normalised run's own prefixes: its last few characters are then added to the stored states.
         """
         normal = self.library.normalizer.normalize_str if self.library.normalizer else str
-        each, whole = list(map(normal, run)), normal(run)
+        pieces, whole = list(run), normal(run)
+        each = list(map(normal, pieces))
         if "".join(each) != whole:
-            return [self.chunk(run[:i]) for i in range(1, len(run) + 1)]
-        closed, before, place = [0] * (len(whole) + 1), 0, 0
+            pieces = joined(run)
+            each = list(map(normal, pieces))
+            if "".join(each) != whole or not self.plain:  # of a model whose normalisation is not known here
+                return [self.chunk(run[:i]) for i in range(1, len(run) + 1)]
+        size = [0, *accumulate(len(c.encode()) for c in whole)]
+        closed, before, place, known = [0] * (len(whole) + 1), 0, 0, []
         for word, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(whole):
             closed[place + 1 : start + 1] = [before] * (start - place)
-            shut, symbol = self.word_prefixes(word)[1], 0
+            last, opened, shut = self.states(word)
             for i in range(start, end):
-                symbol += len(whole[i].encode())
-                closed[i + 1] = before + shut[symbol]
+                closed[i + 1] = before + shut[size[i + 1] - size[start]]
             if whole[start] == "'" and whole[start + 1 : end].isalpha():  # of 're, the beginning 'r is two words
                 for i in range(start + 1, end):
                     closed[i] = before + self.chunk(whole[start:i])
+            known.append((start, end, before, word, last, opened))
             before, place = before + shut[-1], end
         closed[place + 1 :] = [before] * (len(whole) - place)
-        return [closed[end] for end in accumulate(map(len, each))]
+        out, at = [], 0
+        for piece, normalised in zip(pieces, each):
+            end = ""  # of the normalised beginning of the piece
+            for i in range(1, len(piece)):
+                if i > 1 and unicodedata.combining(end[-1]) and unicodedata.combining(end[-1]) == unicodedata.combining(piece[i - 1]):
+                    end += normal(piece[i - 1])  # one more mark of a kind: neither joined nor moved
+                else:
+                    end = normal(piece[:i])
+                same = whole.startswith(end, at)
+                out.append(closed[at + len(end)] if same else self._ending(whole, at, end, size, known))
+            at += len(normalised)
+            out.append(closed[at])
+        return out
+
+    def _ending(self, whole: str, at: int, end: str, size: list[int], known: list[tuple]) -> int:
+        """Tokens of ``whole[:at] + end``, from the states of the words of ``whole``."""
+        total, start, first = 0, 0, None
+        if at:
+            k = bisect_right(known, max(0, at - TAIL), key=lambda w: w[0]) - 1
+            start, stop, total, word, last, opened = known[k]
+            first = word, last, opened, 0
+            if stop - start > TAIL and start < at - TAIL:
+                # a long word is of letters alone or of neither letters nor digits: any part of it is divided alike, unless
+                # it is an apostrophe before what could be an ending
+                cut = at - TAIL
+                if cut + 1 < stop or whole[cut] != "'":
+                    first, start = (word, last, opened, size[cut] - size[start]), cut
+        for j, (more, _) in enumerate(self.library.pre_tokenizer.pre_tokenize_str(whole[start:at] + end)):
+            total += self.resumed(*first, more) if first and not j else self.word_prefixes(more, ends=False)[1][-1]
+        return total
 
     def _segments(self, text: str) -> list[tuple[str, int]]:
         at, out = 0, []

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -491,6 +493,46 @@ def test_token_counts_of_prefixes_on_every_text(odd):
         assert r["cut"] == r["text"][: max(i for i, n in enumerate(r["n"]) if n <= 3)]
 
 
+JOINED = ["a", "é", "ガ", "ぱ", "한", "글", "'", "s", "r", "!", "1", "Σ", "İ", "\u0301", "\u0327", "\u0323", "\u0344", "ộ", "日", "'re", "ll", "\u1161", "\u11a8", "\u09c7", "\u09be"]
+
+
+def test_token_counts_of_prefixes_where_characters_are_joined():
+    from tokenizers import Tokenizer
+
+    definition = tokenizer_file("word_bpe_49k.json").decode()
+    library, own = Tokenizer.from_str(definition), token_counts.PrefixCounter(definition)
+    exact = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    rng = random.Random(3)
+    for k in range(400):
+        t = "".join(rng.choice(JOINED) for _ in range(rng.randint(0, 60)))
+        t = unicodedata.normalize("NFD", t) if k % 2 else t
+        assert own.prefixes(t) == [exact(t[:i]) for i in range(len(t) + 1)], t
+
+
+@pytest.mark.parametrize("base", ["ガギグパピプが", "éèộüñç", "한글문자", "ạ́b̧́!́", "e" + "\u0301" * 30_000])
+def test_long_runs_of_joined_characters_are_counted_once(base):
+    from tokenizers import Tokenizer
+
+    definition = tokenizer_file("word_bpe_49k.json").decode()
+    library, own = Tokenizer.from_str(definition), token_counts.PrefixCounter(definition)
+    base = unicodedata.normalize("NFD", base)
+    text = (base * (30_000 // len(base) + 1))[:30_000]
+    started = time.process_time()
+    n, fits = own.fitting(text, 2048)
+    assert time.process_time() - started < 30  # re-encoding every prefix would take an hour
+    counts = own.prefixes(text)
+    assert n == counts[-1] == len(library.encode(text, add_special_tokens=False).ids)
+    assert fits == max(i for i, c in enumerate(counts) if c <= 2048)
+    for i in [1, 2, 3, 500, fits, fits + 1, 9_999]:
+        assert counts[i] == len(library.encode(text[:i], add_special_tokens=False).ids)
+
+
+def test_token_counts_are_the_last_stored_ones(texts):
+    own = token_counts.PrefixCounter(tokenizer_file("word_bpe_49k.json").decode())
+    for _, t in texts[:40]:
+        assert own.count(t or "") == own.prefixes(t or "")[-1]
+
+
 @pytest.mark.parametrize("text", ["1234567890" * 50, "日本語" * 1000, "🎉😀" * 1000, "。！" * 4000, "ก็ดีนะ" * 2000, "ඳෞ" * 9000, "中文没有空格的长文本" * 10000, "?!" * 20000, "\n" * 3000, " " * 3000, "ab" * 40000])
 def test_sentence_pieces_of_long_unbroken_texts(text):
     import sentencepiece
