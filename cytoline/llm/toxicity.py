@@ -2,13 +2,12 @@
 
 Labelled examples are kept in blocks. For every term the index has, block by block, the examples with it and the
 largest weight among them. A query bounds each block's cosine by those maxima, visits the blocks from the best bound
-down, and stops once no bound can reach the k-th best cosine found: the result is exact. The nearest examples vote
-with their similarity; the vote is calibrated on the examples themselves, each without its own copy in the index.
-All terms of the examples are indexed, and cosines are over all of them. Each text is searched for twice: by plain
-TF-IDF, whose neighbours are the evidence and show near copies, and with terms weighed by how much their document
-frequencies differ between the classes as well, whose neighbours' vote is calibrated. Texts are searched for in
-batches: where the bounds of many texts leave many blocks open, those are read by one product of matrices in single
-precision, and what can be among the nearest is summed again in full.
+down, and stops once no bound can reach the k-th best cosine found: the result is exact. The nearest examples vote,
+the nearer the more; the vote is calibrated on the examples themselves, each without itself and its near copies. All
+terms of all examples are indexed and have weight: a term's is its TF-IDF times a factor that grows with how far its
+document frequencies differ between the classes. One search gives both the vote and the evidence for it. Texts are
+searched for in batches: where the bounds of many texts leave many blocks open, those are read by one product of
+matrices in single precision, and what can be among the nearest is summed again in full.
 """
 
 from __future__ import annotations
@@ -36,13 +35,12 @@ from .labelled import held_out, platt, sample
 
 #: Bound of what is learned from: labelled examples of each class.
 PER_CLASS = 4096
-#: The class signal weighs a term by the square of its chi-squared between the classes over this, at most 1. Of less than
-#: its mean, 1, chi-squared tells nothing, and the signal leaves the term out.
-CHI = 30.0
-#: A term in one of so many examples has a row of weights; the cosine of near copies.
-COMMON, COPY = 16, 0.8
-#: Examples in a block of the index; blocks that are read first; neighbours that vote; weight of the base rate among them.
-BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 15, 0.5
+#: A term's factor is (1 + chi-squared between the classes) / (1 + CHI), chi-squared counting up to CHI.
+CHI = 100.0
+#: A term in one of so many examples has a row of weights; the cosine from which an example is a near copy of another.
+COMMON, COPY = 16, 0.9
+#: Examples in a block of the index; blocks that are read first; neighbours that vote; what is added to each side's votes.
+BLOCK, FIRST, NEIGHBOURS, PRIOR = 64, 4, 30, 0.2
 #: Where the bound of a block in eight is above this share of the best one, blocks are not read one after the other.
 FLAT = 0.6
 #: Texts that are searched for together; what a sum in single precision can be off at most.
@@ -103,9 +101,9 @@ class Postings:
         rows[np.repeat(np.arange(len(used)), np.diff(starts[: common + 1])[used]), examples[inner]] = values[inner]
         return cls(idf, starts, examples, values, row_of, rows, rows.reshape(-1, blocks, BLOCK).max(2).astype(np.float64))
 
-    def weigh(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def weigh(self, at: np.ndarray, counts: np.ndarray, idf: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Terms in order and their weights, 1 + log of the count, times idf, to unit length."""
-        weights = (1 + np.log(counts)) * self.idf[at]
+        weights = (1 + np.log(counts)) * (self.idf[at] if idf is None else idf)
         told = np.flatnonzero(weights)
         told = told[np.argsort(at[told])]
         at, weights = at[told], weights[told]
@@ -177,34 +175,27 @@ class Postings:
 
 @dataclass
 class Index:
-    """Labelled examples, found by the cosine over all their terms: plain, and with terms weighed by their class signal too.
-
-    A term is known by a 64-bit hash.
-    """
+    """Labelled examples, found by the cosine over all their terms. A term is known by a 64-bit hash."""
 
     hashes: np.ndarray  # of all terms, in order
     terms: np.ndarray  # their numbers
-    telling: np.ndarray  # the factor of each term in ``signal``, from 0 to 1
     labels: np.ndarray
     ids: np.ndarray
     weights: Postings
-    signal: Postings
-    base: float  # share of toxic examples among those without a term of the full factor
-    share: float  # among all
-    fitted: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
+    share: float  # of toxic rows
+    fitted: tuple[float, float, float] = (1.0, -1.0, 0.0)
 
     def __post_init__(self) -> None:
         self.memory: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
 
     def pieces(self) -> Iterator[bytes]:
         """The index as a file: a header with the places of the arrays, then the arrays."""
-        arrays = {n: getattr(self, n) for n in ("hashes", "terms", "telling", "labels", "ids")}
-        arrays |= {f"{of}.{n}": getattr(getattr(self, of), n) for of in ("weights", "signal") for n in Postings.STORED}
+        arrays = {n: getattr(self, n) for n in ("hashes", "terms", "labels", "ids")} | {f"weights.{n}": getattr(self.weights, n) for n in Postings.STORED}
         places, at = {}, 0
         for name, array in arrays.items():
             places[name] = array.dtype.str, array.shape, at
             at += -(-array.nbytes // 64) * 64
-        header = pickle.dumps((places, self.base, self.share, self.fitted))
+        header = pickle.dumps((places, self.share, self.fitted))
         yield (len(header).to_bytes(8, "little") + header).ljust(HEADER, b"\0")
         for array in arrays.values():
             raw = np.ascontiguousarray(array).reshape(-1).view(np.uint8)
@@ -217,69 +208,50 @@ class Index:
         """The index in a file, mapped into memory: the processes of a machine share one copy."""
         raw = np.memmap(path, np.uint8, "r")
         size = int.from_bytes(raw[:8].tobytes(), "little")
-        places, base, share, fitted = pickle.loads(raw[8 : 8 + size].tobytes())
+        places, share, fitted = pickle.loads(raw[8 : 8 + size].tobytes())
         arrays = {n: raw[HEADER + at : HEADER + at + np.dtype(kind).itemsize * math.prod(shape)].view(kind).reshape(shape) for n, (kind, shape, at) in places.items()}
-        postings = (Postings(*(arrays[f"{of}.{n}"] for n in Postings.STORED)) for of in ("weights", "signal"))
-        return cls(*(arrays[n] for n in ("hashes", "terms", "telling", "labels", "ids")), *postings, base, share, fitted)
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
-        """Indexed terms of a text and their weights; and all its words."""
-        at, counts, words = self.count(text)
-        return *self.weights.weigh(at, counts), words
-
-    def count(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
-        """The indexed terms of a text and how often it has them; and all its words."""
-        words = terms(text)
-        tally = Counter(words)
+        return cls(*(arrays[n] for n in ("hashes", "terms", "labels", "ids")), Postings(*(arrays[f"weights.{n}"] for n in Postings.STORED)), share, fitted)
+
+    def count(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The indexed terms of a text and how often it has them."""
+        tally = Counter(terms(text))
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, tally), np.uint64, len(tally))
         place = np.searchsorted(self.hashes, hashes)
         place[place == len(self.hashes)] = 0
         known = np.flatnonzero(self.hashes[place] == hashes) if len(self.hashes) else np.zeros(0, np.int64)
-        return self.terms[place[known]].astype(np.int64), np.fromiter(tally.values(), np.float64, len(tally))[known], len(words)
+        return self.terms[place[known]].astype(np.int64), np.fromiter(tally.values(), np.float64, len(tally))[known]
 
     def nearest(self, texts: list[str], k: int) -> list[list[tuple[int, float]]]:
         """For each text the k examples of the largest cosine over all terms; see :class:`Postings`."""
-        return self.weights.nearest([self.vector(t)[:2] for t in texts], k)
-
-    def vote(self, near: list[tuple[int, float]]) -> float:
-        """The share of toxic among the neighbours, weighted by similarity, drawn a little towards the base rate."""
-        total = sum(s for _, s in near)
-        return float((sum(s * self.labels[i] for i, s in near) + PRIOR * self.base) / (total + PRIOR))
-
-    def measures(self, counted: list[tuple[np.ndarray, np.ndarray, int]], without: list[int] | None = None) -> list[tuple[list[tuple[int, float]], tuple[float, float, float]]]:
-        """For each text the neighbours by class signal; and what is calibrated: their vote, and how much of the text speaks for it."""
-        out = []
-        for (at, _, words), near in zip(counted, self.signal.nearest([self.signal.weigh(at, n) for at, n, _ in counted], NEIGHBOURS, without)):
-            found = self.telling[at].sum()
-            out.append((near, (self.vote(near), float(np.log(0.1 + found)), float(np.log(1 + words)))))
-        return out
-
-    def probability(self, near: list[tuple[int, float]], signal: list[tuple[int, float]], measures: tuple[float, float, float]) -> float:
-        """Calibrated from the measures; a near copy, by both cosines, of toxic examples has their vote at least."""
-        if not signal:
-            return self.base
+        return self.weights.nearest([self.weights.weigh(*self.count(t)) for t in texts], k)
+
+    def votes(self, near: list[tuple[int, float]]) -> tuple[float, float]:
+        """The votes for and against toxic, each neighbour's its similarity, in logarithms."""
+        sides = [PRIOR, PRIOR]
+        for i, s in near:
+            sides[0 if self.labels[i] else 1] += s
+        return math.log(sides[0]), math.log(sides[1])
+
+    def probability(self, near: list[tuple[int, float]]) -> float:
+        """The calibrated votes; without neighbours the share of all."""
+        if not near:
+            return self.share
         *slopes, intercept = self.fitted
-        p = float(1 / (1 + np.exp(-np.clip(np.dot(slopes, measures) + intercept, -30, 30))))
-        alike = {i for i, s in signal if s >= COPY}
-        copies = [(i, s) for i, s in near if s >= COPY and i in alike]
-        return max(p, self.vote(copies)) if copies else p
+        return float(1 / (1 + np.exp(-np.clip(np.dot(slopes, self.votes(near)) + intercept, -30, 30))))
 
     def score(self, text: str) -> float:
         return self.judge([text])[0][0]
 
     def judge(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        """For each text the calibrated probability, and the nearest examples by plain cosine with their similarities."""
+        """For each text the calibrated probability, and the nearest examples, which voted, with their similarities."""
         keys = [xxhash.xxh3_128_intdigest(t.encode()) for t in texts]
         new = {key: t for key, t in zip(keys, texts) if key not in self.memory}
         known = {key: self.memory[key] for key in keys if key in self.memory}
         fresh = list(new.items())
         for start in range(0, len(fresh), TOGETHER):
             own = fresh[start : start + TOGETHER]
-            counted = [self.count(t) for _, t in own]
-            plain = self.weights.nearest([self.weights.weigh(at, n) for at, n, _ in counted], NEIGHBOURS)
-            for (key, _), near, of_signal in zip(own, plain, self.measures(counted)):
-                found, similarities = np.array([i for i, _ in near], np.int32), np.array([s for _, s in near], np.float64)
-                known[key] = self.probability(near, *of_signal), found, similarities
+            for (key, _), near in zip(own, self.nearest([t for _, t in own], NEIGHBOURS)):
+                known[key] = self.probability(near), np.array([i for i, _ in near], np.int32), np.array([s for _, s in near], np.float64)
         if len(self.memory) + len(new) > REMEMBERED:
             self.memory.clear()
         self.memory.update((key, known[key]) for key in list(new)[:REMEMBERED])
@@ -296,7 +268,14 @@ class Fitted(NamedTuple):
         return ready(("toxicity", self.name), lambda: Index.opened(SparkFiles.get(self.name)))
 
 
-def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np.ndarray, of_term: np.ndarray, counts: np.ndarray, vocabulary: list[str], totals: dict[int, int]) -> Index:
+def _factor(toxic: np.ndarray, frequency: np.ndarray, n1: float, n: int) -> np.ndarray:
+    """The factors of terms in so many toxic examples of ``n1``, and in so many of all ``n``."""
+    n0, clean = n - n1, frequency - toxic
+    chi = n * (toxic * (n0 - clean) - clean * (n1 - toxic)) ** 2 / (float(n1 * n0 or 1) * np.maximum(frequency, 1) * np.maximum(n - frequency, 1))
+    return (1 + np.minimum(chi, CHI)) / (1 + CHI)
+
+
+def build(ids: np.ndarray, labels: np.ndarray, of_example: np.ndarray, of_term: np.ndarray, counts: np.ndarray, vocabulary: list[str], totals: dict[int, int]) -> Index:
     """The index of examples and of their (example, term, count) triples; ``totals``: rows of each label that they stand for."""
     n = len(ids)
     # Terms are numbered from the most frequent one down.
@@ -308,67 +287,64 @@ def build(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, of_example: np
     words, of_term = [vocabulary[t] for t in order.tolist()], number[of_term]
     # How far the terms' document frequencies differ between the classes.
     n1 = labels.sum()
-    n0 = n - n1
     frequency = frequency[order].astype(float)
     a = np.bincount(of_term, labels[of_example], minlength=len(words))
-    b = frequency - a
-    chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (float(n1 * n0 or 1) * np.maximum(frequency, 1) * np.maximum(n - frequency, 1))
-    telling = np.where(chi >= CHI, 1.0, np.where(chi >= 1, chi / (CHI or 1.0), 0.0) ** 2)
+    factor = _factor(a, frequency, n1, n)
     # Examples with the same rarest telling term stand together, which keeps the maxima of other blocks low.
     rarest = np.full(n, -1)
-    full = telling[of_term] == 1
+    full = factor[of_term] == 1
     np.maximum.at(rarest, of_example[full], of_term[full])
     order = np.lexsort((ids, labels, -rarest))
     moved = np.empty(n, np.int32)
     moved[order] = np.arange(n, dtype=np.int32)
-    ids, labels, sizes, has, of_example = ids[order], labels[order].astype(float), sizes[order], rarest[order] >= 0, moved[of_example]
+    ids, labels, of_example = ids[order], labels[order].astype(float), moved[of_example]
     weight = {c: totals.get(c, 0) / max(1, int((labels == c).sum())) for c in (0, 1)}
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
-    heavy = sum(weight[int(c)] for c in labels[~has])
-    base = (sum(weight[1] for c in labels[~has] if c) + share) / (heavy + 1)
     by = np.lexsort((of_example, of_term))
     starts = np.concatenate([[0], np.cumsum(frequency)]).astype(np.int64)
-    posted = starts, of_example[by], counts[by], n
+    postings = Postings.of(starts, of_example[by], counts[by], n, factor)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     order = np.argsort(hashes)
-    index = Index(hashes[order], order.astype(np.int32), telling, labels, ids, Postings.of(*posted, np.ones(len(words))), Postings.of(*posted, telling), base, share)
-    del posted, hashes, words
+    index = Index(hashes[order], order.astype(np.int32), labels, ids, postings, share)
+    del hashes, words
     by = np.argsort(of_example, kind="stable")
     edges = np.searchsorted(of_example[by], np.arange(n + 1))
     known, y = [], []
     for start in range(0, n, TOGETHER):
         own = [by[edges[i] : edges[i + 1]] for i in range(start, min(n, start + TOGETHER))]
-        counted = [(of_term[o].astype(np.int64), counts[o].astype(float), int(sizes[start + i])) for i, o in enumerate(own)]
-        for i, (near, measures) in enumerate(index.measures(counted, [*range(start, start + len(own))]), start):
-            if near:
-                known.append(measures)
+        # as if the example were not among those that terms were weighed by
+        queries = []
+        for o, label in zip(own, labels[start : start + TOGETHER]):
+            at, rest = of_term[o].astype(np.int64), frequency[of_term[o]] - 1
+            idf = np.where(rest > 0, (np.log(n / (1 + rest)) + 1) * _factor(a[at] - label, rest, n1 - label, n - 1), 0.0)
+            queries.append(postings.weigh(at, counts[o].astype(float), idf))
+        for i, near in enumerate(postings.nearest(queries, 2 * NEIGHBOURS, [*range(start, start + len(own))]), start):
+            others = [(j, s) for j, s in near if s < COPY][:NEIGHBOURS]
+            if others:
+                known.append(index.votes(others))
                 y.append(labels[i])
     if len(set(y)) == 2:
         truth = np.array(y, float)
         index.fitted = tuple(platt(np.array(known), truth, np.where(truth == 1, weight[1], weight[0])).tolist())
-    else:  # nothing to calibrate on: the vote itself, or without any vote the share of all
-        index.fitted = (6.0, 0.0, 0.0, -3.0) if y else (0.0, 0.0, 0.0, float(np.log(share / (1 - share))))
-    return index
+    return index  # with nothing to calibrate on, the votes themselves count
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Terms and their counts of each example, its eight smallest shingle hashes, and its words."""
+    """Terms and their counts of each example, and its words."""
     for batch in batches:
-        words, counts, sketches, sizes = [], [], [], []
+        words, counts, sizes = [], [], []
         for text in batch.column("text"):
-            own = terms(text.as_py())
-            tally = Counter(own)
-            sizes.append(len(own))
+            tally = Counter(terms(text.as_py()))
+            sizes.append(tally.total())
             words.append(list(tally))
             counts.append(list(tally.values()))
-            sketches.append([h >> 1 for h in sorted({xxhash.xxh3_64_intdigest(" ".join(own[i : i + 3])) for i in range(max(1, len(own) - 2))})[:8]])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("label"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32())), pa.array(sketches, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
-            ["id", "label", "words", "counts", "sketch", "size"],
+            [batch.column("id"), batch.column("label"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32())), pa.array(sizes, pa.int64())],
+            ["id", "label", "words", "counts", "size"],
         )
 
 
-_PARSED = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("sketch", pa.list_(pa.int64())), ("size", pa.int64())])
+_PARSED = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("size", pa.int64())])
 
 
 def _build(totals: dict[int, int]):
@@ -376,24 +352,24 @@ def _build(totals: dict[int, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches, _PARSED)
-        order = sorted(range(table.num_rows), key=lambda i, c=[table.column(x).to_pylist() for x in ("id", "size", "sketch")]: tuple(x[i] for x in c))
-        seen: set[int] = set()
-        kept, last = [], None
+        # of rows that repeat an id the shortest text, and of equally long ones the first in order of its words
+        order = sorted(range(table.num_rows), key=lambda i, c=[table.column(x).to_pylist() for x in ("id", "size")]: tuple(x[i] for x in c))
+        kept: dict[int, int] = {}
+        words_of = lambda i: sorted(zip(table.column("words")[i].as_py(), table.column("counts")[i].as_py()))
         for i in order:
-            sketch, ident = table.column("sketch")[i].as_py(), table.column("id")[i].as_py()
-            if ident != last and 2 * sum(h in seen for h in sketch) < max(1, len(sketch)):
-                kept.append(i)
-            seen.update(sketch)
-            last = ident
-        table = table.select(["id", "label", "size", "words", "counts"]).take(pa.array(kept, pa.int64())).combine_chunks()
+            ident = table.column("id")[i].as_py()
+            first = kept.setdefault(ident, i)
+            if first != i and table.column("size")[first] == table.column("size")[i] and words_of(i) < words_of(first):
+                kept[ident] = i
+        table = table.select(["id", "label", "words", "counts"]).take(pa.array([*kept.values()], pa.int64())).combine_chunks()
         words = table.column("words").combine_chunks()
         lengths = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
         of_term, vocabulary = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
-        ids, labels, sizes, counts = (x.to_numpy().copy() for x in (*(table.column(c) for c in ("id", "label", "size")), table.column("counts").combine_chunks().flatten()))
+        ids, labels, counts = (x.to_numpy().copy() for x in (*(table.column(c) for c in ("id", "label")), table.column("counts").combine_chunks().flatten()))
         del table, words, coded
         pa.default_memory_pool().release_unused()
-        index = build(ids, labels.astype(float), sizes, np.repeat(np.arange(len(ids), dtype=np.int32), lengths), of_term, counts, vocabulary, totals)
+        index = build(ids, labels.astype(float), np.repeat(np.arange(len(ids), dtype=np.int32), lengths), of_term, counts, vocabulary, totals)
         for piece in index.pieces():
             yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(piece, 1)], pa.binary())], ["piece"])
 
@@ -403,11 +379,11 @@ def _build(totals: dict[int, int]):
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Fitted:
     """Learn from rows that are not held out; at most ``PER_CLASS`` examples of each class are read, in whole.
 
-    Of near copies among the examples one is kept: those that share most of their eight smallest shingle hashes. Of rows
-    that repeat an id the shortest text counts. All terms of the examples are indexed. Null texts are empty.
+    All of them are indexed, copies too, with all their terms. Of rows that repeat an id the shortest text counts. Null
+    texts are empty.
     """
     examples, totals = sample(docs, labels, label, PER_CLASS, id_col, text_col)
-    parsed = settle(examples.select("id", "label", "text").mapInArrow(_parse, "id long, label int, words array<string>, counts array<int>, sketch array<long>, size long"))
+    parsed = settle(examples.select("id", "label", "text").mapInArrow(_parse, "id long, label int, words array<string>, counts array<int>, size long"))
     rows = parsed.repartition(1).mapInArrow(_build(totals), "piece binary").toLocalIterator()
     return _shipped(docs.sparkSession, (zlib.decompress(r["piece"]) for r in rows))
 
@@ -437,7 +413,7 @@ def _parts(texts: pa.Array) -> Iterator[list[str]]:
 
 
 def probability(text: Column, fitted: Fitted) -> Column:
-    """The calibrated probability that a whole text is toxic; texts without any term of an example, as null and empty ones, get the base rate."""
+    """The calibrated probability that a whole text is toxic; texts without any term of an example, as null and empty ones, get the share of toxic rows."""
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:

@@ -657,13 +657,14 @@ def test_nearest_examples_equal_reading_them_all(taught, monkeypatch, block):
     vocabulary = sorted({w for t, _ in examples for w in toxicity.terms(t)})
     triples = [(i, vocabulary.index(w), n) for i, (t, _) in enumerate(examples) for w, n in Counter(toxicity.terms(t)).items()]
     n = len(examples)
-    index = toxicity.build(np.arange(n), np.array([c for _, c in examples], float), np.array([len(toxicity.terms(t)) for t, _ in examples]), *np.array(triples).T, vocabulary, {0: 300, 1: 200})
-    for postings in (index.weights, index.signal):
+    index = toxicity.build(np.arange(n), np.array([c for _, c in examples], float), *np.array(triples).T, vocabulary, {0: 300, 1: 200})
+    assert (index.weights.idf > 0).all()
+    for postings in (index.weights,):
         dense = np.zeros((len(vocabulary), n))
         for t in range(len(vocabulary)):
             own = slice(postings.starts[t], postings.starts[t + 1])
             dense[t, postings.examples[own]] = postings.values[own]
-        queries = [postings.weigh(*index.count(t)[:2]) for t, _ in examples[:90]]
+        queries = [postings.weigh(*index.count(t)) for t, _ in examples[:90]]
         for (at, weights), got, without in zip(queries, postings.nearest(queries, 7, [*range(-1, 89)]), range(-1, 89)):
             scores = np.round(weights @ dense[at], 12)
             want = sorted(((-s, i) for i, s in enumerate(scores.tolist()) if s > 0 and i != without))[:7]
@@ -672,14 +673,22 @@ def test_nearest_examples_equal_reading_them_all(taught, monkeypatch, block):
 
 
 def test_toxicity_of_a_whole_table(spark):
-    """As registered, over sf0.01: evidence equals cosines worked out from the texts; what held-out rows show."""
+    """As registered, over sf0.01: all labelled rows are indexed, the neighbours that vote equal cosines worked out from the
+    texts, scores follow from them; what held-out rows show."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
     fitted = toxicity.fit(docs, labels)
     text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     known = fitted.index.ids.tolist()
     tallies = [Counter(toxicity.terms(text[i])) for i in known]
     frequency = Counter(w for t in tallies for w in t)
-    idf = {w: np.log((1 + len(known)) / (1 + n)) + 1 for w, n in frequency.items()}
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    assert sorted(known) == sorted(i for i, t in truth.items() if i in text and t is not None and zlib.crc32(str(i).encode()) % 5)
+    toxic, n1 = Counter(w for i, t in zip(known, tallies) if truth[i] for w in t), sum(truth[i] for i in known)
+    n0, idf = len(known) - n1, {}
+    for w, n in frequency.items():
+        a, b = toxic[w], n - toxic[w]
+        chi = len(known) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * n * max(1, len(known) - n))
+        idf[w] = (np.log((1 + len(known)) / (1 + n)) + 1) * (1 + min(chi, toxicity.CHI)) / (1 + toxicity.CHI)
 
     def unit(tally):
         own = {w: (1 + np.log(n)) * idf[w] for w, n in tally.items() if w in idf}
@@ -692,8 +701,11 @@ def test_toxicity_of_a_whole_table(spark):
         own = unit(Counter(toxicity.terms(text[r["id"]])))
         cosines = {i: sum(x * v.get(w, 0.0) for w, x in own.items()) for i, v in zip(known, vectors)}
         assert [e["similarity"] for e in r["evidence"]] == pytest.approx(sorted((c for c in cosines.values() if c > 1e-12), reverse=True)[: toxicity.NEIGHBOURS])
-        assert all(cosines[e["id"]] == pytest.approx(e["similarity"]) for e in r["evidence"])
-    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+        assert all(cosines[e["id"]] == pytest.approx(e["similarity"]) and e["label"] == truth[e["id"]] for e in r["evidence"])
+        if r["evidence"]:
+            sides = [toxicity.PRIOR + sum(e["similarity"] for e in r["evidence"] if e["label"] == c) for c in (1, 0)]
+            *slopes, intercept = fitted.index.fitted
+            assert r["score"] == pytest.approx(1 / (1 + np.exp(-(np.dot(slopes, np.log(sides)) + intercept))))
     held = [(truth[r["id"]], r["predicted"]) for r in rows if r["held_out"] and truth.get(r["id"]) is not None]
     assert sum(p for t, p in held if t == 1) >= 0.9 * sum(t for t, _ in held) and sum(p for t, p in held if t == 0) <= 0.06 * sum(t == 0 for t, _ in held)
 
