@@ -7,6 +7,7 @@ were made without it.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import column, ready, settle
 from .labelled import held_out, platt, sample
 
-#: Bounds of what is learned from: labelled examples of each class, and bytes of a dictionary. Texts go in whole, if they
-#: have at most 1/SHARE of a dictionary's bytes. Examples are calibrated in so many folds.
+#: Bounds of what is learned from: labelled examples of each class, and bytes of a dictionary. Of a text with more than
+#: 1/SHARE of a dictionary's bytes so many go in, in blocks from all over it. Examples are calibrated in so many folds.
 PER_CLASS, DICTIONARY, SHARE, PARTS = 4096, 512 << 10, 8, 4
 #: A text is compressed in blocks, so that a long one is judged by the dictionaries and not by its own repetitions.
 BLOCK, LEVEL = 1024, 6
@@ -67,9 +68,28 @@ def difference(text: Column, bad: bytes, good: bytes) -> Column:
     return run(text)
 
 
+def share_of(data: bytes) -> bytes:
+    """What a text gives to a dictionary: all of it, or of a longer one the blocks with the smallest checksums, in order."""
+    most = DICTIONARY // SHARE
+    if len(data) <= most:
+        return data
+    blocks = [data[at : at + BLOCK] for at in range(0, len(data), BLOCK)]
+    picked = sorted(range(len(blocks)), key=lambda i: (zlib.crc32(blocks[i]), i))[: most // BLOCK]
+    return b"".join(blocks[i] for i in sorted(picked))
+
+
+def shares(text: Column) -> Column:
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([share_of(t.as_py().encode()) for t in texts], pa.binary())
+
+    return run(text)
+
+
 def chosen(rows: list[tuple[int, int, int, int]], without: int = -1) -> tuple[list[int], list[int]]:
     """Which examples, of (place, label, bytes, fold) in order, make the dictionaries of both labels: as many bytes of each."""
-    own = [[(at, n) for at, c, n, fold in rows if c == label and fold != without and 0 < n <= DICTIONARY // SHARE] for label in (0, 1)]
+    own = [[(at, n) for at, c, n, fold in rows if c == label and fold != without and n] for label in (0, 1)]
     budget = min(DICTIONARY, *(sum(n for _, n in o) for o in own))
     out: tuple[list[int], list[int]] = [], []
     for picked, examples in zip(out, own):
@@ -84,7 +104,8 @@ def chosen(rows: list[tuple[int, int, int, int]], without: int = -1) -> tuple[li
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from rows that are not held out; at most ``PER_CLASS`` examples of each class are read, in whole.
 
-    Whole texts fill the dictionaries in order of a hash, both up to the same size; equal texts go in once. To
+    Texts fill the dictionaries in order of a hash, both up to the same size; equal texts go in once, long ones in blocks
+    from all over them, so that none takes more than a share of a dictionary and none is left out for its size. To
     calibrate, each example is compared with dictionaries of other examples only. Rows that repeat an id are
     examples each; null texts are empty. Without text of both classes every score is the smoothed share of 1s.
     """
@@ -93,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     fold = F.pmod(content, F.lit(PARTS)).cast("int")
     examples = settle(examples.select("id", "label", "text", content.alias("content"), fold.alias("fold")))
     # equal texts are in one fold and count once
-    light = examples.groupBy("label", "content", "fold").agg(F.min(F.octet_length("text")).alias("n")).orderBy("content", "label").collect()
+    light = examples.groupBy("label", "content", "fold").agg(F.min(F.least(F.octet_length("text"), F.lit(DICTIONARY // SHARE))).alias("n")).orderBy("content", "label").collect()
     rows = [(at, r["label"], r["n"], r["fold"]) for at, r in enumerate(light)]
     choices = {f: chosen(rows, f) for f in (-1, *range(PARTS))}
     wanted = {light[at]["content"] for pair in choices.values() for own in pair for at in own}
@@ -103,7 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
     spark = docs.sparkSession
     keys = F.broadcast(spark.createDataFrame([(k,) for k in wanted], "content long"))  # at most 2 * PER_CLASS
-    texts = {r["content"]: r["text"].encode() for r in examples.join(keys, "content").groupBy("content").agg(F.min("text").alias("text")).collect()}
+    found = examples.join(keys, "content").groupBy("content").agg(F.min("text").alias("text"))
+    texts = {r["content"]: bytes(r["own"]) for r in found.select("content", shares(F.col("text")).alias("own")).collect()}
     made = {f: [b"".join(texts[light[at]["content"]] for at in own) for own in pair] for f, pair in choices.items()}
     probes = [examples.filter(F.col("fold") == f).select("label", difference(F.col("text"), *made[f]).alias("d")) for f in range(PARTS) if min(map(len, made[f])) >= 8]
     probe = reduce(DataFrame.unionByName, probes).collect() if probes else []

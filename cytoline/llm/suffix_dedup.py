@@ -483,7 +483,20 @@ def _resolve(anchor: np.ndarray, least: np.ndarray, offset: np.ndarray, count: n
         whole = hashes.extension(ordered[pairs - 1], ordered[pairs], length) >= length
         equal[pairs] = whole
         checked = pairs[whole]
+        alike = equal.copy()
         equal[checked] = windows_equal(data, ordered[checked - 1], ordered[checked], length)
+        # Hashes that collide can stand between equal windows. A class in which windows of one hash differ, or do not
+        # stand together, is sorted again by its bytes.
+        by = np.lexsort((hashes.of(ordered, length), classes))
+        kinds = np.concatenate([[True], (np.diff(classes[by]) != 0) | (np.diff(hashes.of(ordered[by], length)) != 0)])
+        torn = np.bincount(classes[by[kinds]], minlength=classes[-1] + 1) != np.bincount(classes[~alike], minlength=classes[-1] + 1)
+        torn[classes[alike & ~equal]] = True
+        if torn.any():
+            again = np.flatnonzero(torn[classes])
+            windows = data[ordered[again][:, None] + np.arange(length)]
+            by = np.lexsort((*windows.T[::-1], classes[again]))
+            ranked[again], windows = ranked[again[by]], windows[by]
+            equal[again] = np.concatenate([[False], (windows[1:] == windows[:-1]).all(1) & (np.diff(classes[again]) == 0)])
         run = np.flatnonzero(~equal)
         lowest = np.minimum.reduceat(smallest[sought[ranked]], run)
         smallest[sought[ranked]] = np.repeat(lowest, np.diff(np.append(run, len(ranked))))
