@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import column, ready
 
-#: Entries of each half of a worker's memory of words, and the longest words that are remembered.
-REMEMBERED, LONGEST = 60_000, 64
+#: Entries of each half of a worker's memory, of words with their counts alone, and the longest that are remembered.
+REMEMBERED, WORDS, LONGEST = 60_000, 250_000, 64
 #: Places of the door through which words come into the memory, and how many are taken before all are free again.
 DOOR, TAKEN = 1 << 20, 1 << 18
 
@@ -66,15 +66,15 @@ def joined(run: str) -> list[str]:
 
 
 class Memory(dict):
-    """Results by key, worked out when missing. Of more than REMEMBERED keys, those not used lately are forgotten.
+    """Results by key, worked out when missing. Of more than ``most`` keys, those not used lately are forgotten.
 
     Most distinct words occur once; a key is remembered when it is met for the second time (as far as a hash tells).
     Keys of more than LONGEST characters never are, so that memory is bounded whatever the texts.
     """
 
-    def __init__(self, work) -> None:
+    def __init__(self, work, most: int = REMEMBERED) -> None:
         super().__init__()
-        self.work, self.older, self.door, self.taken = work, {}, bytearray(DOOR), 0
+        self.work, self.most, self.older, self.door, self.taken = work, most, {}, bytearray(DOOR), 0
 
     def __missing__(self, key):
         found = self.older.get(key)
@@ -89,7 +89,7 @@ class Memory(dict):
                 self.door[place] = 1
                 self.taken += 1
                 return found
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[key] = found
@@ -120,7 +120,7 @@ class PrefixCounter:
         kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         splits = [p.get("pattern", {}).get("Regex") for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and splits[:1] == [SPLIT]
-        self.by_word, self.by_run = Memory(self._word), Memory(self.chunk)
+        self.by_word, self.by_run = Memory(self._word, WORDS), Memory(self.chunk)
 
     # -- merges ---------------------------------------------------------------------------------------------------
 
