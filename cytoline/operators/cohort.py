@@ -131,6 +131,23 @@ def missing_by_sample(cells: DataFrame) -> DataFrame:
     return cells.groupBy("sample").agg(F.count_if(F.col("beta").isNull()).alias("n_missing"), F.count(F.lit(1)).alias("n_sites"))
 
 
+def missing_before_after(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What imputation filled in: by sample, and for ``all`` of them, missing values before and after, and their shares in percent."""
+    state = lambda df, n, b, a: df.select("sample", F.lit(n).alias("n"), F.when(F.col("beta").isNull(), b).otherwise(0).alias("b"), F.when(F.col("beta").isNull(), a).otherwise(0).alias("a"))
+    sums = state(before, 1, 1, 0).unionByName(state(after, 0, 0, 1)).rollup("sample").agg(F.sum("n").alias("n_sites"), F.sum("b").alias("missing_before"), F.sum("a").alias("missing_after"), F.grouping("sample").alias("whole"))
+    share = lambda c: F.round(F.try_divide(100.0 * F.col(c), F.col("n_sites")), 6)
+    return sums.select(F.when(F.col("whole") == 1, "all").otherwise(F.col("sample")).alias("sample"), "n_sites", "missing_before", "missing_after", (F.col("missing_before") - F.col("missing_after")).alias("n_imputed"),
+                       share("missing_before").alias("percent_before"), share("missing_after").alias("percent_after"))
+
+
+def unmatched(names: DataFrame, others: DataFrame, kind: str, other_kind: str) -> DataFrame:
+    """``sample, lacks``: samples of either frame that the other one does not have. Null names match nothing and lack both."""
+    left, right = names.select("sample").distinct(), others.select(F.col("sample").alias("other")).distinct()
+    both = left.join(right, F.col("sample") == F.col("other"), "full")
+    lone = both.filter("sample IS NULL OR other IS NULL")
+    return lone.select(F.coalesce("sample", "other").alias("sample"), F.when(F.col("sample").isNull(), kind).otherwise(F.lit(other_kind)).alias("lacks"))
+
+
 def depth_medians(samples: DataFrame) -> DataFrame:
     return medians(samples, "sample", "n_valid", "median_depth").join(medians(samples, "sample", "fraction", "median_fraction"), "sample")
 

@@ -490,11 +490,30 @@ def robust_scale(spark, sf):
     return matrix.robust_scaled(lens.complete(spark, sf)).select("site_id", "sample", r6("beta"))
 
 
-@query(""", v AS (SELECT chrom, sample, start, site_id, beta FROM cells),
+_ALONG = """, v AS (SELECT chrom, sample, start, site_id, beta FROM cells),
 n AS (SELECT *, last_value(CASE WHEN beta IS NOT NULL THEN start END IGNORE NULLS) OVER l AS ls, last_value(beta IGNORE NULLS) OVER l AS lb,
       first_value(CASE WHEN beta IS NOT NULL THEN start END IGNORE NULLS) OVER r AS rs, first_value(beta IGNORE NULLS) OVER r AS rb FROM v
-  WINDOW l AS (PARTITION BY sample, chrom ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), r AS (PARTITION BY sample, chrom ORDER BY start ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
-SELECT site_id, sample, round(coalesce(beta, CASE WHEN ls IS NOT NULL AND rs IS NOT NULL THEN (lb * (rs - start) + rb * (start - ls)) / ((rs - start) + (start - ls)) ELSE coalesce(lb, rb) END), 6) AS beta FROM n""")
+  WINDOW l AS (PARTITION BY sample, chrom ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), r AS (PARTITION BY sample, chrom ORDER BY start ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+imputed AS (SELECT site_id, sample, beta AS before, coalesce(beta, CASE WHEN ls IS NOT NULL AND rs IS NOT NULL THEN (lb * (rs - start) + rb * (start - ls)) / ((rs - start) + (start - ls)) ELSE coalesce(lb, rb) END) AS beta FROM n)
+"""
+
+
+@query(_ALONG + "SELECT CASE WHEN grouping(sample) = 1 THEN 'all' ELSE sample END AS sample, count(*) AS n_sites, count(*) - count(before) AS missing_before, count(*) - count(beta) AS missing_after, count(beta) - count(before) AS n_imputed, "
+       "round(100.0 * (count(*) - count(before)) / count(*), 6) AS percent_before, round(100.0 * (count(*) - count(beta)) / count(*), 6) AS percent_after FROM imputed GROUP BY ROLLUP (sample)")
+def imputation_missing(spark, sf):
+    before = cells(spark, sf)
+    return cohort.missing_before_after(before, matrix.impute_along(before))
+
+
+@query("SELECT coalesce(m.sample, d.sample) AS sample, CASE WHEN m.sample IS NULL THEN 'measurements' ELSE 'metadata' END AS lacks FROM (SELECT DISTINCT 's' || (l_suppkey % 8) AS sample FROM lineitem) m "
+       "FULL JOIN (SELECT DISTINCT 's' || (s_suppkey % 11) AS sample FROM supplier WHERE s_suppkey % 11 <> 3) d ON m.sample = d.sample WHERE m.sample IS NULL OR d.sample IS NULL", prefix=False)
+def samples_unmatched(spark, sf):
+    """Samples without metadata, and metadata without measurements."""
+    metadata = lens.table(spark, sf, "supplier").selectExpr("concat('s', s_suppkey % 11) AS sample").filter("sample <> 's3'")
+    return cohort.unmatched(lens.measure(spark, sf), metadata, "measurements", "metadata")
+
+
+@query(_ALONG + "SELECT site_id, sample, round(beta, 6) AS beta FROM imputed")
 def impute_along(spark, sf):
     return matrix.impute_along(cells(spark, sf)).select("site_id", "sample", r6("beta"))
 
@@ -642,6 +661,16 @@ def pcoa(spark, sf):
     return spark.createDataFrame(rows, "axis string, eigenvalue double, pct_variance double, cumulative_pct_variance double").select("axis", r6("eigenvalue"), r6("pct_variance"), r6("cumulative_pct_variance"))
 
 
+@query()
+def pcoa_corrected(spark, sf):
+    """Coordinates of dissimilarities that no points have, squares of distances, after their correction."""
+    out = linalg.principal_coordinates(distance.pairwise(lens.values(spark, sf), DIMENSIONS, "euclidean")[0] ** 2)
+    if not out["corrected"]:
+        raise ValueError("nothing was corrected")
+    rows = [(f"PCo{i + 1}", float(v), float(out["negative"])) for i, v in enumerate(out["eigenvalues"])]
+    return spark.createDataFrame(rows, "axis string, eigenvalue double, negative_share double").select("axis", r6("eigenvalue"), r6("negative_share"))
+
+
 def _coordinates(spark, sf):
     return linalg.components(lens.complete(spark, sf), DIMENSIONS, len(DIMENSIONS))[0]
 
