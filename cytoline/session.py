@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 #: How many bytes go to a Python worker at once. Texts differ in size by orders of magnitude, so a number of rows is no bound.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "2m"
 
 #: What every job relies on: adaptive execution for skew and partition counts, ANSI arithmetic, UTC.
 SETTINGS = {
