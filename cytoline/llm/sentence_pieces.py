@@ -71,6 +71,10 @@ class Piece(NamedTuple):
     end: int
 
 
+#: Units of each kind that a worker remembers in each half of its memory.
+UNITS = 45_000
+
+
 class Model:
     """A byte-pair model of the sentencepiece library, encoding and decoding as that library does."""
 
@@ -102,7 +106,7 @@ class Model:
         self.shown = [" ⁇ " if k == UNKNOWN else "" if k == CONTROL else p.replace(SPACE, " ") for p, k in zip(self.pieces, self.kinds)]
         #: Pieces that decode to themselves, and their ids in decimal.
         self.decimal = {p: str(i) for i, p in enumerate(self.pieces) if self.kinds[i] == NORMAL}
-        self.units, self.ends, self.runs = Memory(self._unit), Memory(self._stretch), Memory(self._run)
+        self.units, self.ends, self.runs = Memory(self._unit, UNITS), Memory(self._stretch, UNITS), Memory(self._run, UNITS)
 
     # -- normalisation --------------------------------------------------------------------------------------------
 
