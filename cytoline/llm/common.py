@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,38 @@ def ready(key: object, make: Callable[[], object]) -> object:
     return _ready[key]
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system: workers wait, some of them for long, while others run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def sparing(run: Callable) -> Callable:
+    """A task's function over batches that gives memory back at its end."""
+
+    @wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def without_model(run: Callable) -> Callable:
+    """As :func:`sparing`, for a function that needs no model: one that an earlier stage left in the worker goes."""
+
+    @wraps(run)
+    def whole(batches):
+        _ready.clear()
+        return (yield from sparing(run)(batches))
+
+    return whole
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, at most so many rows go to a Python worker at once; for steps that run inside, with heavy rows."""

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, bit_positions, bit_table, column, filter_bits, probe_bits, settle
+from .common import batches_of, bit_positions, bit_table, column, filter_bits, give_back, probe_bits, settle, without_model
 
 #: Words of a shingle; bands and bins of a band. A pair shares no band with probability 1e-7 at a similarity of 0.8,
 #: and 3e-10 at 0.85.
@@ -110,6 +110,7 @@ def parsed(text: Column) -> Column:
     """Struct of set size, name of the set and band keys of each text."""
 
     @F.arrow_udf("struct<n: bigint, node: binary, bands: array<bigint>>")
+    @without_model
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with np.errstate(over="ignore"):
             for texts in batches:
@@ -131,6 +132,7 @@ def sets(text: Column) -> Column:
     """Struct of the set's name and the set itself, as sorted 64-bit hashes."""
 
     @F.arrow_udf("struct<node: binary, elements: array<bigint>>")
+    @without_model
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with np.errstate(over="ignore"):
             for texts in batches:
@@ -205,6 +207,7 @@ def links_of(percent: int):
                 for i in np.flatnonzero(label != np.arange(len(label))).tolist():
                     first.append(names[members[label[i]]])
                     other.append(names[members[i]])
+        give_back()
         return pa.table({"a": pa.array(first, pa.binary()), "b": pa.array(other, pa.binary())})
 
     return run

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, ready
+from .common import column, ready, sparing
 from .token_counts import Memory
 
 SPACE = "▁"  # stands for a space in normalised text
@@ -344,6 +344,7 @@ def digest(text: Column, proto: bytes) -> Column:
     """
 
     @F.arrow_udf(DIGEST)
+    @sparing
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from hashlib import sha256
 
@@ -367,6 +368,7 @@ def pieces(text: Column, proto: bytes) -> Column:
     """The pieces of each text with their spans of original UTF-8 bytes; none for a null or empty text."""
 
     @F.arrow_udf(PIECES)
+    @sparing
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = model(proto)
         kind = pa.list_(pa.struct([("id", pa.int32()), ("piece", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -380,6 +382,7 @@ def ids(text: Column, proto: bytes) -> Column:
     """The ids of each whole text; none for a null or empty text."""
 
     @F.arrow_udf("array<int>")
+    @sparing
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = model(proto)
         for texts in batches:

@@ -30,7 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, ready, settle
+from .common import column, ready, settle, sparing
 from .labelled import held_out, platt, sample
 
 #: Bound of what is learned from: labelled examples of each class.
@@ -415,6 +415,7 @@ def _parts(texts: pa.Array) -> Iterator[list[str]]:
 def probability(text: Column, fitted: Fitted) -> Column:
     """The calibrated probability that a whole text is toxic; texts without any term of an example, as null and empty ones, get the share of toxic rows."""
     @F.arrow_udf("double")
+    @sparing
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([p for part in _parts(texts) for p, _, _ in fitted.index.judge(part)], pa.float64())
@@ -437,6 +438,7 @@ def evidence(text: Column, fitted: Fitted, k: int = NEIGHBOURS) -> Column:
     """The nearest labelled examples of each text: their ids, similarities and labels."""
 
     @F.arrow_udf(EVIDENCE)
+    @sparing
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             found = [near for part in _parts(texts) for near in fitted.index.nearest(part, k)]
@@ -449,6 +451,7 @@ def judged(text: Column, fitted: Fitted) -> Column:
     """``score``, as by :func:`probability`, and ``evidence``, as by :func:`evidence`, from one search."""
 
     @F.arrow_udf(f"struct<score: double, evidence: {EVIDENCE}>")
+    @sparing
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             known = [answer for part in _parts(texts) for answer in fitted.index.judge(part)]

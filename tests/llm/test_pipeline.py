@@ -56,6 +56,19 @@ def test_stages_take_odd_tables(spark, small, tmp_path):
         docs.collect()
 
 
+def test_stages_take_long_texts_and_clashing_names(spark, small):
+    long = " ".join(f"word{i % 977}" for i in range(40_000))
+    rows = [(1, long, "en", "s", 1, "a", "b", "c", "d", "e"), (2, long + " more", "en", "s", 1, "a", "b", "c", "d", "e"), (3, "x" * 200_000, "en", "t", 1, "a", "b", "c", "d", "e"), (4, "a few plain words stand here", "en", "t", 1, "a", "b", "c", "d", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string, sha string, doc string, size string, id string")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        after = stage(spark, docs, small)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert after.columns == docs.columns
+            docs = after
+    assert {r["doc_id"] for r in docs.select("doc_id").distinct().collect()} <= {1, 3, 4}
+    assert {r["doc_id"]: r["n_tokens"] for r in after.collect()}
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, small, name):
     con = duckdb.connect()
