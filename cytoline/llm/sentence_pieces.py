@@ -71,14 +71,14 @@ class Piece(NamedTuple):
     end: int
 
 
-#: Units of each kind that a worker remembers in each half of its memory.
-UNITS = 45_000
+#: Units of each kind that a worker remembers in each half of its memory: where other models ran before, and by itself.
+UNITS, OWN_UNITS = 45_000, 250_000
 
 
 class Model:
     """A byte-pair model of the sentencepiece library, encoding and decoding as that library does."""
 
-    def __init__(self, proto: bytes) -> None:
+    def __init__(self, proto: bytes, units: int = UNITS) -> None:
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         model = pb.ModelProto()
@@ -106,7 +106,7 @@ class Model:
         self.shown = [" ⁇ " if k == UNKNOWN else "" if k == CONTROL else p.replace(SPACE, " ") for p, k in zip(self.pieces, self.kinds)]
         #: Pieces that decode to themselves, and their ids in decimal.
         self.decimal = {p: str(i) for i, p in enumerate(self.pieces) if self.kinds[i] == NORMAL}
-        self.units, self.ends, self.runs = Memory(self._unit, UNITS), Memory(self._stretch, UNITS), Memory(self._run, UNITS)
+        self.units, self.ends, self.runs = Memory(self._unit, units), Memory(self._stretch, units), Memory(self._run, units)
 
     # -- normalisation --------------------------------------------------------------------------------------------
 
@@ -329,15 +329,15 @@ def _lenient(raw: bytearray) -> str:
         return "".join(out)
 
 
-def model(proto: bytes) -> Model:
+def model(proto: bytes, units: int = UNITS) -> Model:
     """The worker's model for these bytes; it keeps the units it has met from task to task."""
-    return ready(("sentence pieces", hash(proto)), lambda: Model(proto))
+    return ready(("sentence pieces", hash(proto), units), lambda: Model(proto, units))
 
 
 DIGEST = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string, widths_sha256: string>"
 
 
-def digest(text: Column, proto: bytes) -> Column:
+def digest(text: Column, proto: bytes, units: int = UNITS) -> Column:
     """Encode and decode each whole text: the number of ids, digests of the ids, of the decoded text and of the widths.
 
     Widths are the lengths, in original UTF-8 bytes, of the spans that the ids stand for; spans follow each other.
@@ -348,7 +348,7 @@ def digest(text: Column, proto: bytes) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from hashlib import sha256
 
-        own = model(proto)
+        own = model(proto, units)
         for texts in batches:
             counts, digests = [], ([], [], [])
             for value in texts:
@@ -395,11 +395,11 @@ def ids(text: Column, proto: bytes) -> Column:
     return run(text)
 
 
-def measure(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def measure(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str = "text", units: int = OWN_UNITS) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256, widths_sha256`` for each row; null texts are empty, repeated rows are rows.
 
     Empty tables give empty results; null ids stay null; other columns are not read.
     """
     text = F.coalesce(column(docs, text_col), F.lit(""))
-    rows = docs.select(column(docs, id_col).alias("id"), digest(text, proto).alias("own"))
+    rows = docs.select(column(docs, id_col).alias("id"), digest(text, proto, units).alias("own"))
     return rows.select("id", "own.*")

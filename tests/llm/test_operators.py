@@ -786,3 +786,14 @@ def test_held_out_rows_are_never_learned_from(taught):
     assert all(zlib.crc32(str(r["id"]).encode()) % 5 for r in got) and max(Counter(r["label"] for r in got).values()) <= 100
     assert sum(counts.values()) > len(got)
     assert public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_sentence_pieces_by_itself_remembers_more_units(spark, monkeypatch):
+    """The pipeline's workers have held other models before; the query's have not."""
+    given = []
+    real = sentence_pieces.digest
+    monkeypatch.setattr(sentence_pieces, "digest", lambda text, proto, units: given.append(units) or real(text, proto, units))
+    proto = tokenizer_file("piece_bpe_32k.model")
+    sentence_pieces.measure(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), proto)
+    assert given == [sentence_pieces.OWN_UNITS] and sentence_pieces.OWN_UNITS > sentence_pieces.UNITS
+    assert sentence_pieces.Model(proto, 7).units.most == 7 and sentence_pieces.Model(proto).units.most == sentence_pieces.UNITS
