@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_co
     """At most ``per_class`` examples of each label that are not held out: ``id, text, label``; and how many there are.
 
     The choice depends on a hash of the id alone. An id labelled more than once counts as 1 if any label is. Null
-    labels are left out. Only the chosen ids, at most twice ``per_class``, are broadcast to find their texts.
+    labels are left out. Only the chosen ids, at most twice ``per_class``, are broadcast to find their texts. They go to
+    Spark as an Arrow table: a list would be read by Python workers of a second kind, which stay in the executors' memory.
     """
     known = (
         labels.select(column(labels, "doc_id").alias("id"), column(labels, label).cast("int").alias("label"))
@@ -34,7 +36,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_co
         for c in (0, 1)
         for r in known.filter(F.col("label") == c).orderBy(F.xxhash64("id", F.lit(label)), "id").limit(per_class).collect()
     ]
-    ids = docs.sparkSession.createDataFrame(chosen, "id long, label int")
+    own = pa.table({n: pa.array([c[i] for c in chosen], t) for i, (n, t) in enumerate((("id", pa.int64()), ("label", pa.int32())))})
+    ids = docs.sparkSession.createDataFrame(own, "id long, label int")
     texts = docs.select(column(docs, id_col).alias("id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(ids), "id"), counts
 

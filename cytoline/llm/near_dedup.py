@@ -145,6 +145,16 @@ def sets(text: Column) -> Column:
     return run(text)
 
 
+def made(texts: DataFrame, text_col: str) -> DataFrame:
+    """``node, elements`` of each row's text.
+
+    Neither is ever null, and Spark has to know it: a join by a name that might be null is preceded by a filter for
+    which every set is made once more, in Python workers of its own.
+    """
+    own = texts.select(sets(F.coalesce(column(texts, text_col), F.lit(""))).alias("own"))
+    return own.select(F.coalesce("own.node", F.lit(b"")).alias("node"), F.coalesce("own.elements", F.lit([]).cast("array<bigint>")).alias("elements"))
+
+
 def overlaps(elements: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     """How many elements each two of ``n`` sets share, above the diagonal; ``row`` is the set of each element.
 
@@ -384,10 +394,9 @@ def group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     bits = bit_table(wanted.select(F.explode(bit_positions(F.xxhash64("rep"), log_bits)).alias("bit")).distinct(), "bit")
     texts = docs.select(F.xxhash64(column(docs, id_col).cast("long")).alias("key"), text.alias("text"))
     texts = probe_bits(texts, "key", settle(bits), log_bits, "maybe").filter("maybe")
-    made = texts.select(sets(F.col("text")).alias("own")).select("own.node", "own.elements")
     with batches_of(docs.sparkSession, BATCH):
-        made = made.join(wanted.select("node", "short", "n", "weight").hint("merge"), "node")
-        store = settle(made.groupBy("node").agg(*(F.first(c).alias(c) for c in ("short", "n", "weight", "elements"))))
+        found_sets = made(texts, "text").join(wanted.select("node", "short", "n", "weight").hint("merge"), "node")
+        store = settle(found_sets.groupBy("node").agg(*(F.first(c).alias(c) for c in ("short", "n", "weight", "elements"))))
 
     live = settle(store.select("short").join(alone(store, percent).hint("merge"), "short", "left_anti").distinct())
     entries = settle(found.select("bucket", "short").join(live.hint("merge"), "short"))
